@@ -145,3 +145,109 @@ select event_id, ts, user_id, event_type, value, case when value < 5 then null e
 
 INPUTS["fx_raw"] = "select * from {events} where ts >= timestamp_ntz '2024-01-30 00:00:00' and ts < timestamp_ntz '2024-01-31 00:00:00'"
 INPUTS["fx_wrk"] = "select * from {events} where value >= 0.5"
+
+# --- Vault: hashed tables as they stand before a load, and what is staged for it. -----------------------
+
+INPUTS["fx_hub_customer"] = """
+select md5(concat(cast(c_custkey as varchar(40)), '|')) as CustomerHashKey,
+       timestamp_ntz '2024-01-01 00:00:00' as LoadDateTime, 'TPC' as RecordSource, cast(-1 as bigint) as LoadID, c_custkey
+  from {customer} where c_mktsegment <> 'MACHINERY'
+"""
+
+INPUTS["fx_supply"] = "select distinct l_partkey, l_suppkey from {lineitem}"
+
+INPUTS["fx_hub_customer_all"] = """
+select md5(concat(cast(c_custkey as varchar(40)), '|')) as CustomerHashKey, c_custkey from {customer}
+"""
+
+# Customers as a second system knows them: some are its own, codes are text with blanks at the end.
+INPUTS["fx_crm"] = """
+select case when c_nationkey < 5 then concat('CRM', cast(c_custkey as varchar(40)), '  ')
+            else concat(c_name, ' ') end as code, c_mktsegment
+  from {customer}
+"""
+
+INPUTS["fx_link_src"] = """
+select o_orderkey, case when o_totalprice < 15000 then null else o_custkey end as o_custkey, o_orderstatus
+  from {orders}
+"""
+
+INPUTS["fx_link_existing"] = """
+select md5(concat(cast(o_custkey as varchar(40)), '|', cast(o_orderkey as varchar(40)), '|')) as OrderCustomerHashKey,
+       md5(concat(cast(o_orderkey as varchar(40)), '|')) as OrderHashKey,
+       md5(concat(cast(o_custkey as varchar(40)), '|')) as CustomerHashKey
+  from {fx_link_src} where o_custkey is not null and o_orderstatus = 'F'
+"""
+
+INPUTS["fx_link3_src"] = """
+select l_orderkey, case when l_returnflag = 'R' then null else l_partkey end as l_partkey,
+       case when l_linestatus = 'F' then null else l_suppkey end as l_suppkey
+  from {lineitem}
+"""
+
+INPUTS["fx_orphans"] = """
+select md5(concat(cast(o_custkey as varchar(40)), '|', cast(o_orderkey as varchar(40)), '|')) as OrderCustomerHashKey,
+       md5(concat(cast(case when o_totalprice > 490000 then o_custkey + 1000000 else o_custkey end as varchar(40)), '|'))
+         as CustomerHashKey
+  from {orders}
+"""
+
+INPUTS["fx_sat_customer"] = """
+select md5(concat(cast(c_custkey as varchar(40)), '|')) as CustomerHashKey, timestamp_ntz '2024-01-01 00:00:00' as LoadDateTime,
+       'TPC' as RecordSource,
+       md5(concat(cast(cast(c_acctbal as decimal(18,2)) as varchar(40)), '|', c_mktsegment, '|')) as HashDiff,
+       timestamp_ntz '2024-01-01 00:00:00' as AppliedDateTime, cast(-1 as bigint) as LoadID,
+       cast(c_acctbal as decimal(18,2)) as c_acctbal, c_mktsegment
+  from {customer}
+union all
+select md5(concat(cast(c_custkey as varchar(40)), '|')), timestamp_ntz '2023-12-01 00:00:00', 'TPC',
+       md5(concat('0.00|', c_mktsegment, '|')), timestamp_ntz '2023-12-01 00:00:00', cast(-1 as bigint),
+       cast(0 as decimal(18,2)), c_mktsegment
+  from {customer} where c_mktsegment = 'AUTOMOBILE'
+"""
+
+INPUTS["fx_sat_stg"] = """
+select case when c_nationkey = 7 then -1 - c_custkey else c_custkey end as c_custkey,
+       cast(case when c_nationkey < 3 then c_acctbal + 1 else c_acctbal end as decimal(18,2)) as c_acctbal,
+       case when c_nationkey = 11 then concat(c_mktsegment, '  ')
+            when c_nationkey = 12 then null else c_mktsegment end as c_mktsegment
+  from {customer}
+"""
+
+INPUTS["fx_bv_sat_stg"] = """
+select md5(concat(cast(c_custkey as varchar(40)), '|')) as CustomerHashKey, 'BV' as RecordSource, c_acctbal, c_mktsegment
+  from {fx_sat_stg}
+"""
+
+# Purchases per customer: a third of the events belong to one hot key.
+INPUTS["fx_bv_hot_stg"] = """
+select md5(concat(cast(case when event_type in ('view', 'click') then 0 else user_id end as varchar(40)), '|')) as CustomerHashKey,
+       'BV' as RecordSource, cast(value as decimal(18,2)) as c_acctbal, event_type as c_mktsegment
+  from {events}
+"""
+
+INPUTS["fx_bv_hub_stg"] = """
+select case when c_nationkey = 24 then null else md5(concat(cast(c_custkey as varchar(40)), '|')) end as CustomerHashKey,
+       'BV' as RecordSource, c_custkey, c_mktsegment
+  from {customer}
+"""
+
+INPUTS["fx_bv_link_stg"] = """
+select md5(concat(cast(o_custkey as varchar(40)), '|', cast(o_orderkey as varchar(40)), '|')) as OrderCustomerHashKey,
+       'BV' as RecordSource, md5(concat(cast(o_orderkey as varchar(40)), '|')) as OrderHashKey,
+       md5(concat(cast(o_custkey as varchar(40)), '|')) as CustomerHashKey
+  from {orders}
+"""
+
+INPUTS["fx_sat_repeated"] = """
+select * from {fx_sat_customer}
+union all
+select * from {fx_sat_customer} where c_mktsegment = 'BUILDING'
+"""
+
+INPUTS["fx_sat_text"] = """
+select CustomerHashKey, LoadDateTime, RecordSource, HashDiff, AppliedDateTime, LoadID,
+       case when c_mktsegment = 'HOUSEHOLD' then 'none' else cast(c_acctbal as varchar(40)) end as c_acctbal,
+       case when c_acctbal < 0 then null else c_mktsegment end as c_mktsegment
+  from {fx_sat_customer}
+"""

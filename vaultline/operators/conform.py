@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultline.specs import CURRENT, END, OPERATION, START, UPDATE_FLAG_SUFFIX, ColumnSpec, TableSpec
+from vaultline.specs import (
+    APPLIED_TIME, CURRENT, END, HASH_DIFF, LOAD_ID, LOAD_TIME, OPERATION, RECORD_SOURCE, START, UPDATE_FLAG_SUFFIX,
+    ColumnSpec, HubSpec, LinkSpec, SatSpec, TableSpec,
+)
 
 OPERATION_COLUMN = ColumnSpec(OPERATION, required=True)
 VERSION_COLUMNS = (
@@ -15,6 +18,11 @@ VERSION_COLUMNS = (
     ColumnSpec(END, "timestamp_ntz", required=True),
     ColumnSpec(CURRENT, required=True),
 )
+AUDIT_COLUMNS = (
+    ColumnSpec(LOAD_TIME, "timestamp_ntz", required=True),
+    ColumnSpec(RECORD_SOURCE, required=True),
+    ColumnSpec(LOAD_ID, "bigint", required=True),
+)
 
 
 def conform(df: DataFrame, columns: Sequence[ColumnSpec]) -> DataFrame:
@@ -59,7 +67,7 @@ def delta_columns(spec: TableSpec) -> list[ColumnSpec]:
     for c in spec.columns:
         out.append(c)
         if c.name in tracked:
-            out.append(ColumnSpec(c.name + UPDATE_FLAG_SUFFIX, required=True))
+            out.append(ColumnSpec(c.name + UPDATE_FLAG_SUFFIX))
     return out
 
 
@@ -81,3 +89,27 @@ def to_history(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 def bad_values(df: DataFrame, spec: TableSpec) -> DataFrame:
     return quality(df, staging_columns(spec))
+
+
+def hub_columns(spec: HubSpec, source: DataFrame) -> list[ColumnSpec]:
+    types, mapping = dict(source.dtypes), spec.sources[0].keys
+    keys = [ColumnSpec(k, types.get(mapping[k]) or types[k], is_key=True, required=True) for k in spec.keys]
+    return [ColumnSpec(spec.hash_key, required=True), *AUDIT_COLUMNS, *keys]
+
+
+def link_columns(spec: LinkSpec) -> list[ColumnSpec]:
+    return [
+        ColumnSpec(spec.hash_key, required=True), *AUDIT_COLUMNS,
+        *[ColumnSpec(k, required=True) for k in spec.hub_keys],
+    ]
+
+
+def sat_columns(spec: SatSpec, source: DataFrame) -> list[ColumnSpec]:
+    """Attributes keep their source types and may be NULL where the source may."""
+    fields = {f.name: f for f in source.schema.fields}
+    return [
+        ColumnSpec(spec.hash_key, required=True), *AUDIT_COLUMNS[:2],
+        ColumnSpec(HASH_DIFF, required=True), ColumnSpec(APPLIED_TIME, "timestamp_ntz", required=True),
+        AUDIT_COLUMNS[2],
+        *[ColumnSpec(a, fields[a].dataType.simpleString(), required=not fields[a].nullable) for a in spec.attributes],
+    ]

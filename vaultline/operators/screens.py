@@ -150,7 +150,10 @@ def accepted(df: DataFrame, screens: Iterable[ScreenSpec], spec: TableSpec) -> D
 
 
 def without_rejected(df: DataFrame, events: DataFrame, spec: TableSpec) -> DataFrame:
-    """Rows that have no REJECT event, from a stored event log."""
+    """Rows that have no REJECT event, from a stored event log.
+
+    Rows are known by their key text, so those without a key share one id; ``accepted`` tells them apart.
+    """
     refused = (
         events.where((F.col("exception_action") == REJECT) & (F.col("src_file_id") == spec.file_id))
         .select(F.col("row_id").alias("_row_id")).distinct()
