@@ -30,12 +30,14 @@ class Data:
     """The given tables and derived inputs of one data folder, as lazy frames."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir, self._frames = spark, sf_dir, {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name in TABLES:
-            return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        return self.sql(INPUTS[name])
+        if name not in self._frames:
+            self._frames[name] = (
+                self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet") if name in TABLES else self.sql(INPUTS[name])
+            )
+        return self._frames[name]
 
     def sql(self, text: str) -> DataFrame:
         return self.spark.sql(text, **{n: self[n] for n in _names(text)})

@@ -251,3 +251,92 @@ select CustomerHashKey, LoadDateTime, RecordSource, HashDiff, AppliedDateTime, L
        case when c_acctbal < 0 then null else c_mktsegment end as c_mktsegment
   from {fx_sat_customer}
 """
+
+# --- Model: a large catalog. Every part and supplier is a staging table of its own, every nation a reference
+# table; each line item is a foreign key of its part's table to its supplier's, one per return flag.
+
+INPUTS["fx_tables"] = """
+select 'TPC' as table_catalog, 'STG_SRM' as table_schema, concat('CMS_SUPPLIER_', cast(s_suppkey as varchar(20))) as table_name from {supplier}
+union all select 'TPC', 'STG_TPC', concat('CMMS_PART_', cast(p_partkey as varchar(20))) from {part}
+union all select 'TPC', 'STG_TPC', concat('CMS_NATION_', cast(n_nationkey as varchar(20))) from {nation}
+union all select 'TPC', 'RV_TPC', concat('CMS_REGION_', cast(r_regionkey as varchar(20))) from {region}
+"""
+
+INPUTS["fx_ref"] = """
+select 'TPC' as SrcDatabase, 'STG_TPC' as SrcSchema, concat('CMS_NATION_', cast(n_nationkey as varchar(20))) as SrcObject from {nation}
+"""
+
+INPUTS["fx_pk"] = """
+select concat('CMS_SUPPLIER_', cast(s_suppkey as varchar(20))) as SrcTable, 'SUPPLIER_ID' as SrcColumn, 1 as ColumnPosition,
+       concat('PK_CMS_SUPPLIER_', cast(s_suppkey as varchar(20))) as PKConstraintName
+  from {supplier} where s_acctbal >= 0
+union all
+select concat('CMMS_PART_', cast(p_partkey as varchar(20))), 'PART_ID', 1, concat('PK_CMMS_PART_', cast(p_partkey as varchar(20))) from {part}
+union all
+select concat('CMMS_PART_', cast(p_partkey as varchar(20))), 'PART_VERSION', 2, concat('PK_CMMS_PART_', cast(p_partkey as varchar(20)))
+  from {part} where p_type = 'PROMO'
+union all
+select concat('CMS_NATION_', cast(n_nationkey as varchar(20))), 'NATION_ID', 1, concat('PK_CMS_NATION_', cast(n_nationkey as varchar(20))) from {nation}
+"""
+
+INPUTS["fx_supplies"] = "select distinct l_partkey, l_suppkey, l_returnflag from {lineitem}"
+
+INPUTS["fx_fk"] = """
+select concat('CMS_SUPPLIER_', cast(l_suppkey as varchar(20))) as ParentTable, 'SUPPLIER_ID' as ParentColumn,
+       concat('CMMS_PART_', cast(l_partkey as varchar(20))) as ChildTable,
+       concat('SUPPLIER_', cast(l_suppkey as varchar(20)), '_', l_returnflag, '_ID') as ChildColumn, 1 as ColumnPosition,
+       concat('FK_', cast(l_partkey as varchar(20)), '_', cast(l_suppkey as varchar(20)), '_', l_returnflag) as FKConstraintName
+  from {fx_supplies}
+union all
+select concat('CMS_NATION_', cast(s_nationkey as varchar(20))), 'NATION_ID', concat('CMS_SUPPLIER_', cast(s_suppkey as varchar(20))),
+       'NATION_ID', 1, concat('FK_N_', cast(s_suppkey as varchar(20)))
+  from {supplier}
+union all
+select concat('CMMS_PART_', cast(p_partkey as varchar(20))), 'PART_ID', concat('CMMS_PART_', cast(p_partkey as varchar(20))),
+       'PARENT_ID', 1, concat('FK_SELF_', cast(p_partkey as varchar(20)))
+  from {part} where p_size > 40
+union all
+select concat('CMMS_PART_', cast(p_partkey as varchar(20))), 'PART_VERSION', concat('CMMS_PART_', cast(p_partkey as varchar(20))),
+       'PARENT_VERSION', 2, concat('FK_SELF_', cast(p_partkey as varchar(20)))
+  from {part} where p_size > 40 and p_type = 'PROMO'
+"""
+
+INPUTS["fx_columns"] = """
+select 'TPC' as table_catalog, 'STG_SRM' as table_schema, concat('CMS_SUPPLIER_', cast(s_suppkey as varchar(20))) as table_name, 'SUPPLIER_ID' as column_name, 1 as ordinal_position from {supplier}
+union all select 'TPC', 'STG_SRM', concat('CMS_SUPPLIER_', cast(s_suppkey as varchar(20))), 'SUPPLIER_NAME', 2 from {supplier}
+union all select 'TPC', 'STG_SRM', concat('CMS_SUPPLIER_', cast(s_suppkey as varchar(20))), 'NATION_ID', 3 from {supplier}
+union all select 'TPC', 'STG_TPC', concat('CMMS_PART_', cast(p_partkey as varchar(20))), 'PART_ID', 1 from {part}
+union all select 'TPC', 'STG_TPC', concat('CMMS_PART_', cast(p_partkey as varchar(20))), 'PART_VERSION', 2 from {part}
+union all select 'TPC', 'STG_TPC', concat('CMMS_PART_', cast(p_partkey as varchar(20))), 'PARENT_ID', 3 from {part}
+union all select 'TPC', 'STG_TPC', concat('CMMS_PART_', cast(p_partkey as varchar(20))), 'PARENT_VERSION', 4 from {part}
+union all select 'TPC', 'STG_TPC', concat('CMMS_PART_', cast(p_partkey as varchar(20))), 'PART_NAME', 5 from {part}
+union all
+select 'TPC', 'STG_TPC', concat('CMMS_PART_', cast(l_partkey as varchar(20))),
+       concat('SUPPLIER_', cast(l_suppkey as varchar(20)), '_', l_returnflag, '_ID'),
+       cast(10 + 3 * l_suppkey + case l_returnflag when 'A' then 0 when 'N' then 1 else 2 end as int)
+  from {fx_supplies}
+union all
+select 'TPC', 'STG_TPC', concat('CMS_NATION_', cast(n_nationkey as varchar(20))), 'NATION_ID', 1 from {nation}
+"""
+
+# The same keys as an Oracle dictionary shows them: parts belong to MAT, suppliers to EOT, nations to LKP.
+INPUTS["fx_constraints"] = """
+select distinct case when SrcTable like 'CMMS_PART%' then 'MAT' when SrcTable like 'CMS_NATION%' then 'LKP' else 'EOT' end as owner,
+       PKConstraintName as constraint_name, 'P' as constraint_type,
+       cast(null as varchar(20)) as r_owner, cast(null as varchar(60)) as r_constraint_name
+  from {fx_pk}
+union all
+select distinct case when ChildTable like 'CMMS_PART%' then 'MAT' else 'EOT' end, FKConstraintName, 'R',
+       case when ParentTable like 'CMMS_PART%' then 'MAT' when ParentTable like 'CMS_NATION%' then 'LKP' else 'EOT' end,
+       concat('PK_', ParentTable)
+  from {fx_fk}
+"""
+
+INPUTS["fx_cons_columns"] = """
+select case when SrcTable like 'CMMS_PART%' then 'MAT' when SrcTable like 'CMS_NATION%' then 'LKP' else 'EOT' end as owner,
+       PKConstraintName as constraint_name, SrcTable as table_name, SrcColumn as column_name, ColumnPosition as position
+  from {fx_pk}
+union all
+select case when ChildTable like 'CMMS_PART%' then 'MAT' else 'EOT' end, FKConstraintName, ChildTable, ChildColumn, ColumnPosition
+  from {fx_fk}
+"""

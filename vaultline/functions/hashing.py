@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -28,11 +29,8 @@ def md5_key(
     ``charset="UTF-16LE"`` hashes the two-byte text of the original host. ``binary`` gives 16 bytes
     in place of 32 hex digits, which halves the shuffled key.
     """
-    if order not in ("name", "position"):
-        raise ValueError("order must be 'name' or 'position'")
-    ordered = sorted(columns, key=str.upper) if order == "name" else list(columns)
     parts: list[Column] = []
-    for name in ordered:
+    for name in ordered(columns, order):
         text = F.col(name).cast("string")
         if max_len is not None:
             text = F.left(text, F.lit(max_len))
@@ -40,3 +38,28 @@ def md5_key(
     text = F.concat(*parts)
     digest = F.md5(text if charset == "UTF-8" else F.encode(text, charset))
     return F.unhex(digest) if binary else digest
+
+
+def ordered(columns: Sequence[str], order: str) -> list[str]:
+    if order not in ("name", "position"):
+        raise ValueError("order must be 'name' or 'position'")
+    return sorted(columns, key=str.upper) if order == "name" else list(columns)
+
+
+@dataclass(frozen=True)
+class HashRule:
+    """How a vault hashes; all its loads must share one rule. ``order="position"`` keeps hub and link
+    hashes equal for composite keys whose columns sort differently in hub and link sources."""
+
+    order: str = "name"
+    max_len: int | None = None
+    charset: str = "UTF-8"
+    binary: bool = False
+
+    def key(self, columns: Sequence[str], sort_names: dict[str, str] | None = None) -> Column:
+        """The hash of ``columns``; where they were renamed, ``sort_names`` gives the names to sort by."""
+        if sort_names and self.order == "name":
+            columns = sorted(columns, key=lambda c: sort_names[c].upper())
+        else:
+            columns = ordered(columns, self.order)
+        return md5_key(columns, order="position", max_len=self.max_len, charset=self.charset, binary=self.binary)

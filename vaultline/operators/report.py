@@ -12,9 +12,9 @@ from vaultline.operators.checks import on_day
 
 def log_report(log: DataFrame, checks: DataFrame) -> DataFrame:
     """Every log row with its check. The check table is broadcast by the optimizer on its size."""
-    return log.join(checks, "dq_check_id", "left").select(
-        # The id comes from the check table: blank for a log row whose check is gone.
-        checks["dq_check_id"],
+    # The id shown is the check table's: blank for a log row whose check is gone.
+    return log.join(checks.withColumn("_check", F.col("dq_check_id")), "dq_check_id", "left").select(
+        F.col("_check").alias("dq_check_id"),
         "dq_check_name",
         "log_date",
         F.when(F.col("dq_check_passed_flag") == 1, "SUCCESSFUL").otherwise("FAILED").alias("status"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 from typing import TypeVar
@@ -11,19 +11,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaultline.functions.clock import timestamp
-from vaultline.functions.hashing import NULL_TEXT, md5_key
+from vaultline.functions.hashing import NULL_TEXT, HashRule
 from vaultline.functions.skew import HOT_SHARE, lookup
 from vaultline.specs import (
     APPLIED_TIME, DEFAULT_LOAD_ID, HASH_DIFF, LOAD_ID, LOAD_TIME, RECORD_SOURCE, HubSpec, LinkSpec, SatSpec,
 )
 
 Spec = TypeVar("Spec", HubSpec, LinkSpec, SatSpec)
-Hash = Callable[[Sequence[str]], Column]
+DEFAULT_RULE = HashRule()
 
 
 def load_hub(
     sources: Mapping[str, DataFrame], hub: DataFrame | None, spec: HubSpec, load_time: datetime | str,
-    *, key_hash: Hash = md5_key,
+    *, rule: HashRule = DEFAULT_RULE,
 ) -> DataFrame:
     """Business keys that the hub does not have, from all its sources.
 
@@ -41,12 +41,9 @@ def load_hub(
     if hub is not None:
         known = hub.select(*[_key(hub, k).alias(k) for k in spec.keys])
         staged = staged.join(known, spec.keys, "left_anti")
-    # The hash follows the order of the source columns' names, as the link's hub hashes do.
-    first = spec.sources[0].keys
-    in_source_order = sorted(spec.keys, key=lambda k: first[k].upper())
-    hashed = key_hash(in_source_order) if key_hash is not md5_key else md5_key(in_source_order, order="position")
+    # Hashed in the order of the source columns' names, as a link hashes the same key.
     return staged.select(
-        hashed.alias(spec.hash_key),
+        rule.key(spec.keys, spec.sources[0].keys).alias(spec.hash_key),
         *_audit(load_time, _pick("_source", [s.record_source for s in spec.sources])),
         *spec.keys,
     )
@@ -54,7 +51,7 @@ def load_hub(
 
 def load_link(
     sources: Mapping[str, DataFrame], link: DataFrame | None, spec: LinkSpec, load_time: datetime | str,
-    *, min_keys: int = 2, key_hash: Hash = md5_key,
+    *, min_keys: int = 2, rule: HashRule = DEFAULT_RULE,
 ) -> DataFrame:
     """Key combinations that the link does not have. A row counts with at least ``min_keys`` of its
     source keys present. Source keys are combined before their shuffle, and hashed after."""
@@ -64,9 +61,9 @@ def load_link(
         present = reduce(Column.__add__, [F.col(c).isNotNull().cast("int") for c in columns])
         keys = frame.where(present >= min_keys).select(*[_hashed_text(frame, c).alias(c) for c in columns]).distinct()
         parts.append(keys.select(
-            key_hash(columns).alias(spec.hash_key),
+            rule.key(columns).alias(spec.hash_key),
             F.lit(position).alias("_source"),
-            *[key_hash(list(source.hubs[k])).alias(k) for k in spec.hub_keys],
+            *[rule.key(source.hubs[k]).alias(k) for k in spec.hub_keys],
         ))
     staged = reduce(DataFrame.unionByName, parts)
     if len(parts) > 1:
@@ -104,8 +101,8 @@ def load_staged(
 
 def load_sat(
     stg: DataFrame, sat: DataFrame | None, spec: SatSpec, load_time: datetime | str,
-    *, applied_time: datetime | str | None = None, dedupe: bool = False, key_hash: Hash = md5_key,
-    diff_hash: Hash = md5_key, hot_share: int | None = HOT_SHARE,
+    *, applied_time: datetime | str | None = None, dedupe: bool = False, rule: HashRule = DEFAULT_RULE,
+    hot_share: int | None = HOT_SHARE,
 ) -> DataFrame:
     """New keys, and known keys whose hash difference is not that of their latest version.
 
@@ -116,10 +113,10 @@ def load_sat(
     """
     key = spec.hash_key
     source = F.lit(spec.record_source) if spec.record_source else F.col(RECORD_SOURCE)
-    hashed = key_hash(list(spec.keys)) if spec.keys else F.col(key)
+    hashed = rule.key(spec.keys) if spec.keys else F.col(key)
     usable = stg.dropna(subset=list(spec.keys) or [key])
     staged = usable.select(
-        hashed.alias(key), source.alias(RECORD_SOURCE), diff_hash(spec.hashed).alias(HASH_DIFF), *spec.attributes
+        hashed.alias(key), source.alias(RECORD_SOURCE), rule.key(spec.hashed).alias(HASH_DIFF), *spec.attributes
     )
     if dedupe:
         staged = staged.distinct()
