@@ -114,7 +114,7 @@ def load_sat(
     key = spec.hash_key
     source = F.lit(spec.record_source) if spec.record_source else F.col(RECORD_SOURCE)
     hashed = rule.key(spec.keys) if spec.keys else F.col(key)
-    usable = stg.dropna(subset=list(spec.keys) or [key])
+    usable = stg.dropna(subset=list(spec.keys) or [key]).withColumnsRenamed({v: k for k, v in spec.renamed.items()})
     staged = usable.select(
         hashed.alias(key), source.alias(RECORD_SOURCE), rule.key(spec.hashed).alias(HASH_DIFF), *spec.attributes
     )

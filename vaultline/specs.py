@@ -185,7 +185,9 @@ class SatSpec:
     object_name: str | None = None
     record_source: str | None = None
     key_name: str | None = None
-    diff_columns: tuple[str, ...] = field(default=())
+    diff_columns: tuple[str, ...] = ()
+    renamed: dict[str, str] = field(default_factory=dict)
+    """Source column of an attribute, where its name differs."""
 
     @property
     def hash_key(self) -> str:
