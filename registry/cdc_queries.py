@@ -166,7 +166,14 @@ def cdc_null_keyed(data):
 
 @query("cdc_delta_composite", shown_sql(LINES, delta_sql(LINES, "fx_lines_stg", "fx_lines_sds")))
 def cdc_delta_composite(data):
-    return shown(cdc.delta(data["fx_lines_stg"], data["fx_lines_sds"], LINES))
+    # The lines are grouped by their key, so each key is staged once.
+    return shown(cdc.delta(data["fx_lines_stg"], data["fx_lines_sds"], LINES, hot_share=None))
+
+
+# A snapshot that repeats a key for a third of its rows: each row is compared with the stored one.
+@query("cdc_delta_hot_key", shown_sql(ORDERS, delta_sql(ORDERS, "fx_orders_stg_hot", "fx_orders_sds")))
+def cdc_delta_hot_key(data):
+    return shown(cdc.delta(data["fx_orders_stg_hot"], data["fx_orders_sds"], ORDERS))
 
 
 @query("cdc_delta_geometry", shown_sql(PLACES, delta_sql(PLACES, "fx_places_stg", "fx_places_sds")))

@@ -18,6 +18,12 @@ select case when o_totalprice > 498000 then null
   from {orders}
 """
 
+INPUTS["fx_orders_stg_hot"] = """
+select case when o_orderstatus = 'F' then 7 else o_orderkey end as o_orderkey, o_custkey, o_orderstatus,
+       cast(o_totalprice as decimal(18,2)) as o_totalprice, o_orderpriority
+  from {orders}
+"""
+
 INPUTS["fx_orders_sds"] = """
 select o_orderkey, o_custkey, o_orderstatus, cast(o_totalprice as decimal(18,2)) as o_totalprice,
        case when o_orderpriority = '2-HIGH' and o_orderstatus = 'P' then null

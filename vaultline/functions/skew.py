@@ -10,14 +10,29 @@ from pyspark.sql import functions as F
 from vaultline.functions.keys import any_null
 
 HOT_SHARE = 1000
+# Types the frequency sketch counts as they are; others, and composite keys, are counted as text.
+COUNTED_TYPES = ("int", "bigint", "string")
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> DataFrame:
-    """Keys holding more than one ``share``-th of all rows: fewer than ``share`` of them, whatever
-    the data. The count combines before its shuffle, so a hot key costs one row per task."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return counts.where(F.col("_rows") * share > total).select(*keys)
+    """Keys that hold about one ``share``-th of all rows or more: at most ``share`` keys, whatever the
+    data, and each of them a key of ``df``.
+
+    A frequent-items sketch finds them in one pass that shuffles no keys. Its counts are estimates,
+    which only moves the border between hot and other keys.
+    """
+    types = dict(df.dtypes)
+    plain = len(keys) == 1 and types[keys[0]] in COUNTED_TYPES
+    item = F.col(keys[0]) if plain else F.to_json(F.array(*[F.col(k).cast("string") for k in keys]))
+    top = df.agg(
+        F.call_function("approx_top_k", item, F.lit(share), F.lit(10 * share)).alias("top"),
+        F.count(F.lit(1)).alias("total"),
+    )
+    found = top.select("total", F.inline("top")).where(F.col("count") * share >= F.col("total"))
+    if plain:
+        return found.select(F.col("item").alias(keys[0]))
+    parts = F.from_json("item", "array<string>")
+    return found.select(*[parts[i].cast(types[k]).alias(k) for i, k in enumerate(keys)])
 
 
 def lookup(
@@ -25,7 +40,7 @@ def lookup(
 ) -> DataFrame:
     """``left`` left-joined to ``right``, whose keys are unique, without moving hot left rows.
 
-    Left rows of hot keys meet their right rows (fewer than ``share``, hence safe to broadcast) where
+    Left rows of hot keys meet their right rows (at most ``share``, hence safe to broadcast) where
     they are; all other rows take the ordinary shuffled join; null keys match nothing and skip both.
     ``share=None`` is the ordinary join alone, for a left side known to be unique per key.
     """

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vaultline.functions.keys import all_equal, any_null
+from vaultline.functions.skew import HOT_SHARE, hot_keys
 from vaultline.specs import (
     ADD, CURRENT, GEOMETRY, MODIFY, OPERATION, REMOVE, UPDATE_FLAG_SUFFIX, ColumnSpec, TableSpec,
 )
@@ -35,6 +36,7 @@ def delta(
     on_null_key: str = "drop",
     snapshot_type: str | None = None,
     geom_equal: GeomEqual | None = None,
+    hot_share: int | None = HOT_SHARE,
 ) -> DataFrame:
     """Added, modified and removed rows, each with an update flag per tracked column.
 
@@ -43,9 +45,10 @@ def delta(
     fail with ``error``, or ``ref``: keep them as additions, blank where the first key is NULL. A
     ``DELTA`` snapshot lists changes only, so absence removes nothing.
 
-    The full outer join is written as a left join plus an anti-join. Both use the same exchange of
-    the history, an oversized staged key can be split at run time (a full outer join cannot), and the
-    anti-join sees each staged key once, combined before its shuffle. NULL keys never enter a join.
+    Each side is shuffled once, for a full outer join on the natural keys. NULL keys match nothing and
+    never enter it. Spark cannot split an oversized key of a full outer join, so staged keys that
+    repeat more than one ``hot_share``-th of all rows are compared apart, by a left join;
+    ``hot_share=None`` skips looking for them in a staging that is known to hold each key once.
     """
     if on_null_key not in ("drop", "error", "ref"):
         raise ValueError("on_null_key must be 'drop', 'error' or 'ref'")
@@ -53,45 +56,65 @@ def delta(
     staged_keys, stored_keys = [f"s_{k}" for k in keys], [f"o_{k}" for k in keys]
     staged = stg.select(*[F.col(c).alias(f"s_{c}") for c in spec.names])
     stored = current(sds).select(*[F.col(c).alias(f"o_{c}") for c in spec.names])
-
     if on_null_key == "error":
-        checked = F.when(any_null(staged_keys), F.raise_error(F.lit(f"{spec.table}: NULL natural key")))
-        usable = staged.withColumn(f"s_{first}", checked.otherwise(F.col(f"s_{first}")))
+        failed = F.when(any_null(staged_keys), F.raise_error(F.lit(f"{spec.table}: NULL natural key")))
+        usable = staged.withColumn(f"s_{first}", failed.otherwise(F.col(f"s_{first}")))
     else:
         usable = staged.where(~any_null(staged_keys))
+    known = stored.where(~any_null(stored_keys))
+    whole = (snapshot_type or spec.snapshot_type) == "FULL"
+
+    if not whole:
+        pairs = usable.join(known, all_equal(staged_keys, stored_keys), "left")
+    elif hot_share is None:
+        pairs = usable.join(known, all_equal(staged_keys, stored_keys), "full")
+    else:
+        pairs = _pairs(usable, known, staged_keys, stored_keys, hot_share)
 
-    matched = F.col(f"o_{first}").isNotNull()
+    in_staging, in_history = F.col(f"s_{first}").isNotNull(), F.col(f"o_{first}").isNotNull()
     changes = {c.name: _differs(c, null_safe, geom_equal) for c in spec.tracked}
     changed = reduce(or_, changes.values(), F.lit(False))
-    arrived = (
-        usable.join(stored, all_equal(staged_keys, stored_keys), "left")
-        .where(~matched | changed)
-        .select(
-            F.when(matched, MODIFY).otherwise(ADD).alias(OPERATION),
-            *_columns(spec, lambda c: F.col(f"s_{c}"), lambda c: matched & changes[c]),
-        )
-    )
-    parts = [arrived]
-    if (snapshot_type or spec.snapshot_type) == "FULL":
-        present = usable.select(*staged_keys).distinct()
-        gone = stored.join(present, all_equal(stored_keys, staged_keys), "left_anti")
-        parts.append(
-            gone.select(
-                F.when(matched, REMOVE).otherwise(ADD).alias(OPERATION),
-                *_columns(spec, lambda c: F.col(f"o_{c}"), lambda c: F.lit(False)),
-            )
+    operation = F.when(~in_history, ADD).when(~in_staging, REMOVE).otherwise(MODIFY)
+    parts = [
+        pairs.where(~in_history | ~in_staging | changed).select(
+            operation.alias(OPERATION),
+            *_columns(
+                spec, lambda c: F.when(in_staging, F.col(f"s_{c}")).otherwise(F.col(f"o_{c}")),
+                lambda c: in_staging & in_history & changes[c],
+            ),
         )
+    ]
+    unchanged = lambda c: F.lit(False)
+    if whole:
+        # Stored rows with a NULL key part, which a sound history does not have.
+        parts.append(stored.where(any_null(stored_keys)).select(
+            F.when(in_history, REMOVE).otherwise(ADD).alias(OPERATION), *_columns(spec, lambda c: F.col(f"o_{c}"), unchanged)
+        ))
     if on_null_key == "ref":
-        has_first = F.col(f"s_{first}").isNotNull()
-        parts.append(
-            staged.where(any_null(staged_keys)).select(
-                F.lit(ADD).alias(OPERATION),
-                *_columns(spec, lambda c: F.when(has_first, F.col(f"s_{c}")), lambda c: F.lit(False)),
-            )
-        )
+        parts.append(staged.where(any_null(staged_keys)).select(
+            F.lit(ADD).alias(OPERATION), *_columns(spec, lambda c: F.when(in_staging, F.col(f"s_{c}")), unchanged)
+        ))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _pairs(
+    staged: DataFrame, stored: DataFrame, staged_keys: list[str], stored_keys: list[str], hot_share: int
+) -> DataFrame:
+    """Full outer pairs. Hot staged keys are present on the left by definition, so a left join is
+    whole for them, and their rows can be split at run time."""
+    same = all_equal(staged_keys, stored_keys)
+    hot = hot_keys(staged, staged_keys, hot_share)
+    hot_staged, hot_stored = F.broadcast(hot), F.broadcast(hot.toDF(*stored_keys))
+    return (
+        staged.join(hot_staged, staged_keys, "left_semi")
+        .join(stored.join(hot_stored, stored_keys, "left_semi"), same, "left")
+        .unionByName(
+            staged.join(hot_staged, staged_keys, "left_anti")
+            .join(stored.join(hot_stored, stored_keys, "left_anti"), same, "full")
+        )
+    )
+
+
 def _differs(column: ColumnSpec, null_safe: bool, geom_equal: GeomEqual | None) -> Column:
     new, old = F.col(f"s_{column.name}"), F.col(f"o_{column.name}")
     if column.data_type == GEOMETRY:

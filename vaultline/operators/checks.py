@@ -51,10 +51,11 @@ def check_table(spark: SparkSession, checks: Sequence[CheckSpec]) -> DataFrame:
     """The check metadata as a frame, for the reports."""
     schema = (
         "dq_check_id string, dq_check_name string, dq_check_desc string, dq_check_group string, "
-        "target_min_value double, target_max_value double, sql_query string"
+        "target_min_value string, target_max_value string, sql_query string"
     )
     rows = [
-        (c.check_id, c.name, c.description, c.group, c.target_min, c.target_max, c.query_text) for c in checks
+        (c.check_id, c.name, c.description, c.group, _text(c.target_min), _text(c.target_max), c.query_text)
+        for c in checks
     ]
     return spark.createDataFrame(rows, schema).withColumns({
         "target_min_value": F.col("target_min_value").cast(NUMBER),
@@ -140,5 +141,9 @@ def avg_daily_count(df: DataFrame, day_column: str) -> DataFrame:
     return daily.agg(F.expr("sum(n) div count(n)").alias("avg_count"))
 
 
+def _text(target: float | None) -> str | None:
+    return None if target is None else str(target)
+
+
 def _midnight(day: date | datetime | str) -> datetime:
     return as_datetime(day).replace(hour=0, minute=0, second=0, microsecond=0)
