@@ -112,46 +112,43 @@ def links(fk: DataFrame, tables: DataFrame, ref: DataFrame, hub_mapping: DataFra
     The first foreign key to a parent takes the parent's name, further ones the name of their column;
     a parent key that would clash with the child's own key is prefixed. Child keys come first.
     """
-    object_names = ["LinkSchema", "LinkName"]
     by_pair = Window.partitionBy("table_catalog", "table_schema", "ChildTable", "ParentTable").orderBy("FKConstraintName")
     by_link = Window.partitionBy("LinkName").orderBy("_position", "LinkHubHashKeyName", "SrcBusinessKey")
     parent_tables = tables.where(F.col("table_schema").startswith(STAGING_PREFIX)).select(
         "table_catalog", "table_schema", F.col("table_name").alias("ParentTable")
     )
-    role = F.when(F.dense_rank().over(by_pair) == 1, entity(F.col("ParentTable"))).otherwise(
-        entity(F.col("ChildColumn"), drop=["ID"])
-    )
-    parents = (
-        fk.join(ref.select(F.col("SrcObject").alias("ParentTable")), "ParentTable", "left_anti")
-        .join(parent_tables, "ParentTable", "left")
-        .select(
-            F.col("table_catalog").alias("SrcDatabase"), F.col("table_schema").alias("SrcSchema"),
-            F.col("ChildTable").alias("SrcObject"), F.col("ChildColumn").alias("SrcBusinessKey"),
-            _vault_schema().alias("LinkSchema"),
-            F.concat(F.lit("Link"), entity(F.col("ChildTable")), entity(F.col("ParentTable"))).alias("LinkName"),
-            F.concat(role, F.lit(HASH_KEY_SUFFIX)).alias("LinkHubHashKeyName"),
-            (F.col("ColumnPosition") + PARENT_OFFSET).alias("_position"),
-            _named("Hub", F.col("ParentTable")).alias("HubName"), _system().alias("RecordSource"),
-        )
-    )
     child_keys = hub_mapping.select(
         "SrcObject", "HubName", "SrcBusinessKey", F.col("ColumnPosition").alias("_position"),
         _hash_key(F.col("SrcObject")).alias("LinkHubHashKeyName"),
     )
+    child_hubs = hub_mapping.select(F.col("SrcObject").alias("ChildTable"), F.lit(True).alias("_hub")).distinct()
+    child, parent = entity(F.col("ChildTable")), entity(F.col("ParentTable"))
+    # Joined by child table last, whose partitioning the window and the distinct below keep.
+    roles = (
+        fk.join(ref.select(F.col("SrcObject").alias("ParentTable")), "ParentTable", "left_anti")
+        .join(parent_tables, "ParentTable", "left")
+        .join(child_hubs, "ChildTable", "left")
+        .select("*", F.dense_rank().over(by_pair).alias("_rank"), child.alias("_child"), parent.alias("_parent"))
+        .withColumn("_role", F.when(F.col("_rank") == 1, F.col("_parent")).otherwise(entity(F.col("ChildColumn"), drop=["ID"])))
+        # The child's own key is named after it, if it has a hub.
+        .withColumn("_role", F.when(F.col("_hub") & (F.col("_role") == F.col("_child")), F.concat(F.lit("Parent"), "_role"))
+                    .otherwise(F.col("_role")))
+    )
+    parents = roles.select(
+        F.col("table_catalog").alias("SrcDatabase"), F.col("table_schema").alias("SrcSchema"),
+        F.col("ChildTable").alias("SrcObject"), F.col("ChildColumn").alias("SrcBusinessKey"),
+        _vault_schema().alias("LinkSchema"), F.concat(F.lit("Link"), "_child", "_parent").alias("LinkName"),
+        F.concat("_role", F.lit(HASH_KEY_SUFFIX)).alias("LinkHubHashKeyName"),
+        (F.col("ColumnPosition") + PARENT_OFFSET).alias("_position"),
+        F.concat(F.lit("Hub"), "_parent").alias("HubName"), _system().alias("RecordSource"),
+    )
     children = (
-        parents.select("SrcDatabase", "SrcSchema", "SrcObject", *object_names, "RecordSource").distinct()
+        parents.select("SrcDatabase", "SrcSchema", "SrcObject", "LinkSchema", "LinkName", "RecordSource").distinct()
         .join(child_keys, "SrcObject", "left")
         .select(*parents.columns)
     )
-    taken = children.select(*object_names, "LinkHubHashKeyName").distinct().withColumn("_clash", F.lit(True))
-    name = F.col("LinkHubHashKeyName")
-    renamed = (
-        parents.join(taken, [*object_names, "LinkHubHashKeyName"], "left")
-        .withColumn("LinkHubHashKeyName", F.when(F.col("_clash"), F.concat(F.lit("Parent"), name)).otherwise(name))
-        .select(*parents.columns)
-    )
-    return renamed.unionByName(children).select(
-        "SrcDatabase", "SrcSchema", "SrcObject", "SrcBusinessKey", *object_names, "LinkHubHashKeyName",
+    return parents.unionByName(children).select(
+        "SrcDatabase", "SrcSchema", "SrcObject", "SrcBusinessKey", "LinkSchema", "LinkName", "LinkHubHashKeyName",
         F.row_number().over(by_link).alias("LinkHubHashKeyColumnPosition"), "HubName", "RecordSource",
     )
 
