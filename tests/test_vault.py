@@ -175,3 +175,27 @@ def test_hot_rows_are_not_shuffled(spark, plan):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # Hot rows: found, looked up, and taken out of the rest; only that rest is shuffled for its join.
     assert text.count("BroadcastHashJoin") == 4 and text.count("SortMergeJoin") == 1
+
+
+def test_load_plans(spark, plan):
+    """Keys are combined before their shuffle, and the anti-join of a hub needs no further one."""
+    sf = "/root/testdata/sf0.001"
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet")
+    hub = HubSpec("HubSupply", (HubSource("lines", {"part": "l_partkey", "supplier": "l_suppkey"}, "S"),))
+    link = LinkSpec("LinkPartSupplier", (LinkSource("lines", {"PartHashKey": ["l_partkey"], "SupplierHashKey": ["l_suppkey"]}, "S"),))
+    stored_hub = lines.select(F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supplier"))
+    stored_link = lines.select(F.col("l_returnflag").alias(link.hash_key))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        hub_plan = plan(vault.load_hub({"lines": lines}, stored_hub, hub, T1))
+        link_plan = plan(vault.load_link({"lines": lines}, stored_link, link, T1))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "LeftAnti" in hub_plan and hub_plan.count("Exchange hashpartitioning") == 2
+    assert "LeftAnti" in link_plan and link_plan.count("Exchange hashpartitioning") == 3
+    for text in (hub_plan, link_plan):
+        assert "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint>" in text
+    window = plan(vault.latest(spark.read.parquet(f"{sf}/events.parquet").select(
+        F.col("event_type").alias("k"), F.col("ts").alias("LoadDateTime"), F.col("ts").alias("AppliedDateTime"),
+        F.col("props").alias("HashDiff")), "k"))
+    assert "row_number(), 1, Partial" in window

@@ -1,7 +1,8 @@
 """The vault model from the catalog of the staging tables and the key dictionaries of their sources.
 
 Every input is a frame with the columns of its metadata table (catalog ``table_*`` columns,
-``SrcPKConstraint``, ``SrcFKConstraint``, reference and hub mappings), and so is every result.
+``SrcPKConstraint``, ``SrcFKConstraint``, reference and hub mappings), and so is every result. The
+windows run over the rows of one table or link, which the columns of a table bound.
 """
 
 from __future__ import annotations

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from vaultline.functions.clock import timestamp
 from vaultline.functions.keys import row_id
+from vaultline.functions.skew import lookup
 from vaultline.specs import REJECT, STOP, ScreenSpec, TableSpec
 
 LAST_ORDER = 2**31 - 1
@@ -152,14 +153,16 @@ def accepted(df: DataFrame, screens: Iterable[ScreenSpec], spec: TableSpec) -> D
 def without_rejected(df: DataFrame, events: DataFrame, spec: TableSpec) -> DataFrame:
     """Rows that have no REJECT event, from a stored event log.
 
-    Rows are known by their key text, so those without a key share one id; ``accepted`` tells them apart.
+    Rows are known by their key text, so those without a key share one id, however many they are;
+    ``accepted`` tells them apart.
     """
     refused = (
         events.where((F.col("exception_action") == REJECT) & (F.col("src_file_id") == spec.file_id))
         .select(F.col("row_id").alias("_row_id")).distinct()
     )
     tagged = df.withColumn("_row_id", row_id(spec.keys))
-    return tagged.join(refused, "_row_id", "left_anti").drop("_row_id")
+    marked = lookup(tagged, refused.withColumn("_refused", F.lit(True)), ["_row_id"])
+    return marked.where(F.col("_refused").isNull()).select(*df.columns)
 
 
 def event_summary(events: DataFrame) -> DataFrame:
