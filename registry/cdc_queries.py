@@ -99,12 +99,12 @@ select {', '.join(spec.names)}, timestamp_ntz '{FILE_DATE}' as start_dt,
 
 
 def shown(frame: DataFrame) -> DataFrame:
-    """End dates as dates (the far one overflows nanoseconds) and money as double, for comparison."""
+    """End dates as text (the far one overflows nanoseconds) and money as double, for comparison."""
     for name, kind in frame.dtypes:
         if kind.startswith("decimal"):
             frame = frame.withColumn(name, F.col(name).cast("double"))
         if name == "end_dt":
-            frame = frame.withColumn(name, F.col(name).cast("date"))
+            frame = frame.withColumn(name, F.date_format(name, "yyyy-MM-dd"))
         if kind == "binary":
             frame = frame.withColumn(name, F.decode(name, "UTF-8"))
     return frame
@@ -123,7 +123,7 @@ def shown_sql(spec: TableSpec, inner: str, versions: bool = False, flags: bool =
         if flags and not versions and c.name in tracked:
             cols.append(f"{c.name}_upd_ind")
     if versions:
-        cols += ["start_dt", "cast(end_dt as date) as end_dt", "curr_ind"]
+        cols += ["start_dt", "cast(cast(end_dt as date) as varchar) as end_dt", "curr_ind"]
     return f"select {', '.join(cols)} from ({inner}) shown"
 
 
@@ -248,6 +248,19 @@ def scd2_apply(data):
     return shown(applied(data))
 
 
+@query("scd2_advance", shown_sql(ORDERS, APPLIED, versions=True))
+def scd2_advance(data):
+    history = data["fx_orders_sds"]
+    now = scd2.advance(data["fx_orders_stg"], history, ORDERS, FILE_DATE, hot_share=None)
+    return shown(history.where("curr_ind <> 'Y'").unionByName(now.select(*history.columns)))
+
+
+@query("scd2_advance_delta", shown_sql(ORDERS, ORDERS_DELTA))
+def scd2_advance_delta(data):
+    now = scd2.advance(data["fx_orders_stg"], data["fx_orders_sds"], ORDERS, FILE_DATE, hot_share=None)
+    return shown(now.where("dlt_operation_nm is not null").drop("start_dt", "end_dt", "curr_ind"))
+
+
 @query("scd2_group_counts", " union all ".join(
     f"select '{t}' as table_nm, curr_ind, count(*) as row_count from ("
     + close_sql(s, f"fx_{t}_sds", delta_sql(s, f"fx_{t}_stg", f"fx_{t}_sds")) + " union all "
@@ -290,7 +303,7 @@ def conform_stg(data):
 select try_cast(o_orderkey as bigint) as o_orderkey, try_cast(o_custkey as bigint) as o_custkey, o_orderstatus,
        cast(try_cast(o_totalprice as decimal(18,2)) as double) as o_totalprice,
        try_cast(o_orderdate as timestamp) as o_orderdate,
-       timestamp_ntz '2001-09-01 00:00:00' as start_dt, date '9999-12-31' as end_dt, 'Y' as curr_ind
+       timestamp_ntz '2001-09-01 00:00:00' as start_dt, '9999-12-31' as end_dt, 'Y' as curr_ind
   from {fx_orders_text}
 """)
 def conform_sds(data):

@@ -124,6 +124,28 @@ def test_apply(stg, sds, rows):
     ], key=lambda t: [(v is not None, str(v)) for v in t])
 
 
+@pytest.mark.parametrize("options", [{}, {"hot_share": None}, {"null_safe": True}, {"on_null_key": "ref"}, {"snapshot_type": "DELTA"}])
+def test_advance_is_delta_and_apply(stg, sds, rows, options):
+    date = "2024-02-01 00:00:00"
+    delta = cdc.delta(stg, sds, SPEC, **options)
+    now = scd2.advance(stg, sds, SPEC, date, **options)
+    assert rows(now.select(*sds.columns)) == rows(scd2.apply(sds, delta, SPEC, date).select(*sds.columns))
+    assert rows(now.where("dlt_operation_nm is not null").select(*delta.columns)) == rows(delta)
+    assert now.agg(scd2.before_rows()).first()[0] == 5
+
+
+def test_advance_keeps_stored_rows_without_key(spark, stg, sds, rows):
+    odd = sds.unionByName(history(spark, [(None, "A", "odd", "odd", "x"), (8, None, "odd", "odd", "x")]))
+    now = scd2.advance(stg, odd, SPEC, "2024-02-01 00:00:00")
+    assert rows(now.where("name = 'odd'"), "id", "curr_ind") == [(None, "Y"), (8, "Y")]
+    assert now.agg(scd2.before_rows()).first()[0] == 7
+
+
+def test_advance_with_the_same_file_date_fails(stg, sds):
+    with pytest.raises(Exception, match="not after the start"):
+        scd2.advance(stg, sds, SPEC, "2024-01-01 00:00:00").collect()
+
+
 def test_same_file_date_twice_fails(stg, sds):
     delta = cdc.delta(stg, sds, SPEC)
     with pytest.raises(PySparkException, match="not after the start"):

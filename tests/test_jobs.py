@@ -1,7 +1,6 @@
 """Stored histories, metadata tables and layouts."""
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from vaultline.operators import cdc, scd2, screens
@@ -18,44 +17,66 @@ def staged(spark, *pairs):
     return spark.createDataFrame([(i, str(v)) for i, v in pairs], "id int, v string")
 
 
-def load(spark, root, batch, previous, day, *pairs):
+def load(spark, root, batch, previous, day, *pairs, **options):
     stg = {"accounts": staged(spark, *pairs), "owners": staged(spark, (1, 1))}
-    return history_jobs.load_group(spark, [SPEC, OTHER, TableSpec("bare", (), 3, 7)], 7, stg, root, batch, previous, day)
+    files = [SPEC, OTHER, TableSpec("bare", (), 3, 7)]
+    return history_jobs.load_group(spark, files, 7, stg, root, batch, previous, day, **options)
 
 
-def test_three_batches_and_a_rerun(spark, tmp_path, rows):
+def shown(df):
+    picked = df.select("id", F.col("v").cast("int"), F.col("start_dt").cast("date").cast("string"), "curr_ind").collect()
+    return sorted(tuple(r) for r in picked)
+
+
+@pytest.mark.parametrize("one_pass", [True, False])
+def test_three_batches_and_a_rerun(spark, tmp_path, rows, one_pass):
     root = str(tmp_path)
-    load(spark, root, 1, None, "2024-01-01", (1, 1), (2, 2))
-    load(spark, root, 2, 1, "2024-02-01", (1, 5), (3, 3))
-    load(spark, root, 3, 2, "2024-03-01", (1, 5), (2, 2), (3, 4))
-    after = load(spark, root, 3, 2, "2024-03-01", (1, 5), (2, 2), (3, 4))["accounts"]
-    shown = lambda df: rows(df.select("id", F.col("v").cast("int"), F.col("start_dt").cast("date").cast("string"), "curr_ind"))
+    load(spark, root, 1, None, "2024-01-01", (1, 1), (2, 2), one_pass=one_pass)
+    load(spark, root, 2, 1, "2024-02-01", (1, 5), (3, 3), one_pass=one_pass)
+    load(spark, root, 3, 2, "2024-03-01", (1, 5), (2, 2), (3, 4), one_pass=one_pass)
+    # The same batch again, by the other way.
+    after = load(spark, root, 3, 2, "2024-03-01", (1, 5), (2, 2), (3, 4), one_pass=not one_pass)["accounts"]
     assert shown(after) == [
         (1, 1, "2024-01-01", "N"), (1, 5, "2024-02-01", "Y"), (2, 2, "2024-01-01", "N"), (2, 2, "2024-03-01", "Y"),
         (3, 3, "2024-02-01", "N"), (3, 4, "2024-03-01", "Y")]
     assert scd2.key_violations(after, SPEC).isEmpty()
     # Earlier batches stay readable.
-    second = history_jobs.read_history(spark, f"{root}/accounts", 2)
+    folder = f"{root}/accounts"
+    second = history_jobs.read_history(spark, SPEC, folder, 2)
     assert shown(second) == [(1, 1, "2024-01-01", "N"), (1, 5, "2024-02-01", "Y"), (2, 2, "2024-01-01", "N"), (3, 3, "2024-02-01", "Y")]
-    assert cdc.operation_counts(spark.read.parquet(f"{root}/accounts/delta/batch=3")).count() == 2
-    assert history_jobs.read_current(spark, f"{root}/owners", 3).count() == 1
+    # Both ways keep the same delta.
+    apart = spark.read.parquet(f"{folder}/delta/batch={2 if not one_pass else 3}")
+    inside = history_jobs.read_changes(spark, SPEC, folder, 2 if one_pass else 3)
+    assert apart.columns == inside.columns
+    expected = {2: {"ADD": 1, "MODIFY": 1, "REMOVE": 1}, 3: {"ADD": 1, "MODIFY": 1}}
+    for frame, batch in ((apart, 2 if not one_pass else 3), (inside, 2 if one_pass else 3)):
+        assert dict(map(tuple, cdc.operation_counts(frame).collect())) == expected[batch]
+    assert history_jobs.read_current(spark, OTHER, f"{root}/owners", 3).count() == 1
+
+
+def test_repeated_staged_key_is_refused(spark, tmp_path):
+    root = str(tmp_path)
+    load(spark, root, 1, None, "2024-01-01", (1, 1))
+    with pytest.raises(ValueError, match="not unique"):
+        load(spark, root, 2, 1, "2024-02-01", (1, 1), (1, 1))
 
 
 def test_current_rows_are_pruned_by_partition(spark, tmp_path, plan):
     root = str(tmp_path)
     load(spark, root, 1, None, "2024-01-01", (1, 1))
-    text = plan(history_jobs.read_current(spark, f"{root}/accounts", 1))
-    assert "PartitionFilters: [" in text and "(curr_ind#" in text.split("PartitionFilters")[1]
+    text = plan(history_jobs.read_current(spark, SPEC, f"{root}/accounts", 1))
+    assert "(curr_ind#" in text.split("PartitionFilters: [")[1] and "batch#" in text.split("PartitionFilters: [")[1]
 
 
-def test_failed_batch_leaves_the_history_readable(spark, tmp_path):
+@pytest.mark.parametrize("one_pass", [True, False])
+def test_failed_batch_leaves_the_history_readable(spark, tmp_path, one_pass):
     root = str(tmp_path)
     load(spark, root, 1, None, "2024-01-01", (1, 1))
-    with pytest.raises(PySparkException):
-        load(spark, root, 2, 1, "2024-01-01", (1, 2))
-    assert history_jobs.read_history(spark, f"{root}/accounts", 1).count() == 1
-    load(spark, root, 2, 1, "2024-02-01", (1, 2))
-    assert history_jobs.read_history(spark, f"{root}/accounts", 2).count() == 2
+    with pytest.raises(Exception, match="not after the start"):
+        load(spark, root, 2, 1, "2024-01-01", (1, 2), one_pass=one_pass)
+    assert history_jobs.read_history(spark, SPEC, f"{root}/accounts", 1).count() == 1
+    load(spark, root, 2, 1, "2024-02-01", (1, 2), one_pass=one_pass)
+    assert history_jobs.read_history(spark, SPEC, f"{root}/accounts", 2).count() == 2
 
 
 def test_checkpoint_cuts_the_plan(spark, plan):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 from operator import or_
 
@@ -50,12 +50,33 @@ def delta(
     repeat more than one ``hot_share``-th of all rows are compared apart, by a left join;
     ``hot_share=None`` skips looking for them in a staging that is known to hold each key once.
     """
+    compared = compare(
+        stg, sds, spec, null_safe=null_safe, on_null_key=on_null_key, snapshot_type=snapshot_type,
+        geom_equal=geom_equal, hot_share=hot_share,
+    )
+    return compared.where(F.col(OPERATION).isNotNull()).select(OPERATION, *merged(spec))
+
+
+def compare(
+    stg: DataFrame,
+    sds: DataFrame,
+    spec: TableSpec,
+    *,
+    null_safe: bool = False,
+    on_null_key: str = "drop",
+    snapshot_type: str | None = None,
+    geom_equal: GeomEqual | None = None,
+    hot_share: int | None = HOT_SHARE,
+    carry: Sequence[str] = (),
+) -> DataFrame:
+    """The join behind ``delta``, changed or not: staged columns as ``s_``, stored ones (and those to
+    ``carry``) as ``o_``, the update flags, and the operation, NULL for an unchanged row."""
     if on_null_key not in ("drop", "error", "ref"):
         raise ValueError("on_null_key must be 'drop', 'error' or 'ref'")
     keys, first = spec.keys, spec.keys[0]
     staged_keys, stored_keys = [f"s_{k}" for k in keys], [f"o_{k}" for k in keys]
     staged = stg.select(*[F.col(c).alias(f"s_{c}") for c in spec.names])
-    stored = current(sds).select(*[F.col(c).alias(f"o_{c}") for c in spec.names])
+    stored = current(sds).select(*[F.col(c).alias(f"o_{c}") for c in [*spec.names, *carry]])
     if on_null_key == "error":
         failed = F.when(any_null(staged_keys), F.raise_error(F.lit(f"{spec.table}: NULL natural key")))
         usable = staged.withColumn(f"s_{first}", failed.otherwise(F.col(f"s_{first}")))
@@ -64,39 +85,57 @@ def delta(
     known = stored.where(~any_null(stored_keys))
     whole = (snapshot_type or spec.snapshot_type) == "FULL"
 
-    if not whole:
-        pairs = usable.join(known, all_equal(staged_keys, stored_keys), "left")
+    same = all_equal(staged_keys, stored_keys)
+    # Changes alone leave stored rows out, unless the caller carries them on.
+    if not whole and not carry:
+        pairs = usable.join(known, same, "left")
     elif hot_share is None:
-        pairs = usable.join(known, all_equal(staged_keys, stored_keys), "full")
+        pairs = usable.join(known, same, "full")
     else:
         pairs = _pairs(usable, known, staged_keys, stored_keys, hot_share)
 
     in_staging, in_history = F.col(f"s_{first}").isNotNull(), F.col(f"o_{first}").isNotNull()
     changes = {c.name: _differs(c, null_safe, geom_equal) for c in spec.tracked}
     changed = reduce(or_, changes.values(), F.lit(False))
-    operation = F.when(~in_history, ADD).when(~in_staging, REMOVE).otherwise(MODIFY)
+    absent = F.lit(REMOVE) if whole else F.lit(None).cast("string")
+    operation = F.when(~in_history, ADD).when(~in_staging, absent).when(changed, MODIFY)
     parts = [
-        pairs.where(~in_history | ~in_staging | changed).select(
-            operation.alias(OPERATION),
-            *_columns(
-                spec, lambda c: F.when(in_staging, F.col(f"s_{c}")).otherwise(F.col(f"o_{c}")),
-                lambda c: in_staging & in_history & changes[c],
-            ),
+        pairs.select(
+            "*", operation.alias(OPERATION),
+            *[_flag(in_staging & in_history & changes[c.name]).alias(c.name + UPDATE_FLAG_SUFFIX) for c in spec.tracked],
         )
     ]
-    unchanged = lambda c: F.lit(False)
-    if whole:
+    no_flags = [_flag(F.lit(False)).alias(c.name + UPDATE_FLAG_SUFFIX) for c in spec.tracked]
+    if whole or carry:
         # Stored rows with a NULL key part, which a sound history does not have.
-        parts.append(stored.where(any_null(stored_keys)).select(
-            F.when(in_history, REMOVE).otherwise(ADD).alias(OPERATION), *_columns(spec, lambda c: F.col(f"o_{c}"), unchanged)
-        ))
+        lost = F.when(in_history, absent).otherwise(F.lit(ADD) if whole else absent)
+        parts.append(_beside(stored.where(any_null(stored_keys)), staged).select("*", lost.alias(OPERATION), *no_flags))
     if on_null_key == "ref":
-        parts.append(staged.where(any_null(staged_keys)).select(
-            F.lit(ADD).alias(OPERATION), *_columns(spec, lambda c: F.when(in_staging, F.col(f"s_{c}")), unchanged)
-        ))
+        blank = _beside(staged.where(any_null(staged_keys)), stored)
+        parts.append(blank.select("*", F.lit(ADD).alias(OPERATION), *no_flags))
     return reduce(DataFrame.unionByName, parts)
 
 
+def merged(spec: TableSpec) -> list[Column]:
+    """Each column of a compared row, staged where the row is staged, with its update flag."""
+    tracked, in_staging = {c.name for c in spec.tracked}, F.col(f"s_{spec.keys[0]}").isNotNull()
+    out: list[Column] = []
+    for name in spec.names:
+        out.append(F.when(in_staging, F.col(f"s_{name}")).otherwise(F.col(f"o_{name}")).alias(name))
+        if name in tracked:
+            out.append(F.col(name + UPDATE_FLAG_SUFFIX))
+    return out
+
+
+def _beside(rows: DataFrame, other: DataFrame) -> DataFrame:
+    """Rows that have no partner, with the partner's columns as NULL."""
+    return rows.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in other.schema.fields])
+
+
+def _flag(changed: Column) -> Column:
+    return F.when(changed, "Y").otherwise("N")
+
+
 def _pairs(
     staged: DataFrame, stored: DataFrame, staged_keys: list[str], stored_keys: list[str], hot_share: int
 ) -> DataFrame:
@@ -123,16 +162,6 @@ def _differs(column: ColumnSpec, null_safe: bool, geom_equal: GeomEqual | None)
     return ~new.eqNullSafe(old) if null_safe else new != old
 
 
-def _columns(spec: TableSpec, value: Callable[[str], Column], flag: Callable[[str], Column]) -> list[Column]:
-    tracked = {c.name for c in spec.tracked}
-    out: list[Column] = []
-    for name in spec.names:
-        out.append(value(name).alias(name))
-        if name in tracked:
-            out.append(F.when(flag(name), "Y").otherwise("N").alias(name + UPDATE_FLAG_SUFFIX))
-    return out
-
-
 def operation_counts(changes: DataFrame) -> DataFrame:
     return changes.groupBy(OPERATION).agg(F.count(F.lit(1)).alias("row_count"))
 

@@ -16,23 +16,46 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultline.operators import cdc, conform, scd2
-from vaultline.specs import CURRENT, TableSpec
+from vaultline.specs import CURRENT, OPERATION, ColumnSpec, TableSpec
 
 
-def read_current(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
-    stored = spark.read.parquet(f"{root}/history")
-    return stored.where((F.col("batch") == batch_id) & (F.col(CURRENT) == "Y")).drop("batch")
+def read_current(spark: SparkSession, spec: TableSpec, root: str, batch_id: int) -> DataFrame:
+    return _stored(spark, spec, root).where((F.col("batch") == batch_id) & (F.col(CURRENT) == "Y")).select(*_names(spec))
 
 
-def read_history(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
+def read_history(spark: SparkSession, spec: TableSpec, root: str, batch_id: int) -> DataFrame:
     """The whole history as of a batch; other batches' current rows are pruned by partition."""
     current = (F.col("batch") == batch_id) & (F.col(CURRENT) == "Y")
     closed = (F.col("batch") <= batch_id) & (F.col(CURRENT) == "N")
-    return spark.read.parquet(f"{root}/history").where(current | closed).drop("batch")
+    return _stored(spark, spec, root).where(current | closed).select(*_names(spec))
+
+
+def read_changes(spark: SparkSession, spec: TableSpec, root: str, batch_id: int) -> DataFrame:
+    """The delta of a batch that ``advance_file`` wrote."""
+    columns = [c.name for c in conform.delta_columns(spec)]
+    changed = (F.col("batch") == batch_id) & F.col(OPERATION).isNotNull()
+    return _stored(spark, spec, root).where(changed).select(*columns)
 
 
 def empty_history(spark: SparkSession, spec: TableSpec) -> DataFrame:
-    return spark.createDataFrame([], ", ".join(f"`{c.name}` {c.spark_type}" for c in conform.history_columns(spec)))
+    return spark.createDataFrame([], _ddl(conform.history_columns(spec)))
+
+
+def advance_file(
+    stg: DataFrame, spec: TableSpec, root: str, batch_id: int, previous_batch: int | None, file_date: datetime | str,
+    **options,
+) -> DataFrame:
+    """Delta and apply in one join and one write. Fails if a repeated staged key repeated its stored
+    row, which the row count shows; the batch can then be loaded by ``write_delta`` and ``apply_delta``."""
+    spark = stg.sparkSession
+    before = _before(spark, spec, root, previous_batch)
+    path = f"{root}/history/batch={batch_id}"
+    after = scd2.advance(conform.to_staging(stg, spec), before, spec, file_date, **options)
+    after.write.mode("overwrite").partitionBy(CURRENT).parquet(path)
+    carried = _stored(spark, spec, root).where(F.col("batch") == batch_id).agg(scd2.before_rows()).first()[0]
+    if carried != before.count():
+        raise ValueError(f"{spec.table}: a staged natural key is not unique")
+    return read_history(spark, spec, root, batch_id)
 
 
 def write_delta(
@@ -40,7 +63,7 @@ def write_delta(
 ) -> DataFrame:
     """Stores the delta of a snapshot against the previous batch. Running it again replaces it."""
     spark = stg.sparkSession
-    before = empty_history(spark, spec) if previous_batch is None else read_current(spark, root, previous_batch)
+    before = _before(spark, spec, root, previous_batch)
     path = f"{root}/delta/batch={batch_id}"
     cdc.delta(conform.to_staging(stg, spec), before, spec, **options).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
@@ -51,24 +74,45 @@ def apply_delta(
 ) -> DataFrame:
     """Applies the stored delta in one write: current rows and newly closed versions side by side."""
     delta = spark.read.parquet(f"{root}/delta/batch={batch_id}")
-    before = empty_history(spark, spec) if previous_batch is None else read_current(spark, root, previous_batch)
+    before = _before(spark, spec, root, previous_batch)
     after = scd2.close_current(before, delta, spec, file_date).unionByName(scd2.open_versions(delta, spec, file_date))
     after.write.mode("overwrite").partitionBy(CURRENT).parquet(f"{root}/history/batch={batch_id}")
-    return read_history(spark, root, batch_id)
+    return read_history(spark, spec, root, batch_id)
 
 
 def load_group(
     spark: SparkSession, specs: Iterable[TableSpec], group_id: int, staging: Mapping[str, DataFrame], root: str,
-    batch_id: int, previous_batch: int | None, file_date: datetime | str, *, parallel: int = 4, **options,
+    batch_id: int, previous_batch: int | None, file_date: datetime | str, *, parallel: int = 4, one_pass: bool = True,
+    **options,
 ) -> dict[str, DataFrame]:
     """Delta and apply for each file of a group, all at one file date. Files are independent jobs and
     overlap; a failure leaves the files that are done, as the folder of each is its own."""
     files = cdc.group_files(specs, group_id)
 
     def load(spec: TableSpec) -> DataFrame:
-        folder = f"{root}/{spec.table}"
-        write_delta(staging[spec.table], spec, folder, batch_id, previous_batch, **options)
+        folder, stg = f"{root}/{spec.table}", staging[spec.table]
+        if one_pass:
+            return advance_file(stg, spec, folder, batch_id, previous_batch, file_date, **options)
+        write_delta(stg, spec, folder, batch_id, previous_batch, **options)
         return apply_delta(spark, spec, folder, batch_id, previous_batch, file_date)
 
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         return dict(zip([s.table for s in files], pool.map(load, files), strict=True))
+
+
+def _before(spark: SparkSession, spec: TableSpec, root: str, previous_batch: int | None) -> DataFrame:
+    return empty_history(spark, spec) if previous_batch is None else read_current(spark, spec, root, previous_batch)
+
+
+def _stored(spark: SparkSession, spec: TableSpec, root: str) -> DataFrame:
+    """All batches in one schema; operation and flags are NULL where a delta was stored apart."""
+    columns = [*conform.delta_columns(spec), *conform.VERSION_COLUMNS]
+    return spark.read.schema(_ddl(columns) + ", batch bigint").parquet(f"{root}/history")
+
+
+def _names(spec: TableSpec) -> list[str]:
+    return [c.name for c in conform.history_columns(spec)]
+
+
+def _ddl(columns: Iterable[ColumnSpec]) -> str:
+    return ", ".join(f"`{c.name}` {c.spark_type}" for c in columns)
