@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from registry import all_queries  # noqa: E402
 
 HEADLINE = (
-    "cdc_delta", "cdc_delta_composite", "cdc_op_counts", "scd2_close", "scd2_apply", "scd2_pk_violations", "conform_stg",
+    "cdc_delta", "cdc_delta_composite", "cdc_op_counts", "scd2_close", "scd2_apply", "scd2_advance", "scd2_pk_violations", "conform_stg",
     "dq_validate_file", "dq_reject_filter", "dq_checks_run", "dq_duplicate_groups", "dq_log_report",
     "hub_load_incremental", "hub_load_composite", "link_load_incremental", "link_min_keys", "sat_load_changed",
     "sat_load_hot_key", "sat_latest", "bv_link_load", "vault_link_orphans", "model_hubs", "model_links", "dict_fk",

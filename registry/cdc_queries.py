@@ -110,6 +110,15 @@ def shown(frame: DataFrame) -> DataFrame:
     return frame
 
 
+def with_doubles(frame: DataFrame, *names: str) -> DataFrame:
+    """Whole numbers that may be NULL, which the two engines hand out differently, as double."""
+    return frame.withColumns({n: F.col(n).cast("double") for n in names})
+
+
+def with_doubles_sql(inner: str, *names: str) -> str:
+    return f"select * replace ({', '.join(f'cast({n} as double) as {n}' for n in names)}) from ({inner}) d"
+
+
 def shown_sql(spec: TableSpec, inner: str, versions: bool = False, flags: bool = True) -> str:
     cols = [] if versions else ["dlt_operation_nm"]
     tracked = {c.name for c in spec.tracked}
@@ -150,13 +159,13 @@ def cdc_delta_changes_only(data):
 
 
 # Staged rows with a NULL first key come out blank, as additions.
-@query("cdc_delta_blank_keys", shown_sql(ORDERS, f"""
+@query("cdc_delta_blank_keys", with_doubles_sql(shown_sql(ORDERS, f"""
 select * from ({ORDERS_DELTA}) d
 union all
 select 'ADD', null, null, null, null, 'N', null, 'N' from {{fx_orders_stg}} where o_orderkey is null
-"""))
+"""), "o_orderkey", "o_custkey"))
 def cdc_delta_blank_keys(data):
-    return shown(orders_delta(data, on_null_key="ref"))
+    return with_doubles(shown(orders_delta(data, on_null_key="ref")), "o_orderkey", "o_custkey")
 
 
 @query("cdc_null_keyed", "select o_custkey, o_orderstatus, cast(o_totalprice as double) as o_totalprice from {fx_orders_stg} where o_orderkey is null")
@@ -290,17 +299,17 @@ def scd2_pk_violations(data):
 
 
 @query("conform_stg", """
-select try_cast(o_orderkey as bigint) as o_orderkey, try_cast(o_custkey as bigint) as o_custkey, o_orderstatus,
+select try_cast(o_orderkey as bigint) as o_orderkey, cast(try_cast(o_custkey as bigint) as double) as o_custkey, o_orderstatus,
        cast(try_cast(o_totalprice as decimal(18,2)) as double) as o_totalprice,
        try_cast(o_orderdate as timestamp) as o_orderdate
   from {fx_orders_text}
 """)
 def conform_stg(data):
-    return shown(conform.to_staging(data["fx_orders_text"], ORDERS_TEXT))
+    return with_doubles(shown(conform.to_staging(data["fx_orders_text"], ORDERS_TEXT)), "o_custkey")
 
 
 @query("conform_sds", """
-select try_cast(o_orderkey as bigint) as o_orderkey, try_cast(o_custkey as bigint) as o_custkey, o_orderstatus,
+select try_cast(o_orderkey as bigint) as o_orderkey, cast(try_cast(o_custkey as bigint) as double) as o_custkey, o_orderstatus,
        cast(try_cast(o_totalprice as decimal(18,2)) as double) as o_totalprice,
        try_cast(o_orderdate as timestamp) as o_orderdate,
        timestamp_ntz '2001-09-01 00:00:00' as start_dt, '9999-12-31' as end_dt, 'Y' as curr_ind
@@ -311,7 +320,7 @@ def conform_sds(data):
         "*", F.lit("2001-09-01 00:00:00").alias("start_dt"), F.lit("9999-12-31 00:00:00").alias("end_dt"),
         F.lit("Y").alias("curr_ind"),
     )
-    return shown(conform.to_history(text, ORDERS_TEXT))
+    return with_doubles(shown(conform.to_history(text, ORDERS_TEXT)), "o_custkey")
 
 
 @query("conform_bad_values", """

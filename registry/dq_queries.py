@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from registry.base import AS_OF, LOAD_TIME, Data, query
-from registry.cdc_queries import CUSTOMER, ORDERS, PART, shown
+from registry.cdc_queries import CUSTOMER, ORDERS, PART, shown, with_doubles
 from vaultline.operators import checks, report, screens
 from vaultline.specs import CheckSpec, ScreenSpec
 
@@ -96,14 +96,14 @@ def dq_validate_group(data):
 
 
 REJECTED = """
-select o_orderkey, o_custkey, o_orderstatus, cast(o_totalprice as double) as o_totalprice, o_orderpriority
+select cast(o_orderkey as double) as o_orderkey, o_custkey, o_orderstatus, cast(o_totalprice as double) as o_totalprice, o_orderpriority
   from {fx_orders_stg} where o_orderpriority is not null
 """
 
 
 @query("dq_reject_filter", REJECTED)
 def dq_reject_filter(data):
-    return shown(screens.accepted(data["fx_orders_stg"], ORDER_SCREENS, ORDERS))
+    return with_doubles(shown(screens.accepted(data["fx_orders_stg"], ORDER_SCREENS, ORDERS)), "o_orderkey")
 
 
 # By the event log rows are known by their key text, so every row without a key shares one id.
@@ -112,7 +112,8 @@ def dq_reject_filter(data):
         (select 1 from {fx_orders_stg} where o_orderkey is null and o_orderpriority is null))
 """)
 def dq_reject_by_events(data):
-    return shown(screens.without_rejected(data["fx_orders_stg"], validated(data).events, ORDERS))
+    kept = screens.without_rejected(data["fx_orders_stg"], validated(data).events, ORDERS)
+    return with_doubles(shown(kept), "o_orderkey")
 
 
 @query("dq_event_summary", f"select screen_id, exception_action, count(*) as event_count from ({events_sql([1, 2, 3])}) e group by screen_id, exception_action")

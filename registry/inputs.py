@@ -327,15 +327,15 @@ select 'TPC', 'STG_TPC', concat('CMS_NATION_', cast(n_nationkey as varchar(20)))
 
 # The same keys as an Oracle dictionary shows them: parts belong to MAT, suppliers to EOT, nations to LKP.
 INPUTS["fx_constraints"] = """
-select distinct case when SrcTable like 'CMMS_PART%' then 'MAT' when SrcTable like 'CMS_NATION%' then 'LKP' else 'EOT' end as owner,
+select case when SrcTable like 'CMMS_PART%' then 'MAT' when SrcTable like 'CMS_NATION%' then 'LKP' else 'EOT' end as owner,
        PKConstraintName as constraint_name, 'P' as constraint_type,
        cast(null as varchar(20)) as r_owner, cast(null as varchar(60)) as r_constraint_name
-  from {fx_pk}
+  from {fx_pk} where ColumnPosition = 1
 union all
-select distinct case when ChildTable like 'CMMS_PART%' then 'MAT' else 'EOT' end, FKConstraintName, 'R',
+select case when ChildTable like 'CMMS_PART%' then 'MAT' else 'EOT' end, FKConstraintName, 'R',
        case when ParentTable like 'CMMS_PART%' then 'MAT' when ParentTable like 'CMS_NATION%' then 'LKP' else 'EOT' end,
        concat('PK_', ParentTable)
-  from {fx_fk}
+  from {fx_fk} where ColumnPosition = 1
 """
 
 INPUTS["fx_cons_columns"] = """

@@ -99,6 +99,14 @@ def test_snapshot_against_itself(spark):
     assert cdc.delta(spark.createDataFrame(STORED, SCHEMA), sds, SPEC, null_safe=True).isEmpty()
 
 
+def test_empty_sides(stg, sds):
+    gone = cdc.operation_counts(cdc.delta(stg.limit(0), sds, SPEC)).collect()
+    assert [tuple(r) for r in gone] == [("REMOVE", 5)]
+    new = cdc.operation_counts(cdc.delta(stg, sds.limit(0), SPEC)).collect()
+    assert [tuple(r) for r in new] == [("ADD", 5)]
+    assert cdc.delta(stg.limit(0), sds.limit(0), SPEC).isEmpty()
+
+
 def test_geometry(spark, rows):
     spec = TableSpec("places", (ColumnSpec("id", "int", is_key=True), ColumnSpec("shape", GEOMETRY)))
     new = spark.createDataFrame([(1, b"AB"), (2, b"ab"), (3, None), (4, b"X")], "id int, shape binary")
