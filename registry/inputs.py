@@ -325,24 +325,24 @@ union all
 select 'TPC', 'STG_TPC', concat('CMS_NATION_', cast(n_nationkey as varchar(20))), 'NATION_ID', 1 from {nation}
 """
 
-# The same keys as an Oracle dictionary shows them: parts belong to MAT, suppliers to EOT, nations to LKP.
+# The same keys as a database dictionary shows them: parts belong to PRD, suppliers to SRM, nations to LKP.
 INPUTS["fx_constraints"] = """
-select case when SrcTable like 'CMMS_PART%' then 'MAT' when SrcTable like 'CMS_NATION%' then 'LKP' else 'EOT' end as owner,
+select case when SrcTable like 'CMMS_PART%' then 'PRD' when SrcTable like 'CMS_NATION%' then 'LKP' else 'SRM' end as owner,
        PKConstraintName as constraint_name, 'P' as constraint_type,
        cast(null as varchar(20)) as r_owner, cast(null as varchar(60)) as r_constraint_name
   from {fx_pk} where ColumnPosition = 1
 union all
-select case when ChildTable like 'CMMS_PART%' then 'MAT' else 'EOT' end, FKConstraintName, 'R',
-       case when ParentTable like 'CMMS_PART%' then 'MAT' when ParentTable like 'CMS_NATION%' then 'LKP' else 'EOT' end,
+select case when ChildTable like 'CMMS_PART%' then 'PRD' else 'SRM' end, FKConstraintName, 'R',
+       case when ParentTable like 'CMMS_PART%' then 'PRD' when ParentTable like 'CMS_NATION%' then 'LKP' else 'SRM' end,
        concat('PK_', ParentTable)
   from {fx_fk} where ColumnPosition = 1
 """
 
 INPUTS["fx_cons_columns"] = """
-select case when SrcTable like 'CMMS_PART%' then 'MAT' when SrcTable like 'CMS_NATION%' then 'LKP' else 'EOT' end as owner,
+select case when SrcTable like 'CMMS_PART%' then 'PRD' when SrcTable like 'CMS_NATION%' then 'LKP' else 'SRM' end as owner,
        PKConstraintName as constraint_name, SrcTable as table_name, SrcColumn as column_name, ColumnPosition as position
   from {fx_pk}
 union all
-select case when ChildTable like 'CMMS_PART%' then 'MAT' else 'EOT' end, FKConstraintName, ChildTable, ChildColumn, ColumnPosition
+select case when ChildTable like 'CMMS_PART%' then 'PRD' else 'SRM' end, FKConstraintName, ChildTable, ChildColumn, ColumnPosition
   from {fx_fk}
 """

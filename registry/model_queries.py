@@ -6,7 +6,7 @@ from registry.base import INPUTS, query
 from vaultline.functions.naming import entity
 from vaultline.operators import model
 
-SCOPE = {"MAT": None, "EOT": None}
+SCOPE = {"PRD": None, "SRM": None}
 
 
 def entity_sql(column: str, *drop: str) -> str:
@@ -115,7 +115,7 @@ select c.table_name as ParentTable, c.column_name as ParentColumn, b.table_name
   from {fx_constraints} a
   join {fx_cons_columns} b on b.owner = a.owner and b.constraint_name = a.constraint_name
   join {fx_cons_columns} c on c.owner = a.r_owner and c.constraint_name = a.r_constraint_name and c.position = b.position
- where a.constraint_type = 'R' and c.owner in ('MAT', 'EOT')
+ where a.constraint_type = 'R' and c.owner in ('PRD', 'SRM')
 """)
 def dict_fk(data):
     return model.fk_dictionary(data["fx_constraints"], data["fx_cons_columns"], SCOPE)
@@ -124,7 +124,7 @@ def dict_fk(data):
 @query("dict_pk", """
 select b.table_name as SrcTable, b.column_name as SrcColumn, b.position as ColumnPosition, a.constraint_name as PKConstraintName
   from {fx_constraints} a join {fx_cons_columns} b on b.owner = a.owner and b.constraint_name = a.constraint_name
- where a.constraint_type = 'P' and b.owner in ('MAT', 'EOT')
+ where a.constraint_type = 'P' and b.owner in ('PRD', 'SRM')
 """)
 def dict_pk(data):
     return model.pk_dictionary(data["fx_constraints"], data["fx_cons_columns"], SCOPE)
