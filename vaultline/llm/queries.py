@@ -8,10 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm import license_scan, mixing, quality_rules, token_files, url_filter
+from vaultline.llm import decontaminate, license_scan, line_dedup, mixing, quality_rules, token_files, url_filter
 from vaultline.llm.common import table
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("items")
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents"))
 
@@ -36,5 +45,5 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_license_scan, op6_source_mix, op8_token_files, op9_quality_rules, op10_url_filter)
+    f.__name__: f for f in (op3_line_dedup, op4_decontamination, op5_license_scan, op6_source_mix, op8_token_files, op9_quality_rules, op10_url_filter)
 }

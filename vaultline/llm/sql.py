@@ -64,4 +64,56 @@ select doc_id, size, source_size::bigint as source_size, target,
 from ordered
 """
 
-ORACLES: dict[str, str] = {"op6_source_mix": SOURCE_MIX, "op10_url_filter": URL_FILTER}
+LINE_DEDUP = r"""
+with lines as (
+  select doc_id, n, line,
+    translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+  from (
+    select doc_id, unnest(list) as line, unnest(range(len(list))) as n
+    from (select doc_id, string_split(coalesce(text, ''), chr(10)) as list from documents)
+  )
+), frequent as (
+  select key from lines where key <> '' group by key having count(distinct doc_id) >= 10
+)
+select doc_id, count(*) as n_lines, count(*) filter (f.key is not null) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by n) filter (f.key is null), '')) as kept_sha256
+from lines l left join frequent f on l.key = f.key
+group by doc_id
+"""
+
+DECONTAMINATION = r"""
+with doc_words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents
+), item_words as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark
+), windows as (
+  select distinct item_id, least(len(w), 10) as size, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') as phrase
+  from (select item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) as i from item_words where len(w) > 0)
+), sizes as (
+  select distinct size from windows
+), places as (
+  select doc_id, i, size, array_to_string(w[i : i + size - 1], ' ') as phrase
+  from (select doc_id, w, size, unnest(range(1, len(w) - size + 2)) as i from doc_words, sizes where len(w) >= size)
+), found as (
+  select p.doc_id, p.i, p.size, w.item_id from places p join windows w on p.size = w.size and p.phrase = w.phrase
+), hits as (
+  select doc_id, count(distinct spot) as n_hit
+  from (select doc_id, unnest(range(i, i + size)) as spot from found) group by doc_id
+), items as (
+  select doc_id, count(*) as n_items, string_agg(id, ',' order by id) as ids
+  from (select distinct doc_id, cast(item_id as varchar) as id from found) group by doc_id
+)
+select d.doc_id, len(d.w)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from doc_words d left join hits using (doc_id) left join items using (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op3_line_dedup": LINE_DEDUP, "op4_decontamination": DECONTAMINATION,
+    "op6_source_mix": SOURCE_MIX, "op10_url_filter": URL_FILTER,
+}
