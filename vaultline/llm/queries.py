@@ -8,10 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm import decontaminate, license_scan, line_dedup, mixing, quality_rules, token_files, url_filter
+from vaultline.llm import classifier, decontaminate, license_scan, line_dedup, mixing, quality_rules, token_files, url_filter
 from vaultline.llm.common import table
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return classifier.score(docs, classifier.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
 
@@ -45,5 +50,5 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_line_dedup, op4_decontamination, op5_license_scan, op6_source_mix, op8_token_files, op9_quality_rules, op10_url_filter)
+    f.__name__: f for f in (op2_quality_classifier, op3_line_dedup, op4_decontamination, op5_license_scan, op6_source_mix, op8_token_files, op9_quality_rules, op10_url_filter)
 }
