@@ -7,7 +7,7 @@ give every document's global start, so any document or range of ids is found by
 a block is unpacked by numpy at once. Spark's writer stores the blocks as Parquet, so that a part appears whole or not
 at all, on any file system, whichever executors are lost.
 
-Words are encoded once per task and remembered: this vocabulary's rules never look across white space, so a text's ids
+Words are encoded once per Python worker and remembered, up to a fixed number: this vocabulary's rules never look across white space, so a text's ids
 are those of its words in order.
 
 Defined results: a null or empty text has the end id alone; null ids come first; rows with equal ids are ordered by
@@ -17,7 +17,9 @@ text; each repeated row is written; an empty table gives no rows; a text of any
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +33,7 @@ from vaultline.llm.common import documents, map_arrow, shared_folder
 
 END_ID = 2
 BLOCK_IDS = 1 << 16
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 500_000
 
 BLOCK_SCHEMA = "part int, block int, first_id long, n_ids long, doc_ids array<long>, lengths array<int>, bits int, packed binary"
 OUT_SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -65,29 +67,41 @@ def unpack(packed: bytes, bits: int, count: int, first: int = 0) -> np.ndarray:
     return out.reshape(-1).view(">u4").astype(np.uint32)
 
 
+#: Signs that end a word without belonging to what is before them: none that a special id's name or a clitic has.
+_TAIL = re.compile(rb"^(.*[0-9A-Za-z])([!-&(-;=?@\[-`{}~]+)$", re.DOTALL)
+
+
 class WordEncoder:
-    """Ids of texts by way of their words' ids."""
+    """Ids of texts by way of their words' ids, and of words by way of a stem and the signs after it."""
 
     def __init__(self, path: str, remembered: int = REMEMBERED_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.remembered = Tokenizer.from_file(path), remembered
+        self.pieces: dict[bytes, bytes] = {}
         self.forget()
 
     def forget(self) -> None:
+        """Words go when they are too many, pieces too; more than one chunk's are never kept beyond that."""
         self.place: dict[bytes, int] = {}
+        if len(self.pieces) > self.remembered:
+            self.pieces = {}
         self.starts, self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
     def learn(self, words: list[bytes]) -> None:
-        if len(self.place) + len(words) > self.remembered:
-            self.forget()
-        got = [e.ids for e in self.tokenizer.encode_batch([w.decode("utf-8") for w in words], add_special_tokens=False)]
+        """The vocabulary lower-cases and always splits between a letter or digit and the signs of ``_TAIL``."""
+        split = [(w.lower() if w.isascii() and b"<" not in w else w) for w in words]
+        split = [m.groups() if (m := _TAIL.match(w)) else (w,) for w in split]
+        new = list(dict.fromkeys(p for pieces in split for p in pieces if p not in self.pieces))
+        got = self.tokenizer.encode_batch_fast([p.decode("utf-8") for p in new], add_special_tokens=False)
+        self.pieces.update(zip(new, [array("I", e.ids).tobytes() for e in got]))
+        ids = [self.pieces[p[0]] if len(p) == 1 else self.pieces[p[0]] + self.pieces[p[1]] for p in split]
         self.place.update(zip(words, range(len(self.place), len(self.place) + len(words))))
-        sizes = np.fromiter(map(len, got), np.int64, len(got))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.ids = np.concatenate([self.ids, np.fromiter((i for g in got for i in g), np.uint32, int(sizes.sum()))])
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(ids), np.uint32)])
 
     def encode(self, chunk: T.Chunk, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents of a chunk with the end id after each, and the documents' lengths."""
@@ -95,13 +109,12 @@ class WordEncoder:
         texts = [data[a:b].split() for a, b in zip(at, at[1:])]
         counts = np.fromiter(map(len, texts), np.int64, len(texts))
         words = [w for t in texts for w in t]
-        new = list(dict.fromkeys(w for w in words if w not in self.place))
+        new = [w for w in dict.fromkeys(words) if w not in self.place]
+        if len(self.place) + len(new) > self.remembered:
+            self.forget()
+            new = list(dict.fromkeys(words))
         if new:
             self.learn(new)
-            if len(self.place) == len(new):  # what was known is forgotten
-                rest = list(dict.fromkeys(w for w in words if w not in self.place))
-                if rest:
-                    self.learn_more(rest)
         place = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
         sizes = self.sizes[place]
         word_end = np.zeros(len(words) + 1, np.int64)
@@ -114,10 +127,15 @@ class WordEncoder:
         out[target] = self.ids[source]
         return out, lengths
 
-    def learn_more(self, words: list[bytes]) -> None:
-        limit, self.remembered = self.remembered, 1 << 62
-        self.learn(words)
-        self.remembered = limit
+
+_encoders: dict[str, WordEncoder] = {}
+
+
+def encoder_of(path: str) -> WordEncoder:
+    """One encoder for all tasks of a Python worker."""
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, vocabulary: int | None = None) -> DataFrame:
@@ -132,7 +150,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID,
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = WordEncoder(tokenizer), TaskContext.get().partitionId()
+        encoder, part = encoder_of(tokenizer), TaskContext.get().partitionId()
         block, before, ids, lengths, doc_ids = 0, 0, [], [], []
 
         def flush() -> pa.RecordBatch:
