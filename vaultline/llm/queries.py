@@ -8,10 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm import classifier, decontaminate, license_scan, line_dedup, mixing, quality_rules, token_files, url_filter
+from vaultline.llm import (
+    classifier, decontaminate, jaccard_join, license_scan, line_dedup, mixing, quality_rules, substring_dedup, token_files, url_filter,
+)
 from vaultline.llm.common import table
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return classifier.score(docs, classifier.train(docs, table(spark, sf_dir, "labels")))
@@ -34,6 +40,10 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -50,5 +60,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_quality_classifier, op3_line_dedup, op4_decontamination, op5_license_scan, op6_source_mix, op8_token_files, op9_quality_rules, op10_url_filter)
+    f.__name__: f for f in (
+        op1_substring_dedup, op2_quality_classifier, op3_line_dedup, op4_decontamination, op5_license_scan, op6_source_mix,
+        op7_jaccard_join, op8_token_files, op9_quality_rules, op10_url_filter,
+    )
 }
