@@ -7,8 +7,9 @@ give every document's global start, so any document or range of ids is found by
 a block is unpacked by numpy at once. Spark's writer stores the blocks as Parquet, so that a part appears whole or not
 at all, on any file system, whichever executors are lost.
 
-Words are encoded once per Python worker and remembered, up to a fixed number: this vocabulary's rules never look across white space, so a text's ids
-are those of its words in order.
+A text is cut into pieces, each of which the tokenizer encodes once and a Python worker remembers, up to a number: this
+vocabulary's rules never look across white space or from a letter to the signs that end its word, so a text's ids are
+those of its pieces in order.
 
 Defined results: a null or empty text has the end id alone; null ids come first; rows with equal ids are ordered by
 text; each repeated row is written; an empty table gives no rows; a text of any length stays one document of one block.
@@ -17,10 +18,9 @@ text; each repeated row is written; an empty table gives no rows; a text of any
 from __future__ import annotations
 
 import os
-import re
 import zlib
-from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +33,7 @@ from vaultline.llm.common import documents, map_arrow, shared_folder
 
 END_ID = 2
 BLOCK_IDS = 1 << 16
-REMEMBERED_WORDS = 500_000
+REMEMBERED = 1_000_000
 
 BLOCK_SCHEMA = "part int, block int, first_id long, n_ids long, doc_ids array<long>, lengths array<int>, bits int, packed binary"
 OUT_SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -67,63 +67,70 @@ def unpack(packed: bytes, bits: int, count: int, first: int = 0) -> np.ndarray:
     return out.reshape(-1).view(">u4").astype(np.uint32)
 
 
-#: Signs that end a word without belonging to what is before them: none that a special id's name or a clitic has.
-_TAIL = re.compile(rb"^(.*[0-9A-Za-z])([!-&(-;=?@\[-`{}~]+)$", re.DOTALL)
+#: Signs that the vocabulary always splits from a letter or digit before them, when they end a word.
+_TAIL = np.zeros(256, bool)
+_TAIL[list(b"!#$%&()*+,-./:;=?@[]^_`{}~\"\\")] = True
+_PLAIN = np.zeros(256, bool)
+_PLAIN[[*range(ord("0"), ord("9") + 1), *range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = True
+
+
+def pieces_of(chunk: T.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of a chunk's pieces, that is words, each without the signs that end it and these by themselves;
+    and per document the first piece's index."""
+    starts, ends, _ = chunk.runs(T.NON_SPACE)
+    if not len(starts):
+        return starts, ends, np.zeros(chunk.n + 1, np.int64)
+    last = np.maximum.accumulate(np.where(_TAIL[chunk.data], -1, np.arange(len(chunk.data))))[ends - 1]
+    split = (last >= starts) & (last < ends - 1) & _PLAIN[chunk.data[last]]
+    cuts = np.sort(np.concatenate([starts, last[split] + 1]))
+    return cuts, np.sort(np.concatenate([ends, last[split] + 1])), np.searchsorted(cuts, chunk.offsets)
 
 
 class WordEncoder:
-    """Ids of texts by way of their words' ids, and of words by way of a stem and the signs after it."""
+    """Ids of texts by way of their pieces, of which up to a number are remembered by a 64-bit hash."""
 
-    def __init__(self, path: str, remembered: int = REMEMBERED_WORDS):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.remembered = Tokenizer.from_file(path), remembered
-        self.pieces: dict[bytes, bytes] = {}
         self.forget()
 
     def forget(self) -> None:
-        """Words go when they are too many, pieces too; more than one chunk's are never kept beyond that."""
-        self.place: dict[bytes, int] = {}
-        if len(self.pieces) > self.remembered:
-            self.pieces = {}
+        self.place: dict[int, int] = {}
         self.starts, self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
-    def learn(self, words: list[bytes]) -> None:
-        """The vocabulary lower-cases and always splits between a letter or digit and the signs of ``_TAIL``."""
-        split = [(w.lower() if w.isascii() and b"<" not in w else w) for w in words]
-        split = [m.groups() if (m := _TAIL.match(w)) else (w,) for w in split]
-        new = list(dict.fromkeys(p for pieces in split for p in pieces if p not in self.pieces))
-        got = self.tokenizer.encode_batch_fast([p.decode("utf-8") for p in new], add_special_tokens=False)
-        self.pieces.update(zip(new, [array("I", e.ids).tobytes() for e in got]))
-        ids = [self.pieces[p[0]] if len(p) == 1 else self.pieces[p[0]] + self.pieces[p[1]] for p in split]
-        self.place.update(zip(words, range(len(self.place), len(self.place) + len(words))))
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    def learn(self, hashes: list[int], pieces: list[bytes]) -> None:
+        got = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode("utf-8") for p in pieces], add_special_tokens=False)]
+        self.place.update(zip(hashes, range(len(self.place), len(self.place) + len(hashes))))
+        sizes = np.fromiter(map(len, got), np.int64, len(got))
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(ids), np.uint32)])
+        self.ids = np.concatenate([self.ids, np.array(list(chain.from_iterable(got)), np.uint32)])
 
     def encode(self, chunk: T.Chunk, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all documents of a chunk with the end id after each, and the documents' lengths."""
-        data, at = chunk.data.tobytes(), chunk.offsets.tolist()
-        texts = [data[a:b].split() for a, b in zip(at, at[1:])]
-        counts = np.fromiter(map(len, texts), np.int64, len(texts))
-        words = [w for t in texts for w in t]
-        new = [w for w in dict.fromkeys(words) if w not in self.place]
+        """Ids of all documents of a chunk with the end id after each, and the documents' lengths. The vocabulary
+        lower-cases; only names of special ids, which begin with ``<|``, depend on case."""
+        starts, ends, first = pieces_of(chunk)
+        if b"<|" not in chunk.data.tobytes():
+            chunk = chunk.lower()
+        hashes, sample, back = np.unique(chunk.hashes(starts, ends), return_index=True, return_inverse=True)
+        known = hashes.tolist()
+        new = [i for i, h in enumerate(known) if h not in self.place]
         if len(self.place) + len(new) > self.remembered:
             self.forget()
-            new = list(dict.fromkeys(words))
+            new = range(len(known))
         if new:
-            self.learn(new)
-        place = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+            data, a, b = chunk.data.tobytes(), starts[sample].tolist(), ends[sample].tolist()
+            self.learn([known[i] for i in new], [data[a[i]: b[i]] for i in new])
+        place = np.fromiter(map(self.place.__getitem__, known), np.int64, len(known))[back]
         sizes = self.sizes[place]
-        word_end = np.zeros(len(words) + 1, np.int64)
-        np.cumsum(sizes, out=word_end[1:])
-        doc_word = np.concatenate([[0], np.cumsum(counts)])
-        lengths = word_end[doc_word[1:]] - word_end[doc_word[:-1]] + 1
+        piece_end = np.zeros(len(place) + 1, np.int64)
+        np.cumsum(sizes, out=piece_end[1:])
+        lengths = piece_end[first[1:]] - piece_end[first[:-1]] + 1
         out = np.full(int(lengths.sum()), end_id, np.uint32)
-        source = np.repeat(self.starts[place] - word_end[:-1], sizes) + np.arange(word_end[-1])
-        target = np.arange(word_end[-1]) + np.repeat(np.arange(len(texts)), lengths - 1)
+        source = np.repeat(self.starts[place] - piece_end[:-1], sizes) + np.arange(piece_end[-1])
+        target = np.arange(piece_end[-1]) + np.repeat(np.arange(chunk.n), lengths - 1)
         out[target] = self.ids[source]
         return out, lengths
 
@@ -160,7 +167,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID,
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], [x.split()[0] for x in BLOCK_SCHEMA.split(", ")])
 
         for batch in batches:
-            for chunk in T.chunks(batch.column("text"), BLOCK_IDS * 4):
+            for chunk in T.chunks(batch.column("text"), BLOCK_IDS * 8):
                 some, sizes = encoder.encode(chunk, end_id)
                 ids.append(some)
                 lengths.append(sizes)
