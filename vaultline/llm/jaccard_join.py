@@ -1,19 +1,26 @@
 """N-gram Jaccard join through a token-group matrix.
 
-A document's set holds the hashes of its distinct 3-word shingles; documents of equal sets are one class. Two classes
-of similarity 0.9 or more differ in at most a ninth of the smaller set's tokens. Tokens are dealt to a few more parts
-than that by their hash; so at least one part holds the same tokens in both, and the classes that agree in a part are
-the candidates. (Sizes are cut into bands that fix the number of parts; a class also enters the band below where it can
-have a partner there. A class with more empty parts than the spare ones lists these too, others need not.)
-
-The classes that share parts with the same smallest class form its group. Each member is first compared with that
+A document's set holds the hashes of its distinct shingles; documents of equal sets are one class. Two kinds of marks
+bring the classes together that can be linked:
+
+* Parts, for sets of ``parts_from`` tokens or more. Linked sets differ in a bounded number of tokens. Tokens are dealt
+  to a few more parts than that by their hash, so at least one part holds the same tokens in both. (Sizes are cut into
+  bands that fix the number of parts; a class also enters the band below where it can have a partner there. A class
+  with more empty parts than the spare ones lists these too, others need not.) A part of several tokens is seldom
+  shared by chance, as single three-word shingles are.
+* Prefixes, for pairs whose smaller set is smaller than that: in any one order of all tokens, linked sets share one of
+  their first tokens, as many as they can differ in and one more. Tokens that several documents of one batch hold come
+  last, so that a passage which many documents share brings no two of them together. The order decides what is
+  compared, never what is found.
+
+The classes that share marks with the same smallest class form its group. Each member is first compared with that
 class. Members that aren't in one component with it are queries: the group is cut into groups of similar members, for
 each of which the union of tokens is kept, as rows of a matrix of tokens by members. A query's overlap with the union
 bounds its overlap with any member, and only groups that reach what the query needs are opened; members already in the
 query's component are passed over. No link between components is lost, and no pairs are emitted but links that join
 components.
 
-Filters that decide what needs to be shuffled have a fixed number of bits. A hot part costs one row a task before its
+Filters that decide what needs to be shuffled have a fixed number of bits. A hot mark costs one row a task before its
 counting, and the join back to it is an ordinary one that can be split; a large group is cut into units of bounded
 size, queries by members.
 
@@ -24,7 +31,9 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +50,9 @@ SHINGLE = 3
 PERCENT = 90
 
 BAND = 1.5
-PART_BITS = 26
+MARK_BITS = 26
+PARTS_FROM = 60
+COMMON = 3
 CLASS_BITS = 24
 GROUP = 32
 UNIT = 1024
@@ -66,26 +77,36 @@ def class_of(tokens: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(tokens.tobytes())
 
 
-def edges_of_bands(percent: int, most: int) -> list[int]:
-    """Smallest sizes of the bands; sizes below the first can only equal their partners."""
-    out = [-(-percent // (100 - percent))]
+def edges_of_bands(parts_from: int, most: int) -> list[int]:
+    """Smallest sizes of the bands."""
+    out = [parts_from]
     while out[-1] <= most:
         out.append(max(out[-1] + 1, int(out[-1] * BAND)))
     return out
 
 
-def parts_of(tokens: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+@lru_cache(4096)
+def number_of_parts(least: int, most: int, percent: int) -> tuple[int, int]:
+    """For a band of set sizes: one part more than two linked sets can differ in, and spare parts for those that stay
+    empty, a few deviations more than are expected; the sum, and the spare ones."""
+    needed, spare = most * (100 - percent) // percent + 1, 2
+    for _ in range(20):
+        n = needed + spare
+        empty = n * math.exp(-least / n)
+        spare = max(spare, math.ceil(empty + 4 * math.sqrt(empty)) + 1)
+    return needed + spare, spare
+
+
+def parts_of(tokens: np.ndarray, percent: int = PERCENT, parts_from: int = PARTS_FROM) -> np.ndarray:
     """Hashes of the parts of one set, for all bands that it belongs to."""
     size = len(tokens)
-    edges = edges_of_bands(percent, size)
+    edges = edges_of_bands(parts_from, size)
     band = int(np.searchsorted(edges, size, "right")) - 1
     out = []
     for b in (band, band - 1):
         if b < 0 or (b < band and percent * size > 100 * (edges[b + 1] - 1)):
             continue
-        differ = (edges[b + 1] - 1) * (100 - percent) // percent
-        spare = 2 + edges[b] // 200
-        n = differ + 1 + spare
+        n, spare = number_of_parts(edges[b], edges[b + 1] - 1, percent)
         scrambled = T.mix(tokens + T.U64(b + 1))
         part = ((scrambled >> T.U64(33)) % T.U64(n)).astype(np.int64)
         sums, filled = np.zeros(n, T.U64), np.zeros(n, bool)
@@ -96,6 +117,36 @@ def parts_of(tokens: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, T.U64)
 
 
+def prefix_of(tokens: np.ndarray, common: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """The first tokens of a set, by hash, those with a bit in ``common`` last."""
+    n = len(tokens) - -(-percent * len(tokens) // 100) + 1
+    return tokens[np.lexsort((tokens, has_bit(common, tokens)))[:n]]
+
+
+def in_prefixes(size: int, percent: int, parts_from: int | None) -> bool:
+    """Whether a set can have a partner of which the smaller one is below ``parts_from``."""
+    return parts_from is None or percent * size < 100 * parts_from
+
+
+def marks_of(tokens: np.ndarray, common: np.ndarray, percent: int, parts_from: int | None) -> np.ndarray:
+    prefix = T.mix(prefix_of(tokens, common, percent)) if in_prefixes(len(tokens), percent, parts_from) else np.zeros(0, T.U64)
+    parts = parts_of(tokens, percent, parts_from) if parts_from and len(tokens) >= parts_from else np.zeros(0, T.U64)
+    return np.concatenate([prefix, parts])
+
+
+def common_tokens(texts: DataFrame, n: int, percent: int, parts_from: int | None) -> np.ndarray:
+    """A filter of the tokens that ``COMMON`` classes or more of one batch hold, over all batches."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            sets = [s for _, s in dict(_by_class(part, n)).items() if in_prefixes(len(s), percent, parts_from)]
+            if sets:
+                tokens, times = np.unique(np.concatenate(sets), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(tokens[times >= COMMON].view(np.int64))], ["h"])
+
+    return bits_of(map_arrow(texts, run, "h long"), MARK_BITS)
+
+
 def _by_class(part: pa.RecordBatch, n: int) -> Iterator[tuple[bytes, np.ndarray]]:
     """The distinct classes of each chunk, with their sets; not the empty one."""
     for chunk in T.chunks(part.column("text")):
@@ -124,32 +175,33 @@ def classes(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
     return map_arrow(docs, run, schema)
 
 
-def candidate_stars(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``a, b``: each class with the smallest class of every part that it shares with another."""
-    texts = documents(docs).select("text")
+def candidate_stars(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, parts_from: int | None = PARTS_FROM) -> DataFrame:
+    """``a, b``: each class with the smallest class of every mark that it shares with another."""
+    texts, context = documents(docs).select("text"), docs.sparkSession.sparkContext
+    common = context.broadcast(common_tokens(texts, n, percent, parts_from))
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            found = [parts_of(s, percent) for _, s in _by_class(part, n)]
+            found = [marks_of(s, common.value, percent, parts_from) for _, s in _by_class(part, n)]
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["h"])
 
     shared = map_arrow(texts, count, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    filter_ = docs.sparkSession.sparkContext.broadcast(bits_of(shared.select("h"), PART_BITS))
+    repeated = context.broadcast(bits_of(shared.select("h"), MARK_BITS))
 
     def members(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = filter_.value
+        bits = repeated.value
         for part in parts:
             hashes, names = [], []
             for name, s in _by_class(part, n):
-                got = parts_of(s, percent)
+                got = marks_of(s, common.value, percent, parts_from)
                 got = got[has_bit(bits, got)]
                 hashes.append(got)
                 names.extend([name] * len(got))
             if names:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes).view(np.int64)), _binary(names)], ["h", "class"])
 
-    held = stored(map_arrow(texts, members, "h long, class binary"), "part-members")
+    held = stored(map_arrow(texts, members, "h long, class binary"), "mark-members")
     leaders = held.groupBy("h").agg(F.min("class").alias("a"), F.max("class").alias("z")).where("a <> z").select("h", "a")
     return held.join(leaders, "h").where("class <> a").select("a", F.col("class").alias("b")).distinct()
 
@@ -262,9 +314,9 @@ def compare_groups(stars: DataFrame, sets: DataFrame, labels: DataFrame, percent
     return units.groupBy("a", "block", "query_block").applyInArrow(run, "a binary, b binary")
 
 
-def link_classes(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def link_classes(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, parts_from: int | None = PARTS_FROM) -> DataFrame:
     """``v, label``: the component of every class that is linked with another."""
-    stars = stored(candidate_stars(docs, n, percent), "stars")
+    stars = stored(candidate_stars(docs, n, percent, parts_from), "stars")
     wanted = stars.select(F.col("a").alias("c")).unionByName(stars.select(F.col("b").alias("c"))).distinct()
     sets = stored(sets_of(docs, wanted, n), "sets")
     compared = stored(compare_stars(stars, sets, percent), "compared")
@@ -274,10 +326,10 @@ def link_classes(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> D
     return components(near.unionByName(more)) if more.limit(1).count() else labels
 
 
-def jaccard_join(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def jaccard_join(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, parts_from: int | None = PARTS_FROM) -> DataFrame:
     """One row per document: its set's size, its component's smallest id, and its row key."""
     held = stored(classes(docs, n), "classes")
-    labels = link_classes(docs, n, percent).select(F.col("v").alias("class"), "label")
+    labels = link_classes(docs, n, percent, parts_from).select(F.col("v").alias("class"), "label")
     placed = stored(held.join(labels, "class", "left").withColumn("label", F.coalesce("label", "class")), "placed")
     least = placed.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("component_id"))
     return placed.join(least, "label", "left").select(
@@ -285,10 +337,10 @@ def jaccard_join(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> D
     )
 
 
-def keep_one(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def keep_one(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, parts_from: int | None = PARTS_FROM) -> DataFrame:
     """One document of each component, with all its columns: the one of the smallest id (of equal ids, the smallest
     row key; rows alike in id and text are one). Documents without shingles stay."""
-    found = jaccard_join(docs, n, percent)
+    found = jaccard_join(docs, n, percent, parts_from)
     first = found.where("label is not null").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"].alias("row"))
     chosen = first.select(F.col("row").alias("_kept_row")).distinct()
     names = docs.columns

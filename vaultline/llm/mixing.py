@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vaultline.llm.common import stored
+from vaultline.llm.common import row_key, stored
 
 #: The sources' weights, repeating, and the most that a source may give.
 WEIGHTS = (1, 2, 3)
@@ -65,9 +65,10 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: in
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, range_rows: int = RANGE_ROWS) -> DataFrame:
     """One row per document: its size, its source's size and target, and the words that the mix takes of it."""
+    id_text = F.col("doc_id.doc_id" if docs.schema["doc_id"].dataType.typeName() == "struct" else "doc_id").cast("string")
     sized = stored(docs.select(
         F.col("doc_id").alias("doc_id"), F.col("source").alias("source"), size_of(F.col("text")).alias("size"),
-        F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("key"),
+        F.md5(F.coalesce(id_text, F.lit("")).cast("binary")).alias("key"),
     ), "mix-sizes")
     goals = stored(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs")), weights, max_epochs), "mix-targets")
     joined = sized.join(goals, sized["source"].eqNullSafe(goals["source"])).select(
@@ -87,3 +88,16 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = M
     rest = budget - epochs * F.col("source_size")
     cut = F.least(F.col("size"), F.greatest(F.lit(0), rest - F.col("before_range") - F.col("in_range")))
     return placed.select("doc_id", "size", "source_size", "target", (epochs * F.col("size") + cut).alias("taken"), "source", epochs.alias("epochs"))
+
+
+def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
+    """The mix as documents, with all their columns: each as often as it is taken whole, and once more if the cut takes
+    half of its words or more. Without words to take (size 0) a document stays once. Rows alike in id and text each
+    appear as often as the most taken of them."""
+    names = docs.columns
+    keyed = docs.select(F.struct(*[docs[c] for c in names]).alias("_doc"), row_key().alias("_row"))
+    rows = docs.select(F.struct("doc_id", row_key().alias("row")).alias("doc_id"), "source", "text")
+    times = F.when(F.col("size") == 0, 1).otherwise(F.floor(F.col("taken") / F.col("size") + 0.5)).cast("int")
+    taken = mix(rows, weights, max_epochs).select(F.col("doc_id.row").alias("_row"), times.alias("_times"))
+    taken = taken.groupBy("_row").agg(F.max("_times").alias("_times")).where("_times > 0")
+    return keyed.join(taken, "_row").select("_doc", F.explode(F.sequence(F.lit(1), "_times"))).select("_doc.*")
