@@ -61,6 +61,51 @@ def test_repeated_staged_key_is_refused(spark, tmp_path):
         load(spark, root, 2, 1, "2024-02-01", (1, 1), (1, 1))
 
 
+def test_repeated_new_key_is_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="not unique"):
+        load(spark, str(tmp_path), 1, None, "2024-01-01", (9, 1), (9, 2))
+    assert history_jobs.commits(spark, f"{tmp_path}/accounts") == {}
+
+
+@pytest.mark.parametrize("one_pass", [True, False])
+def test_refused_batch_is_no_part_of_a_later_history(spark, tmp_path, one_pass):
+    root, folder = str(tmp_path), f"{tmp_path}/accounts"
+    load(spark, root, 1, None, "2024-01-01", (1, 1), (2, 2), one_pass=one_pass)
+    with pytest.raises(ValueError, match="not unique"):
+        load(spark, root, 2, 1, "2024-02-01", (1, 5), (9, 9), (9, 9), one_pass=one_pass)
+    with pytest.raises(ValueError, match="not committed"):
+        history_jobs.read_history(spark, SPEC, folder, 2)
+    after = load(spark, root, 3, 1, "2024-03-01", (1, 7), (2, 2), one_pass=one_pass)["accounts"]
+    assert shown(after) == [(1, 1, "2024-01-01", "N"), (1, 7, "2024-03-01", "Y"), (2, 2, "2024-01-01", "Y")]
+    assert len(history_jobs.forget_attempts(spark, folder)) == 1
+
+
+@pytest.mark.parametrize("one_pass", [True, False])
+def test_bad_values_never_close_stored_rows(spark, tmp_path, one_pass):
+    root, spec = str(tmp_path), SPEC
+    text = lambda *pairs: spark.createDataFrame(list(pairs), "id string, v string")
+
+    def run(batch, previous, day, stg, **options):
+        if one_pass:
+            return history_jobs.advance_file(stg, spec, root, batch, previous, day, **options)
+        history_jobs.write_delta(stg, spec, root, batch, previous, **options)
+        return history_jobs.apply_delta(spark, spec, root, batch, previous, day)
+
+    run(1, None, "2024-01-01", text(("1", "1"), ("2", "2"), ("3", "3")))
+    bad = text(("1x", "5"), ("2", "bad"), (None, "1"), ("4", "4"))
+    with pytest.raises(ValueError, match="3 staged rows cannot be loaded"):
+        run(2, 1, "2024-02-01", bad)
+    assert set(history_jobs.commits(spark, root)) == {1}
+    after = run(2, 1, "2024-02-01", bad, on_bad="quarantine")
+    assert shown(after) == [(1, 1, "2024-01-01", "Y"), (2, 2, "2024-01-01", "Y"), (3, 3, "2024-01-01", "Y"), (4, 4, "2024-02-01", "Y")]
+    kept = history_jobs.read_quarantine(spark, spec, root, 2)
+    assert sorted((r.id or "", r.v, tuple(r.load_reasons)) for r in kept.collect()) == [
+        ("", "1", ("id: missing",)), ("1x", "5", ("id: unreadable",)), ("2", "bad", ("v: unreadable",))]
+    # Where every key can be read, absence still removes.
+    again = run(3, 2, "2024-03-01", text(("1", "1"), ("2", "bad"), ("4", "4")), on_bad="quarantine")
+    assert [r for r in shown(again) if r[3] == "N"] == [(3, 3, "2024-01-01", "N")]
+
+
 def test_current_rows_are_pruned_by_partition(spark, tmp_path, plan):
     root = str(tmp_path)
     load(spark, root, 1, None, "2024-01-01", (1, 1))

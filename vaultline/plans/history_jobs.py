@@ -1,71 +1,157 @@
 """History loads with storage.
 
-A history folder is partitioned by ``batch`` and ``curr_ind``. Each batch writes the rows that are
-current after it and the versions it closed; so the history at a batch is its current rows and the
-closed versions of all batches up to it. Nothing that may be read is overwritten, a batch that
-failed can simply run again, and closed versions are written once. The batch id is the caller's.
+A history folder is partitioned by ``batch``, ``attempt`` and ``curr_ind``. Each attempt at a batch writes the rows
+that are current after it and the versions it closed. It is checked where it lies, and only then named in the
+manifest (``commits``) with the batch it builds on; readers follow that chain, so a refused attempt, or a batch that
+another one bypassed, is never part of a history. Nothing that may be read is overwritten, a batch can run again, and
+closed versions are written once. The batch id is the caller's; ``forget_attempts`` names the folders that no commit
+needs.
+
+Staged rows that cannot be loaded (a value that its type cannot hold, a natural key without a value) end the load
+before anything is published; with ``on_bad="quarantine"`` they are stored with their reasons instead, and stored rows
+that only they could have matched stay as they are.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from vaultline.functions.keys import any_null
 from vaultline.operators import cdc, conform, scd2
 from vaultline.specs import CURRENT, OPERATION, ColumnSpec, TableSpec
 
 
+MANIFEST = "batch bigint, previous_batch bigint, attempt string"
+
+
+def commits(spark: SparkSession, root: str) -> dict[int, tuple[int | None, str]]:
+    """The manifest: per committed batch the batch it builds on and its attempt. One row per batch of one table."""
+    path = f"{root}/commits"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return {}
+    rows = spark.read.schema(MANIFEST).parquet(path).collect()
+    return {r.batch: (r.previous_batch, r.attempt) for r in rows}
+
+
+def chain(spark: SparkSession, root: str, batch_id: int) -> list[str]:
+    """The attempts that make up the history at a batch, the batch's own first."""
+    known, out, batch = commits(spark, root), [], batch_id
+    while batch is not None:
+        if batch not in known:
+            raise ValueError(f"{root}: batch {batch} is not committed")
+        batch, attempt = known[batch]
+        out.append(attempt)
+    return out
+
+
+def _commit(spark: SparkSession, root: str, batch_id: int, previous_batch: int | None, attempt: str) -> None:
+    row = spark.createDataFrame([(batch_id, previous_batch, attempt)], MANIFEST)
+    row.coalesce(1).drop("batch").write.mode("overwrite").parquet(f"{root}/commits/batch={batch_id}")
+
+
 def read_current(spark: SparkSession, spec: TableSpec, root: str, batch_id: int) -> DataFrame:
-    return _stored(spark, spec, root).where((F.col("batch") == batch_id) & (F.col(CURRENT) == "Y")).select(*_names(spec))
+    return _current(spark, spec, root, chain(spark, root, batch_id)[0], batch_id).select(*_names(spec))
 
 
 def read_history(spark: SparkSession, spec: TableSpec, root: str, batch_id: int) -> DataFrame:
-    """The whole history as of a batch; other batches' current rows are pruned by partition."""
-    current = (F.col("batch") == batch_id) & (F.col(CURRENT) == "Y")
-    closed = (F.col("batch") <= batch_id) & (F.col(CURRENT) == "N")
+    """The whole history as of a batch; what is not in its chain is pruned by partition."""
+    attempts = chain(spark, root, batch_id)
+    current = (F.col("attempt") == attempts[0]) & (F.col(CURRENT) == "Y")
+    closed = F.col("attempt").isin(attempts) & (F.col(CURRENT) == "N")
     return _stored(spark, spec, root).where(current | closed).select(*_names(spec))
 
 
 def read_changes(spark: SparkSession, spec: TableSpec, root: str, batch_id: int) -> DataFrame:
     """The delta of a batch that ``advance_file`` wrote."""
     columns = [c.name for c in conform.delta_columns(spec)]
-    changed = (F.col("batch") == batch_id) & F.col(OPERATION).isNotNull()
+    attempt = chain(spark, root, batch_id)[0]
+    changed = (F.col("batch") == batch_id) & (F.col("attempt") == attempt) & F.col(OPERATION).isNotNull()
     return _stored(spark, spec, root).where(changed).select(*columns)
 
 
+def forget_attempts(spark: SparkSession, root: str) -> list[str]:
+    """Attempts in the folder that no commit names: what failed, was refused, or ran again."""
+    used = [attempt for _, attempt in commits(spark, root).values()]
+    return sorted(r[0] for r in spark.read.parquet(f"{root}/history").select("attempt").distinct().collect() if r[0] not in used)
+
+
+def read_quarantine(spark: SparkSession, spec: TableSpec, root: str, batch_id: int) -> DataFrame:
+    """The staged rows that a batch left out, as they were, with their reasons."""
+    return spark.read.parquet(f"{root}/quarantine/batch={batch_id}")
+
+
 def empty_history(spark: SparkSession, spec: TableSpec) -> DataFrame:
     return spark.createDataFrame([], _ddl(conform.history_columns(spec)))
 
 
+def _usable(stg: DataFrame, spec: TableSpec, root: str, batch_id: int, on_bad: str) -> tuple[DataFrame, Observation | None]:
+    """The staged rows to load. By default bad rows are counted in the pass that loads the others, and
+    ``_refuse_bad`` ends the load; ``quarantine`` stores them apart."""
+    if on_bad not in ("error", "quarantine"):
+        raise ValueError(f"on_bad must be error or quarantine, not {on_bad}")
+    marked = conform.with_reasons(stg, conform.staging_columns(spec))
+    good = F.size(conform.REASONS) == 0
+    if on_bad == "quarantine":
+        raw = stg.select("*", conform.with_reasons_column(stg, conform.staging_columns(spec)))
+        raw.where(F.size(conform.REASONS) > 0).write.mode("overwrite").parquet(f"{root}/quarantine/batch={batch_id}")
+        return marked.where(good).drop(conform.REASONS), None
+    seen = Observation()
+    counted = marked.observe(seen, F.count_if(~good).alias("bad"), F.min(F.when(~good, F.col(conform.REASONS)[0])).alias("example"))
+    return counted.where(good).drop(conform.REASONS), seen
+
+
+def _refuse_bad(seen: Observation | None, spec: TableSpec) -> None:
+    if seen is not None and seen.get["bad"]:
+        raise ValueError(f"{spec.table}: {seen.get['bad']} staged rows cannot be loaded, such as {seen.get['example']}")
+
+
+def _publish(
+    after: DataFrame, spec: TableSpec, root: str, batch_id: int, previous_batch: int | None, seen: Observation | None = None
+) -> DataFrame:
+    """Writes an attempt, checks it, and commits it."""
+    spark, attempt = after.sparkSession, uuid.uuid4().hex
+    after.write.partitionBy(CURRENT).parquet(f"{root}/history/batch={batch_id}/attempt={attempt}")
+    _refuse_bad(seen, spec)
+    current = _current(spark, spec, root, attempt, batch_id).dropna(subset=spec.keys)
+    if not scd2.key_violations(current, spec).isEmpty():
+        raise ValueError(f"{spec.table}: a natural key is not unique")
+    _commit(spark, root, batch_id, previous_batch, attempt)
+    return read_history(spark, spec, root, batch_id)
+
+
 def advance_file(
     stg: DataFrame, spec: TableSpec, root: str, batch_id: int, previous_batch: int | None, file_date: datetime | str,
-    **options,
+    *, on_bad: str = "error", **options,
 ) -> DataFrame:
-    """Delta and apply in one join and one write. Fails if a repeated staged key repeated its stored
-    row, which the row count shows; the batch can then be loaded by ``write_delta`` and ``apply_delta``."""
-    spark = stg.sparkSession
-    before = _before(spark, spec, root, previous_batch)
-    path = f"{root}/history/batch={batch_id}"
-    after = scd2.advance(conform.to_staging(stg, spec), before, spec, file_date, **options)
-    after.write.mode("overwrite").partitionBy(CURRENT).parquet(path)
-    carried = _stored(spark, spec, root).where(F.col("batch") == batch_id).agg(scd2.before_rows()).first()[0]
-    if carried != before.count():
-        raise ValueError(f"{spec.table}: a staged natural key is not unique")
-    return read_history(spark, spec, root, batch_id)
+    """Delta and apply in one join and one write."""
+    before = _before(stg.sparkSession, spec, root, previous_batch)
+    usable, seen = _usable(stg, spec, root, batch_id, on_bad)
+    held, kept, options = _held(stg, before, spec, on_bad, options)
+    after = scd2.advance(usable, held, spec, file_date, **options)
+    return _publish(_with(after, kept), spec, root, batch_id, previous_batch, seen)
 
 
 def write_delta(
-    stg: DataFrame, spec: TableSpec, root: str, batch_id: int, previous_batch: int | None, **options
+    stg: DataFrame, spec: TableSpec, root: str, batch_id: int, previous_batch: int | None, *, on_bad: str = "error", **options
 ) -> DataFrame:
-    """Stores the delta of a snapshot against the previous batch. Running it again replaces it."""
+    """Stores the delta of a snapshot against the previous batch. Running it again replaces it; a refused one is
+    left without its commit file."""
     spark = stg.sparkSession
     before = _before(spark, spec, root, previous_batch)
     path = f"{root}/delta/batch={batch_id}"
-    cdc.delta(conform.to_staging(stg, spec), before, spec, **options).write.mode("overwrite").parquet(path)
+    usable, seen = _usable(stg, spec, root, batch_id, on_bad)
+    held, _, options = _held(stg, before, spec, on_bad, options)
+    draft = f"{root}/draft/{uuid.uuid4().hex}"
+    cdc.delta(usable, held, spec, **options).write.parquet(draft)
+    _refuse_bad(seen, spec)
+    spark.read.parquet(draft).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
@@ -76,8 +162,7 @@ def apply_delta(
     delta = spark.read.parquet(f"{root}/delta/batch={batch_id}")
     before = _before(spark, spec, root, previous_batch)
     after = scd2.close_current(before, delta, spec, file_date).unionByName(scd2.open_versions(delta, spec, file_date))
-    after.write.mode("overwrite").partitionBy(CURRENT).parquet(f"{root}/history/batch={batch_id}")
-    return read_history(spark, spec, root, batch_id)
+    return _publish(after, spec, root, batch_id, previous_batch)
 
 
 def load_group(
@@ -100,6 +185,32 @@ def load_group(
         return dict(zip([s.table for s in files], pool.map(load, files), strict=True))
 
 
+def _held(
+    stg: DataFrame, before: DataFrame, spec: TableSpec, on_bad: str, options: dict
+) -> tuple[DataFrame, DataFrame | None, dict]:
+    """The stored rows to compare, those to carry on as they are, and the options of the comparison.
+
+    What could not be read is not what was removed: stored rows with the key of a quarantined row are carried on; and
+    if a quarantined row's key itself could not be read, any stored row may be meant, so absence removes none.
+    """
+    options = {"on_null_key": "error", **options}
+    if on_bad != "quarantine":
+        return before, None, options
+    marked = conform.with_reasons(stg, conform.staging_columns(spec)).where(F.size(conform.REASONS) > 0)
+    if not marked.where(any_null(spec.keys)).isEmpty():
+        options["snapshot_type"] = "DELTA"
+    keys = marked.select(*spec.keys).dropna().distinct()
+    return before.join(keys, spec.keys, "left_anti"), before.join(keys, spec.keys, "left_semi").select(*before.columns), options
+
+
+def _with(after: DataFrame, kept: DataFrame | None) -> DataFrame:
+    return after if kept is None else after.unionByName(kept, allowMissingColumns=True)
+
+
+def _current(spark: SparkSession, spec: TableSpec, root: str, attempt: str, batch_id: int) -> DataFrame:
+    return _stored(spark, spec, root).where((F.col("batch") == batch_id) & (F.col("attempt") == attempt) & (F.col(CURRENT) == "Y"))
+
+
 def _before(spark: SparkSession, spec: TableSpec, root: str, previous_batch: int | None) -> DataFrame:
     return empty_history(spark, spec) if previous_batch is None else read_current(spark, spec, root, previous_batch)
 
@@ -107,7 +218,7 @@ def _before(spark: SparkSession, spec: TableSpec, root: str, previous_batch: int
 def _stored(spark: SparkSession, spec: TableSpec, root: str) -> DataFrame:
     """All batches in one schema; operation and flags are NULL where a delta was stored apart."""
     columns = [*conform.delta_columns(spec), *conform.VERSION_COLUMNS]
-    return spark.read.schema(_ddl(columns) + ", batch bigint").parquet(f"{root}/history")
+    return spark.read.schema(_ddl(columns) + ", batch bigint, attempt string").parquet(f"{root}/history")
 
 
 def _names(spec: TableSpec) -> list[str]:
