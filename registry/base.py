@@ -61,7 +61,7 @@ def _needed(text: str, seen: list[str]) -> list[str]:
 
 def oracle(text: str) -> str:
     """The SQL check: ``text`` with every derived input it names put before it."""
-    parts = [f"{n} as (\n{_duck(INPUTS[n]).strip()}\n)" for n in _needed(text, [])]
+    parts = [f"{n} as materialized (\n{_duck(INPUTS[n]).strip()}\n)" for n in _needed(text, [])]
     body = _duck(text).strip()
     if not parts:
         return body

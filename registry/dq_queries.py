@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from registry.base import AS_OF, LOAD_TIME, Data, query
 from registry.cdc_queries import CUSTOMER, ORDERS, PART, shown, with_doubles
 from vaultline.operators import checks, report, screens
+from vaultline.plans.materialize import store_addressed
 from vaultline.specs import CheckSpec, ScreenSpec
 
 ORDER_SCREENS = (
@@ -106,14 +107,12 @@ def dq_reject_filter(data):
     return with_doubles(shown(screens.accepted(data["fx_orders_stg"], ORDER_SCREENS, ORDERS)), "o_orderkey")
 
 
-# By the event log rows are known by their key text, so every row without a key shares one id.
-@query("dq_reject_by_events", REJECTED + """
-   and (o_orderkey is not null or not exists
-        (select 1 from {fx_orders_stg} where o_orderkey is null and o_orderpriority is null))
-""")
+# By the event log: rows are known by their address, so rows without a key, or with a repeated one, stay apart.
+@query("dq_reject_by_events", REJECTED)
 def dq_reject_by_events(data):
-    kept = screens.without_rejected(data["fx_orders_stg"], validated(data).events, ORDERS)
-    return with_doubles(shown(kept), "o_orderkey")
+    stored = store_addressed(data["fx_orders_stg"])
+    events = screens.validate(stored, ORDER_SCREENS, ORDERS, data["fx_batches"], LOAD_TIME).events
+    return with_doubles(shown(screens.without_rejected(stored, events, ORDERS).drop(screens.ROW_ADDRESS)), "o_orderkey")
 
 
 @query("dq_event_summary", f"select screen_id, exception_action, count(*) as event_count from ({events_sql([1, 2, 3])}) e group by screen_id, exception_action")
@@ -159,6 +158,17 @@ def volume_variance(data):
 query("dq_day_variance", DAY_VARIANCE)(day_variance)
 
 
+# Groups of two columns, either of which may be missing; such groups take no part.
+@query("dq_day_variance_null_groups", """
+select max(cast((y.n - t.n) * 100 as bigint) // nullif(y.n, 0)) as variance
+  from (select team, size, count(event_id) as n from {fx_teams} where cast(ts as date) = date '2024-01-29' group by team, size) y
+  join (select team, size, count(event_id) as n from {fx_teams} where cast(ts as date) = date '2024-01-30' group by team, size) t
+    on y.team = t.team and y.size = t.size
+""")
+def dq_day_variance_null_groups(data):
+    return checks.day_variance(data["fx_teams"], "event_id", "ts", ["team", "size"], AS_OF)
+
+
 @query("dq_day_variance_absolute", DAY_VARIANCE.replace("max(cast(", "max(abs(cast(").replace("nullif(y.n, 0))", "nullif(y.n, 0)))"))
 def dq_day_variance_absolute(data):
     return checks.day_variance(data["events"], "event_id", "ts", ["event_type"], AS_OF, absolute=True)

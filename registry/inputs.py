@@ -346,3 +346,10 @@ union all
 select case when ChildTable like 'CMMS_PART%' then 'PRD' else 'SRM' end, FKConstraintName, ChildTable, ChildColumn, ColumnPosition
   from {fx_fk}
 """
+
+# --- Day-over-day groups of two columns. On the later day most of a group without a team is gone. ---------------
+INPUTS["fx_teams"] = """
+select event_id, ts, case when event_type = 'click' then null else event_type end as team,
+       case when value < 50 then 'small' when value < 95 then 'large' else null end as size
+  from {events} where not (event_type = 'click' and value < 90 and cast(ts as date) = date '2024-01-30')
+"""

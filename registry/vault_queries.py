@@ -1,12 +1,11 @@
 """Hub, link, satellite and reference loads, and their integrity."""
 
-from functools import partial
 
 from pyspark.sql import functions as F
 
 from registry.base import LOAD_TIME, query
 from registry.cdc_queries import shown
-from vaultline.functions.hashing import CONVERTED_LENGTH, md5_key
+from vaultline.functions.hashing import md5_key
 from vaultline.operators import conform, integrity, vault
 from vaultline.specs import ColumnSpec, HubSource, HubSpec, LinkSource, LinkSpec, SatSpec
 
@@ -49,25 +48,21 @@ def md5(*columns: str) -> str:
     return f"md5(concat({', '.join(part for c in columns for part in (text(c), chr(39) + '|' + chr(39)))}))"
 
 
-# The whole text counts; beside it the host's form of the hash, which converts to 100 characters.
 @query("vault_hash_key", f"""
-select 'customer' as src, c_custkey as id, {md5('c_acctbal', 'c_custkey', 'c_mktsegment')} as key_hash,
-       {md5('c_mktsegment')} as converted_hash
+select 'customer' as src, c_custkey as id, {md5('c_acctbal', 'c_custkey', 'c_mktsegment')} as key_hash
   from (select c_custkey, cast(c_acctbal as decimal(18,2)) as c_acctbal, c_mktsegment from {{customer}}) c
 union all
-select 'documents', doc_id, md5(concat({text('lang')}, '|', {text('text')}, '|')),
-       md5(concat(coalesce(rtrim(left(text, 100)), 'NA'), '|'))
+select 'documents', doc_id, md5(concat({text('lang')}, '|', {text('text')}, '|'))
   from {{documents}}
 """)
 def vault_hash_key(data):
     customer = data["customer"].withColumn("c_acctbal", F.col("c_acctbal").cast("decimal(18,2)"))
-    cut = partial(md5_key, max_len=CONVERTED_LENGTH)
     return customer.select(
         F.lit("customer").alias("src"), F.col("c_custkey").alias("id"),
-        md5_key(["c_custkey", "c_acctbal", "c_mktsegment"]).alias("key_hash"), cut(["c_mktsegment"]).alias("converted_hash"),
+        md5_key(["c_custkey", "c_acctbal", "c_mktsegment"]).alias("key_hash"),
     ).unionByName(data["documents"].select(
         F.lit("documents").alias("src"), F.col("doc_id").alias("id"),
-        md5_key(["text", "lang"]).alias("key_hash"), cut(["text"]).alias("converted_hash"),
+        md5_key(["text", "lang"]).alias("key_hash"),
     ))
 
 

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from vaultline.operators import checks, report, screens
 from vaultline.plans import quality_jobs
+from vaultline.plans.materialize import store_addressed
 from vaultline.specs import CheckSpec, ColumnSpec, ScreenSpec, TableSpec
 
 LOG = "2024-02-01 00:00:00"
@@ -96,13 +97,30 @@ def test_metadata_is_checked():
 def test_events_are_kept_when_a_stop_is_raised(spark, orders, batches, tmp_path):
     path = str(tmp_path / "events")
     with pytest.raises(screens.DQStop):
-        quality_jobs.validate_file(orders, SCREENS, SPEC, batches, LOG, path)
+        quality_jobs.validate_file(orders, SCREENS, SPEC, batches, LOG, path, 1)
     assert spark.read.parquet(path).count() == 5
-    rest = quality_jobs.validate_file(orders.withColumn("status", F.lit("O")), SCREENS, SPEC, batches, LOG, path)
+    rest = quality_jobs.validate_file(orders.withColumn("status", F.lit("O")), SCREENS, SPEC, batches, LOG, path, 2)
     assert rest.count() == 3
     with pytest.raises(screens.DQStop):
-        quality_jobs.validate_group([(SPEC, orders)], SCREENS, 9, batches, LOG, path)
-    assert spark.read.parquet(path).count() == 5 + 4 + 5
+        quality_jobs.validate_group([(SPEC, orders)], SCREENS, 9, batches, LOG, str(tmp_path / "group"), 3)
+    assert spark.read.parquet(path).count() == 5 + 4
+    # A rerun replaces its part of the log.
+    quality_jobs.validate_file(orders.withColumn("status", F.lit("O")), SCREENS, SPEC, batches, LOG, path, 2)
+    assert spark.read.parquet(path).count() == 5 + 4
+
+
+def test_rows_with_clashing_key_texts_stay_apart(spark, batches, tmp_path):
+    """Key texts that are equal for different keys, missing keys and repeated rows: only the rows refused go."""
+    spec = TableSpec("t", (ColumnSpec("a", is_key=True), ColumnSpec("b", is_key=True), ColumnSpec("v", "int")), 1)
+    data = spark.createDataFrame([("x|y", "z", 1), ("x", "y|z", 2), (None, "z", 1), (None, "z", 2), ("p", "q", 2), ("p", "q", 2)], "a string, b string, v int")
+    stored = store_addressed(data, str(tmp_path / "rows"))
+    screen = [ScreenSpec(1, 1, 1, "REJECT", "v = 1")]
+    events = screens.validate(stored, screen, spec, batches, LOG).events
+    kept = screens.without_rejected(stored, events, spec).drop(screens.ROW_ADDRESS)
+    assert sorted(map(str, kept.collect())) == sorted(map(str, data.where("v = 2").collect()))
+    by_query = [*screen, ScreenSpec(2, 1, 2, "REJECT", query=lambda: spark.createDataFrame([("p|q",)], "row_id string"))]
+    rest = quality_jobs.validate_file(data, by_query, spec, batches, LOG, str(tmp_path / "events"), 1)
+    assert rest.columns == ["a", "b", "v"] and sorted(r.b for r in rest.collect()) == ["y|z", "z"]
 
 
 @pytest.mark.parametrize("value, low, high, passed", [

@@ -74,11 +74,12 @@ def day_variance(
 ) -> DataFrame:
     """The largest loss against the day before, over the groups present on both days, in whole percent.
 
-    One scan of the two days counts both; the group keys stay separate columns.
+    One scan of the two days counts both; the group keys stay separate columns. A group with a missing part belongs to
+    no day: it equals none of the other.
     """
     today, yesterday = on_day(day_column, as_of), on_day(day_column, _midnight(as_of) - timedelta(days=1))
     counts = (
-        df.where(today | yesterday)
+        df.where(today | yesterday).dropna(subset=list(groups))
         .groupBy(*groups)
         .agg(
             F.count_if(yesterday).alias("rows_before"), F.count_if(today).alias("rows_now"),

@@ -182,7 +182,7 @@ def _staged(catalog_rows: DataFrame, ref: DataFrame) -> DataFrame:
 
 
 def _system() -> Column:
-    return F.substring("table_schema", SYSTEM_START, 100)
+    return F.substr(F.col("table_schema"), F.lit(SYSTEM_START))
 
 
 def _vault_schema() -> Column:

@@ -17,6 +17,8 @@ from vaultline.functions.skew import lookup
 from vaultline.specs import REJECT, STOP, ScreenSpec, TableSpec
 
 LAST_ORDER = 2**31 - 1
+# Where a row is stored, in frames that ``materialize.store_addressed`` gives, and in their events.
+ROW_ADDRESS = "row_address"
 
 
 class DQStop(Exception):
@@ -58,18 +60,20 @@ def failing(df: DataFrame, screens: Sequence[ScreenSpec], spec: TableSpec) -> Da
     """One row per failing row and screen. All predicate screens share one scan, and rows that pass
     every screen are dropped in that scan; query screens bring their own rows."""
     parts = []
+    address = F.col(ROW_ADDRESS) if ROW_ADDRESS in df.columns else F.lit(None).cast("string")
     predicates = [s for s in screens if s.predicate is not None]
     if predicates:
         hits = F.array(*[F.when(F.expr(s.predicate), _tag(s)) for s in predicates])
         parts.append(
             df.where(_any(predicates))
-            .select(row_id(spec.keys).alias("row_id"), F.explode(hits).alias("hit"))
+            .select(row_id(spec.keys).alias("row_id"), address.alias(ROW_ADDRESS), F.explode(hits).alias("hit"))
             .where(F.col("hit").isNotNull())
-            .select("hit.*", "row_id")
+            .select("hit.*", "row_id", ROW_ADDRESS)
         )
     for s in screens:
         if s.query is not None:
-            parts.append(s.query().select(_tag(s).alias("hit"), "row_id").select("hit.*", "row_id"))
+            named = s.query().select(_tag(s).alias("hit"), "row_id", F.lit(None).cast("string").alias(ROW_ADDRESS))
+            parts.append(named.select("hit.*", "row_id", ROW_ADDRESS))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -153,13 +157,14 @@ def accepted(df: DataFrame, screens: Iterable[ScreenSpec], spec: TableSpec) -> D
 def without_rejected(df: DataFrame, events: DataFrame, spec: TableSpec) -> DataFrame:
     """Rows that have no REJECT event, from a stored event log.
 
-    Rows are known by their key text, so those without a key share one id, however many they are;
-    ``accepted`` tells them apart.
+    Where both have a row address, events of predicate screens refuse exactly their rows. Events of query screens,
+    and those of frames without addresses, know rows by their key text alone.
     """
-    refused = (
-        events.where((F.col("exception_action") == REJECT) & (F.col("src_file_id") == spec.file_id))
-        .select(F.col("row_id").alias("_row_id")).distinct()
-    )
+    rejects = events.where((F.col("exception_action") == REJECT) & (F.col("src_file_id") == spec.file_id))
+    if ROW_ADDRESS in df.columns:
+        df = df.join(rejects.where(F.col(ROW_ADDRESS).isNotNull()).select(ROW_ADDRESS).distinct(), ROW_ADDRESS, "left_anti").select(*df.columns)
+        rejects = rejects.where(F.col(ROW_ADDRESS).isNull())
+    refused = rejects.select(F.col("row_id").alias("_row_id")).distinct()
     tagged = df.withColumn("_row_id", row_id(spec.keys))
     marked = lookup(tagged, refused.withColumn("_refused", F.lit(True)), ["_row_id"])
     return marked.where(F.col("_refused").isNull()).select(*df.columns)
@@ -185,7 +190,7 @@ def _events(rows: DataFrame, spec: TableSpec, batches: DataFrame, log_time: date
     batch = batches.where(F.col("src_file_id") == spec.file_id).agg(F.max("batch_id")).scalar()
     return rows.select(
         "screen_order", "screen_id", batch.alias("batch_id"), F.lit(spec.file_id).alias("src_file_id"),
-        timestamp(log_time).alias("log_dt"), "exception_action", "row_id", F.lit(spec.table).alias("table_nm"),
+        timestamp(log_time).alias("log_dt"), "exception_action", "row_id", F.lit(spec.table).alias("table_nm"), ROW_ADDRESS,
     )
 
 

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from vaultline.operators.screens import ROW_ADDRESS
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -27,3 +31,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """A reliable checkpoint: later branches read the stored rows and survive lost executors."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def store_addressed(df: DataFrame, path: str | None = None) -> DataFrame:
+    """``df`` written once (to a new folder of those that the cluster shares, if none is given) and read back, each row
+    with its address: the file and its place there. No two rows share one, whatever they hold."""
+    spark = df.sparkSession
+    if path is None:
+        ensure_checkpoint_dir(spark)
+        path = f"{spark.sparkContext.getCheckpointDir()}/rows-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    address = F.concat_ws("#", F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    return spark.read.schema(df.schema).parquet(path).select("*", address.alias(ROW_ADDRESS))

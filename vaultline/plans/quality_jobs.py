@@ -8,30 +8,41 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from vaultline.operators import checks, screens
-from vaultline.specs import CheckSpec, ScreenSpec, TableSpec
+from vaultline.plans.materialize import store_addressed
+from vaultline.specs import REJECT, CheckSpec, ScreenSpec, TableSpec
 
 
 def validate_file(
     df: DataFrame, file_screens: Iterable[ScreenSpec], spec: TableSpec, batches: DataFrame, log_time: datetime | str,
-    events_path: str,
+    events_path: str, run_id: str | int,
 ) -> DataFrame:
-    """Logs the events of a file and returns the rows to go on with, unless a STOP screen failed."""
+    """Logs the events of a file and returns the rows to go on with, unless a STOP screen failed.
+
+    ``run_id`` names the file's part of the log: running it again replaces that part. Where a query screen rejects,
+    the rows are stored once with their addresses, and what is refused is read from the stored log.
+    """
     file_screens = list(file_screens)
+    rejects = [s for s in screens.in_order(file_screens, spec.file_id) if s.action == REJECT]
+    by_events = any(s.predicate is None for s in rejects)
+    columns = df.columns
+    if by_events:
+        df = store_addressed(df)
     result = screens.validate(df, file_screens, spec, batches, log_time)
-    result.events.write.mode("append").parquet(events_path)
+    path = f"{events_path}/run_id={run_id}/file_id={spec.file_id}"
+    result.events.write.mode("overwrite").parquet(path)
     result.raise_on_stop()
-    mine = screens.in_order(file_screens, spec.file_id)
-    if all(s.predicate is not None for s in mine):
-        return screens.accepted(df, mine, spec)
-    return screens.without_rejected(df, result.events, spec)
+    if not by_events:
+        return screens.accepted(df, rejects, spec)
+    stored = df.sparkSession.read.schema(result.events.schema).parquet(path)
+    return screens.without_rejected(df, stored, spec).select(*columns)
 
 
 def validate_group(
     files: Iterable[tuple[TableSpec, DataFrame]], group_screens: Iterable[ScreenSpec], group_id: int,
-    batches: DataFrame, log_time: datetime | str, events_path: str,
+    batches: DataFrame, log_time: datetime | str, events_path: str, run_id: str | int,
 ) -> None:
     result = screens.validate_group(files, group_screens, group_id, batches, log_time)
-    result.events.write.mode("append").parquet(events_path)
+    result.events.write.mode("overwrite").parquet(f"{events_path}/run_id={run_id}/group_id={group_id}")
     result.raise_on_stop()
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -25,7 +27,9 @@ def spark_type(data_type: str, length: int | None = None, scale: int | None = No
     name = data_type.upper()
     if name in DECIMAL_TYPES:
         return f"decimal({length or 38},{scale or 0})" if length else "decimal(38,10)"
-    return SPARK_TYPES.get(name, "string")
+    if name not in SPARK_TYPES:
+        raise ValueError(f"unknown data type {data_type}")
+    return SPARK_TYPES[name]
 
 
 def table_specs(files: DataFrame, columns: DataFrame, group_id: int | None = None) -> list[TableSpec]:
@@ -58,7 +62,7 @@ def screen_specs(screens: DataFrame, file_ids: Sequence[int]) -> list[ScreenSpec
     spark, out = screens.sparkSession, []
     for r in screens.where(F.col("SRC_FILE_ID").isin(*file_ids)).orderBy("SRC_FILE_ID", "SCREEN_ORDER").collect():
         text = r.SCREEN_SQL.strip()
-        is_query = text.split(None, 1)[0].lower() in ("select", "with")
+        is_query = _begins(text) in ("select", "with")
         out.append(ScreenSpec(
             r.SCREEN_ID, r.SRC_FILE_ID, r.SCREEN_ORDER, r.EXCEPTION_ACTION,
             predicate=None if is_query else text,
@@ -128,6 +132,15 @@ def sat_specs(
     return specs
 
 
+def _begins(text: str) -> str:
+    """The first word of a SQL text, after comments and opening brackets."""
+    rest = re.sub(r"^(?:\s+|--[^\n]*(?:\n|$)|/\*.*?\*/|\()+", "", text, flags=re.DOTALL)
+    word = re.match(r"\w+", rest)
+    if not rest:
+        raise ValueError("a screen has no text")
+    return word[0].lower() if word else ""
+
+
 def _grouped(mapping: DataFrame, schema_column: str, name_column: str, schema: str | None, name: str | None):
     every = (None, "NULL", "ALL")
     if schema not in every:
@@ -144,5 +157,5 @@ def _by(rows: Iterable[Row], *columns: str) -> dict[tuple, list[Row]]:
     return dict(sorted(groups.items(), key=lambda item: tuple(str(v) for v in item[0])))
 
 
-def _number(value) -> float | None:
-    return None if value is None else float(value)
+def _number(value) -> Decimal | None:
+    return None if value is None else Decimal(str(value))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -98,8 +99,8 @@ class CheckSpec:
 
     check_id: str
     query: str | Callable[[SparkSession], DataFrame]
-    target_min: float | None = None
-    target_max: float | None = None
+    target_min: Decimal | float | None = None
+    target_max: Decimal | float | None = None
     name: str = ""
     description: str | None = None
     group: str | None = None
