@@ -92,9 +92,9 @@ def context_sums(docs: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), *[pa.array(np.ascontiguousarray(c)) for c in table.T]], ["bucket", *names])
 
     schema = "bucket int, " + ", ".join(f"{n} long" for n in names)
-    summed = map_arrow(documents(docs).select("text"), run, schema).groupBy("bucket").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
+    summed = map_arrow(documents(docs).select("text"), run, schema).groupBy("bucket").agg(*[F.sum(n).alias(n) for n in names]).toArrow()
     out = np.zeros((BUCKETS, DIMENSIONS + 1))
-    out[summed["bucket"].to_numpy()] = summed[names].to_numpy()
+    out[summed["bucket"].to_numpy()] = np.column_stack([summed[n].to_numpy() for n in names])
     return out
 
 
@@ -205,10 +205,10 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Mode
                 )
 
     known = documents(docs).withColumn("doc_id", F.col("doc_id").cast("long")).join(F.broadcast(labelled(labels, limit)), "doc_id")
-    rows = map_arrow(known, run, "doc_id long, quality int, features array<double>").toPandas()
-    x = np.array(rows["features"].tolist(), np.float64).reshape(len(rows), WIDTH)
-    order = np.lexsort((*x.T[:3], rows["doc_id"].to_numpy(np.int64)))  # whatever the order of tasks
-    return fit(x[order], rows["quality"].to_numpy(np.float64)[order], vectors)
+    rows = map_arrow(known, run, "doc_id long, quality int, features array<double>").toArrow()
+    x = rows["features"].combine_chunks().flatten().to_numpy().reshape(len(rows), WIDTH)
+    order = np.lexsort((*x.T[:3], rows["doc_id"].to_numpy()))  # whatever the order of tasks
+    return fit(x[order], rows["quality"].to_numpy().astype(np.float64)[order], vectors)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

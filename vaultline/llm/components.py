@@ -36,10 +36,10 @@ def bits_of(hashes: DataFrame, log_bits: int) -> np.ndarray:
     at = F.col("h").bitwiseAND(F.lit((1 << log_bits) - 1))
     words = (
         hashes.select(F.shiftright(at, 6).alias("word"), at.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
-        .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).toPandas()
+        .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).toArrow()
     )
     out = np.zeros(1 << (log_bits - 6), np.uint64)
-    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
     return out
 
 

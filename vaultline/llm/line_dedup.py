@@ -154,10 +154,10 @@ def drop_lines(docs: DataFrame, frequent: DataFrame, broadcast_keys: int = BROAD
     """One row per document: its lines, how many are dropped, and the hash of what stays."""
     docs = documents(docs)
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_lines long, n_dropped long, kept_sha256 string"
-    some = frequent.limit(broadcast_keys + 1).toPandas()
+    some = frequent.limit(broadcast_keys + 1).toArrow()
     if len(some) > broadcast_keys:
         return _drop_joined(docs, frequent, schema)
-    pairs = some[["k1", "k2"]].to_numpy(np.int64)
+    pairs = np.column_stack([some[k].to_numpy() for k in ("k1", "k2")])
     shared = docs.sparkSession.sparkContext.broadcast(pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

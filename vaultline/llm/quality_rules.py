@@ -59,8 +59,8 @@ def features(chunk: T.Chunk, buckets: int) -> tuple[np.ndarray, np.ndarray]:
 def trusted_sample(trusted_ids: DataFrame, limit: int) -> np.ndarray:
     """At most ``limit`` distinct trusted ids, sorted: all, or else those of the smallest hashes."""
     ids = trusted_ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
-    chosen = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).toPandas()["doc_id"]
-    return np.sort(chosen.to_numpy(np.int64))
+    chosen = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).toArrow()["doc_id"]
+    return np.sort(chosen.to_numpy())
 
 
 def model(
@@ -86,10 +86,11 @@ def model(
 
     counted = (
         map_arrow(_long_ids(docs), count, "bucket int, raw long, good long")
-        .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).toPandas()
+        .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).toArrow()
     )
     raw, good = np.zeros(buckets), np.zeros(buckets)
-    raw[counted["bucket"]], good[counted["bucket"]] = counted["raw"], counted["good"]
+    at = counted["bucket"].to_numpy()
+    raw[at], good[at] = counted["raw"].to_numpy(), counted["good"].to_numpy()
     if not good.sum():
         return np.zeros(buckets)
     return np.log((good + smoothing) / (good.sum() + smoothing * buckets)) - np.log((raw + smoothing) / (raw.sum() + smoothing * buckets))
