@@ -47,11 +47,11 @@ def test_matches_brute_force(spark, sample):
     assert got == want and sum(x[1] for x in want.values()) > 0
 
 
-@pytest.mark.parametrize("split", [64, 1])
+@pytest.mark.parametrize("split", [(64, 4096), (1, 4096), (1, 1)])
 @pytest.mark.parametrize("seed", range(3))
 def test_planted_passages(spark, monkeypatch, seed, split):
-    """Passages with different surroundings, within and across documents, periodic texts and single letters; with a
-    group size of 1 every anchor is split by its strings."""
+    """Passages with different surroundings, within and across documents, periodic texts and single letters; anchors
+    whole, in pieces, and by single strings."""
     monkeypatch.setattr(S, "SPLIT", split)
     rng = random.Random(seed)
     noise = lambda n: "".join(rng.choice("abcdefghij é\n") for _ in range(n))

@@ -9,11 +9,13 @@ occurrence in a document lie together in one stretch of some 135 bytes.
 2. Equal stretches are one: all but the first of them are removed whole.
 3. Where an anchor has stretches that differ, their bytes are brought together, and a suffix array of each anchor's
    stretches, built by linear grouping, puts equal strings side by side; in each run of equal strings all but the
-   earliest are removed. An anchor with more than ``SPLIT`` stretches is split by the strings' own hashes first.
+   earliest are removed. An anchor with many stretches is split first: strings that begin at nearly the same distance
+   before it lie in one piece, and only pieces that agree in what all their strings hold can have equal ones. Pieces
+   that agree with no other are left out. For an anchor with very many stretches, each string is a piece.
 4. The removed ranges are united by document.
 
 Equal stretches and strings are reduced to the first by task before they are shuffled, so a passage that most documents
-share costs one row for each few megabytes of input, and no group is larger than ``SPLIT`` stretches.
+share costs one row for each few megabytes of input, and no group is larger than ``SPLIT[1]`` stretches.
 
 Defined results: a null or empty text has no bytes; null ids come before others, documents of equal ids are ordered by
 a hash of their text, and rows alike in id and text are one document whose result each gets; an empty table gives an
@@ -41,7 +43,10 @@ LENGTH = 100
 GRAM = 32
 ANCHOR_BITS = 27
 DIFFER_BITS = 24
-SPLIT = 64
+#: Different stretches of an anchor beyond which it is split, and beyond which each string is a piece.
+SPLIT = (64, 4096)
+#: Distances in a piece.
+PIECE = 8
 BATCH_SYMBOLS = 1_500_000
 
 KEYS = ["d", "r"]
@@ -65,12 +70,11 @@ class Stretches:
         np.add.at(valid, ends, -1)
         at = np.flatnonzero(np.cumsum(valid[:-1]) > 0)
         if not len(at):
-            self.start = self.count = self.anchor = self.own = self.doc = np.zeros(0, np.int64)
+            self.start = self.count = self.anchor = self.own = self.doc = self.ahead = np.zeros(0, np.int64)
             return
         last = n - GRAM + 1
-        places = np.arange(last)
-        grams = chunk.hashes(places, places + GRAM)
-        least, width = (grams & T.U64(0xFFFFFFFF00000000)) | places.astype(np.uint64), 1
+        grams = chunk.gram_hashes(GRAM)
+        least, width = (grams & T.U64(0xFFFFFFFF00000000)) | np.arange(last, dtype=np.uint64), 1
         while 2 * width <= span:  # the least of twice as many pieces each time
             least, width = np.minimum(least[:-width], least[width:]), 2 * width
         if width < span:
@@ -79,6 +83,7 @@ class Stretches:
         new = np.append(True, (owner[1:] != owner[:-1]) | (at[1:] != at[:-1] + 1))
         first = np.flatnonzero(new)
         self.start, self.count = at[first], np.diff(np.append(first, len(at)))
+        self.ahead = owner[first] - self.start  # the first string's distance to the anchor
         self.anchor = T.mix(grams[owner[first]]).view(np.int64)
         self.own = T.mix(chunk.hashes(self.start, self.start + self.count + length - 1) + T.U64(1)).view(np.int64)
         self.doc = np.searchsorted(chunk.offsets, self.start, "right") - 1
@@ -134,33 +139,71 @@ def occurrences(docs: DataFrame, repeated: np.ndarray, length: int) -> DataFrame
     return map_arrow(docs.select("text", *KEYS), run, "anchor long, own long, d long, r long, start long, count int, later boolean")
 
 
-def stretch_bytes(docs: DataFrame, differ: np.ndarray, many: np.ndarray, length: int) -> DataFrame:
-    """``key, own, d, r, start, bytes``: the stretches of anchors that have different ones. The key is the anchor, or
-    a string's own hash for the strings of an anchor with very many. Of the latter, those that an equal string of the same
-    chunk precedes have null for bytes."""
-    shared = docs.sparkSession.sparkContext.broadcast((differ, many))
+def pieces(chunk: T.Chunk, s: Stretches, which: np.ndarray, step: int, length: int) -> tuple[np.ndarray, ...]:
+    """The pieces of some stretches: key, own hash, start and size. A piece has the strings whose distances to the
+    anchor, divided by ``step``, agree; its key, besides the anchor, is what all strings of such distances hold."""
+    far, near = s.ahead[which], s.ahead[which] - s.count[which] + 1
+    times = far // step - near // step + 1
+    stretch = np.repeat(which, times)
+    number = np.repeat(near // step, times) + np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+    anchor_at = s.start[stretch] + s.ahead[stretch]
+    first = np.minimum(np.repeat(far, times), (number + 1) * step - 1)
+    last = np.maximum(np.repeat(near, times), number * step)
+    start, size = anchor_at - first, first - last + length
+    core = anchor_at - number * step
+    shared = chunk.hashes(core, core + length - step + 1)
+    key = T.mix(shared + s.anchor[stretch].view(np.uint64) + number.astype(np.uint64) * T.U64(0xD6E8FEB86659FD93))
+    own = T.mix(chunk.hashes(start, start + size) + first.astype(np.uint64) + T.U64(2))
+    return key.view(np.int64), own.view(np.int64), start, size
+
+
+Marks = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def _split(chunk: T.Chunk, part: pa.RecordBatch, marks: Marks, length: int) -> tuple[Stretches, np.ndarray, tuple[np.ndarray, ...]]:
+    """A chunk's stretches, the numbers of those to be compared whole, and the pieces of the others."""
+    differ, many, very = marks
+    s = Stretches(chunk, length)
+    order = _in_order(chunk, part, s)
+    anchors = s.anchor[order].view(np.uint64)
+    order, anchors = order[has_bit(differ, anchors)], anchors[has_bit(differ, anchors)]
+    parted, single = has_bit(many, anchors), has_bit(very, anchors)
+    found = [pieces(chunk, s, order[m], step, length) for m, step in ((parted & ~single, PIECE), (single, 1))]
+    return s, order[~parted & ~single], tuple(np.concatenate(c) for c in zip(*found))
+
+
+def repeated_pieces(docs: DataFrame, marks: Marks, length: int) -> np.ndarray:
+    """A filter of the pieces' keys that occur more than once."""
+    shared = docs.sparkSession.sparkContext.broadcast(marks)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        differ, many = shared.value
         for part in parts:
             for chunk in T.chunks(part.column("text")):
-                s = Stretches(chunk, length)
-                order = _in_order(chunk, part, s)
-                anchors = s.anchor[order].view(np.uint64)
-                wanted = has_bit(differ, anchors)
-                split = has_bit(many, anchors) & wanted
-                whole, single = order[wanted & ~split], order[split]
-                times = s.count[single]
-                strings = np.repeat(s.start[single] - np.cumsum(times) + times, times) + np.arange(int(times.sum()))
-                own = T.mix(chunk.hashes(strings, strings + length) + T.U64(2)).view(np.int64)
-                mixed = T.mix(own.view(np.uint64) + np.repeat(s.anchor[single], times).view(np.uint64)).view(np.int64)
-                key, own = np.concatenate([s.anchor[whole], mixed]), np.concatenate([s.own[whole], own])
-                start = np.concatenate([s.start[whole], strings])
-                size = np.concatenate([s.count[whole] + length - 1, np.full(len(strings), length)])
+                keys, times = np.unique(_split(chunk, part, shared.value, length)[2][0], return_counts=True)
+                yield _batch(["h", "n"], keys, times)
+
+    counted = map_arrow(docs.select("text", *KEYS), run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    return bits_of(counted.where("n > 1").select("h"), ANCHOR_BITS)
+
+
+def stretch_bytes(docs: DataFrame, marks: Marks, repeated: np.ndarray, length: int) -> DataFrame:
+    """``key, own, d, r, start, size, bytes``: the stretches of anchors that have different ones, whole with the
+    anchor as key, or in pieces. Pieces that an equal one of the same chunk precedes have null for bytes."""
+    shared = docs.sparkSession.sparkContext.broadcast((marks, repeated))
+    names = ["key", "own", "d", "r", "start", "size", "bytes"]
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks, repeated = shared.value
+        for part in parts:
+            for chunk in T.chunks(part.column("text")):
+                s, whole, found = _split(chunk, part, marks, length)
+                use = has_bit(repeated, found[0].view(np.uint64))
+                stretches = (s.anchor[whole], s.own[whole], s.start[whole], s.count[whole] + length - 1)
+                key, own, start, size = (np.concatenate([a, b[use]]) for a, b in zip(stretches, found))
                 if not len(key):
                     continue
                 first = _first_of(key, own)
-                again = np.flatnonzero(~first & (np.arange(len(key)) >= len(whole)))  # strings that one of this chunk precedes
+                again = np.flatnonzero(~first & (np.arange(len(key)) >= len(whole)))
                 key[again] = T.mix((key[again] + start[again]).view(np.uint64)).view(np.int64)  # to any task
                 use = np.append(np.flatnonzero(first), again)
                 key, own, start, size = key[use], own[use], start[use], size[use]
@@ -169,9 +212,9 @@ def stretch_bytes(docs: DataFrame, differ: np.ndarray, many: np.ndarray, length:
                 data = chunk.data.tobytes()
                 held = [data[a:b] for a, b in zip(start.tolist(), (start + size).tolist())]
                 held = pa.array(held[: len(held) - len(again)] + [None] * len(again), pa.binary())
-                yield _batch(["key", "own", "d", "r", "start", "bytes"], key, own, d, r, start - chunk.offsets[doc], held)
+                yield _batch(names, key, own, d, r, start - chunk.offsets[doc], size.astype(np.int32), held)
 
-    return map_arrow(docs.select("text", *KEYS), run, "key long, own long, d long, r long, start long, bytes binary")
+    return map_arrow(docs.select("text", *KEYS), run, "key long, own long, d long, r long, start long, size int, bytes binary")
 
 
 def earlier_strings(groups: list[list[tuple]], length: int) -> list[tuple[int, int, int, int]]:
@@ -235,9 +278,9 @@ def array_ranges(stretches: DataFrame, length: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in range(4)], ["d", "r", "first", "end"])
 
         for part in parts:
-            for row in zip(*(part.column(c).to_pylist() for c in ("key", "own", "d", "r", "start", "bytes"))):
+            for row in zip(*(part.column(c).to_pylist() for c in ("key", "own", "d", "r", "start", "bytes", "size"))):
                 if row[5] is None:
-                    again.append((row[2], row[3], row[4], row[4] + length))
+                    again.append((row[2], row[3], row[4], row[4] + row[6]))
                     continue
                 if row[0] != key:
                     if size > BATCH_SYMBOLS:
@@ -246,10 +289,10 @@ def array_ranges(stretches: DataFrame, length: int) -> DataFrame:
                     groups.append([])
                 elif row[1] == own:  # equal to the one before, and not earlier
                     if row[2:5] != groups[-1][-1][:3]:
-                        again.append((row[2], row[3], row[4], row[4] + len(row[5])))
+                        again.append((row[2], row[3], row[4], row[4] + row[6]))
                     continue
                 key, own = row[:2]
-                groups[-1].append(row[2:])
+                groups[-1].append(row[2:6])
                 size += len(row[5]) + 1
         if groups or again:
             yield flush()
@@ -272,37 +315,58 @@ def removed_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         .where("a <> b").select(F.col("anchor").alias("h"), "n"), "anchors"
     )
     differ = bits_of(kinds.select("h"), DIFFER_BITS)
-    many = bits_of(kinds.where(F.col("n") > SPLIT).select("h"), DIFFER_BITS)
-    return copies.unionByName(array_ranges(stretch_bytes(docs, differ, many, length), length))
+    many, very = (bits_of(kinds.where(F.col("n") > least).select("h"), DIFFER_BITS) for least in SPLIT)
+    marks = (differ, many, very)
+    return copies.unionByName(array_ranges(stretch_bytes(docs, marks, repeated_pieces(docs, marks, length), length), length))
 
 
 def remove(docs: DataFrame, ranges: DataFrame) -> DataFrame:
-    """One row per document: its bytes, those removed, their maximal runs, and the hash of what remains."""
-    spans = ranges.groupBy(*KEYS).agg(F.collect_list(F.struct("first", "end")).alias("spans"))
+    """One row per document: its bytes, those removed, their maximal runs, and the hash of what remains. Documents
+    that a filter of fixed size knows to have no range are finished where they are; the others meet their ranges."""
+    spans = stored(ranges.groupBy(*KEYS).agg(F.collect_list(F.struct("first", "end")).alias("spans")), "spans")
+    h = F.xxhash64(*KEYS)
+    shared = docs.sparkSession.sparkContext.broadcast(bits_of(spans.select(h.alias("h")), DIFFER_BITS))
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def may_have(part: pa.RecordBatch) -> np.ndarray:
+        return has_bit(shared.value, part.column("h").to_numpy().view(np.uint64))
+
+    def touched(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            out = []
-            spans = part.column("spans")
-            for chunk in T.chunks(part.column("text")):
-                for i in range(chunk.n):
-                    data = chunk.data[chunk.offsets[i]: chunk.offsets[i + 1]]
-                    rows = spans[chunk.first + i]
-                    if not rows.is_valid:
-                        out.append((len(data), 0, 0, hashlib.sha256(data.tobytes()).hexdigest()))
-                        continue
-                    first, end = (rows.values.field(k).to_numpy() for k in (0, 1))
-                    change = np.zeros(len(data) + 1, np.int64)
-                    np.add.at(change, first, 1)
-                    np.add.at(change, end, -1)
-                    gone = np.cumsum(change[:-1]) > 0
-                    runs = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-                    out.append((len(data), int(gone.sum()), runs, hashlib.sha256(data[~gone].tobytes()).hexdigest()))
-            yield _batch(["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"], part.column("doc_id"),
-                         *[pa.array([x[k] for x in out], pa.int64()) for k in range(3)], pa.array([x[3] for x in out], pa.string()))
-
-    return map_arrow(docs.join(spans, KEYS, "left").select("doc_id", "text", "spans"), run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+            yield part.filter(pa.array(may_have(part))).select(["doc_id", "text", *KEYS])
+
+    def finish(ids: pa.Array, texts: pa.Array, spans: pa.Array | None) -> pa.RecordBatch:
+        out = []
+        for chunk in T.chunks(texts):
+            for i in range(chunk.n):
+                data = chunk.data[chunk.offsets[i]: chunk.offsets[i + 1]]
+                rows = spans[chunk.first + i] if spans is not None else None
+                if rows is None or not rows.is_valid:
+                    out.append((len(data), 0, 0, hashlib.sha256(data.tobytes()).hexdigest()))
+                    continue
+                first, end = (rows.values.field(k).to_numpy() for k in (0, 1))
+                change = np.zeros(len(data) + 1, np.int64)
+                np.add.at(change, first, 1)
+                np.add.at(change, end, -1)
+                gone = np.cumsum(change[:-1]) > 0
+                runs = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
+                out.append((len(data), int(gone.sum()), runs, hashlib.sha256(data[~gone].tobytes()).hexdigest()))
+        return _batch(names, ids, *[pa.array([x[k] for x in out], pa.int64()) for k in range(3)], pa.array([x[3] for x in out], pa.string()))
+
+    def whole(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            part = part.filter(pa.array(~may_have(part)))
+            yield finish(part.column("doc_id"), part.column("text"), None)
+
+    def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            yield finish(part.column("doc_id"), part.column("text"), part.column("spans"))
+
+    hashed = docs.withColumn("h", h)
+    some = map_arrow(hashed, touched, f"doc_id {kind}, text string, d long, r long").join(spans, KEYS, "left").select("doc_id", "text", "spans")
+    return map_arrow(hashed, whole, schema).unionByName(map_arrow(some, cut, schema))
 
 
 def substring_dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:

@@ -89,11 +89,21 @@ class Chunk:
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """64-bit hashes of byte ranges, from prefix sums of a polynomial in the bytes."""
+        sums, undo = self._prefix(), _power(_UNBASE, len(self.data) + 1)
+        return mix((sums[ends] - sums[starts]) * undo[starts] + (ends - starts).astype(U64))
+
+    def _prefix(self) -> np.ndarray:
         if self._sums is None:
             self._sums = np.zeros(len(self.data) + 1, U64)
             np.cumsum(_BYTE[self.data] * _power(_BASE, len(self.data)), out=self._sums[1:])
-        undo = _power(_UNBASE, len(self.data) + 1)
-        return mix((self._sums[ends] - self._sums[starts]) * undo[starts] + (ends - starts).astype(U64))
+        return self._sums
+
+    def gram_hashes(self, n: int) -> np.ndarray:
+        """Hashes of the ``n`` bytes from each place on, across documents as well."""
+        sums = self._prefix()
+        grams = (sums[n:] - sums[:-n]) * _power(_UNBASE, len(self.data))[: len(sums) - n]
+        grams ^= grams >> U64(32)
+        return grams * U64(0xBF58476D1CE4E5B9)
 
     def sums(self, values: np.ndarray) -> np.ndarray:
         """Sums of a value per byte, by document."""
