@@ -157,7 +157,8 @@ def test_delta_plan(spark, plan):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # Each side is shuffled once for the join; hot keys cost a count of keys and broadcasts.
     assert unique.count("Exchange hashpartitioning") == 2 and unique.count("FullOuter") == 1
-    assert guarded.count("FullOuter") == 1 and guarded.count("LeftSemi") == 2 and guarded.count("LeftAnti") == 2
+    # Where no key is hot, which is found once before, the plan is the same: one scan of each side, and one for NULL keys.
+    assert guarded.count("FullOuter") == 1 and "LeftSemi" not in guarded and guarded.count("FileScan") == 3
     for text in (unique, guarded):
         assert "Cartesian" not in text and "NestedLoop" not in text
         assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double>" in text

@@ -35,6 +35,14 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> Data
     return found.select(*[parts[i].cast(types[k]).alias(k) for i, k in enumerate(keys)])
 
 
+def known_hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> DataFrame | None:
+    """``hot_keys`` as one value, found once: at most ``share`` rows that every later use reads alike, so that a row
+    is never hot in one branch and not in another. None if there are none, and the plan needs no branches."""
+    found = hot_keys(df, keys, share)
+    rows = found.collect()
+    return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
+
+
 def lookup(
     left: DataFrame, right: DataFrame, keys: Sequence[str], share: int | None = HOT_SHARE
 ) -> DataFrame:
@@ -47,15 +55,17 @@ def lookup(
     keys = list(keys)
     if share is None:
         return left.join(right, keys, "left")
-    hot = F.broadcast(hot_keys(left.where(~any_null(keys)), keys, share))
-    hot_right = F.broadcast(right.join(hot, keys, "left_semi"))
     extra = [c for c in right.columns if c not in keys]
     types = dict(zip(right.columns, [f.dataType for f in right.schema.fields]))
     usable = left.where(~any_null(keys))
+    unkeyed = left.where(any_null(keys)).select("*", *[F.lit(None).cast(types[c]).alias(c) for c in extra])
+    hot = known_hot_keys(usable, keys, share)
+    if hot is None:
+        return usable.join(right, keys, "left").unionByName(unkeyed)
+    hot = F.broadcast(hot)
+    hot_right = F.broadcast(right.join(hot, keys, "left_semi"))
     return (
         usable.join(hot, keys, "left_semi").join(hot_right, keys, "left")
         .unionByName(usable.join(hot, keys, "left_anti").join(right, keys, "left"))
-        .unionByName(
-            left.where(any_null(keys)).select("*", *[F.lit(None).cast(types[c]).alias(c) for c in extra])
-        )
+        .unionByName(unkeyed)
     )

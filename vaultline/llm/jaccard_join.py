@@ -32,17 +32,18 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaultline.llm import text as T
-from vaultline.llm.common import documents, map_arrow, row_key, stored
+from vaultline.llm.common import documents, map_arrow, row_key, shared_folder, stored
 from vaultline.llm.components import bits_of, components, has_bit
 
 #: Words in a shingle, and similarity in percent.
@@ -176,7 +177,7 @@ def classes(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
 
 
 def candidate_stars(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, parts_from: int | None = PARTS_FROM) -> DataFrame:
-    """``a, b``: each class with the smallest class of every mark that it shares with another."""
+    """``a, b, na, nb``: each class with the smallest class of every mark that it shares with another, and set sizes."""
     texts, context = documents(docs).select("text"), docs.sparkSession.sparkContext
     common = context.broadcast(common_tokens(texts, n, percent, parts_from))
 
@@ -192,18 +193,41 @@ def candidate_stars(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, p
     def members(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = repeated.value
         for part in parts:
-            hashes, names = [], []
+            hashes, names, sizes = [], [], []
             for name, s in _by_class(part, n):
                 got = marks_of(s, common.value, percent, parts_from)
                 got = got[has_bit(bits, got)]
                 hashes.append(got)
                 names.extend([name] * len(got))
+                sizes.extend([len(s)] * len(got))
             if names:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes).view(np.int64)), _binary(names)], ["h", "class"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(hashes).view(np.int64)), _binary(names), pa.array(sizes, pa.int32())], ["h", "class", "n"]
+                )
+
+    held = stored(map_arrow(texts, members, "h long, class binary, n int"), "mark-members")
+    leaders = held.groupBy("h").agg(F.min(F.struct("class", "n")).alias("least"), F.max("class").alias("z")).where("least.class <> z")
+    leaders = leaders.select("h", F.col("least.class").alias("a"), F.col("least.n").alias("na"))
+    return held.join(leaders, "h").where("class <> a").select("a", F.col("class").alias("b"), "na", F.col("n").alias("nb")).distinct()
+
+
+def comparable(stars: DataFrame, percent: int) -> DataFrame:
+    """``c``: the classes that have another of a size within reach in one of their groups, which is the next larger or
+    the next smaller one if any is."""
+    members = stars.select("a", F.col("b").alias("c"), F.col("nb").alias("n")).unionByName(stars.select("a", F.col("a").alias("c"), F.col("na").alias("n")).distinct())
+    by_size = Window.partitionBy("a").orderBy("n")
+    near = (100 * F.lag("n").over(by_size) >= percent * F.col("n")) | (100 * F.col("n") >= percent * F.lead("n").over(by_size))
+    return members.withColumn("near", near).where("near").select("c").distinct()
+
 
-    held = stored(map_arrow(texts, members, "h long, class binary"), "mark-members")
-    leaders = held.groupBy("h").agg(F.min("class").alias("a"), F.max("class").alias("z")).where("a <> z").select("h", "a")
-    return held.join(leaders, "h").where("class <> a").select("a", F.col("class").alias("b")).distinct()
+def bucketed(sets: DataFrame) -> DataFrame:
+    """The sets stored by class, so that no join on it moves them again."""
+    spark = sets.sparkSession
+    name, path = f"vaultline_sets_{uuid.uuid4().hex}", shared_folder(spark, "sets")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = sets.repartition(n, "class").dropDuplicates(["class"])
+    dealt.write.bucketBy(n, "class").sortBy("class").option("path", path).saveAsTable(name)
+    return spark.table(name)
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, n: int = SHINGLE) -> DataFrame:
@@ -225,7 +249,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, n: int = SHINGLE) -> DataFrame:
                     [_binary(names), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64)))], ["class", "tokens"]
                 )
 
-    return map_arrow(documents(docs).select("text"), run, "class binary, tokens array<long>").dropDuplicates(["class"])
+    return map_arrow(documents(docs).select("text"), run, "class binary, tokens array<long>")
 
 
 def linked(common: F.Column, left: F.Column, right: F.Column, percent: int) -> F.Column:
@@ -233,11 +257,12 @@ def linked(common: F.Column, left: F.Column, right: F.Column, percent: int) -> F
 
 
 def compare_stars(stars: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs of ``stars`` with ``near``: whether they reach the similarity."""
+    """The linked pairs of ``stars``; sizes alone rule most others out."""
     a = sets.select(F.col("class").alias("a"), F.col("tokens").alias("ta"))
     b = sets.select(F.col("class").alias("b"), F.col("tokens").alias("tb"))
+    within = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
     common = F.size(F.array_intersect("ta", "tb"))
-    return stars.join(a, "a").join(b, "b").select("a", "b", linked(common, F.size("ta"), F.size("tb"), percent).alias("near"))
+    return stars.where(within).join(a, "a").join(b, "b").where(linked(common, F.col("na"), F.col("nb"), percent)).select("a", "b")
 
 
 class Matrix:
@@ -288,8 +313,8 @@ def unit_links(queries: list[tuple], members: list[tuple], percent: int) -> list
 
 
 def compare_groups(stars: DataFrame, sets: DataFrame, labels: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Links ``a, b`` between components within groups. ``stars`` has the pairs with ``near``; queries are the members
-    in another component than their group's smallest class."""
+    """Links ``a, b`` between components within groups; queries are the members in another component than their
+    group's smallest class."""
     label_a = labels.select(F.col("v").alias("a"), F.col("label").alias("la"))
     label_b = labels.select(F.col("v").alias("b"), F.col("label").alias("lb"))
     marked = stars.join(label_a, "a", "left").join(label_b, "b", "left").select(
@@ -317,12 +342,10 @@ def compare_groups(stars: DataFrame, sets: DataFrame, labels: DataFrame, percent
 def link_classes(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, parts_from: int | None = PARTS_FROM) -> DataFrame:
     """``v, label``: the component of every class that is linked with another."""
     stars = stored(candidate_stars(docs, n, percent, parts_from), "stars")
-    wanted = stars.select(F.col("a").alias("c")).unionByName(stars.select(F.col("b").alias("c"))).distinct()
-    sets = stored(sets_of(docs, wanted, n), "sets")
-    compared = stored(compare_stars(stars, sets, percent), "compared")
-    near = compared.where("near").select("a", "b")
+    sets = bucketed(sets_of(docs, comparable(stars, percent), n))
+    near = stored(compare_stars(stars, sets, percent), "near")
     labels = stored(components(near), "labels")
-    more = stored(compare_groups(compared, sets, labels, percent), "links")
+    more = stored(compare_groups(stars, sets, labels, percent), "links")
     return components(near.unionByName(more)) if more.limit(1).count() else labels
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vaultline.functions.keys import all_equal, any_null
-from vaultline.functions.skew import HOT_SHARE, hot_keys
+from vaultline.functions.skew import HOT_SHARE, known_hot_keys
 from vaultline.specs import (
     ADD, CURRENT, GEOMETRY, MODIFY, OPERATION, REMOVE, UPDATE_FLAG_SUFFIX, ColumnSpec, TableSpec,
 )
@@ -142,7 +142,9 @@ def _pairs(
     """Full outer pairs. Hot staged keys are present on the left by definition, so a left join is
     whole for them, and their rows can be split at run time."""
     same = all_equal(staged_keys, stored_keys)
-    hot = hot_keys(staged, staged_keys, hot_share)
+    hot = known_hot_keys(staged, staged_keys, hot_share)
+    if hot is None:
+        return staged.join(stored, same, "full")
     hot_staged, hot_stored = F.broadcast(hot), F.broadcast(hot.toDF(*stored_keys))
     return (
         staged.join(hot_staged, staged_keys, "left_semi")
