@@ -181,31 +181,31 @@ def candidate_stars(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, p
     texts, context = documents(docs).select("text"), docs.sparkSession.sparkContext
     common = context.broadcast(common_tokens(texts, n, percent, parts_from))
 
-    def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def mark(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            found = [marks_of(s, common.value, percent, parts_from) for _, s in _by_class(part, n)]
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["h"])
+            names, sizes, found = [], [], []
+            for name, s in _by_class(part, n):
+                names.append(name)
+                sizes.append(len(s))
+                found.append(marks_of(s, common.value, percent, parts_from))
+            if names:
+                ends = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
+                marks = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([_binary(names), pa.array(sizes, pa.int32()), marks], ["class", "n", "marks"])
 
-    shared = map_arrow(texts, count, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    marked = stored(map_arrow(texts, mark, "class binary, n int, marks array<long>"), "marks")
+    shared = marked.select(F.explode("marks").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     repeated = context.broadcast(bits_of(shared.select("h"), MARK_BITS))
 
     def members(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = repeated.value
         for part in parts:
-            hashes, names, sizes = [], [], []
-            for name, s in _by_class(part, n):
-                got = marks_of(s, common.value, percent, parts_from)
-                got = got[has_bit(bits, got)]
-                hashes.append(got)
-                names.extend([name] * len(got))
-                sizes.extend([len(s)] * len(got))
-            if names:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(hashes).view(np.int64)), _binary(names), pa.array(sizes, pa.int32())], ["h", "class", "n"]
-                )
+            marks = part.column("marks")
+            h = marks.flatten()
+            use = has_bit(repeated.value, h.to_numpy().view(np.uint64))
+            row = np.repeat(np.arange(len(part)), marks.value_lengths().to_numpy())[use]
+            yield pa.RecordBatch.from_arrays([h.filter(pa.array(use)), part.column("class").take(pa.array(row)), part.column("n").take(pa.array(row))], ["h", "class", "n"])
 
-    held = stored(map_arrow(texts, members, "h long, class binary, n int"), "mark-members")
+    held = stored(map_arrow(marked, members, "h long, class binary, n int"), "mark-members")
     leaders = held.groupBy("h").agg(F.min(F.struct("class", "n")).alias("least"), F.max("class").alias("z")).where("least.class <> z")
     leaders = leaders.select("h", F.col("least.class").alias("a"), F.col("least.n").alias("na"))
     return held.join(leaders, "h").where("class <> a").select("a", F.col("class").alias("b"), "na", F.col("n").alias("nb")).distinct()
