@@ -64,3 +64,22 @@ def test_separates_labels(spark):
     rows = QUERIES["op9_quality_rules"](spark, sf).toPandas().merge(labels, on="doc_id")
     long = rows[~rows.base_failed]
     assert long[long.quality == 1].kept.mean() > 0.99 and long[long.quality == 0].kept.mean() < 0.2
+
+
+def test_every_trusted_document_counts(spark):
+    """More trusted ids than any list of fixed length; repeated and null ones, and documents without an id."""
+    from vaultline.llm import text as T
+
+    docs = spark.sql(
+        "select if(id % 1000 = 7, null, id) as doc_id, concat('word', id % 11, ' tail') as text from range(240000) "
+        "union all select 4, 'again' from range(5000)"
+    )
+    trusted = spark.sql("select id as doc_id from range(0, 240000, 2) union all select 4 from range(3000) union all select null")
+    ratio = quality_rules.model(docs.repartition(6), trusted, 1 << 10)
+    raw, ok = np.zeros(1 << 10), np.zeros(1 << 10)
+    texts = [(f"word{k} tail", len(range(k, 240000, 11)), len([i for i in range(k, 240000, 11) if i % 2 == 0])) for k in range(11)]
+    for text, n, good in [*texts, ("again", 5000, 5000)]:
+        bucket, _ = quality_rules.features(T.Chunk.of([text.encode()]), 1 << 10)
+        raw += n * np.bincount(bucket, minlength=1 << 10)
+        ok += good * np.bincount(bucket, minlength=1 << 10)
+    assert np.array_equal(ratio, np.log((ok + 1) / (ok.sum() + 1024)) - np.log((raw + 1) / (raw.sum() + 1024)))

@@ -1,9 +1,12 @@
 """Quality rules: counts of a text and a hashed n-gram log-likelihood ratio.
 
-Two multinomials over hashed one- and two-word features are counted, one over trusted documents (labelled rows, at
-most ``max_trusted`` of them) and one over all documents. A document's score is the mean, over its features, of the log ratio of their smoothed probabilities; a
-document is kept when that mean reaches a fixed threshold and no base rule refuses it. Every document is counted and
-scored whole; counts are integers, so reruns agree.
+Two multinomials over hashed one- and two-word features are counted, one over all trusted documents (those with a
+listed id) and one over all documents. A document's score is the mean, over its features, of the log ratio of their
+smoothed probabilities; a document is kept when that mean reaches a fixed threshold and no base rule refuses it. Every
+document is counted and scored whole; counts are integers, so reruns agree.
+
+Trusted documents are found by a join on the id, whatever the number of ids. A filter with a fixed number of bits keeps
+most other texts from being shuffled for it; what it lets through by mistake, the join refuses.
 
 Defined results: a null or empty text has no words, counts of 0 and fails the base rule; repeated rows are counted and
 judged each; a null id is never trusted; an empty table gives an empty result; without trusted documents the ratio is
@@ -20,7 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultline.llm import text as T
-from vaultline.llm.common import documents, map_arrow
+from vaultline.llm.common import documents, map_arrow, stored
+from vaultline.llm.components import bits_of, has_bit
 
 #: The symbols counted, and the base rule's limits.
 SYMBOLS = "#*$%&|<>"
@@ -30,7 +34,7 @@ MAX_REPEAT_PERCENT = 50
 BUCKETS = 1 << 16
 THRESHOLD = -0.2
 SMOOTHING = 1.0
-MAX_TRUSTED = 100_000
+ID_BITS = 26
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(SYMBOLS.encode())] = True
@@ -56,41 +60,41 @@ def features(chunk: T.Chunk, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     )
 
 
-def trusted_sample(trusted_ids: DataFrame, limit: int) -> np.ndarray:
-    """At most ``limit`` distinct trusted ids, sorted: all, or else those of the smallest hashes."""
+def trusted_documents(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with a listed id."""
     ids = trusted_ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
-    chosen = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).toArrow()["doc_id"]
-    return np.sort(chosen.to_numpy())
+    ids = stored(ids, "trusted-ids")
+    shared = docs.sparkSession.sparkContext.broadcast(bits_of(ids.select(F.xxhash64("doc_id").alias("h")), ID_BITS))
+
+    def maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            use = has_bit(shared.value, batch.column("h").to_numpy().view(np.uint64))
+            yield batch.select(["doc_id", "text"]).filter(pa.array(use))
+
+    hashed = _long_ids(docs).where("doc_id is not null").withColumn("h", F.xxhash64("doc_id"))
+    return map_arrow(hashed, maybe, "doc_id long, text string").join(ids, "doc_id", "left_semi")
 
 
-def model(
-    docs: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING, max_trusted: int = MAX_TRUSTED
-) -> np.ndarray:
-    """Log ratio of each bucket. The raw multinomial counts every document, the trusted one those of
-    ``trusted_sample``. ``buckets`` bounds what a task sends and what the driver receives."""
-    shared = docs.sparkSession.sparkContext.broadcast(trusted_sample(trusted_ids, max_trusted))
+def bucket_counts(docs: DataFrame, buckets: int) -> np.ndarray:
+    """How often all texts hold each bucket. ``buckets`` bounds what a task sends and what the driver receives."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trusted = shared.value
-        raw, good = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
+        n = np.zeros(buckets, np.int64)
         for batch in batches:
-            marks = np.isin(batch.column("doc_id").fill_null(0).to_numpy(), trusted) & batch.column("doc_id").is_valid().to_numpy(False)
             for chunk in T.chunks(batch.column("text")):
-                bucket, doc = features(chunk, buckets)
-                raw += np.bincount(bucket, minlength=buckets)
-                good += np.bincount(bucket[marks[chunk.first: chunk.first + chunk.n][doc]], minlength=buckets)
-        used = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used.astype(np.int32)), pa.array(raw[used]), pa.array(good[used])], ["bucket", "raw", "good"]
-        )
-
-    counted = (
-        map_arrow(_long_ids(docs), count, "bucket int, raw long, good long")
-        .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).toArrow()
-    )
-    raw, good = np.zeros(buckets), np.zeros(buckets)
-    at = counted["bucket"].to_numpy()
-    raw[at], good[at] = counted["raw"].to_numpy(), counted["good"].to_numpy()
+                n += np.bincount(features(chunk, buckets)[0], minlength=buckets)
+        used = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(n[used])], ["bucket", "n"])
+
+    counted = map_arrow(docs.select("text"), count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(buckets)
+    out[counted["bucket"].to_numpy()] = counted["n"].to_numpy()
+    return out
+
+
+def model(docs: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> np.ndarray:
+    """Log ratio of each bucket. The raw multinomial counts every document, the trusted one every trusted document."""
+    raw, good = bucket_counts(documents(docs), buckets), bucket_counts(trusted_documents(docs, trusted_ids), buckets)
     if not good.sum():
         return np.zeros(buckets)
     return np.log((good + smoothing) / (good.sum() + smoothing * buckets)) - np.log((raw + smoothing) / (raw.sum() + smoothing * buckets))
