@@ -35,6 +35,21 @@ def test_list_is_bounded(spark):
         url_filter.cascade(frame, max_keys=8)
 
 
+def test_more_keys_than_a_cascade_may_hold(spark, monkeypatch):
+    """Every page is judged, by the cascade of its part, in later levels as well as in the first."""
+    monkeypatch.setattr(url_filter, "BITS_PER_KEY", 4)
+    monkeypatch.setattr(url_filter, "PROBES", 2)
+    hosts = [(i, f"http://h{i}.com/{'de' if i % 4 == 0 else 'it'}/") for i in range(160)]
+    pages = spark.createDataFrame([*hosts, *[(i + 160, f"http://h{i}.com/x") for i in range(160)], (999, None)], "page_id long, url string")
+    keys = url_filter.judged_hosts(pages)
+    with pytest.raises(ValueError, match="max_keys"):
+        url_filter.cascade(keys, max_keys=15)
+    parts = url_filter.cascades(keys, max_keys=15)
+    assert len(parts) > 2 and sum(1 / m for m, _, _ in parts) == 1
+    got = {r.page_id: r.verdict for r in url_filter.url_filter_parts(pages, parts).collect()}
+    assert got == {999: "allow"} | {i + k: "allow" if i % 4 else "block" for i in range(160) for k in (0, 160)}
+
+
 def test_edges(spark):
     urls = [None, "", "no scheme.org/", "http://", "HTTP://WWW.Example.ORG/es/x?y", "x://example.org/en/15#a://b", "x://example.org:80/es/",
             "http://a.com?q=/de/", "http://a.com/de/", "http://a.com/it/", "http://ÄB.com/fr/", "http://notexample.org/es/", "http://a.com/de/"]

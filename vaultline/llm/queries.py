@@ -55,8 +55,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    levels = url_filter.cascade(url_filter.judged_hosts(pages))
-    return url_filter.url_filter(pages, levels).select("page_id", "host", "path", "rule", "verdict")
+    parts = url_filter.cascades(url_filter.judged_hosts(pages))
+    return url_filter.url_filter_parts(pages, parts).select("page_id", "host", "path", "rule", "verdict")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

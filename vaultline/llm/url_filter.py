@@ -7,7 +7,9 @@ is an even one (or, if all accept, the number of levels is odd). Judging a page
 of bits that a scalar subquery yields. All of it is DataFrame functions.
 
 The list, not the corpus, sets the size of the filters: level 1 has ``BITS_PER_KEY`` bits a listed key, each later level
-so many for the mistakes before it, which shrink by a constant factor. ``max_keys`` bounds the list; more is an error.
+so many for the mistakes before it, which shrink by a constant factor. ``max_keys`` bounds a cascade's levels. Keys that
+need more are halved by hash until each part has a cascade within it; the pages of a part are judged by its cascade, one
+part after the other, so that driver and tasks hold the filters of one part, however many keys are listed.
 
 Defined results: a null url, or one without ``://``, has empty host and path, no rule, and is allowed unless the empty
 host is listed; repeated rows are judged each; an empty table gives an empty result; an empty list blocks nothing.
@@ -16,6 +18,7 @@ host is listed; repeated rows are judged each; an empty table gives an empty res
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -82,6 +85,12 @@ def accepts(level: int, words: int, found: DataFrame, key: str | Column) -> Colu
 
 
 Cascade = list[tuple[int, int, DataFrame]]
+#: A cascade for the keys whose hash leaves ``remainder`` when divided by ``modulus``.
+Part = tuple[int, int, Cascade]
+
+
+class TooManyKeys(ValueError):
+    """A level needs more than ``max_keys`` keys."""
 
 
 def cascade(keys: DataFrame, max_keys: int = MAX_KEYS) -> Cascade:
@@ -91,7 +100,7 @@ def cascade(keys: DataFrame, max_keys: int = MAX_KEYS) -> Cascade:
     levels: Cascade = []
     while n := holds.count():
         if n > max_keys:
-            raise ValueError(f"{n} keys in level {len(levels) + 1}; max_keys is {max_keys}")
+            raise TooManyKeys(f"{n} keys in level {len(levels) + 1}; max_keys is {max_keys}")
         words = -(-n * BITS_PER_KEY // 64)
         levels.append((len(levels), words, stored(bloom(holds, len(levels), words), "url-filter")))
         mistaken = stored(others.where(accepts(*levels[-1], "key")), "url-mistakes")
@@ -99,6 +108,20 @@ def cascade(keys: DataFrame, max_keys: int = MAX_KEYS) -> Cascade:
     return levels
 
 
+def in_part(key: str | Column, modulus: int, remainder: int) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit(-1)), F.lit(modulus)) == remainder
+
+
+def cascades(keys: DataFrame, max_keys: int = MAX_KEYS, modulus: int = 1, remainder: int = 0) -> list[Part]:
+    """One cascade for ``keys`` if it stays within ``max_keys``, else those of its halves by hash."""
+    try:
+        return [(modulus, remainder, cascade(keys, max_keys))]
+    except TooManyKeys:
+        keys = stored(keys.select("key", "listed"), "url-part")
+        halves = [(2 * modulus, remainder), (2 * modulus, remainder + modulus)]
+        return [part for half in halves for part in cascades(keys.where(in_part("key", *half)), max_keys, *half)]
+
+
 def member(levels: Cascade, key: str | Column) -> Column:
     """Whether a key of the corpus is listed: the first level that refuses decides."""
     out = F.lit(len(levels) % 2 == 1)
@@ -125,3 +148,12 @@ def url_filter(pages: DataFrame, levels: Cascade, rules: Sequence[tuple[str, str
         "page_id", "host", "path", rule.alias("rule"),
         F.coalesce(says, F.when(listed, "block").otherwise("allow")).alias("verdict"), listed.alias("host_listed"),
     )
+
+
+def url_filter_parts(pages: DataFrame, parts: Sequence[Part], rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
+    """``url_filter`` of all pages, those of each part by its cascade."""
+    if len(parts) == 1:
+        return url_filter(pages, parts[0][2], rules)
+    host = url_parts(F.coalesce(F.col("url"), F.lit("")))[0]
+    judged = [stored(url_filter(pages.where(in_part(host, m, r)), levels, rules), "url-judged") for m, r, levels in parts]
+    return reduce(DataFrame.unionByName, judged)
