@@ -114,3 +114,21 @@ def test_edges(spark, edges, nothing):
     assert kept.columns == edges.columns
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 1, 2, 3, 4, 5, 6]
     assert J.keep_one(nothing).count() == 0
+
+
+def test_comparable_orders_sizes_not_members(spark, plan, monkeypatch):
+    """Groups with equal, near and far sizes against all pairs; the window sees each size of a group once."""
+    rng = random.Random(5)
+    rows = [(bytes([g]), bytes([g, k]), 100 + g, rng.choice([100 + g, 120 + 5 * g, 200, 7 * k + 10])) for g in range(12) for k in range(rng.choice([1, 2, 40]))]
+    stars = spark.createDataFrame(rows, "a binary, b binary, na int, nb int")
+    want, every = set(), {r[0] for r in rows} | {r[1] for r in rows}
+    for g in {r[0] for r in rows}:
+        members = {(b, nb) for a, b, _, nb in rows if a == g} | {(a, na) for a, _, na, _ in rows if a == g}
+        want |= {c for c, n in members for d, m in members if c != d and 100 * min(n, m) >= 90 * max(n, m)}
+    plans = []
+    monkeypatch.setattr(J, "stored", lambda df, name, f=J.stored: plans.append(plan(df)) or f(df, name))
+    found = J.comparable(stars.repartition(3), 90)
+    assert {bytes(r.c) for r in found.collect()} == want and 0 < len(want) < len(every)
+    plans.append(plan(found))
+    windows = [text for text in plans if "Window" in text]
+    assert windows and all("count(1)" in text[text.rindex("Window"):] for text in windows)

@@ -212,12 +212,15 @@ def candidate_stars(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, p
 
 
 def comparable(stars: DataFrame, percent: int) -> DataFrame:
-    """``c``: the classes that have another of a size within reach in one of their groups, which is the next larger or
-    the next smaller one if any is."""
+    """``c``: the classes that have another of a size within reach in one of their groups: one of the same size, or else
+    the next larger or the next smaller size if any is. A group's sizes are counted first, so what is put in order is
+    its distinct sizes and not its members."""
     members = stars.select("a", F.col("b").alias("c"), F.col("nb").alias("n")).unionByName(stars.select("a", F.col("a").alias("c"), F.col("na").alias("n")).distinct())
+    sizes = members.groupBy("a", "n").agg(F.count(F.lit(1)).alias("times"))
     by_size = Window.partitionBy("a").orderBy("n")
-    near = (100 * F.lag("n").over(by_size) >= percent * F.col("n")) | (100 * F.col("n") >= percent * F.lead("n").over(by_size))
-    return members.withColumn("near", near).where("near").select("c").distinct()
+    near = (F.col("times") > 1) | (100 * F.lag("n").over(by_size) >= percent * F.col("n")) | (100 * F.col("n") >= percent * F.lead("n").over(by_size))
+    reached = stored(sizes.withColumn("near", near).where("near").select("a", "n"), "near-sizes")
+    return members.join(reached, ["a", "n"], "left_semi").select("c").distinct()
 
 
 def bucketed(sets: DataFrame) -> DataFrame:
