@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, over whole tables, with SQL where SQL can say it."""
+"""The registered queries of the operators, over whole tables, with SQL where SQL can say it."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultline.llm import (
-    classifier, decontaminate, jaccard_join, license_scan, line_dedup, mixing, quality_rules, substring_dedup, token_files, url_filter,
+    classifier, decontaminate, jaccard_join, license_scan, line_dedup, mixing, quality_rules, simhash, substring_dedup, token_files, url_filter,
 )
 from vaultline.llm.common import table
 
@@ -59,9 +59,13 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter_parts(pages, parts).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_dedup(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_substring_dedup, op2_quality_classifier, op3_line_dedup, op4_decontamination, op5_license_scan, op6_source_mix,
-        op7_jaccard_join, op8_token_files, op9_quality_rules, op10_url_filter,
+        op7_jaccard_join, op8_token_files, op9_quality_rules, op10_url_filter, op11_simhash_dedup,
     )
 }
