@@ -113,7 +113,45 @@ select d.doc_id, len(d.w)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coale
 from doc_words d left join hits using (doc_id) left join items using (doc_id)
 """
 
+COLLOCATIONS = r"""
+with pieces as (
+  select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w
+  from (
+    select coalesce(lang, 'und') as lang,
+      unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+    from documents
+  )
+), totals as (
+  select lang, sum(len(w))::bigint as n from pieces group by lang
+), grams as (
+  select lang, k, array_to_string(w[i: i + k - 1], ' ') as phrase
+  from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i from pieces, unnest(range(1, 6)) as sizes(k))
+), frequent as (
+  select lang, k, phrase, count(*)::bigint as a from grams group by all having count(*) >= 100
+), cuts as (
+  select *, array_to_string(w[1: c], ' ') as head, array_to_string(w[c + 1: k], ' ') as tail
+  from (select *, string_split(phrase, ' ') as w, unnest(range(1, k)) as c from frequent)
+), scores as (
+  select x.lang, x.phrase, x.a, x.c, x.k, l.a as l, r.a as r, t.n, ((1000::hugeint * x.a * t.n) // (l.a::hugeint * r.a))::bigint as score
+  from cuts x join frequent l on l.lang = x.lang and l.phrase = x.head join frequent r on r.lang = x.lang and r.phrase = x.tail
+  join totals t on t.lang = x.lang
+), least_cut as (
+  select * from scores qualify row_number() over (partition by lang, phrase order by score, c) = 1
+), inner_parts as (
+  select lang, array_to_string(w[i: i + m - 1], ' ') as phrase, max(a) as within
+  from (
+    select lang, a, w, m, unnest(range(1, k - m + 2)) as i
+    from (select lang, a, k, string_split(phrase, ' ') as w, unnest(range(2, k)) as m from frequent)
+  ) group by all
+), kept as (
+  select s.* from least_cut s left join inner_parts p on p.lang = s.lang and p.phrase = s.phrase where p.within is null or 100 * p.within < 100 * s.a
+)
+select lang, rank, phrase, a, l, r, n, score
+from (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+where rank <= 2000
+"""
+
 ORACLES: dict[str, str] = {
     "op3_line_dedup": LINE_DEDUP, "op4_decontamination": DECONTAMINATION,
-    "op6_source_mix": SOURCE_MIX, "op10_url_filter": URL_FILTER,
+    "op6_source_mix": SOURCE_MIX, "op10_url_filter": URL_FILTER, "op13_collocations": COLLOCATIONS,
 }
