@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultline.llm import (
-    classifier, collocations, decontaminate, jaccard_join, license_scan, line_dedup, mixing, quality_rules, simhash, substring_dedup,
-    token_files, url_filter,
+    classifier, collocations, decontaminate, jaccard_join, license_scan, line_dedup, mixing, prefix_trie, quality_rules, simhash,
+    substring_dedup, token_files, url_filter,
 )
 from vaultline.llm.common import table
 
@@ -64,6 +64,10 @@ def op11_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_dedup(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -72,6 +76,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_substring_dedup, op2_quality_classifier, op3_line_dedup, op4_decontamination, op5_license_scan, op6_source_mix,
         op7_jaccard_join, op8_token_files, op9_quality_rules, op10_url_filter, op11_simhash_dedup,
-        op13_collocations,
+        op12_prefix_trie, op13_collocations,
     )
 }

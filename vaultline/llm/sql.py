@@ -151,7 +151,50 @@ from (select *, row_number() over (partition by lang order by score desc, a desc
 where rank <= 2000
 """
 
+PREFIX_TRIE = r"""
+with turns as (
+  select conv_id, role, text, row_number() over (partition by conv_id order by turn nulls first, role, text) - 1 as pos
+  from (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null)
+), ids as (
+  select conv_id, conv_id - conv_id % 20 as base,
+    xor(list_reduce(
+      list_prepend(4294967295::bigint, flatten(list_transform(string_split(conv_id::varchar, ''), lambda x: [ascii(x)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda crc, x: case when x >= 0 then xor(crc, x) else xor(crc >> 1, case when crc % 2 = 1 then 3988292384::bigint else 0::bigint end) end
+    ), 4294967295::bigint) % 4 as h
+  from (select distinct conv_id from turns)
+), rebuilt as (
+  select i.conv_id, 0 as part, t.pos, t.role, t.text from ids i join turns t on t.conv_id = i.base and t.pos < i.h
+  union all
+  select i.conv_id, 1, t.pos, t.role, t.text from ids i join turns t on t.conv_id = i.conv_id and t.pos >= i.h
+), steps as (
+  select conv_id, text, row_number() over by_turn as depth, string_agg(md5(length(role) || ':' || role || text), '') over by_turn as path
+  from rebuilt window by_turn as (partition by conv_id order by part, pos rows between unbounded preceding and current row)
+), nodes as (
+  select depth, path, min(conv_id) as conv_id, count(*) as n_convs, any_value(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))) as words
+  from steps group by depth, path
+  union all
+  select 0, '', min(conv_id), count(*), 0 from ids having count(*) > 0
+), parents as (
+  select *, case when depth > 0 then left(path, 32 * (depth - 1)) end as parent from nodes
+), children as (
+  select parent, count(*) as n_children from parents where parent is not null group by parent
+), figures as (
+  select p.*, coalesce(c.n_children, 0) as n_children from parents p left join children c on c.parent = p.path
+), sums as (
+  select left(path, 32 * k) as path, sum((n_children = 0)::int) as n_leaves, sum((n_convs - 1) * words) as saved_tokens
+  from (select path, n_children, n_convs, words, unnest(range(depth + 1)) as k from figures) group by all
+), ends as (
+  select path, string_agg(conv_id::varchar, ',' order by conv_id) as members
+  from (select i.conv_id, coalesce(max(s.path), '') as path from ids i left join steps s on s.conv_id = i.conv_id group by i.conv_id)
+  group by path
+)
+select f.conv_id, f.depth::bigint as depth, a.conv_id as parent_conv_id, f.n_convs::bigint as n_convs, f.n_children::bigint as n_children,
+  s.n_leaves::bigint as n_leaves, s.saved_tokens::bigint as saved_tokens, sha256(coalesce(e.members, '')) as ends_sha256
+from figures f join sums s on s.path = f.path left join nodes a on a.path = f.parent left join ends e on e.path = f.path
+"""
+
 ORACLES: dict[str, str] = {
     "op3_line_dedup": LINE_DEDUP, "op4_decontamination": DECONTAMINATION,
-    "op6_source_mix": SOURCE_MIX, "op10_url_filter": URL_FILTER, "op13_collocations": COLLOCATIONS,
+    "op6_source_mix": SOURCE_MIX, "op10_url_filter": URL_FILTER, "op12_prefix_trie": PREFIX_TRIE,
+    "op13_collocations": COLLOCATIONS,
 }
