@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from vaultline.operators import cdc, conform
@@ -35,5 +36,7 @@ def test_layers(spark):
 
 def test_source_types():
     assert spark_type("NUMBER", 12, 2) == "decimal(12,2)" and spark_type("number", 10) == "decimal(10,0)"
-    assert spark_type("VARCHAR2", 30) == spark_type("UNHEARD_OF") == "string"
+    assert spark_type("VARCHAR2", 30) == "string"
+    with pytest.raises(ValueError, match="unknown data type UNHEARD_OF"):
+        spark_type("UNHEARD_OF")
     assert spark_type("DATE") == "timestamp_ntz" and spark_type("SDO_GEOMETRY") == "geometry"

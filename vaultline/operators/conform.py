@@ -36,20 +36,20 @@ def conform(df: DataFrame, columns: Sequence[ColumnSpec]) -> DataFrame:
     ])
 
 
-def _cast(df: DataFrame, c: ColumnSpec) -> Column:
+def cast(df: DataFrame, c: ColumnSpec) -> Column:
     return F.col(c.name) if dict(df.dtypes).get(c.name) == c.spark_type else F.col(c.name).try_cast(c.spark_type)
 
 
 def with_reasons(df: DataFrame, columns: Sequence[ColumnSpec]) -> DataFrame:
     """``conform``, and in ``REASONS`` why a row must not be loaded: a value that its type cannot hold, or none where
     one is required. Rows without such a reason have an empty list."""
-    return df.select(*[_cast(df, c).alias(c.name) for c in columns], with_reasons_column(df, columns))
+    return df.select(*[cast(df, c).alias(c.name) for c in columns], with_reasons_column(df, columns))
 
 
 def with_reasons_column(df: DataFrame, columns: Sequence[ColumnSpec]) -> Column:
     reasons = []
     for c in columns:
-        value = _cast(df, c)
+        value = cast(df, c)
         reasons.append(F.when(F.col(c.name).isNotNull() & value.isNull(), F.lit(f"{c.name}: unreadable")))
         if c.required or c.is_key:
             reasons.append(F.when(F.col(c.name).isNull(), F.lit(f"{c.name}: missing")))

@@ -1,168 +1,160 @@
 """History loads with storage.
 
-A history folder is partitioned by ``batch``, ``attempt`` and ``curr_ind``. Each attempt at a batch writes the rows
-that are current after it and the versions it closed. It is checked where it lies, and only then named in the
-manifest (``commits``) with the batch it builds on; readers follow that chain, so a refused attempt, or a batch that
-another one bypassed, is never part of a history. Nothing that may be read is overwritten, a batch can run again, and
-closed versions are written once. The batch id is the caller's; ``forget_attempts`` names the folders that no commit
-needs.
-
-Staged rows that cannot be loaded (a value that its type cannot hold, a natural key without a value) end the load
-before anything is published; with ``on_bad="quarantine"`` they are stored with their reasons instead, and stored rows
-that only they could have matched stay as they are.
+A history folder holds attempts at batches. An attempt is checked where it lies, and only then named in the commit log
+with the attempt it builds on; readers follow that chain. So a refused attempt, or one that another bypassed, is never
+part of a history; a batch that runs again makes a new attempt, and what was built on the old one stays as it was.
+Nothing that may be read is overwritten. The batch id is the caller's; ``forget_attempts`` names the folders that no
+history needs.
+
+A whole attempt holds all current rows and the versions it closed. The attempts after it hold only the versions they
+opened and closed, so that a small change costs a small write; reading the current rows leaves out of the whole ones
+those whose keys changed, and takes the last version of each of these. When the changed rows reach ``WHOLE_SHARE`` of the
+whole ones, or their attempts ``WHOLE_AFTER``, the next attempt is a whole one again. All versions that an attempt
+closed end at its file date, so a read as of a moment opens no attempt that closed before it.
+
+Natural keys are unique in a staging, or the load is refused. Staged rows that cannot be loaded (a value that its type
+cannot hold, a natural key without a value) end the load before anything is published; with ``on_bad="quarantine"``
+they are stored with their reasons instead, together with every other row of their keys, and stored rows with these
+keys stay as they are.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from itertools import takewhile
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from vaultline.functions.clock import as_datetime
 from vaultline.functions.keys import any_null
 from vaultline.operators import cdc, conform, scd2
-from vaultline.specs import CURRENT, OPERATION, ColumnSpec, TableSpec
+from vaultline.plans.commit_log import Commit, CommitLog
+from vaultline.specs import CURRENT, MODIFY, OPERATION, REMOVE, ColumnSpec, TableSpec
 
+#: Changed rows, as a share of the whole ones, and attempts after which all current rows are written again.
+WHOLE_SHARE = 0.25
+WHOLE_AFTER = 16
+HELD_BACK = "another row of this key is refused"
+_CHANGED = "_changed"
 
-MANIFEST = "batch bigint, previous_batch bigint, attempt string"
 
+def commits(spark: SparkSession, root: str) -> dict[int, Commit]:
+    """The last commit of each batch."""
+    return {c.batch: c for c in _log(spark, root).read()}
 
-def commits(spark: SparkSession, root: str) -> dict[int, tuple[int | None, str]]:
-    """The manifest: per committed batch the batch it builds on and its attempt. One row per batch of one table."""
-    path = f"{root}/commits"
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        return {}
-    rows = spark.read.schema(MANIFEST).parquet(path).collect()
-    return {r.batch: (r.previous_batch, r.attempt) for r in rows}
 
-
-def chain(spark: SparkSession, root: str, batch_id: int) -> list[str]:
-    """The attempts that make up the history at a batch, the batch's own first."""
-    known, out, batch = commits(spark, root), [], batch_id
-    while batch is not None:
-        if batch not in known:
-            raise ValueError(f"{root}: batch {batch} is not committed")
-        batch, attempt = known[batch]
-        out.append(attempt)
-    return out
-
-
-def _commit(spark: SparkSession, root: str, batch_id: int, previous_batch: int | None, attempt: str) -> None:
-    row = spark.createDataFrame([(batch_id, previous_batch, attempt)], MANIFEST)
-    row.coalesce(1).drop("batch").write.mode("overwrite").parquet(f"{root}/commits/batch={batch_id}")
+def chain(spark: SparkSession, root: str, batch_id: int | None) -> list[Commit]:
+    """The commits that make up the history at a batch, the batch's own first."""
+    return _chain(_log(spark, root).read(), root, batch_id)
 
 
 def read_current(spark: SparkSession, spec: TableSpec, root: str, batch_id: int) -> DataFrame:
-    return _current(spark, spec, root, chain(spark, root, batch_id)[0], batch_id).select(*_names(spec))
+    return _current(spark, spec, root, chain(spark, root, batch_id))
 
 
 def read_history(spark: SparkSession, spec: TableSpec, root: str, batch_id: int) -> DataFrame:
-    """The whole history as of a batch; what is not in its chain is pruned by partition."""
-    attempts = chain(spark, root, batch_id)
-    current = (F.col("attempt") == attempts[0]) & (F.col(CURRENT) == "Y")
-    closed = F.col("attempt").isin(attempts) & (F.col(CURRENT) == "N")
-    return _stored(spark, spec, root).where(current | closed).select(*_names(spec))
+    """The whole history as of a batch."""
+    line = chain(spark, root, batch_id)
+    return _current(spark, spec, root, line).unionByName(_closed(spark, spec, root, line))
+
+
+def read_as_of(spark: SparkSession, spec: TableSpec, root: str, batch_id: int, moment: datetime | str) -> DataFrame:
+    """The versions of a batch's history that are valid at a moment. Attempts that closed versions before it are not
+    opened; what began after it is left out by the files' own least values."""
+    line = chain(spark, root, batch_id)
+    later = [c for c in line if as_datetime(c.file_date) > as_datetime(moment)]
+    versions = _current(spark, spec, root, line).unionByName(_closed(spark, spec, root, later))
+    return scd2.as_of(versions, moment)
 
 
 def read_changes(spark: SparkSession, spec: TableSpec, root: str, batch_id: int) -> DataFrame:
     """The delta of a batch that ``advance_file`` wrote."""
     columns = [c.name for c in conform.delta_columns(spec)]
-    attempt = chain(spark, root, batch_id)[0]
-    changed = (F.col("batch") == batch_id) & (F.col("attempt") == attempt) & F.col(OPERATION).isNotNull()
-    return _stored(spark, spec, root).where(changed).select(*columns)
+    rows = _rows(spark, spec, root, chain(spark, root, batch_id)[:1], "YN")
+    return rows.where(F.col(OPERATION).isNotNull()).select(*columns)
 
 
-def forget_attempts(spark: SparkSession, root: str) -> list[str]:
-    """Attempts in the folder that no commit names: what failed, was refused, or ran again."""
-    used = [attempt for _, attempt in commits(spark, root).values()]
-    return sorted(r[0] for r in spark.read.parquet(f"{root}/history").select("attempt").distinct().collect() if r[0] not in used)
+def read_quarantine(spark: SparkSession, spec: TableSpec, root: str, batch_id: int) -> DataFrame | None:
+    """The staged rows that a batch left out, as they were, with their reasons; None if it looked for none."""
+    kept = chain(spark, root, batch_id)[0].quarantine
+    return None if kept is None else spark.read.parquet(f"{root}/quarantine/{kept}").drop("part")
 
 
-def read_quarantine(spark: SparkSession, spec: TableSpec, root: str, batch_id: int) -> DataFrame:
-    """The staged rows that a batch left out, as they were, with their reasons."""
-    return spark.read.parquet(f"{root}/quarantine/batch={batch_id}")
+def forget_attempts(spark: SparkSession, root: str) -> list[str]:
+    """Attempts in the folder that no batch's history needs: what failed, was refused, or was replaced."""
+    log = _log(spark, root).read()
+    used = {c.attempt for batch in {c.batch for c in log} for c in _chain(log, root, batch)}
+    stored = spark.read.schema("batch bigint, attempt string, curr_ind string").parquet(f"{root}/history")
+    return sorted(r.attempt for r in stored.select("attempt").distinct().collect() if r.attempt not in used)
 
 
 def empty_history(spark: SparkSession, spec: TableSpec) -> DataFrame:
     return spark.createDataFrame([], _ddl(conform.history_columns(spec)))
 
 
-def _usable(stg: DataFrame, spec: TableSpec, root: str, batch_id: int, on_bad: str) -> tuple[DataFrame, Observation | None]:
-    """The staged rows to load. By default bad rows are counted in the pass that loads the others, and
-    ``_refuse_bad`` ends the load; ``quarantine`` stores them apart."""
-    if on_bad not in ("error", "quarantine"):
-        raise ValueError(f"on_bad must be error or quarantine, not {on_bad}")
-    marked = conform.with_reasons(stg, conform.staging_columns(spec))
-    good = F.size(conform.REASONS) == 0
-    if on_bad == "quarantine":
-        raw = stg.select("*", conform.with_reasons_column(stg, conform.staging_columns(spec)))
-        raw.where(F.size(conform.REASONS) > 0).write.mode("overwrite").parquet(f"{root}/quarantine/batch={batch_id}")
-        return marked.where(good).drop(conform.REASONS), None
-    seen = Observation()
-    counted = marked.observe(seen, F.count_if(~good).alias("bad"), F.min(F.when(~good, F.col(conform.REASONS)[0])).alias("example"))
-    return counted.where(good).drop(conform.REASONS), seen
-
-
-def _refuse_bad(seen: Observation | None, spec: TableSpec) -> None:
-    if seen is not None and seen.get["bad"]:
-        raise ValueError(f"{spec.table}: {seen.get['bad']} staged rows cannot be loaded, such as {seen.get['example']}")
-
-
-def _publish(
-    after: DataFrame, spec: TableSpec, root: str, batch_id: int, previous_batch: int | None, seen: Observation | None = None
-) -> DataFrame:
-    """Writes an attempt, checks it, and commits it."""
-    spark, attempt = after.sparkSession, uuid.uuid4().hex
-    after.write.partitionBy(CURRENT).parquet(f"{root}/history/batch={batch_id}/attempt={attempt}")
-    _refuse_bad(seen, spec)
-    current = _current(spark, spec, root, attempt, batch_id).dropna(subset=spec.keys)
-    if not scd2.key_violations(current, spec).isEmpty():
-        raise ValueError(f"{spec.table}: a natural key is not unique")
-    _commit(spark, root, batch_id, previous_batch, attempt)
-    return read_history(spark, spec, root, batch_id)
-
-
 def advance_file(
     stg: DataFrame, spec: TableSpec, root: str, batch_id: int, previous_batch: int | None, file_date: datetime | str,
     *, on_bad: str = "error", **options,
 ) -> DataFrame:
     """Delta and apply in one join and one write."""
-    before = _before(stg.sparkSession, spec, root, previous_batch)
-    usable, seen = _usable(stg, spec, root, batch_id, on_bad)
-    held, kept, options = _held(stg, before, spec, on_bad, options)
+    spark = stg.sparkSession
+    log = _log(spark, root).read()
+    line = _chain(log, root, previous_batch)
+    usable, held, kept, seen, quarantine, options = _usable(stg, _before(spark, spec, root, line), spec, root, on_bad, options)
     after = scd2.advance(usable, held, spec, file_date, **options)
-    return _publish(_with(after, kept), spec, root, batch_id, previous_batch, seen)
+    after = after.withColumn(_CHANGED, F.col(OPERATION).isNotNull() | (F.col(CURRENT) == "N"))
+    if kept is not None:
+        after = after.unionByName(kept.withColumn(_CHANGED, F.lit(False)), allowMissingColumns=True)
+    whole = _is_whole(line) or options["on_null_key"] == "ref"
+
+    def check() -> None:
+        _refuse_bad(seen, spec)
+        _refuse_repeated(usable, spec)
+
+    return _publish(after, spec, root, batch_id, line, len(log), file_date, whole, quarantine, check)
 
 
 def write_delta(
     stg: DataFrame, spec: TableSpec, root: str, batch_id: int, previous_batch: int | None, *, on_bad: str = "error", **options
 ) -> DataFrame:
-    """Stores the delta of a snapshot against the previous batch. Running it again replaces it; a refused one is
-    left without its commit file."""
+    """Stores the delta of a snapshot against the previous batch, with the attempt that it was compared with. Running
+    it again replaces it; a refused one replaces nothing."""
     spark = stg.sparkSession
-    before = _before(spark, spec, root, previous_batch)
-    path = f"{root}/delta/batch={batch_id}"
-    usable, seen = _usable(stg, spec, root, batch_id, on_bad)
-    held, _, options = _held(stg, before, spec, on_bad, options)
-    draft = f"{root}/draft/{uuid.uuid4().hex}"
+    line = chain(spark, root, previous_batch)
+    usable, held, _, seen, quarantine, options = _usable(stg, _before(spark, spec, root, line), spec, root, on_bad, options)
+    draft, path = f"{root}/draft/{uuid.uuid4().hex}", f"{root}/delta/batch={batch_id}"
     cdc.delta(usable, held, spec, **options).write.parquet(draft)
     _refuse_bad(seen, spec)
+    _refuse_repeated(usable, spec)
     spark.read.parquet(draft).write.mode("overwrite").parquet(path)
+    pin = {"previous": line[0].attempt if line else None, "quarantine": quarantine}
+    spark.createDataFrame([(json.dumps(pin),)], "value string").coalesce(1).write.mode("overwrite").text(f"{root}/delta_pins/batch={batch_id}")
     return spark.read.parquet(path)
 
 
 def apply_delta(
     spark: SparkSession, spec: TableSpec, root: str, batch_id: int, previous_batch: int | None, file_date: datetime | str
 ) -> DataFrame:
-    """Applies the stored delta in one write: current rows and newly closed versions side by side."""
+    """Applies the stored delta in one write: newly closed and newly opened versions side by side."""
     delta = spark.read.parquet(f"{root}/delta/batch={batch_id}")
-    before = _before(spark, spec, root, previous_batch)
-    after = scd2.close_current(before, delta, spec, file_date).unionByName(scd2.open_versions(delta, spec, file_date))
-    return _publish(after, spec, root, batch_id, previous_batch)
+    pin = json.loads(spark.read.text(f"{root}/delta_pins/batch={batch_id}").first()[0])
+    log = _log(spark, root).read()
+    line = _chain_of(log, pin["previous"])
+    if (line[0].batch if line else None) != previous_batch:
+        raise ValueError(f"{root}: the delta of batch {batch_id} was not made against batch {previous_batch}")
+    before = _before(spark, spec, root, line)
+    whole = _is_whole(line) or not delta.where(any_null(spec.keys)).isEmpty()
+    if not whole:
+        ended = delta.where(F.col(OPERATION).isin(MODIFY, REMOVE)).select(*spec.keys).dropna()
+        before = before.join(ended, spec.keys, "left_semi")
+    stayed = scd2.close_current(before, delta, spec, file_date).withColumn(_CHANGED, F.col(CURRENT) == "N")
+    after = stayed.unionByName(scd2.open_versions(delta, spec, file_date).withColumn(_CHANGED, F.lit(True)))
+    return _publish(after, spec, root, batch_id, line, len(log), file_date, whole, pin["quarantine"], lambda: None)
 
 
 def load_group(
@@ -185,40 +177,148 @@ def load_group(
         return dict(zip([s.table for s in files], pool.map(load, files), strict=True))
 
 
-def _held(
-    stg: DataFrame, before: DataFrame, spec: TableSpec, on_bad: str, options: dict
-) -> tuple[DataFrame, DataFrame | None, dict]:
-    """The stored rows to compare, those to carry on as they are, and the options of the comparison.
+# --- commits ---
+
+
+def _log(spark: SparkSession, root: str) -> CommitLog:
+    return CommitLog(spark, f"{root}/commits")
+
+
+def _chain(log: list[Commit], root: str, batch_id: int | None) -> list[Commit]:
+    if batch_id is None:
+        return []
+    attempts = {c.batch: c.attempt for c in log}
+    if batch_id not in attempts:
+        raise ValueError(f"{root}: batch {batch_id} is not committed")
+    return _chain_of(log, attempts[batch_id])
+
+
+def _chain_of(log: list[Commit], attempt: str | None) -> list[Commit]:
+    known, out = {c.attempt: c for c in log}, []
+    while attempt is not None:
+        out.append(known[attempt])
+        attempt = known[attempt].previous
+    return out
+
+
+def _is_whole(line: list[Commit]) -> bool:
+    """Whether the next attempt should hold all current rows."""
+    changes = list(takewhile(lambda c: not c.whole, line))
+    if len(changes) == len(line):
+        return True
+    return len(changes) >= WHOLE_AFTER or sum(c.opened + c.closed for c in changes) >= WHOLE_SHARE * line[len(changes)].current
+
 
-    What could not be read is not what was removed: stored rows with the key of a quarantined row are carried on; and
-    if a quarantined row's key itself could not be read, any stored row may be meant, so absence removes none.
+# --- what a load reads ---
+
+
+def _usable(
+    stg: DataFrame, before: DataFrame, spec: TableSpec, root: str, on_bad: str, options: dict
+) -> tuple[DataFrame, DataFrame, DataFrame | None, Observation | None, str | None, dict]:
+    """The staged rows to load; the stored rows to compare, and those to carry on as they are; the count of bad rows or
+    the name of the quarantine; the options of the comparison.
+
+    By default bad rows are counted in the pass that loads the others, and ``_refuse_bad`` ends the load. What was
+    quarantined is not what was removed: stored rows of such a key are carried on; and if a quarantined row's key itself
+    could not be read, any stored row may be meant, so absence removes none.
     """
     options = {"on_null_key": "error", **options}
-    if on_bad != "quarantine":
-        return before, None, options
-    marked = conform.with_reasons(stg, conform.staging_columns(spec)).where(F.size(conform.REASONS) > 0)
-    if not marked.where(any_null(spec.keys)).isEmpty():
+    if on_bad not in ("error", "quarantine"):
+        raise ValueError(f"on_bad must be error or quarantine, not {on_bad}")
+    columns = conform.staging_columns(spec)
+    marked, good = conform.with_reasons(stg, columns), F.size(conform.REASONS) == 0
+    if on_bad == "error":
+        seen = Observation()
+        counted = marked.observe(seen, F.count_if(~good).alias("bad"), F.min(F.when(~good, F.col(conform.REASONS)[0])).alias("example"))
+        return counted.where(good).drop(conform.REASONS), before, None, seen, None, options
+    name = uuid.uuid4().hex
+    path = f"{root}/quarantine/{name}"
+    raw = stg.select("*", conform.with_reasons_column(stg, columns))
+    raw.where(~good).write.parquet(f"{path}/part=refused")
+    refused = conform.conform(stg.sparkSession.read.schema(raw.schema).parquet(f"{path}/part=refused"), columns).select(*spec.keys)
+    if not refused.where(any_null(spec.keys)).isEmpty():
         options["snapshot_type"] = "DELTA"
-    keys = marked.select(*spec.keys).dropna().distinct()
-    return before.join(keys, spec.keys, "left_anti"), before.join(keys, spec.keys, "left_semi").select(*before.columns), options
+    keys = refused.dropna().distinct()
+    by_key = [conform.cast(stg, c).alias(f"_key_{c.name}") for c in columns if c.is_key]
+    held_back = raw.where(good).select("*", *by_key).join(keys.toDF(*[f"_key_{k}" for k in spec.keys]), [f"_key_{k}" for k in spec.keys], "left_semi")
+    held_back = held_back.select(*[stg[c] for c in stg.columns], F.array(F.lit(HELD_BACK)).alias(conform.REASONS))
+    held_back.write.parquet(f"{path}/part=held")
+    usable = marked.where(good).drop(conform.REASONS).join(keys, spec.keys, "left_anti")
+    kept = before.join(keys, spec.keys, "left_semi").select(*before.columns)
+    return usable, before.join(keys, spec.keys, "left_anti"), kept, None, name, options
 
 
-def _with(after: DataFrame, kept: DataFrame | None) -> DataFrame:
-    return after if kept is None else after.unionByName(kept, allowMissingColumns=True)
+def _refuse_bad(seen: Observation | None, spec: TableSpec) -> None:
+    if seen is not None and seen.get["bad"]:
+        raise ValueError(f"{spec.table}: {seen.get['bad']} staged rows cannot be loaded, such as {seen.get['example']}")
 
 
-def _current(spark: SparkSession, spec: TableSpec, root: str, attempt: str, batch_id: int) -> DataFrame:
-    return _stored(spark, spec, root).where((F.col("batch") == batch_id) & (F.col("attempt") == attempt) & (F.col(CURRENT) == "Y"))
+def _refuse_repeated(usable: DataFrame, spec: TableSpec) -> None:
+    """Counted by key alone, with each task's counts combined first. The keys of the stored rows are unique, as nothing
+    else was ever committed, so the current rows after the load have unique keys as well."""
+    if not usable.select(*spec.keys).dropna().groupBy(*spec.keys).count().where("count > 1").isEmpty():
+        raise ValueError(f"{spec.table}: a natural key is not unique")
 
 
-def _before(spark: SparkSession, spec: TableSpec, root: str, previous_batch: int | None) -> DataFrame:
-    return empty_history(spark, spec) if previous_batch is None else read_current(spark, spec, root, previous_batch)
+# --- attempts ---
 
 
-def _stored(spark: SparkSession, spec: TableSpec, root: str) -> DataFrame:
-    """All batches in one schema; operation and flags are NULL where a delta was stored apart."""
+def _publish(
+    after: DataFrame, spec: TableSpec, root: str, batch_id: int, line: list[Commit], seen: int, file_date: datetime | str, whole: bool,
+    quarantine: str | None, check,
+) -> DataFrame:
+    """Writes an attempt, checks it, and commits it."""
+    spark, attempt, counts = after.sparkSession, uuid.uuid4().hex, Observation()
+    is_current, changed = F.col(CURRENT) == "Y", F.col(_CHANGED)
+    counted = after.observe(
+        counts, F.count_if(is_current).alias("current"), F.count_if(is_current & changed).alias("opened"), F.count_if(~is_current).alias("closed")
+    )
+    rows = counted if whole else counted.where(changed)
+    rows.drop(_CHANGED).write.partitionBy(CURRENT).parquet(f"{root}/history/batch={batch_id}/attempt={attempt}")
+    check()
+    total, closed = counts.get["current"], counts.get["closed"]
+    opened = total if whole else counts.get["opened"]
+    if not whole:  # a change against the rows that were current before, where they were not all read
+        total = line[0].current + opened - closed
+    previous = line[0].attempt if line else None
+    commit = Commit(batch_id, attempt, previous, as_datetime(file_date).isoformat(sep=" "), whole, opened, closed, total, quarantine)
+    _log(spark, root).append(commit, seen)
+    line = [commit, *line]
+    return _current(spark, spec, root, line).unionByName(_closed(spark, spec, root, line))
+
+
+def _rows(spark: SparkSession, spec: TableSpec, root: str, line: list[Commit], flags: str) -> DataFrame:
+    """The rows of some attempts, from their own folders alone; operation and flags are NULL where a delta was stored
+    apart."""
     columns = [*conform.delta_columns(spec), *conform.VERSION_COLUMNS]
-    return spark.read.schema(_ddl(columns) + ", batch bigint, attempt string").parquet(f"{root}/history")
+    found = [(c, f) for c in line for f in flags if (c.opened if f == "Y" else c.closed)]
+    if not found:
+        return spark.createDataFrame([], _ddl(columns) + ", batch bigint, attempt string")
+    paths = [f"{root}/history/batch={c.batch}/attempt={c.attempt}/{CURRENT}={f}" for c, f in found]
+    reader = spark.read.schema(_ddl(columns) + ", batch bigint, attempt string").option("basePath", f"{root}/history")
+    return reader.parquet(*paths).where(F.col("batch").isin([c.batch for c, _ in found]) & F.col(CURRENT).isin(list(flags)))
+
+
+def _current(spark: SparkSession, spec: TableSpec, root: str, line: list[Commit]) -> DataFrame:
+    """The rows that are current after a chain of attempts."""
+    changes = list(takewhile(lambda c: not c.whole, line))
+    names = _names(spec)
+    whole = _rows(spark, spec, root, line[len(changes):][:1], "Y").select(*names)
+    if not changes:
+        return whole
+    order: list[Column] = [x for i, c in enumerate(reversed(changes)) for x in (F.lit(c.attempt), F.lit(i))]
+    changed = _rows(spark, spec, root, changes, "YN").withColumn("_at", F.create_map(*order)[F.col("attempt")])
+    last = F.max_by(F.struct(*names), F.struct("_at", F.col(CURRENT) == "Y")).alias("row")
+    reopened = changed.groupBy(*[F.col(k).alias(f"_{k}") for k in spec.keys]).agg(last).select("row.*").where(F.col(CURRENT) == "Y")
+    return whole.join(changed.select(*spec.keys).distinct(), spec.keys, "left_anti").select(*names).unionByName(reopened)
+
+
+def _closed(spark: SparkSession, spec: TableSpec, root: str, line: list[Commit]) -> DataFrame:
+    return _rows(spark, spec, root, line, "N").select(*_names(spec))
+
+
+def _before(spark: SparkSession, spec: TableSpec, root: str, line: list[Commit]) -> DataFrame:
+    return _current(spark, spec, root, line) if line else empty_history(spark, spec)
 
 
 def _names(spec: TableSpec) -> list[str]:
