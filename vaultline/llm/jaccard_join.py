@@ -57,6 +57,7 @@ COMMON = 3
 CLASS_BITS = 24
 GROUP = 32
 UNIT = 1024
+BINS, FULL_BIN = 256, 65535
 
 
 def shingle_sets(chunk: T.Chunk, n: int = SHINGLE) -> list[np.ndarray]:
@@ -234,7 +235,7 @@ def bucketed(sets: DataFrame) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, n: int = SHINGLE) -> DataFrame:
-    """``class, tokens`` of at least the wanted classes ``c``."""
+    """``class, tokens, bins`` of at least the wanted classes ``c``."""
     first = F.conv(F.hex(F.substring("c", 1, 7)), 16, 10).cast("long").alias("h")
     filter_ = docs.sparkSession.sparkContext.broadcast(bits_of(wanted.select(first), CLASS_BITS))
 
@@ -249,10 +250,17 @@ def sets_of(docs: DataFrame, wanted: DataFrame, n: int = SHINGLE) -> DataFrame:
             if names:
                 ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [_binary(names), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64)))], ["class", "tokens"]
+                    [_binary(names), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64))), _binary([bins_of(s) for s in sets])],
+                    ["class", "tokens", "bins"],
                 )
 
-    return map_arrow(documents(docs).select("text"), run, "class binary, tokens array<long>")
+    return map_arrow(documents(docs).select("text"), run, "class binary, tokens array<long>, bins binary")
+
+
+def bins_of(tokens: np.ndarray) -> bytes:
+    """How many tokens of a set fall into each of ``BINS`` bins."""
+    counts = np.bincount((T.mix(tokens) >> T.U64(32)).astype(np.int64) % BINS, minlength=BINS)
+    return np.minimum(counts, FULL_BIN).astype("<u2").tobytes()
 
 
 def linked(common: F.Column, left: F.Column, right: F.Column, percent: int) -> F.Column:
@@ -315,31 +323,84 @@ def unit_links(queries: list[tuple], members: list[tuple], percent: int) -> list
     return out
 
 
+def within_bounds(queries: list[tuple], members: list[tuple], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which queries, and which members, may have a link with another component's, both as (class, component, size,
+    bins). Two sets have at most the sum of their bins' smaller counts in common, and a query has at most that with the
+    greatest counts of a group's bins; only groups that can reach what a query needs are opened."""
+
+    def table(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        counts = np.frombuffer(b"".join(r[3] for r in rows), "<u2").reshape(len(rows), BINS).astype(np.int32)
+        counts[counts == FULL_BIN] = np.iinfo(np.int32).max // BINS  # a full bin bounds nothing
+        return counts, np.array([r[2] for r in rows], np.int64)
+
+    order = sorted(range(len(members)), key=lambda i: (members[i][1], members[i][2], members[i][0]))
+    members = [members[i] for i in order]
+    q_use, m_use = np.zeros(len(queries), bool), np.zeros(len(members), bool)
+    if len(queries) and len(members):
+        names = {c: i for i, c in enumerate({r[1] for r in queries} | {r[1] for r in members})}
+        (q_counts, q_size), (m_counts, m_size) = table(queries), table(members)
+        q_of, m_of = (np.array([names[r[1]] for r in rows]) for rows in (queries, members))
+        for at in range(0, len(members), GROUP):
+            some = slice(at, at + GROUP)
+            union, least, most = m_counts[some].max(0), int(m_size[some].min()), int(m_size[some].max())
+            # the least that a query of some size has to share with any member: what the smallest one asks for
+            fits = (100 * q_size >= percent * least) & (100 * most >= percent * q_size)
+            bound = np.minimum(q_counts, union).sum(1)
+            needed = percent * (q_size + np.maximum(least, percent * q_size // 100))
+            others = (q_of[:, None] != m_of[None, some]).any(1)
+            for q in np.flatnonzero(fits & others & ((100 + percent) * bound >= needed)).tolist():
+                common = np.minimum(q_counts[q], m_counts[some]).sum(1)
+                near = (m_of[some] != q_of[q]) & ((100 + percent) * common >= percent * (q_size[q] + m_size[some]))
+                near &= (100 * m_size[some] >= percent * q_size[q]) & (100 * q_size[q] >= percent * m_size[some])
+                if near.any():
+                    q_use[q] = True
+                    m_use[some] |= near
+    out = np.zeros(len(members), bool)
+    out[order] = m_use
+    return q_use, out
+
+
 def compare_groups(stars: DataFrame, sets: DataFrame, labels: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Links ``a, b`` between components within groups; queries are the members in another component than their
-    group's smallest class."""
+    group's smallest class.
+
+    Rows first carry the counts of their tokens by bins, a few hundred bytes. Only queries and members that these cannot
+    tell apart get their tokens, for the matrix of tokens by members.
+    """
     label_a = labels.select(F.col("v").alias("a"), F.col("label").alias("la"))
     label_b = labels.select(F.col("v").alias("b"), F.col("label").alias("lb"))
     marked = stars.join(label_a, "a", "left").join(label_b, "b", "left").select(
-        "a", "b", F.coalesce("lb", "b").alias("component"), (F.coalesce("la", "a") != F.coalesce("lb", "b")).alias("query")
+        "a", "b", F.col("nb").alias("n"), F.coalesce("lb", "b").alias("component"), (F.coalesce("la", "a") != F.coalesce("lb", "b")).alias("query")
     )
-    sized = marked.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.count_if("query").alias("q")).where("q > 0 and n > 1")
-    sized = sized.select("a", F.ceil(F.col("n") / UNIT).cast("int").alias("blocks"), F.ceil(F.col("q") / UNIT).cast("int").alias("query_blocks"))
-    rows = marked.join(sized, "a")
+    marked = stored(marked, "marked")
+    sized = marked.groupBy("a").agg(F.count(F.lit(1)).alias("rows"), F.count_if("query").alias("q")).where("q > 0 and rows > 1")
+    sized = sized.select("a", F.ceil(F.col("rows") / UNIT).cast("int").alias("blocks"), F.ceil(F.col("q") / UNIT).cast("int").alias("query_blocks"))
+    rows = marked.join(stored(sized, "group-sizes"), "a")
     spread = F.pmod(F.xxhash64("b"), F.col("blocks").cast("long")).cast("int")
     query_spread = F.pmod(F.xxhash64("b"), F.col("query_blocks").cast("long")).cast("int")
-    as_member = rows.select("a", "b", "component", F.lit(False).alias("query"), spread.alias("block"), F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)).alias("query_block"))
-    as_query = rows.where("query").select("a", "b", "component", "query", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), query_spread.alias("query_block"))
-    units = as_member.unionByName(as_query).join(sets.select(F.col("class").alias("b"), "tokens"), "b")
-
-    def run(unit: pa.Table) -> pa.Table:
+    as_member = rows.select("a", "b", "n", "component", F.lit(False).alias("query"), spread.alias("block"), F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)).alias("query_block"))
+    as_query = rows.where("query").select("a", "b", "n", "component", "query", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), query_spread.alias("query_block"))
+    units = as_member.unionByName(as_query).join(sets.select(F.col("class").alias("b"), "bins"), "b")
+    unit = ["a", "block", "query_block"]
+    names = [*unit, "b", "component", "query"]
+
+    def bound(rows: pa.Table) -> pa.Table:
+        is_query = rows.column("query").to_numpy()
+        at = [np.flatnonzero(is_query), np.flatnonzero(~is_query)]
+        sides = [list(zip(*(rows.column(c).take(pa.array(k)).to_pylist() for c in ("b", "component", "n", "bins")))) for k in at]
+        use = np.concatenate([k[u] for k, u in zip(at, within_bounds(*sides, percent))])
+        return rows.select(names).take(pa.array(use))
+
+    def run(rows: pa.Table) -> pa.Table:
         sides: dict[bool, list] = {True: [], False: []}
-        for name, component, query, tokens in zip(*(unit.column(c).to_pylist() for c in ("b", "component", "query")), unit.column("tokens")):
+        for name, component, query, tokens in zip(*(rows.column(c).to_pylist() for c in ("b", "component", "query")), rows.column("tokens")):
             sides[query].append((name, component, tokens.values.to_numpy().view(np.uint64)))
         found = unit_links(sides[True], sides[False], percent)
         return pa.table([_binary([x for x, _ in found]), _binary([y for _, y in found])], ["a", "b"])
 
-    return units.groupBy("a", "block", "query_block").applyInArrow(run, "a binary, b binary")
+    kinds = dict(units.dtypes)
+    near = stored(units.groupBy(*unit).applyInArrow(bound, ", ".join(f"{c} {kinds[c]}" for c in names)), "near-members")
+    return near.join(sets.select(F.col("class").alias("b"), "tokens"), "b").groupBy(*unit).applyInArrow(run, "a binary, b binary")
 
 
 def link_classes(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, parts_from: int | None = PARTS_FROM) -> DataFrame:
