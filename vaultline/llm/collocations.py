@@ -6,7 +6,8 @@ Words and phrases are counted by language. A phrase of a language's ``n`` words
 1. The words of each language are counted.
 2. A task deals its documents to shards of up to ``SHARD_WORDS`` words. Each shard is mined completely, level by level,
    at its proportionally lowered support: a run of k + 1 words can only be frequent where both its runs of k are. The
-   shards' phrases of 1 to ``LONGEST`` words together are the candidates.
+   shards' phrases of 1 to ``LONGEST`` words together are the candidates, less those whose counts, with the most that
+   the other shards can have left out, don't reach the support.
 3. All occurrences of all candidates are counted, exactly and by their text. A filter over the candidates' hashes, its
    size set by their counted number up to ``FILTER_BITS``, keeps other phrases from being shuffled; one that it lets
    through is counted right as well, and is no more frequent for that.
@@ -87,27 +88,29 @@ def hashes_at(words: np.ndarray, at: np.ndarray, n: int, salt: int) -> np.ndarra
     return out
 
 
-def mine(words: np.ndarray, joined: np.ndarray, support: int, salt: int, longest: int = LONGEST) -> np.ndarray:
-    """Hashes of all runs of up to ``longest`` words of a shard that occur ``support`` times."""
-    alive, out = np.ones(len(words), bool), []
+def mine(words: np.ndarray, joined: np.ndarray, support: int, salt: int, longest: int = LONGEST) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and counts of all runs of up to ``longest`` words of a shard that occur ``support`` times."""
+    alive, kinds, times = np.ones(len(words), bool), [], []
     for n in range(1, longest + 1):
         if n > 1:
             alive = longer(alive, joined)
-        at = np.flatnonzero(alive)
+        at = np.flatnonzero(alive).astype(np.int32)
         hashes = np.empty(len(at), T.U64)
         for k in range(0, len(at), BLOCK):
             hashes[k: k + BLOCK] = hashes_at(words, at[k: k + BLOCK], n, salt)
         ordered = np.sort(hashes)
-        head = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.zeros(0, np.int64)
-        frequent = ordered[head[np.diff(np.append(head, len(ordered))) >= support]]
-        del ordered
-        out.append(frequent)
+        frequent = np.unique(ordered[support - 1:][ordered[support - 1:] == ordered[: len(ordered) - support + 1]]) if len(ordered) >= support else ordered[:0]
+        kinds.append(frequent)
+        times.append(np.searchsorted(ordered, frequent, "right") - np.searchsorted(ordered, frequent))
         if not len(frequent):
             break
-        if support > 1:
-            place = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
-            alive[at[frequent[place] != hashes]] = False
-    return np.concatenate(out)
+        del ordered
+        for k in range(0, len(at) if support > 1 else 0, BLOCK):
+            some = hashes[k: k + BLOCK]
+            place = np.minimum(np.searchsorted(frequent, some), len(frequent) - 1)
+            alive[at[k: k + BLOCK][frequent[place] != some]] = False
+        del hashes
+    return np.concatenate(kinds), np.concatenate(times)
 
 
 def by_language(docs: DataFrame, lang: str, text: str) -> DataFrame:
@@ -134,17 +137,25 @@ def salts(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def local_candidates(docs: DataFrame, support: int, longest: int) -> DataFrame:
-    """``h``: hashes of the phrases that are frequent in some shard. ``docs`` carry their language's words as ``n``."""
+    """``h, salt, over``: hashes of the phrases that are frequent in some shard, by language, and by how much their
+    counts exceed what the shard would have left out; with a null ``h``, that largest count left out itself. ``docs``
+    carry their language's words as ``n``."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for salt, (total, words, joined) in held.items():
+            while held:
+                salt, (total, words, joined) = held.popitem()
                 words, joined = np.concatenate(words), np.concatenate(joined)
                 lowered = max(1, -(-support * len(words) // total))
-                yield pa.RecordBatch.from_arrays([pa.array(mine(words, joined, lowered, salt, longest).view(np.int64))], ["h"])
+                h, times = mine(words, joined, lowered, salt, longest)
+                h, over = pa.array(h.view(np.int64)), pa.array(times - (lowered - 1))
+                signed = np.full(len(h) + 1, salt, T.U64).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.concat_arrays([h, pa.nulls(1, pa.int64())]), pa.array(signed), pa.concat_arrays([over, pa.array([lowered - 1])])], ["h", "salt", "over"]
+                )
 
         for part in parts:
             code, salt = salts(part)
@@ -153,19 +164,25 @@ def local_candidates(docs: DataFrame, support: int, longest: int) -> DataFrame:
                 found = Words(chunk)
                 lang = code[chunk.first + found.doc]
                 for c in np.unique(lang).tolist():
-                    mine_ = lang == c
-                    total = int(totals[np.flatnonzero(code == c)[0]])
-                    entry = held.setdefault(int(salt[c]), [total, [], []])
-                    entry[1].append(found.hashes[mine_])
-                    entry[2].append(found.joined[mine_])
+                    of_lang = lang == c
+                    entry = held.setdefault(int(salt[c]), [int(totals[np.argmax(code == c)]), [], []])
+                    entry[1].append(found.hashes[of_lang])
+                    entry[2].append(found.joined[of_lang])
                 size += len(found.starts)
                 if size >= SHARD_WORDS:
                     yield from flush()
-                    held.clear()
                     size = 0
         yield from flush()
 
-    return map_arrow(docs, run, "h long")
+    return map_arrow(docs, run, "h long, salt long, over long")
+
+
+def candidates(docs: DataFrame, support: int, longest: int) -> DataFrame:
+    """``h``: the locally frequent phrases that can be frequent in all: where a phrase is not listed, its count is at
+    most the largest that the shard left out."""
+    local = stored(local_candidates(docs, support, longest), "local-candidates")
+    left_out = local.where("h is null").groupBy("salt").agg(F.sum("over").alias("left_out"))
+    return local.where("h is not null").groupBy("h", "salt").agg(F.sum("over").alias("over")).join(left_out, "salt").where(F.col("over") + F.col("left_out") >= support).select("h")
 
 
 def occurrences(docs: DataFrame, filter_: np.ndarray, longest: int) -> DataFrame:
@@ -231,7 +248,7 @@ def frequent_phrases(docs: DataFrame, totals: DataFrame, support: int = SUPPORT,
     total = known.agg(F.sum("n")).first()[0] or 0
     shards = max(-(-total // SHARD_WORDS), min(LEAST_SHARDS, spark.sparkContext.defaultParallelism))
     dealt = docs.join(known, "lang").coalesce(shards)
-    union = stored(local_candidates(dealt, support, longest).distinct(), "candidates")
+    union = stored(candidates(dealt, support, longest), "candidates")
     log_bits = min(FILTER_BITS, max(16, int(16 * union.count()).bit_length()))
     counted = occurrences(dealt, bits_of(union, log_bits), longest)
     return counted.groupBy("lang", "phrase", "words").agg(F.sum("a").alias("a")).where(F.col("a") >= support)
