@@ -162,6 +162,13 @@ select md5(concat(cast(c_custkey as varchar(40)), '|')) as CustomerHashKey,
 
 INPUTS["fx_supply"] = "select distinct l_partkey, l_suppkey from {lineitem}"
 
+# What a second system offers: a part by the supplier of its own number, and what was sent back, once more.
+INPUTS["fx_offers"] = """
+select p_partkey, s_suppkey from {part} join {supplier} on p_partkey = s_suppkey
+union all
+select l_partkey, l_suppkey from {lineitem} where l_returnflag = 'R'
+"""
+
 INPUTS["fx_hub_customer_all"] = """
 select md5(concat(cast(c_custkey as varchar(40)), '|')) as CustomerHashKey, c_custkey from {customer}
 """

@@ -34,18 +34,27 @@ def model_hubs(data):
     return model.hubs(data["fx_tables"], data["fx_pk"], data["fx_ref"])
 
 
+# Each table as a list of its columns, without those that a link takes over, then numbered by their place in the list.
 @query("model_sats", f"""
-select c.table_catalog as SrcDatabase, c.table_schema as SrcSchema, c.table_name as SrcObject, c.column_name as SrcColumn,
-       concat('RV_', substring(c.table_schema, 5)) as SatSchema, concat('Sat', {entity_sql('c.table_name')}) as SatName,
-       case when p.SrcColumn is null then c.column_name else concat({entity_sql('c.table_name')}, 'HashKey') end as SatColumn,
-       cast(row_number() over (partition by c.table_schema, c.table_name order by c.ordinal_position) as integer) as ColumnPosition,
-       case when p.SrcColumn is null then 0 else 1 end as IsColumnBusinessKey,
-       case when p.SrcColumn is null then 1 else 0 end as IsColumnPartOfHashDiffKey, substring(c.table_schema, 5) as RecordSource
-  from {{fx_columns}} c left join {{fx_pk}} p on p.SrcTable = c.table_name and p.SrcColumn = c.column_name
-  left join {{fx_fk}} f on f.ChildTable = c.table_name and f.ChildColumn = c.column_name
-  left join {{fx_ref}} fr on fr.SrcObject = f.ParentTable
- where c.table_schema like 'STG%' and (f.ParentTable is null or fr.SrcObject is not null)
-   and not exists (select 1 from {{fx_ref}} r where r.SrcSchema = c.table_schema and r.SrcObject = c.table_name)
+with taken as (
+  select ChildTable, list(ChildColumn) as cols from (
+    select ChildTable, ChildColumn, bool_and(ParentTable not in (select SrcObject from {{fx_ref}})) as linked from {{fx_fk}} group by all)
+  where linked group by ChildTable),
+keyed as (select SrcTable, list(SrcColumn) as cols from {{fx_pk}} group by SrcTable),
+staged as (
+  select table_catalog as db, table_schema as sch, table_name as obj, {entity_sql('table_name')} as entity,
+         list(column_name order by ordinal_position) as cols
+    from {{fx_columns}} where starts_with(table_schema, 'STG') and (table_schema, table_name) not in (select (SrcSchema, SrcObject) from {{fx_ref}})
+   group by all),
+kept as (
+  select s.*, coalesce(k.cols, []) as keys, list_filter(s.cols, lambda c: not list_contains(coalesce(t.cols, []), c)) as own
+    from staged s left join taken t on t.ChildTable = s.obj left join keyed k on k.SrcTable = s.obj),
+numbered as (select *, unnest(own) as col, generate_subscripts(own, 1) as place from kept)
+select db as SrcDatabase, sch as SrcSchema, obj as SrcObject, col as SrcColumn, 'RV_' || sch[5:] as SatSchema, 'Sat' || entity as SatName,
+       if(list_contains(keys, col), entity || 'HashKey', col) as SatColumn, place::integer as ColumnPosition,
+       list_contains(keys, col)::integer as IsColumnBusinessKey, (not list_contains(keys, col))::integer as IsColumnPartOfHashDiffKey,
+       sch[5:] as RecordSource
+  from numbered
 """)
 def model_sats(data):
     return model.sats(data["fx_columns"], data["fx_pk"], data["fx_fk"], data["fx_ref"])
@@ -61,32 +70,31 @@ select t.table_name as SrcObject, coalesce(p.SrcColumn, 'UNDEFINED') as SrcBusin
 
 
 def links_sql(where: str) -> str:
-    child, parent = entity_sql("f.ChildTable"), entity_sql("f.ParentTable")
+    """A link as two lists, the child's keys and the roles of its parent, put together, sorted and numbered."""
     return f"""
-with parents as (
-  select t.table_catalog as db, t.table_schema as sch, f.ChildTable as obj, f.ChildColumn as col,
-         concat('Link', {child}, {parent}) as link, 100 + f.ColumnPosition as pos,
-         concat('Hub', {parent}) as hub,
-         concat(case when dense_rank() over (partition by t.table_schema, f.ChildTable, f.ParentTable order by f.FKConstraintName) = 1
-                     then {parent} else {entity_sql('f.ChildColumn', 'ID')} end, 'HashKey') as hk
-    from {{fx_fk}} f left join {{fx_tables}} t on t.table_name = f.ParentTable and t.table_schema like 'STG%'
-   where f.ParentTable not in (select SrcObject from {{fx_ref}}) and {where}),
-children as (
-  select distinct p.db, p.sch, p.obj, h.SrcBusinessKey as col, p.link, h.ColumnPosition as pos,
-         concat('Hub', {entity_sql('p.obj')}) as hub, concat({entity_sql('p.obj')}, 'HashKey') as hk
-    from parents p left join {{fx_hub_keys}} h on h.SrcObject = p.obj),
-both_sides as (
-  select db, sch, obj, col, link, pos, hub,
-         case when exists (select 1 from children c where c.link = p.link and c.sch = p.sch and c.hk = p.hk)
-              then concat('Parent', hk) else hk end as hk
-    from parents p
-  union all
-  select db, sch, obj, col, link, pos, hub, hk from children)
-select db as SrcDatabase, sch as SrcSchema, obj as SrcObject, col as SrcBusinessKey,
-       concat('RV_', substring(sch, 5)) as LinkSchema, link as LinkName, hk as LinkHubHashKeyName,
-       cast(row_number() over (partition by link order by pos, hk, col) as integer) as LinkHubHashKeyColumnPosition,
-       hub as HubName, substring(sch, 5) as RecordSource
-  from both_sides
+with hub_lists as (
+  select SrcObject, list(struct_pack(pos := ColumnPosition, col := SrcBusinessKey)) as keys from {{fx_hub_keys}} group by SrcObject),
+role_lists as (
+  select ChildTable, ParentTable, min(FKConstraintName) as main,
+         list(struct_pack(fk := FKConstraintName, pos := ColumnPosition, col := ChildColumn, own := {entity_sql('ChildColumn', 'ID')})) as roles
+    from {{fx_fk}} f where ParentTable not in (select SrcObject from {{fx_ref}}) and {where} group by ChildTable, ParentTable),
+named as (
+  select r.*, h.keys, {entity_sql('r.ChildTable')} as child, {entity_sql('r.ParentTable')} as parent
+    from role_lists r join hub_lists h on h.SrcObject = r.ChildTable),
+parts as (
+  select n.ChildTable, 'Link' || child || parent as link, list_concat(
+    list_transform(keys, lambda k: struct_pack(pos := k.pos, hk := child || 'HashKey', col := k.col, hub := 'Hub' || child)),
+    list_transform(list_transform(roles, lambda x: struct_pack(x := x, name := if(x.fk = main, parent, x.own))),
+      lambda y: struct_pack(pos := 100 + y.x.pos, hk := if(y.name = child, 'Parent', '') || y.name || 'HashKey', col := y.x.col, hub := 'Hub' || parent))
+  ) as entries, t.table_catalog as db, t.table_schema as sch
+    from named n left join {{fx_tables}} t on t.table_name = n.ParentTable and starts_with(t.table_schema, 'STG')),
+whole as (
+  select link, list_sort(flatten(list(list_transform(entries, lambda e: struct_pack(pos := e.pos, hk := e.hk, col := e.col, hub := e.hub, obj := ChildTable, db := db, sch := sch))))) as entries
+    from parts group by link),
+placed as (select link, unnest(entries) as e, generate_subscripts(entries, 1) as place from whole)
+select e.db as SrcDatabase, e.sch as SrcSchema, e.obj as SrcObject, e.col as SrcBusinessKey, 'RV_' || e.sch[5:] as LinkSchema, link as LinkName,
+       e.hk as LinkHubHashKeyName, place::integer as LinkHubHashKeyColumnPosition, e.hub as HubName, e.sch[5:] as RecordSource
+  from placed
 """
 
 
@@ -110,12 +118,18 @@ def model_names(data):
 
 
 @query("dict_fk", """
-select c.table_name as ParentTable, c.column_name as ParentColumn, b.table_name as ChildTable, b.column_name as ChildColumn,
-       b.position as ColumnPosition, a.constraint_name as FKConstraintName
-  from {fx_constraints} a
-  join {fx_cons_columns} b on b.owner = a.owner and b.constraint_name = a.constraint_name
-  join {fx_cons_columns} c on c.owner = a.r_owner and c.constraint_name = a.r_constraint_name and c.position = b.position
- where a.constraint_type = 'R' and c.owner in ('PRD', 'SRM')
+with lists as (
+  select owner, constraint_name as name, any_value(table_name) as tbl, map_from_entries(list((position, column_name))) as cols
+    from {fx_cons_columns} group by owner, constraint_name),
+foreign_keys as (
+  select r.constraint_name as name, child.tbl as child, child.cols as child_cols, parent.tbl as parent, parent.cols as parent_cols
+    from (select * from {fx_constraints} where constraint_type = 'R') r
+    join lists child on (child.owner, child.name) = (r.owner, r.constraint_name)
+    join (select * from lists where owner in ('PRD', 'SRM')) parent on (parent.owner, parent.name) = (r.r_owner, r.r_constraint_name)),
+places as (select *, unnest(map_keys(child_cols)) as place from foreign_keys)
+select parent as ParentTable, parent_cols[place] as ParentColumn, child as ChildTable, child_cols[place] as ChildColumn,
+       place as ColumnPosition, name as FKConstraintName
+  from places where map_contains(parent_cols, place)
 """)
 def dict_fk(data):
     return model.fk_dictionary(data["fx_constraints"], data["fx_cons_columns"], SCOPE)

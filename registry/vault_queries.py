@@ -135,14 +135,11 @@ select h as PartSupplierHashKey, timestamp_ntz '{LOAD_TIME}' as LoadDateTime,
   from (select {md5('l_partkey', 'l_suppkey')} as h, {md5('l_partkey')} as p, {md5('l_suppkey')} as s, 0 as pos from {{fx_supply}}
         union all
         select {md5('p_partkey', 's_suppkey')}, {md5('p_partkey')}, {md5('s_suppkey')}, 1
-          from {{part}} join {{supplier}} on p_size = s_nationkey) u
+          from {{fx_offers}}) u
  group by h, p, s
 """)
 def link_load_two_sources(data):
-    same = F.col("p_size") == F.col("s_nationkey")
-    offers = data["part"].join(data["supplier"], same).select(
-        F.col("p_partkey").alias("part"), F.col("s_suppkey").alias("supplier")
-    )
+    offers = data["fx_offers"].select(F.col("p_partkey").alias("part"), F.col("s_suppkey").alias("supplier"))
     return vault.load_link({"supply": data["lineitem"], "offers": offers}, None, TWO_SOURCE_LINK, LOAD_TIME)
 
 

@@ -27,27 +27,30 @@ PARENT_OFFSET = 100
 
 def fk_dictionary(constraints: DataFrame, columns: DataFrame, scope: Mapping[str, Sequence[str] | None]) -> DataFrame:
     """Foreign keys of the dictionary: child and parent columns paired by position. ``scope`` maps each
-    owner of parent tables to table names, or to None for all of them."""
-    # Joined by column lists, so that each join shuffles on the constraint it looks up.
-    child = columns.select(
-        "owner", "constraint_name", F.col("table_name").alias("ChildTable"), F.col("column_name").alias("ChildColumn"),
-        F.col("position").alias("ColumnPosition"),
+    owner of parent tables to table names, or to None for all of them.
+
+    A constraint's columns become one row first, a list that its table bounds; so what is joined is constraints, and
+    the pairs come from two lists without a further join."""
+    lists = columns.groupBy("owner", "constraint_name", "table_name").agg(
+        F.collect_list(F.struct("position", "column_name")).alias("parts")
     )
-    parent = columns.where(_in_scope(scope)).select(
+    foreign = constraints.where(F.col("constraint_type") == "R").select("owner", "constraint_name", "r_owner", "r_constraint_name")
+    child = lists.select("owner", "constraint_name", F.col("table_name").alias("child"), F.col("parts").alias("child_parts"))
+    parent = lists.where(_in_scope(scope)).select(
         F.col("owner").alias("r_owner"), F.col("constraint_name").alias("r_constraint_name"),
-        F.col("table_name").alias("ParentTable"), F.col("column_name").alias("ParentColumn"),
-        F.col("position").alias("ColumnPosition"),
-    )
-    foreign = constraints.where(F.col("constraint_type") == "R").select(
-        "owner", "constraint_name", "r_owner", "r_constraint_name"
-    )
-    return (
-        foreign.join(child, ["owner", "constraint_name"])
-        .join(parent, ["r_owner", "r_constraint_name", "ColumnPosition"])
-        .select("ParentTable", "ParentColumn", "ChildTable", "ChildColumn", "ColumnPosition",
-                F.col("constraint_name").alias("FKConstraintName"))
+        F.col("table_name").alias("parent"), F.col("parts").alias("parent_parts"),
     )
 
+    def paired(part: Column) -> Column:
+        same = F.filter("parent_parts", lambda other: other["position"] == part["position"])
+        return F.transform(same, lambda other: F.struct(
+            F.col("parent").alias("ParentTable"), other["column_name"].alias("ParentColumn"), F.col("child").alias("ChildTable"),
+            part["column_name"].alias("ChildColumn"), part["position"].alias("ColumnPosition"), F.col("constraint_name").alias("FKConstraintName"),
+        ))
+
+    joined = foreign.join(child, ["owner", "constraint_name"]).join(parent, ["r_owner", "r_constraint_name"])
+    return joined.select(F.inline(F.flatten(F.transform("child_parts", paired))))
+
 
 def pk_dictionary(constraints: DataFrame, columns: DataFrame, scope: Mapping[str, Sequence[str] | None]) -> DataFrame:
     primary = constraints.where(F.col("constraint_type") == "P").select("owner", "constraint_name")
@@ -112,43 +115,45 @@ def links(fk: DataFrame, tables: DataFrame, ref: DataFrame, hub_mapping: DataFra
 
     The first foreign key to a parent takes the parent's name, further ones the name of their column;
     a parent key that would clash with the child's own key is prefixed. Child keys come first.
+
+    The foreign keys of a pair of tables become one list of roles, and the child's keys another, both bounded by the
+    columns of a table; a link's rows are the two together, so that every input is read once.
     """
-    by_pair = Window.partitionBy("table_catalog", "table_schema", "ChildTable", "ParentTable").orderBy("FKConstraintName")
-    by_link = Window.partitionBy("LinkName").orderBy("_position", "LinkHubHashKeyName", "SrcBusinessKey")
+    pairs = (
+        fk.join(ref.select(F.col("SrcObject").alias("ParentTable")).distinct(), "ParentTable", "left_anti")
+        .groupBy("ChildTable", "ParentTable")
+        .agg(F.collect_list(F.struct("FKConstraintName", "ChildColumn", "ColumnPosition")).alias("roles"))
+        .withColumn("first_key", F.array_min(F.transform("roles", lambda r: r["FKConstraintName"])))
+    )
     parent_tables = tables.where(F.col("table_schema").startswith(STAGING_PREFIX)).select(
         "table_catalog", "table_schema", F.col("table_name").alias("ParentTable")
     )
-    child_keys = hub_mapping.select(
-        "SrcObject", "HubName", "SrcBusinessKey", F.col("ColumnPosition").alias("_position"),
-        _hash_key(F.col("SrcObject")).alias("LinkHubHashKeyName"),
+    hub_keys = hub_mapping.groupBy(F.col("SrcObject").alias("ChildTable")).agg(
+        F.collect_list(F.struct("SrcBusinessKey", "ColumnPosition", "HubName")).alias("keys")
     )
-    child_hubs = hub_mapping.select(F.col("SrcObject").alias("ChildTable"), F.lit(True).alias("_hub")).distinct()
     child, parent = entity(F.col("ChildTable")), entity(F.col("ParentTable"))
-    # Joined by child table last, whose partitioning the window and the distinct below keep.
-    roles = (
-        fk.join(ref.select(F.col("SrcObject").alias("ParentTable")), "ParentTable", "left_anti")
-        .join(parent_tables, "ParentTable", "left")
-        .join(child_hubs, "ChildTable", "left")
-        .select("*", F.dense_rank().over(by_pair).alias("_rank"), child.alias("_child"), parent.alias("_parent"))
-        .withColumn("_role", F.when(F.col("_rank") == 1, F.col("_parent")).otherwise(entity(F.col("ChildColumn"), drop=["ID"])))
+    named = pairs.join(parent_tables, "ParentTable", "left").join(hub_keys, "ChildTable", "left").select("*", child.alias("_child"), parent.alias("_parent"))
+
+    def entry(column: Column, key: Column, position: Column, hub: Column) -> Column:
+        return F.struct(column.alias("SrcBusinessKey"), key.alias("LinkHubHashKeyName"), position.alias("_position"), hub.alias("HubName"))
+
+    def of_parent(role: Column) -> Column:
+        name = F.when(role["FKConstraintName"] == F.col("first_key"), F.col("_parent")).otherwise(entity(role["ChildColumn"], drop=["ID"]))
         # The child's own key is named after it, if it has a hub.
-        .withColumn("_role", F.when(F.col("_hub") & (F.col("_role") == F.col("_child")), F.concat(F.lit("Parent"), "_role"))
-                    .otherwise(F.col("_role")))
+        name = F.when(F.col("keys").isNotNull() & (name == F.col("_child")), F.concat(F.lit("Parent"), name)).otherwise(name)
+        return entry(role["ChildColumn"], F.concat(name, F.lit(HASH_KEY_SUFFIX)), role["ColumnPosition"] + PARENT_OFFSET, F.concat(F.lit("Hub"), F.col("_parent")))
+
+    own_key = F.concat("_child", F.lit(HASH_KEY_SUFFIX))
+    own = F.transform("keys", lambda k: entry(k["SrcBusinessKey"], own_key, k["ColumnPosition"], k["HubName"]))
+    text = F.lit(None).cast("string")
+    no_hub = F.array(entry(text, text, F.lit(None).cast("int"), text))
+    rows = named.select(
+        F.col("table_catalog").alias("SrcDatabase"), F.col("table_schema").alias("SrcSchema"), F.col("ChildTable").alias("SrcObject"),
+        _vault_schema().alias("LinkSchema"), F.concat(F.lit("Link"), "_child", "_parent").alias("LinkName"), _system().alias("RecordSource"),
+        F.inline(F.concat(F.coalesce(own, no_hub), F.transform("roles", of_parent))),
     )
-    parents = roles.select(
-        F.col("table_catalog").alias("SrcDatabase"), F.col("table_schema").alias("SrcSchema"),
-        F.col("ChildTable").alias("SrcObject"), F.col("ChildColumn").alias("SrcBusinessKey"),
-        _vault_schema().alias("LinkSchema"), F.concat(F.lit("Link"), "_child", "_parent").alias("LinkName"),
-        F.concat("_role", F.lit(HASH_KEY_SUFFIX)).alias("LinkHubHashKeyName"),
-        (F.col("ColumnPosition") + PARENT_OFFSET).alias("_position"),
-        F.concat(F.lit("Hub"), "_parent").alias("HubName"), _system().alias("RecordSource"),
-    )
-    children = (
-        parents.select("SrcDatabase", "SrcSchema", "SrcObject", "LinkSchema", "LinkName", "RecordSource").distinct()
-        .join(child_keys, "SrcObject", "left")
-        .select(*parents.columns)
-    )
-    return parents.unionByName(children).select(
+    by_link = Window.partitionBy("LinkName").orderBy("_position", "LinkHubHashKeyName", "SrcBusinessKey")
+    return rows.select(
         "SrcDatabase", "SrcSchema", "SrcObject", "SrcBusinessKey", "LinkSchema", "LinkName", "LinkHubHashKeyName",
         F.row_number().over(by_link).alias("LinkHubHashKeyColumnPosition"), "HubName", "RecordSource",
     )
