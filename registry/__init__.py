@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("inputs", "cdc_queries", "dq_queries", "vault_queries", "model_queries", "profile_queries")
+MODULES = ("inputs", "cdc_queries", "dq_queries", "vault_queries", "model_queries", "profile_queries", "history_queries", "metadata_queries")
 
 
 def _load():

@@ -1,8 +1,10 @@
+import pytest
 from pyspark.sql import functions as F
 
 from vaultline.functions.naming import entity
-from vaultline.operators import model
+from vaultline.operators import model, vault
 from vaultline.sources import metadata
+from vaultline.specs import HubSource, HubSpec
 
 TABLES = [("DB", "STG_CMS", t) for t in ("CMS_CONTRACT", "CMS_BROKER", "CMS_STATUS", "CMS_TRADE_LEG")] + [("DB", "RV_CMS", "CMS_OLD")]
 COLUMNS = [
@@ -111,3 +113,26 @@ def test_dictionary_scope(spark, rows):
     assert rows(model.fk_dictionary(constraints, columns, {"A": ["T1"]}), *shown) == one
     assert len(rows(model.fk_dictionary(constraints, columns, {"A": None}))) == 3
     assert rows(model.pk_dictionary(constraints, columns, {"A": ["T2"], "B": None})) == [("T2", "ID", 1, "PK2")]
+
+
+def test_a_satellite_whose_key_is_partly_a_foreign_key_takes_its_hubs_key(spark):
+    tables, columns, pk, fk, ref = frames(spark)
+    pk = pk.where("SrcTable <> 'CMS_CONTRACT'").unionByName(
+        spark.createDataFrame([("CMS_CONTRACT", "CC_BROKER", 1, "P1"), ("CMS_CONTRACT", "CC_ID", 2, "P1")], pk.schema))
+    hubs = metadata.hub_specs(model.hubs(tables, pk, ref), "RV_CMS")
+    mapping = model.sats(columns, pk, fk, ref)
+    spec = metadata.sat_specs(mapping, "RV_CMS", "SatContract", hubs)[0]
+    assert spec.keys == ("CC_BROKER", "CC_ID") and (spec.source_schema, spec.database) == ("STG_CMS", "DB")
+    assert metadata.sat_specs(mapping, "RV_CMS", "SatContract")[0].keys == ("CC_ID",)
+
+
+def test_sources_are_found_by_what_the_spec_says(spark):
+    a, b = spark.range(1), spark.range(2)
+    two = {("DB", "STG_A", "T"): a, ("DB", "STG_B", "T"): b}
+    assert vault.source_frame(two, "T", "STG_B") is b and vault.source_frame(two, "T", "STG_A", "DB") is a
+    assert vault.source_frame({"T": a}, "T", "STG_A", "DB") is a and vault.source_frame({("STG_B", "T"): b}, "T", database="DB") is b
+    for wrong in (("T", None), ("T", "STG_C"), ("U", None)):
+        with pytest.raises(KeyError):
+            vault.source_frame(two, *wrong)
+    with pytest.raises(ValueError, match="choose a schema"):
+        vault.load_hubs([HubSpec("HubT", (HubSource("T", {"id": "id"}, "A", s),), f"RV_{s}") for s in ("A", "B")], two, {}, "2024-01-01")

@@ -21,8 +21,25 @@ Spec = TypeVar("Spec", HubSpec, LinkSpec, SatSpec)
 DEFAULT_RULE = HashRule()
 
 
+Sources = Mapping[str | tuple[str, ...], DataFrame]
+
+
+def source_frame(sources: Sources, name: str, schema: str | None = None, database: str | None = None) -> DataFrame:
+    """The frame of a source object. Sources are named by object, by (schema, object) or by (database, schema, object);
+    whatever both the name and the spec say has to agree, and an object that two sources could be is an error."""
+    wanted = (database, schema, name)
+    found = []
+    for key in sources:
+        parts = (key,) if isinstance(key, str) else tuple(key)
+        if all(w is None or p == w for p, w in zip(reversed(parts), reversed(wanted))):
+            found.append(key)
+    if len(found) != 1:
+        raise KeyError(f"{'.'.join(p for p in wanted if p)}: {len(found)} sources of this name, of {sorted(map(str, sources))}")
+    return sources[found[0]]
+
+
 def load_hub(
-    sources: Mapping[str, DataFrame], hub: DataFrame | None, spec: HubSpec, load_time: datetime | str,
+    sources: Sources, hub: DataFrame | None, spec: HubSpec, load_time: datetime | str,
     *, rule: HashRule = DEFAULT_RULE,
 ) -> DataFrame:
     """Business keys that the hub does not have, from all its sources.
@@ -33,7 +50,7 @@ def load_hub(
     """
     parts = []
     for position, source in enumerate(spec.sources):
-        frame = sources[source.object_name]
+        frame = source_frame(sources, source.object_name, source.schema, source.database)
         keys = [_key(frame, column).alias(name) for name, column in source.keys.items()]
         parts.append(frame.select(*keys).dropna().withColumn("_source", F.lit(position)))
     staged = reduce(DataFrame.unionByName, parts)
@@ -50,14 +67,14 @@ def load_hub(
 
 
 def load_link(
-    sources: Mapping[str, DataFrame], link: DataFrame | None, spec: LinkSpec, load_time: datetime | str,
+    sources: Sources, link: DataFrame | None, spec: LinkSpec, load_time: datetime | str,
     *, min_keys: int = 2, rule: HashRule = DEFAULT_RULE,
 ) -> DataFrame:
     """Key combinations that the link does not have. A row counts with at least ``min_keys`` of its
     source keys present. Source keys are combined before their shuffle, and hashed after."""
     parts = []
     for position, source in enumerate(spec.sources):
-        frame, columns = sources[source.object_name], source.columns
+        frame, columns = source_frame(sources, source.object_name, source.schema, source.database), source.columns
         present = reduce(Column.__add__, [F.col(c).isNotNull().cast("int") for c in columns])
         keys = frame.where(present >= min_keys).select(*[_hashed_text(frame, c).alias(c) for c in columns]).distinct()
         parts.append(keys.select(
@@ -160,33 +177,37 @@ def select_specs(specs: Iterable[Spec], schema: str | None = None, name: str | N
 
 
 def load_hubs(
-    specs: Iterable[HubSpec], sources: Mapping[str, DataFrame], hubs: Mapping[str, DataFrame],
-    load_time: datetime | str, schema: str | None = None, name: str | None = None,
+    specs: Iterable[HubSpec], sources: Sources, hubs: Mapping[str, DataFrame], load_time: datetime | str,
+    schema: str | None = None, name: str | None = None, **options,
 ) -> dict[str, DataFrame]:
-    return {
-        s.name: load_hub(sources, hubs.get(s.name), s, load_time) for s in select_specs(specs, schema, name)
-    }
+    return {s.name: load_hub(sources, hubs.get(s.name), s, load_time, **options) for s in _chosen(specs, schema, name)}
 
 
 def load_links(
-    specs: Iterable[LinkSpec], sources: Mapping[str, DataFrame], links: Mapping[str, DataFrame],
-    load_time: datetime | str, schema: str | None = None, name: str | None = None,
+    specs: Iterable[LinkSpec], sources: Sources, links: Mapping[str, DataFrame], load_time: datetime | str,
+    schema: str | None = None, name: str | None = None, **options,
 ) -> dict[str, DataFrame]:
-    return {
-        s.name: load_link(sources, links.get(s.name), s, load_time) for s in select_specs(specs, schema, name)
-    }
+    return {s.name: load_link(sources, links.get(s.name), s, load_time, **options) for s in _chosen(specs, schema, name)}
 
 
 def load_sats(
-    specs: Iterable[SatSpec], sources: Mapping[str, DataFrame], sats: Mapping[str, DataFrame],
-    load_time: datetime | str, schema: str | None = None, name: str | None = None, **options,
+    specs: Iterable[SatSpec], sources: Sources, sats: Mapping[str, DataFrame], load_time: datetime | str,
+    schema: str | None = None, name: str | None = None, **options,
 ) -> dict[str, DataFrame]:
     return {
-        s.name: load_sat(sources[s.object_name or s.name], sats.get(s.name), s, load_time, **options)
-        for s in select_specs(specs, schema, name)
+        s.name: load_sat(source_frame(sources, s.object_name or s.name, s.source_schema, s.database), sats.get(s.name), s, load_time, **options)
+        for s in _chosen(specs, schema, name)
     }
 
 
+def _chosen(specs: Iterable[Spec], schema: str | None, name: str | None) -> list[Spec]:
+    """``select_specs``, whose names must tell the objects apart."""
+    chosen = select_specs(specs, schema, name)
+    if len({s.name for s in chosen}) != len(chosen):
+        raise ValueError("objects of one name in several schemas: choose a schema")
+    return chosen
+
+
 def _key(frame: DataFrame, column: str) -> Column:
     """A text key without the blanks at its end, which neither the hash nor equality regards."""
     return F.rtrim(column) if dict(frame.dtypes)[column] == "string" else F.col(column)

@@ -6,10 +6,10 @@ satellites do not wait for each other.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from vaultline.functions.hashing import HashRule
 from vaultline.operators import vault
@@ -18,7 +18,7 @@ from vaultline.specs import HubSpec, LinkSpec, SatSpec
 
 
 def load_vault(
-    spark: SparkSession, specs: Iterable[HubSpec | LinkSpec | SatSpec], sources: Mapping[str, DataFrame], root: str,
+    spark: SparkSession, specs: Iterable[HubSpec | LinkSpec | SatSpec], sources: vault.Sources, root: str,
     load_time: datetime | str, schema: str | None = None, name: str | None = None, rule: HashRule = HashRule(),
 ) -> list[str]:
     """Loads the chosen objects from their sources and returns their folders."""
@@ -31,7 +31,8 @@ def load_vault(
         elif isinstance(spec, LinkSpec):
             new = vault.load_link(sources, stored, spec, load_time, rule=rule)
         else:
-            new = vault.load_sat(sources[spec.object_name or spec.name], stored, spec, load_time, rule=rule)
+            source = vault.source_frame(sources, spec.object_name or spec.name, spec.source_schema, spec.database)
+            new = vault.load_sat(source, stored, spec, load_time, rule=rule)
         new.write.mode("append").parquet(path)
         done.append(path)
     return done

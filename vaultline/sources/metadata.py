@@ -86,11 +86,11 @@ def hub_specs(mapping: DataFrame, schema: str | None = None, name: str | None =
     specs = []
     for (hub_schema, hub_name), rows in _grouped(mapping, "HubSchema", "HubName", schema, name).items():
         sources = []
-        for (source_schema, source), keys in _by(rows, "SrcSchema", "SrcObject").items():
+        for (database, source_schema, source), keys in _by(rows, "SrcDatabase", "SrcSchema", "SrcObject").items():
             # Keys meet their hub columns by name, whatever order their positions give.
             ordered = sorted(keys, key=lambda r: (r.ColumnPosition, r.HubBusinessKey))
             sources.append(HubSource(
-                source, {r.HubBusinessKey: r.SrcBusinessKey for r in ordered}, ordered[0].RecordSource, source_schema
+                source, {r.HubBusinessKey: r.SrcBusinessKey for r in ordered}, ordered[0].RecordSource, source_schema, database
             ))
         specs.append(HubSpec(hub_name, tuple(sources), hub_schema))
     return specs
@@ -100,11 +100,11 @@ def link_specs(mapping: DataFrame, schema: str | None = None, name: str | None =
     specs = []
     for (link_schema, link_name), rows in _grouped(mapping, "LinkSchema", "LinkName", schema, name).items():
         sources = []
-        for (source_schema, source), keys in _by(rows, "SrcSchema", "SrcObject").items():
+        for (database, source_schema, source), keys in _by(rows, "SrcDatabase", "SrcSchema", "SrcObject").items():
             hubs: dict[str, list[str]] = {}
             for r in sorted(keys, key=lambda r: r.LinkHubHashKeyColumnPosition):
                 hubs.setdefault(r.LinkHubHashKeyName, []).append(r.SrcBusinessKey)
-            sources.append(LinkSource(source, hubs, keys[0].RecordSource, source_schema))
+            sources.append(LinkSource(source, hubs, keys[0].RecordSource, source_schema, database))
         specs.append(LinkSpec(link_name, tuple(sources), link_schema))
     return specs
 
@@ -112,9 +112,9 @@ def link_specs(mapping: DataFrame, schema: str | None = None, name: str | None =
 def sat_specs(
     mapping: DataFrame, schema: str | None = None, name: str | None = None, hubs: Iterable[HubSpec] = ()
 ) -> list[SatSpec]:
-    """A satellite whose key columns are missing from the mapping (because they are foreign keys as
-    well) takes them from the hub of the same source object."""
-    hub_keys = {s.object_name: tuple(s.keys.values()) for h in hubs for s in h.sources}
+    """A satellite of which key columns are missing from the mapping (because they are foreign keys as
+    well) takes its whole key from the hub of the same source object."""
+    hub_keys = {(s.schema, s.object_name): tuple(s.keys.values()) for h in hubs for s in h.sources}
     specs = []
     for (sat_schema, sat_name), rows in _grouped(mapping, "SatSchema", "SatName", schema, name).items():
         ordered = sorted(rows, key=lambda r: r.ColumnPosition)
@@ -123,11 +123,12 @@ def sat_specs(
         specs.append(SatSpec(
             sat_name,
             tuple(r.SatColumn for r in rest),
-            keys=tuple(r.SrcColumn for r in keys) or hub_keys.get(ordered[0].SrcObject, ()),
+            keys=max(tuple(r.SrcColumn for r in keys), hub_keys.get((ordered[0].SrcSchema, ordered[0].SrcObject), ()), key=len),
             schema=sat_schema, object_name=ordered[0].SrcObject, record_source=ordered[0].RecordSource,
             key_name=keys[0].SatColumn if keys else sat_name[len("Sat"):] + HASH_KEY_SUFFIX,
             diff_columns=tuple(r.SatColumn for r in rest if r.IsColumnPartOfHashDiffKey),
             renamed={r.SatColumn: r.SrcColumn for r in rest if r.SatColumn != r.SrcColumn},
+            source_schema=ordered[0].SrcSchema, database=ordered[0].SrcDatabase,
         ))
     return specs
 
@@ -142,6 +143,8 @@ def _begins(text: str) -> str:
 
 
 def _grouped(mapping: DataFrame, schema_column: str, name_column: str, schema: str | None, name: str | None):
+    """The mapping's rows by object. A mapping has a row for each column of the objects chosen, all of a model's if no
+    schema and no name are given; it is metadata, and no data row passes through here."""
     every = (None, "NULL", "ALL")
     if schema not in every:
         mapping = mapping.where(F.col(schema_column) == schema)

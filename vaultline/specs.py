@@ -118,6 +118,7 @@ class HubSource:
     keys: dict[str, str]
     record_source: str
     schema: str | None = None
+    database: str | None = None
 
 
 @dataclass(frozen=True)
@@ -148,6 +149,7 @@ class LinkSource:
     hubs: dict[str, Sequence[str]]
     record_source: str
     schema: str | None = None
+    database: str | None = None
 
     @property
     def columns(self) -> list[str]:
@@ -189,6 +191,8 @@ class SatSpec:
     diff_columns: tuple[str, ...] = ()
     renamed: dict[str, str] = field(default_factory=dict)
     """Source column of an attribute, where its name differs."""
+    source_schema: str | None = None
+    database: str | None = None
 
     @property
     def hash_key(self) -> str:
