@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultline.llm import text as T
@@ -47,7 +47,9 @@ DIFFER_BITS = 24
 SPLIT = (64, 4096)
 #: Distances in a piece.
 PIECE = 8
-BATCH_SYMBOLS = 1_500_000
+BATCH_SYMBOLS = 750_000
+#: Bytes whose anchors are sought, and hashed, at a time.
+BLOCK = 1 << 18
 
 KEYS = ["d", "r"]
 
@@ -60,33 +62,46 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 class Stretches:
-    """The stretches of a chunk: first string's start, number of strings, anchor's hash, own hash, document."""
+    """The stretches of a chunk: first string's start, number of strings, anchor's hash, own hash, document. Anchors are
+    found in one block after the other, each with the bytes of a string beyond it, so that only stretches are held for a
+    whole chunk."""
 
     def __init__(self, chunk: T.Chunk, length: int):
-        n, span = len(chunk.data), length - GRAM + 1
-        ends = np.maximum(chunk.offsets[1:] - length + 1, chunk.offsets[:-1])
-        valid = np.zeros(n + 1, np.int64)
-        np.add.at(valid, chunk.offsets[:-1], 1)
-        np.add.at(valid, ends, -1)
+        n, found = len(chunk.data), []
+        for a in range(0, n, BLOCK):
+            found.append(self._block(chunk, length, a, min(n, a + BLOCK)))
+        start, count, owner, gram = (np.concatenate(x) if found else np.zeros(0, np.int64) for x in (zip(*found) if found else [()] * 4))
+        # what a block's border cut belongs together
+        new = np.append(True, (owner[1:] != owner[:-1]) | (start[1:] != start[:-1] + count[:-1])) if len(start) else np.zeros(0, bool)
+        first = np.flatnonzero(new)
+        self.start, self.count = start[first], np.add.reduceat(count, first) if len(first) else count
+        self.ahead = owner[first] - self.start  # the first string's distance to the anchor
+        self.anchor = T.mix(gram[first].astype(np.uint64)).view(np.int64)
+        self.own = T.mix(chunk.hashes(self.start, self.start + self.count + length - 1, BLOCK) + T.U64(1)).view(np.int64)
+        self.doc = np.searchsorted(chunk.offsets, self.start, "right") - 1
+
+    @staticmethod
+    def _block(chunk: T.Chunk, length: int, a: int, b: int) -> tuple[np.ndarray, ...]:
+        """Of the strings that start in a block, those of one anchor together: start, number, anchor's place and hash."""
+        span = length - GRAM + 1
+        docs = slice(max(0, int(np.searchsorted(chunk.offsets, a, "right")) - 1), int(np.searchsorted(chunk.offsets, b)))
+        begin, end = chunk.offsets[:-1][docs], np.maximum(chunk.offsets[1:][docs] - length + 1, chunk.offsets[:-1][docs])
+        valid = np.zeros(b - a + 1, np.int32)
+        np.add.at(valid, np.clip(begin, a, b) - a, 1)
+        np.add.at(valid, np.clip(end, a, b) - a, -1)
         at = np.flatnonzero(np.cumsum(valid[:-1]) > 0)
         if not len(at):
-            self.start = self.count = self.anchor = self.own = self.doc = self.ahead = np.zeros(0, np.int64)
-            return
-        last = n - GRAM + 1
-        grams = chunk.gram_hashes(GRAM)
-        least, width = (grams & T.U64(0xFFFFFFFF00000000)) | np.arange(last, dtype=np.uint64), 1
+            return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64))
+        data = chunk.data[a: min(len(chunk.data), b + length - 1)]
+        grams = T.Chunk(data, np.array([0, len(data)])).gram_hashes(GRAM)
+        least, width = (grams & T.U64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64), 1
         while 2 * width <= span:  # the least of twice as many pieces each time
             least, width = np.minimum(least[:-width], least[width:]), 2 * width
         if width < span:
             least = np.minimum(least[: len(least) - (span - width)], least[span - width:])
         owner = (least[at] & T.U64(0xFFFFFFFF)).astype(np.int64)
-        new = np.append(True, (owner[1:] != owner[:-1]) | (at[1:] != at[:-1] + 1))
-        first = np.flatnonzero(new)
-        self.start, self.count = at[first], np.diff(np.append(first, len(at)))
-        self.ahead = owner[first] - self.start  # the first string's distance to the anchor
-        self.anchor = T.mix(grams[owner[first]]).view(np.int64)
-        self.own = T.mix(chunk.hashes(self.start, self.start + self.count + length - 1) + T.U64(1)).view(np.int64)
-        self.doc = np.searchsorted(chunk.offsets, self.start, "right") - 1
+        first = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (at[1:] != at[:-1] + 1)))
+        return a + at[first], np.diff(np.append(first, len(at))), a + owner[first], grams[owner[first]]
 
 
 def _first_of(*keys: np.ndarray) -> np.ndarray:
@@ -151,9 +166,9 @@ def pieces(chunk: T.Chunk, s: Stretches, which: np.ndarray, step: int, length: i
     last = np.maximum(np.repeat(near, times), number * step)
     start, size = anchor_at - first, first - last + length
     core = anchor_at - number * step
-    shared = chunk.hashes(core, core + length - step + 1)
+    shared = chunk.hashes(core, core + length - step + 1, BLOCK)
     key = T.mix(shared + s.anchor[stretch].view(np.uint64) + number.astype(np.uint64) * T.U64(0xD6E8FEB86659FD93))
-    own = T.mix(chunk.hashes(start, start + size) + first.astype(np.uint64) + T.U64(2))
+    own = T.mix(chunk.hashes(start, start + size, BLOCK) + first.astype(np.uint64) + T.U64(2))
     return key.view(np.int64), own.view(np.int64), start, size
 
 
@@ -306,8 +321,11 @@ def removed_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     repeated = bits_of(repeated_anchors(docs, length).select("h"), ANCHOR_BITS)
     found = stored(occurrences(docs, repeated, length), "occurrences")
     compared = found.where("not later")
-    place = F.rank().over(Window.partitionBy("anchor", "own").orderBy("d", "r", "start"))
-    again = compared.withColumn("place", place).where("place > 1").select("d", "r", "start", "count")
+    # the first of each stretch, by task before its shuffle; all others of the stretch are later
+    place = F.struct("d", "r", "start")
+    first = compared.groupBy("anchor", "own").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    first = stored(first.select("anchor", "own", "first"), "first-stretches")
+    again = compared.join(first, ["anchor", "own"]).where(place != F.col("first")).select("d", "r", "start", "count")
     copies = again.unionByName(found.where("later").select("d", "r", "start", "count"))
     copies = copies.select("d", "r", F.col("start").alias("first"), (F.col("start") + F.col("count") + (length - 1)).alias("end"))
     kinds = stored(

@@ -34,7 +34,7 @@ def _power(base: int, n: int) -> np.ndarray:
     """``base ** i`` modulo 2^64 for i < n."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        grown = np.full(max(n, CHUNK_BYTES + 1), base, U64)
+        grown = np.full(max(n, 1 << 16, 2 * len(have) if have is not None else 0), base, U64)
         grown[0] = 1
         have = _powers[base] = np.multiply.accumulate(grown)
     return have[:n]
@@ -87,20 +87,23 @@ class Chunk:
         starts = np.flatnonzero(first)
         return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, self.offsets)
 
-    def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """64-bit hashes of byte ranges, whose starts ascend, from prefix sums of a polynomial in the bytes; in a long
-        text, of a few megabytes at a time."""
-        if len(self.data) <= 2 * CHUNK_BYTES:
+    def hashes(self, starts: np.ndarray, ends: np.ndarray, block: int = 2 << 20) -> np.ndarray:
+        """64-bit hashes of byte ranges, from prefix sums of a polynomial in the bytes; in a long text, of the bytes of
+        one block after the other."""
+        if len(self.data) <= 2 * block:
             sums, undo = self._prefix(), _power(_UNBASE, len(self.data) + 1)
             return mix((sums[ends] - sums[starts]) * undo[starts] + (ends - starts).astype(U64))
         out = np.empty(len(starts), U64)
-        cuts = np.searchsorted(starts, np.arange(0, len(self.data) + CHUNK_BYTES, CHUNK_BYTES))
+        order = None if (starts[1:] >= starts[:-1]).all() else np.argsort(starts, kind="stable")
+        cuts = np.searchsorted(starts, np.arange(0, len(self.data) + block, block), sorter=order)
         for a, b in zip(cuts.tolist(), cuts[1:].tolist()):
             if a < b:
-                base, end = int(starts[a]), int(ends[a:b].max())
+                some = slice(a, b) if order is None else order[a:b]
+                low, high = starts[some], ends[some]
+                base, end = int(low.min()), int(high.max())
                 part = Chunk(self.data[base:end], np.array([0, end - base]))
                 sums, undo = part._prefix(), _power(_UNBASE, end - base + 1)
-                out[a:b] = mix((sums[ends[a:b] - base] - sums[starts[a:b] - base]) * undo[starts[a:b] - base] + (ends[a:b] - starts[a:b]).astype(U64))
+                out[some] = mix((sums[high - base] - sums[low - base]) * undo[low - base] + (high - low).astype(U64))
         return out
 
     def _prefix(self) -> np.ndarray:
