@@ -13,8 +13,9 @@ bring the classes together that can be linked:
   last, so that a passage which many documents share brings no two of them together. The order decides what is
   compared, never what is found.
 
-The classes that share marks with the same smallest class form its group. Each member is first compared with that
-class. Members that aren't in one component with it are queries: the group is cut into groups of similar members, for
+The classes that share marks with the same smallest class form its group. Every class has the counts of its tokens by
+bins, a few hundred bytes that bound what two sets can have in common; only what these do not rule out gets its tokens.
+Each member is first compared with the group's smallest class. Members that aren't in one component with it are queries: the group is cut into groups of similar members, for
 each of which the union of tokens is kept, as rows of a matrix of tokens by members. A query's overlap with the union
 bounds its overlap with any member, and only groups that reach what the query needs are opened; members already in the
 query's component are passed over. No link between components is lost, and no pairs are emitted but links that join
@@ -34,6 +35,7 @@ from __future__ import annotations
 import math
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -54,7 +56,7 @@ BAND = 1.5
 MARK_BITS = 26
 PARTS_FROM = 60
 COMMON = 3
-CLASS_BITS = 24
+CLASS_BITS = 27
 GROUP = 32
 UNIT = 1024
 BINS, FULL_BIN = 256, 65535
@@ -177,24 +179,28 @@ def classes(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
     return map_arrow(docs, run, schema)
 
 
-def candidate_stars(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, parts_from: int | None = PARTS_FROM) -> DataFrame:
-    """``a, b, na, nb``: each class with the smallest class of every mark that it shares with another, and set sizes."""
+def candidate_stars(
+    docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, parts_from: int | None = PARTS_FROM
+) -> tuple[DataFrame, DataFrame]:
+    """``a, b, na, nb``: each class with the smallest class of every mark that it shares with another, and set sizes;
+    and ``class, bins`` of all classes, repeated where documents are copies."""
     texts, context = documents(docs).select("text"), docs.sparkSession.sparkContext
     common = context.broadcast(common_tokens(texts, n, percent, parts_from))
 
     def mark(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            names, sizes, found = [], [], []
+            names, sizes, found, bins = [], [], [], []
             for name, s in _by_class(part, n):
                 names.append(name)
                 sizes.append(len(s))
                 found.append(marks_of(s, common.value, percent, parts_from))
+                bins.append(bins_of_set(s))
             if names:
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
                 marks = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([_binary(names), pa.array(sizes, pa.int32()), marks], ["class", "n", "marks"])
+                yield pa.RecordBatch.from_arrays([_binary(names), pa.array(sizes, pa.int32()), marks, _binary(bins)], ["class", "n", "marks", "bins"])
 
-    marked = stored(map_arrow(texts, mark, "class binary, n int, marks array<long>"), "marks")
+    marked = stored(map_arrow(texts, mark, "class binary, n int, marks array<long>, bins binary"), "marks")
     shared = marked.select(F.explode("marks").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     repeated = context.broadcast(bits_of(shared.select("h"), MARK_BITS))
 
@@ -206,10 +212,11 @@ def candidate_stars(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, p
             row = np.repeat(np.arange(len(part)), marks.value_lengths().to_numpy())[use]
             yield pa.RecordBatch.from_arrays([h.filter(pa.array(use)), part.column("class").take(pa.array(row)), part.column("n").take(pa.array(row))], ["h", "class", "n"])
 
-    held = stored(map_arrow(marked, members, "h long, class binary, n int"), "mark-members")
+    held = stored(map_arrow(marked.select("class", "n", "marks"), members, "h long, class binary, n int"), "mark-members")
     leaders = held.groupBy("h").agg(F.min(F.struct("class", "n")).alias("least"), F.max("class").alias("z")).where("least.class <> z")
     leaders = leaders.select("h", F.col("least.class").alias("a"), F.col("least.n").alias("na"))
-    return held.join(leaders, "h").where("class <> a").select("a", F.col("class").alias("b"), "na", F.col("n").alias("nb")).distinct()
+    stars = held.join(leaders, "h").where("class <> a").select("a", F.col("class").alias("b"), "na", F.col("n").alias("nb")).distinct()
+    return stored(stars, "stars"), marked.select("class", "bins")
 
 
 def comparable(stars: DataFrame, percent: int) -> DataFrame:
@@ -224,20 +231,26 @@ def comparable(stars: DataFrame, percent: int) -> DataFrame:
     return members.join(reached, ["a", "n"], "left_semi").select("c").distinct()
 
 
-def bucketed(sets: DataFrame) -> DataFrame:
-    """The sets stored by class, so that no join on it moves them again."""
+@contextmanager
+def bucketed(sets: DataFrame) -> Iterator[DataFrame]:
+    """The sets stored by class, so that no join on it moves them again. Their catalog entry goes when the block ends."""
     spark = sets.sparkSession
     name, path = f"vaultline_sets_{uuid.uuid4().hex}", shared_folder(spark, "sets")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = sets.repartition(n, "class").dropDuplicates(["class"])
     dealt.write.bucketBy(n, "class").sortBy("class").option("path", path).saveAsTable(name)
-    return spark.table(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"drop table if exists {name}")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, n: int = SHINGLE) -> DataFrame:
-    """``class, tokens, bins`` of at least the wanted classes ``c``."""
+    """``class, tokens`` of the wanted classes ``c`` and some others, which a filter of a size set by their number lets
+    through."""
     first = F.conv(F.hex(F.substring("c", 1, 7)), 16, 10).cast("long").alias("h")
-    filter_ = docs.sparkSession.sparkContext.broadcast(bits_of(wanted.select(first), CLASS_BITS))
+    log_bits = min(CLASS_BITS, max(16, int(64 * wanted.count()).bit_length()))
+    filter_ = docs.sparkSession.sparkContext.broadcast(bits_of(wanted.select(first), log_bits))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = filter_.value
@@ -250,14 +263,13 @@ def sets_of(docs: DataFrame, wanted: DataFrame, n: int = SHINGLE) -> DataFrame:
             if names:
                 ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [_binary(names), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64))), _binary([bins_of(s) for s in sets])],
-                    ["class", "tokens", "bins"],
+                    [_binary(names), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64)))], ["class", "tokens"]
                 )
 
-    return map_arrow(documents(docs).select("text"), run, "class binary, tokens array<long>, bins binary")
+    return map_arrow(documents(docs).select("text"), run, "class binary, tokens array<long>")
 
 
-def bins_of(tokens: np.ndarray) -> bytes:
+def bins_of_set(tokens: np.ndarray) -> bytes:
     """How many tokens of a set fall into each of ``BINS`` bins."""
     counts = np.bincount((T.mix(tokens) >> T.U64(32)).astype(np.int64) % BINS, minlength=BINS)
     return np.minimum(counts, FULL_BIN).astype("<u2").tobytes()
@@ -267,13 +279,35 @@ def linked(common: F.Column, left: F.Column, right: F.Column, percent: int) -> F
     return 100 * common >= percent * (left + right - common)
 
 
-def compare_stars(stars: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The linked pairs of ``stars``; sizes alone rule most others out."""
+def counts_of(bins: list[bytes]) -> np.ndarray:
+    counts = np.frombuffer(b"".join(bins), "<u2").reshape(len(bins), BINS).astype(np.int32)
+    counts[counts == FULL_BIN] = np.iinfo(np.int32).max // BINS  # a full bin bounds nothing
+    return counts
+
+
+def possible_stars(stars: DataFrame, bins: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs of ``stars`` that neither sizes nor the counts by bins rule out: two sets have at most the sum of their
+    bins' smaller counts in common."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for at in range(0, len(part), UNIT):
+                some = part.slice(at, UNIT)
+                common = np.minimum(counts_of(some.column("bins_a").to_pylist()), counts_of(some.column("bins_b").to_pylist())).sum(1)
+                sizes = some.column("na").to_numpy().astype(np.int64) + some.column("nb").to_numpy()
+                yield some.select(["a", "b", "na", "nb"]).filter(pa.array((100 + percent) * common >= percent * sizes))
+
+    within = stars.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    met = within.join(bins.select(F.col("class").alias("a"), F.col("bins").alias("bins_a")), "a").join(bins.select(F.col("class").alias("b"), F.col("bins").alias("bins_b")), "b")
+    return map_arrow(met, run, "a binary, b binary, na int, nb int")
+
+
+def compare_stars(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The linked ones of some pairs."""
     a = sets.select(F.col("class").alias("a"), F.col("tokens").alias("ta"))
     b = sets.select(F.col("class").alias("b"), F.col("tokens").alias("tb"))
-    within = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
     common = F.size(F.array_intersect("ta", "tb"))
-    return stars.where(within).join(a, "a").join(b, "b").where(linked(common, F.col("na"), F.col("nb"), percent)).select("a", "b")
+    return pairs.join(a, "a").join(b, "b").where(linked(common, F.col("na"), F.col("nb"), percent)).select("a", "b")
 
 
 class Matrix:
@@ -325,13 +359,11 @@ def unit_links(queries: list[tuple], members: list[tuple], percent: int) -> list
 
 def within_bounds(queries: list[tuple], members: list[tuple], percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Which queries, and which members, may have a link with another component's, both as (class, component, size,
-    bins). Two sets have at most the sum of their bins' smaller counts in common, and a query has at most that with the
-    greatest counts of a group's bins; only groups that can reach what a query needs are opened."""
+    bins). What a query has in common with any of a group is bounded by the greatest counts of the group's bins; only
+    groups that can reach what the query needs are opened."""
 
     def table(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
-        counts = np.frombuffer(b"".join(r[3] for r in rows), "<u2").reshape(len(rows), BINS).astype(np.int32)
-        counts[counts == FULL_BIN] = np.iinfo(np.int32).max // BINS  # a full bin bounds nothing
-        return counts, np.array([r[2] for r in rows], np.int64)
+        return counts_of([r[3] for r in rows]), np.array([r[2] for r in rows], np.int64)
 
     order = sorted(range(len(members)), key=lambda i: (members[i][1], members[i][2], members[i][0]))
     members = [members[i] for i in order]
@@ -360,7 +392,9 @@ def within_bounds(queries: list[tuple], members: list[tuple], percent: int) -> t
     return q_use, out
 
 
-def compare_groups(stars: DataFrame, sets: DataFrame, labels: DataFrame, percent: int = PERCENT) -> DataFrame:
+def compare_groups(
+    docs: DataFrame, stars: DataFrame, bins: DataFrame, labels: DataFrame, n: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
     """Links ``a, b`` between components within groups; queries are the members in another component than their
     group's smallest class.
 
@@ -380,7 +414,7 @@ def compare_groups(stars: DataFrame, sets: DataFrame, labels: DataFrame, percent
     query_spread = F.pmod(F.xxhash64("b"), F.col("query_blocks").cast("long")).cast("int")
     as_member = rows.select("a", "b", "n", "component", F.lit(False).alias("query"), spread.alias("block"), F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)).alias("query_block"))
     as_query = rows.where("query").select("a", "b", "n", "component", "query", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), query_spread.alias("query_block"))
-    units = as_member.unionByName(as_query).join(sets.select(F.col("class").alias("b"), "bins"), "b")
+    units = as_member.unionByName(as_query).join(bins.select(F.col("class").alias("b"), "bins"), "b")
     unit = ["a", "block", "query_block"]
     names = [*unit, "b", "component", "query"]
 
@@ -400,16 +434,20 @@ def compare_groups(stars: DataFrame, sets: DataFrame, labels: DataFrame, percent
 
     kinds = dict(units.dtypes)
     near = stored(units.groupBy(*unit).applyInArrow(bound, ", ".join(f"{c} {kinds[c]}" for c in names)), "near-members")
+    sets = sets_of(docs, near.select(F.col("b").alias("c")).distinct(), n).dropDuplicates(["class"])
     return near.join(sets.select(F.col("class").alias("b"), "tokens"), "b").groupBy(*unit).applyInArrow(run, "a binary, b binary")
 
 
 def link_classes(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, parts_from: int | None = PARTS_FROM) -> DataFrame:
     """``v, label``: the component of every class that is linked with another."""
-    stars = stored(candidate_stars(docs, n, percent, parts_from), "stars")
-    sets = bucketed(sets_of(docs, comparable(stars, percent), n))
-    near = stored(compare_stars(stars, sets, percent), "near")
+    stars, every = candidate_stars(docs, n, percent, parts_from)
+    wanted = comparable(stars, percent).withColumnRenamed("c", "class")
+    bins = stored(every.join(wanted, "class", "left_semi").groupBy("class").agg(F.min("bins").alias("bins")), "bins")
+    pairs = stored(possible_stars(stars, bins, percent), "pairs")
+    with bucketed(sets_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct(), n)) as sets:
+        near = stored(compare_stars(pairs, sets, percent), "near")
     labels = stored(components(near), "labels")
-    more = stored(compare_groups(stars, sets, labels, percent), "links")
+    more = stored(compare_groups(docs, stars, bins, labels, n, percent), "links")
     return components(near.unionByName(more)) if more.limit(1).count() else labels
 
 
