@@ -52,6 +52,7 @@ def test_agrees_with_sql(spark):
 def test_matches_brute_force(spark, sample, monkeypatch, support, shard_words):
     """Any number of shards, so that the lowered support is anything from the support to one."""
     monkeypatch.setattr(C, "SHARD_WORDS", shard_words)
+    monkeypatch.setattr(C, "MOST_WORDS", shard_words)
     monkeypatch.setattr(C, "LEAST_SHARDS", 3)
     monkeypatch.setattr(C, "HELD", 50)
     rows = [(r.lang if i % 7 else None, " ".join(r.text.split(" ")[:60])) for i, r in enumerate(sample.itertuples())][:120]
@@ -86,7 +87,10 @@ def test_products_beyond_64_bits(spark):
     assert row.score == 1000 * big * 9 * 10**15 // ((big + 1) * (big + 2))
 
 
-def test_shards_are_mined_completely():
+@pytest.mark.parametrize("size", [10**6, 90])
+def test_shards_are_mined_completely(monkeypatch, size):
+    monkeypatch.setattr(C, "PASS", size)
+    monkeypatch.setattr(C, "BLOCK", 64)
     rng = np.random.default_rng(3)
     words, joined = rng.integers(0, 6, 400).astype(np.uint64) * 977, rng.random(400) < 0.9
     kinds, times = C.mine(words, joined, 5, 11)

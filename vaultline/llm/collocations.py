@@ -4,7 +4,7 @@ Words and phrases are counted by language. A phrase of a language's ``n`` words
 ``support * m / n`` times in at least one of any shards that these words are dealt to, where m are the shard's words.
 
 1. The words of each language are counted.
-2. A task deals its documents to shards of up to ``SHARD_WORDS`` words. Each shard is mined completely, level by level,
+2. A task's documents are a shard of some ``SHARD_WORDS`` words. Each shard is mined completely, level by level,
    at its proportionally lowered support: a run of k + 1 words can only be frequent where both its runs of k are. The
    shards' phrases of 1 to ``LONGEST`` words together are the candidates, less those whose counts, with the most that
    the other shards can have left out, don't reach the support.
@@ -15,7 +15,7 @@ Words and phrases are counted by language. A phrase of a language's ``n`` words
    decimals. Phrases that lie inside a longer one of the same count are dropped, and each language is ranked.
 
 Shards are as few as parallel work and a task's memory allow, since with more shards than ``support`` the lowered
-support is one and mining rules nothing out (some 1.2 billion words at 100 occurrences); counts stay exact there, but
+support is one and mining rules nothing out (some 2.4 billion words at 100 occurrences); counts stay exact there, but
 step 3 shuffles more. Counts are combined in a task before they are shuffled, so that a phrase in most documents costs
 one row a task, and a language's candidates are never in one place: ranking keeps the first ``top`` of each task first.
 
@@ -48,11 +48,13 @@ BREAKS[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 WORDS = ~BREAKS
 WORDS[[0x20, 0x09]] = False
 
-SHARD_WORDS = 12_000_000
+#: Words of a shard as they are dealt, and the most that a task holds before it begins another.
+SHARD_WORDS, MOST_WORDS = 24_000_000, 36_000_000
+PASS = 6_000_000
 LEAST_SHARDS = 16
 FILTER_BITS = 27
 BLOCK = 1 << 20
-HELD = 400_000
+HELD = 200_000
 
 
 class Words:
@@ -80,36 +82,50 @@ def longer(alive: np.ndarray, joined: np.ndarray) -> np.ndarray:
     return out
 
 
-def hashes_at(words: np.ndarray, at: np.ndarray, n: int, salt: int) -> np.ndarray:
-    """Hashes of the runs of ``n`` words that begin at some places, told apart by a salt (a language)."""
-    out = np.full(len(at), (salt * 8 + n) % 2**64, T.U64)
+def hashes_at(words: np.ndarray, at: np.ndarray, n: int, salt: int | np.ndarray) -> np.ndarray:
+    """Hashes of the runs of ``n`` words that begin at some places, told apart by a salt (a language's, or each place's)."""
+    out = np.full(len(at), 1, T.U64) * (np.asarray(salt, T.U64) * T.U64(8) + T.U64(n))
     for k in range(n):
         out = T.mix(out * T.U64(0x9E3779B97F4A7C15) + words[at + k])
     return out
 
 
+def codes(hashes: np.ndarray) -> np.ndarray:
+    """Words as 32 bits, in which shards hold them. Words alike in these only add candidates."""
+    return (hashes >> T.U64(32)).astype(np.uint32)
+
+
 def mine(words: np.ndarray, joined: np.ndarray, support: int, salt: int, longest: int = LONGEST) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and counts of all runs of up to ``longest`` words of a shard that occur ``support`` times."""
+    """Hashes and counts of all runs of up to ``longest`` words of a shard that occur ``support`` times. Runs are
+    counted in passes over ranges of their hashes, ``PASS`` or so at a time."""
     alive, kinds, times = np.ones(len(words), bool), [], []
     for n in range(1, longest + 1):
         if n > 1:
             alive = longer(alive, joined)
-        at = np.flatnonzero(alive).astype(np.int32)
-        hashes = np.empty(len(at), T.U64)
-        for k in range(0, len(at), BLOCK):
-            hashes[k: k + BLOCK] = hashes_at(words, at[k: k + BLOCK], n, salt)
-        ordered = np.sort(hashes)
-        frequent = np.unique(ordered[support - 1:][ordered[support - 1:] == ordered[: len(ordered) - support + 1]]) if len(ordered) >= support else ordered[:0]
-        kinds.append(frequent)
-        times.append(np.searchsorted(ordered, frequent, "right") - np.searchsorted(ordered, frequent))
-        if not len(frequent):
+        passes, left = T.U64(max(1, -(-int(np.count_nonzero(alive)) // PASS))), alive.copy()
+        any_frequent = False
+        for number in range(int(passes)):
+            at, hashes = [], []
+            for k in range(0, len(alive), BLOCK):
+                some = np.flatnonzero(alive[k: k + BLOCK]).astype(np.int32) + np.int32(k)
+                found = hashes_at(words, some, n, salt)
+                mine_ = found % passes == T.U64(number)
+                at.append(some[mine_])
+                hashes.append(found[mine_])
+            at, hashes = (np.concatenate(x) if x else np.zeros(0, t) for x, t in ((at, np.int32), (hashes, T.U64)))
+            ordered = np.sort(hashes)
+            frequent = np.unique(ordered[support - 1:][ordered[support - 1:] == ordered[: len(ordered) - support + 1]]) if len(ordered) >= support else ordered[:0]
+            kinds.append(frequent)
+            times.append(np.searchsorted(ordered, frequent, "right") - np.searchsorted(ordered, frequent))
+            any_frequent |= len(frequent) > 0
+            del ordered
+            for k in range(0, len(at) if support > 1 else 0, BLOCK):
+                some = hashes[k: k + BLOCK]
+                ok = frequent[np.minimum(np.searchsorted(frequent, some), len(frequent) - 1)] == some if len(frequent) else np.zeros(len(some), bool)
+                left[at[k: k + BLOCK][~ok]] = False
+        alive = left
+        if not any_frequent:
             break
-        del ordered
-        for k in range(0, len(at) if support > 1 else 0, BLOCK):
-            some = hashes[k: k + BLOCK]
-            place = np.minimum(np.searchsorted(frequent, some), len(frequent) - 1)
-            alive[at[k: k + BLOCK][frequent[place] != some]] = False
-        del hashes
     return np.concatenate(kinds), np.concatenate(times)
 
 
@@ -166,10 +182,10 @@ def local_candidates(docs: DataFrame, support: int, longest: int) -> DataFrame:
                 for c in np.unique(lang).tolist():
                     of_lang = lang == c
                     entry = held.setdefault(int(salt[c]), [int(totals[np.argmax(code == c)]), [], []])
-                    entry[1].append(found.hashes[of_lang])
+                    entry[1].append(codes(found.hashes[of_lang]))
                     entry[2].append(found.joined[of_lang])
                 size += len(found.starts)
-                if size >= SHARD_WORDS:
+                if size >= MOST_WORDS:
                     yield from flush()
                     size = 0
         yield from flush()
@@ -205,16 +221,16 @@ def occurrences(docs: DataFrame, filter_: np.ndarray, longest: int) -> DataFrame
             for chunk in T.chunks(part.column("text")):
                 found = Words(chunk)
                 doc, alive = chunk.first + found.doc, np.ones(len(found.starts), bool)
-                word_salt = salt[code[doc]]
+                word_salt, coded = salt[code[doc]], codes(found.hashes)
                 for n in range(1, longest + 1):
                     if n > 1:
                         alive = longer(alive, found.joined)
                     at = np.flatnonzero(alive)
-                    hashes = salted_hashes(found.hashes, at, n, word_salt)
-                    passed = has_bit(bits, hashes)
+                    passed = has_bit(bits, hashes_at(coded, at, n, word_salt[at]))
                     alive[at[~passed]] = False
-                    kinds, first, times = np.unique(hashes[passed], return_index=True, return_counts=True)
-                    first, place = at[passed][first], np.empty(len(kinds), np.int64)
+                    at = at[passed]
+                    kinds, first, times = np.unique(hashes_at(found.hashes, at, n, word_salt[at]), return_index=True, return_counts=True)
+                    first, place = at[first], np.empty(len(kinds), np.int64)
                     for k, (h, p) in enumerate(zip(kinds.tolist(), first.tolist())):
                         slot = index.get(h)
                         if slot is None:
@@ -232,14 +248,6 @@ def occurrences(docs: DataFrame, filter_: np.ndarray, longest: int) -> DataFrame
     return map_arrow(docs, run, "lang string, phrase string, words int, a long")
 
 
-def salted_hashes(words: np.ndarray, at: np.ndarray, n: int, salt: np.ndarray) -> np.ndarray:
-    """``hashes_at`` with the salt of each place's word."""
-    out = salt[at] * T.U64(8) + T.U64(n)
-    for k in range(n):
-        out = T.mix(out * T.U64(0x9E3779B97F4A7C15) + words[at + k])
-    return out
-
-
 def frequent_phrases(docs: DataFrame, totals: DataFrame, support: int = SUPPORT, longest: int = LONGEST) -> DataFrame:
     """``lang, phrase, words, a``: all phrases of 1 to ``longest`` words with their exact counts, if at least
     ``support``. ``docs`` as from ``by_language``, ``totals`` as from ``word_totals``."""
