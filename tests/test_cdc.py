@@ -212,3 +212,22 @@ def test_planned_counts_at_larger_scale(spark):
     for null_safe, modified in ((False, 1086), (True, 2174)):
         counts = dict(map(tuple, cdc.operation_counts(cdc.delta(stg, old, spec, null_safe=null_safe)).collect()))
         assert counts == {"ADD": 653, "MODIFY": modified, "REMOVE": 883}
+
+
+def test_hot_keys_are_compared_in_one_join(spark, plan):
+    """One scan a side, whether staged or stored keys repeat; the rows are those of the ordinary join."""
+    spec = TableSpec("o", (ColumnSpec("k", "bigint", is_key=True), ColumnSpec("o_totalprice", "double")))
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    hot = orders.select(F.when(F.col("o_orderstatus") == "F", 7).otherwise(F.col("o_orderkey")).alias("k"), "o_totalprice")
+    stored = orders.select(F.col("o_orderkey").alias("k"), F.round("o_totalprice").alias("o_totalprice"), F.lit("Y").alias("curr_ind"))
+    for stg, sds in ((hot, stored), (stored.drop("curr_ind"), hot.withColumn("curr_ind", F.lit("Y")))):
+        salted = cdc.delta(stg, sds, spec, hot_share=10, stored_hot_share=10)
+        plain = cdc.delta(stg, sds, spec, hot_share=None)
+        assert salted.exceptAll(plain).isEmpty() and plain.exceptAll(salted).isEmpty()
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        try:
+            text = plan(cdc.delta(stg, sds, spec, snapshot_type="FULL", hot_share=10, stored_hot_share=10))
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        # One scan a side, and one of the stored side for rows without a key.
+        assert text.count("FullOuter") == 1 and text.count("FileScan") == 3 and "_left_salt" in text

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vaultline.functions.hashing import CONVERTED_LENGTH, HashRule, md5_key
-from vaultline.functions.skew import hot_keys, lookup
+from vaultline.functions.skew import hot_keys, lookup, salted_join
 from vaultline.operators import conform, integrity, vault
 from vaultline.plans import vault_jobs
 from vaultline.specs import HubSource, HubSpec, LinkSource, LinkSpec, SatSpec
@@ -169,7 +169,7 @@ def test_hot_keys_are_few_and_lookup_is_a_left_join(spark, rows):
     assert got.columns == want.columns and rows(got) == rows(want)
 
 
-def test_hot_rows_are_not_shuffled(spark, plan):
+def test_hot_rows_are_salted_in_one_join(spark, plan):
     left = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select(
         F.when(F.col("event_type") == "click", 1).otherwise(F.col("user_id")).cast("bigint").alias("k"), "event_id")
     right = spark.read.parquet("/root/testdata/sf0.001/customer.parquet").select(F.col("c_custkey").alias("k"), "c_name")
@@ -178,8 +178,24 @@ def test_hot_rows_are_not_shuffled(spark, plan):
         text = plan(lookup(left, right, ["k"], 10))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # Hot rows: found, looked up, and taken out of the rest; only that rest is shuffled for its join.
-    assert text.count("BroadcastHashJoin") == 4 and text.count("SortMergeJoin") == 1
+    # Each side is read and shuffled once, its hot rows known in the scan from the few keys.
+    assert text.count("FileScan") == 2 and text.count("BroadcastHashJoin") == 2 and text.count("SortMergeJoin") == 1
+    assert text.count("Exchange hashpartitioning") == 2 and "_left_salt" in text
+
+
+@pytest.mark.parametrize("how", ["left", "full"])
+def test_salted_joins_are_ordinary_joins(spark, rows, how):
+    """Hot keys on either side, on both, with and without partners, and null keys."""
+    def side(name, *counts):
+        pairs = [(k, i) for k, n in counts for i in range(n)]
+        return spark.createDataFrame(pairs, f"{name} int, {name}_v int").repartition(3)
+
+    left = side("a", (1, 200), (2, 1), (3, 150), (None, 40), (4, 3), (6, 1), (7, 90))
+    right = side("b", (1, 1), (2, 180), (3, 2), (None, 30), (5, 170), (6, 1))
+    want = rows(left.join(right, F.col("a") == F.col("b"), how))
+    one, two = spark.createDataFrame([(1,), (3,), (7,)], "k int"), spark.createDataFrame([(2,), (5,), (3,)], "k int")
+    for hot_left, hot_right in ((one, None), (None, two), (one, two), (None, None)):
+        assert rows(salted_join(left, right, ["a"], ["b"], how, hot_left=hot_left, hot_right=hot_right)) == want
 
 
 def test_load_plans(spark, plan):

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vaultline.functions.keys import all_equal, any_null
-from vaultline.functions.skew import HOT_SHARE, known_hot_keys
+from vaultline.functions.skew import HOT_SHARE, known_hot_keys, salted_join
 from vaultline.specs import (
     ADD, CURRENT, GEOMETRY, MODIFY, OPERATION, REMOVE, UPDATE_FLAG_SUFFIX, ColumnSpec, TableSpec,
 )
@@ -37,6 +37,7 @@ def delta(
     snapshot_type: str | None = None,
     geom_equal: GeomEqual | None = None,
     hot_share: int | None = HOT_SHARE,
+    stored_hot_share: int | None = None,
 ) -> DataFrame:
     """Added, modified and removed rows, each with an update flag per tracked column.
 
@@ -45,14 +46,15 @@ def delta(
     fail with ``error``, or ``ref``: keep them as additions, blank where the first key is NULL. A
     ``DELTA`` snapshot lists changes only, so absence removes nothing.
 
-    Each side is shuffled once, for a full outer join on the natural keys. NULL keys match nothing and
+    Each side is read and shuffled once, for a full outer join on the natural keys. NULL keys match nothing and
     never enter it. Spark cannot split an oversized key of a full outer join, so staged keys that
-    repeat more than one ``hot_share``-th of all rows are compared apart, by a left join;
-    ``hot_share=None`` skips looking for them in a staging that is known to hold each key once.
+    repeat more than one ``hot_share``-th of all rows are salted; ``hot_share=None`` skips looking for them in a
+    staging that is known to hold each key once. ``stored_hot_share`` does the same for stored keys, which a sound
+    history does not repeat.
     """
     compared = compare(
         stg, sds, spec, null_safe=null_safe, on_null_key=on_null_key, snapshot_type=snapshot_type,
-        geom_equal=geom_equal, hot_share=hot_share,
+        geom_equal=geom_equal, hot_share=hot_share, stored_hot_share=stored_hot_share,
     )
     return compared.where(F.col(OPERATION).isNotNull()).select(OPERATION, *merged(spec))
 
@@ -67,6 +69,7 @@ def compare(
     snapshot_type: str | None = None,
     geom_equal: GeomEqual | None = None,
     hot_share: int | None = HOT_SHARE,
+    stored_hot_share: int | None = None,
     carry: Sequence[str] = (),
 ) -> DataFrame:
     """The join behind ``delta``, changed or not: staged columns as ``s_``, stored ones (and those to
@@ -92,7 +95,7 @@ def compare(
     elif hot_share is None:
         pairs = usable.join(known, same, "full")
     else:
-        pairs = _pairs(usable, known, staged_keys, stored_keys, hot_share)
+        pairs = _pairs(usable, known, staged_keys, stored_keys, hot_share, stored_hot_share)
 
     in_staging, in_history = F.col(f"s_{first}").isNotNull(), F.col(f"o_{first}").isNotNull()
     changes = {c.name: _differs(c, null_safe, geom_equal) for c in spec.tracked}
@@ -137,23 +140,15 @@ def _flag(changed: Column) -> Column:
 
 
 def _pairs(
-    staged: DataFrame, stored: DataFrame, staged_keys: list[str], stored_keys: list[str], hot_share: int
+    staged: DataFrame, stored: DataFrame, staged_keys: list[str], stored_keys: list[str], hot_share: int,
+    stored_hot_share: int | None,
 ) -> DataFrame:
-    """Full outer pairs. Hot staged keys are present on the left by definition, so a left join is
-    whole for them, and their rows can be split at run time."""
-    same = all_equal(staged_keys, stored_keys)
+    """Full outer pairs in one join; keys that many rows share are salted."""
     hot = known_hot_keys(staged, staged_keys, hot_share)
-    if hot is None:
-        return staged.join(stored, same, "full")
-    hot_staged, hot_stored = F.broadcast(hot), F.broadcast(hot.toDF(*stored_keys))
-    return (
-        staged.join(hot_staged, staged_keys, "left_semi")
-        .join(stored.join(hot_stored, stored_keys, "left_semi"), same, "left")
-        .unionByName(
-            staged.join(hot_staged, staged_keys, "left_anti")
-            .join(stored.join(hot_stored, stored_keys, "left_anti"), same, "full")
-        )
-    )
+    hot_stored = known_hot_keys(stored, stored_keys, stored_hot_share) if stored_hot_share else None
+    if hot is None and hot_stored is None:
+        return staged.join(stored, all_equal(staged_keys, stored_keys), "full")
+    return salted_join(staged, stored, staged_keys, stored_keys, "full", hot_left=hot, hot_right=hot_stored)
 
 
 def _differs(column: ColumnSpec, null_safe: bool, geom_equal: GeomEqual | None) -> Column:
