@@ -47,9 +47,9 @@ DIFFER_BITS = 24
 SPLIT = (64, 4096)
 #: Distances in a piece.
 PIECE = 8
-BATCH_SYMBOLS = 750_000
+BATCH_SYMBOLS = 1_500_000
 #: Bytes whose anchors are sought, and hashed, at a time.
-BLOCK = 1 << 18
+BLOCK = 1 << 19
 
 KEYS = ["d", "r"]
 
