@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from registry.base import FILE_DATE, Data, query
+from vaultline.functions.geometry import same_shape
 from vaultline.operators import cdc, conform, scd2
 from vaultline.plans.materialize import cut_lineage
 from vaultline.specs import GEOMETRY, ColumnSpec, TableSpec
@@ -190,6 +191,16 @@ def cdc_delta_geometry(data):
     return shown(cdc.delta(data["fx_places_stg"], data["fx_places_sds"], PLACES))
 
 
+# Only a moved vertex is a change; where a ring begins and how it turns is none.
+@query("cdc_delta_shapes", """
+select c_custkey, c_name, 'MODIFY' as dlt_operation_nm, 'Y' as place_upd_ind, 'N' as c_name_upd_ind
+  from {fx_shapes_stg} where c_custkey in (select c_custkey from {customer} where c_mktsegment = 'HOUSEHOLD')
+""")
+def cdc_delta_shapes(data):
+    changes = cdc.delta(data["fx_shapes_stg"], data["fx_shapes_sds"], PLACES, geom_equal=same_shape)
+    return changes.select("c_custkey", "c_name", "dlt_operation_nm", "place_upd_ind", "c_name_upd_ind")
+
+
 @query("cdc_op_counts", f"select dlt_operation_nm, count(*) as row_count from ({ORDERS_DELTA}) d group by dlt_operation_nm")
 def cdc_op_counts(data):
     return cdc.operation_counts(orders_delta(data))

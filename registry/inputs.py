@@ -102,6 +102,29 @@ select c_custkey, c_name,
   from {customer}
 """
 
+# Places as triangles in well-known binary: from another vertex on, the other way round, or with a vertex moved. The numbers
+# 0, 1 and 2 as eight bytes, the lowest first.
+ZERO, ONE, TWO = "0000000000000000", "000000000000F03F", "0000000000000040"
+VERTICES = {"a": ZERO + ZERO, "b": ONE + ZERO, "c": ONE + ONE, "d": TWO + ONE}
+
+
+def triangle(vertices: str) -> str:
+    return "0103000000" + "01000000" + "04000000" + "".join(VERTICES[v] for v in vertices)
+
+
+INPUTS["fx_shapes_stg"] = f"""
+select c_custkey, c_name,
+       unhex(case when c_mktsegment = 'BUILDING' then '{triangle("bcab")}' when c_mktsegment = 'MACHINERY' then '{triangle("acba")}'
+                  when c_mktsegment = 'HOUSEHOLD' then '{triangle("abda")}' else '{triangle("abca")}' end) as place
+  from {{customer}}
+"""
+
+INPUTS["fx_shapes_sds"] = f"""
+select c_custkey, c_name, unhex('{triangle("abca")}') as place, timestamp_ntz '2001-09-01 00:00:00' as start_dt,
+       timestamp_ntz '9999-12-31 00:00:00' as end_dt, 'Y' as curr_ind
+  from {{customer}}
+"""
+
 # A history that was applied twice for some keys, so that versions repeat.
 INPUTS["fx_orders_sds_repeated"] = """
 select * from {fx_orders_sds}

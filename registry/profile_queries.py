@@ -59,3 +59,13 @@ def profile_describe_lines(data):
 @query("profile_pairs", "select c_nationkey as x, c_acctbal as y from {customer}")
 def profile_pairs(data):
     return profile.pairs(data["customer"], "c_nationkey", "c_acctbal")
+
+
+# As many rows as are asked for, the same in every run.
+@query("profile_pairs_sample", """
+select c_nationkey as x, c_acctbal as y from {customer}
+ order by md5(concat(cast(c_nationkey as varchar), '|', cast(cast(c_acctbal as decimal(18,2)) as varchar))), 1, 2 limit 100
+""")
+def profile_pairs_sample(data):
+    exact = data["customer"].withColumn("c_acctbal", F.col("c_acctbal").cast("decimal(18,2)"))
+    return profile.pairs(exact, "c_nationkey", "c_acctbal", rows=100).withColumn("y", F.col("y").cast("double"))

@@ -17,9 +17,10 @@ def numbers(spark):
     return pdf, spark.createDataFrame(pdf)
 
 
-@pytest.mark.parametrize("accuracy", [100, 1000, 100_000])
-def test_describe_is_exact_at_any_sketch_accuracy(numbers, monkeypatch, accuracy):
-    monkeypatch.setattr(profile, "BRACKET_ACCURACY", accuracy)
+@pytest.mark.parametrize(("size", "share"), [(64, 0.05), (512, 0.01), (profile.SKETCH_SIZE, profile.BRACKET_SHARE)])
+def test_describe_is_exact_at_any_sketch_accuracy(numbers, monkeypatch, size, share):
+    monkeypatch.setattr(profile, "SKETCH_SIZE", size)
+    monkeypatch.setattr(profile, "BRACKET_SHARE", share)
     pdf, df = numbers
     want = pdf.describe().T
     for r in profile.describe(df).collect():
@@ -77,3 +78,17 @@ def test_read_stored(spark, tmp_path):
     assert read_stored(spark, str(tmp_path / "none")) is None
     spark.range(3).select(F.col("id")).write.parquet(str(tmp_path / "some"))
     assert read_stored(spark, str(tmp_path / "some")).count() == 3
+
+
+def test_no_sketch_of_all_rows_and_no_window_over_a_column(numbers, plan):
+    _, df = numbers
+    text = plan(profile._summary(df.repartition(4), ["smooth", "heavy"]))
+    assert "percentile_approx" not in text and text.count("kll_merge_agg_double") >= 2
+    assert "hashpartitioning(_group" in text
+
+
+def test_a_sample_of_pairs_has_its_size_and_is_the_same_again(numbers, plan):
+    _, df = numbers
+    first = profile.pairs(df, "smooth", "whole", rows=50)
+    assert sorted(map(tuple, first.collect())) == sorted(map(tuple, profile.pairs(df.repartition(7), "smooth", "whole", rows=50).collect()))
+    assert first.count() == 50 and "TakeOrderedAndProject" in plan(first)

@@ -1,9 +1,10 @@
 import pytest
 from pyspark.sql import functions as F
 
+from vaultline.functions.keys import row_id
 from vaultline.operators import checks, report, screens
 from vaultline.plans import quality_jobs
-from vaultline.plans.materialize import store_addressed
+from vaultline.plans.materialize import store_addressed, with_addresses
 from vaultline.specs import CheckSpec, ColumnSpec, ScreenSpec, TableSpec
 
 LOG = "2024-02-01 00:00:00"
@@ -174,3 +175,33 @@ def test_day_filter_reaches_the_scan(spark, plan):
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     text = plan(checks.null_count(events, "props", "ts", "2024-01-30"))
     assert "GreaterThanOrEqual(ts,2024-01-30" in text and "ReadSchema: struct<ts:timestamp_ntz,props:string>" in text
+
+
+def test_a_file_is_read_once_for_its_events_and_stops(spark, tmp_path, plan, rows):
+    """STOP failures are counted in the pass that stores the events, which are those of ``validate``."""
+    path = str(tmp_path / "file")
+    spark.range(1000).select("id", (F.col("id") % 10).alias("v")).write.parquet(path)
+    df, spec = spark.read.parquet(path), TableSpec("t", (ColumnSpec("id", "bigint", is_key=True), ColumnSpec("v", "bigint")), 1)
+    mine = [ScreenSpec(1, 1, 1, "PASS", "v = 1"), ScreenSpec(2, 1, 2, "STOP", "v = 11"), ScreenSpec(3, 1, 3, "STOP", "v > 7"), ScreenSpec(4, 1, 4, "PASS", "v = 2")]
+    batches = spark.createDataFrame([(1, 1)], "batch_id int, src_file_id int")
+    events, _ = screens.all_events(df, mine, spec, batches, "2024-01-01")
+    assert plan(events).count("FileScan") == 1
+    with pytest.raises(screens.DQStop, match="screen 3 of file 1 stopped the load: 200 failing rows"):
+        quality_jobs.validate_file(df, mine, spec, batches, "2024-01-01", str(tmp_path / "log"), 1)
+    want = screens.validate(df, mine, spec, batches, "2024-01-01").events
+    logged = spark.read.parquet(str(tmp_path / "log" / "run_id=1" / "file_id=1"))
+    assert rows(logged, "screen_id", "row_id") == rows(want, "screen_id", "row_id") and logged.count() == 300
+
+
+def test_query_screens_tell_rows_apart_whose_key_texts_collide(spark, tmp_path):
+    """The keys (x|y, z) and (x, y|z) have one text; addresses come from the scan of the file itself."""
+    path = str(tmp_path / "file")
+    spark.createDataFrame([("x|y", "z", 1), ("x", "y|z", 2), ("p", "q", 3)], "a string, b string, v int").write.parquet(path)
+    file = with_addresses(spark.read.parquet(path))
+    spec = TableSpec("t", (ColumnSpec("a", is_key=True), ColumnSpec("b", is_key=True), ColumnSpec("v", "int")), 1)
+    refused = lambda: file.where("v = 1").select(row_id(["a", "b"]).alias("row_id"), screens.ROW_ADDRESS)
+    batches = spark.createDataFrame([(1, 1)], "batch_id int, src_file_id int")
+    for frame in (file, spark.read.parquet(path)):
+        kept = quality_jobs.validate_file(frame, [ScreenSpec(1, 1, 1, "REJECT", query=refused)], spec, batches, "2024-01-01", str(tmp_path / "log"), 1)
+        assert sorted(r.v for r in kept.collect()) == [2, 3] and kept.columns == frame.columns
+    assert with_addresses(spark.range(3).groupBy("id").count()).select(screens.ROW_ADDRESS).distinct().count() == 3

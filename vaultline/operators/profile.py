@@ -9,11 +9,14 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vaultline.plans.materialize import cut_lineage
+
 # The quartiles of the summary, and the usual bin count.
 QUARTILES = (0.25, 0.5, 0.75)
 DEFAULT_BINS = 20
-# A bracket around a quartile holds about 6 / BRACKET_ACCURACY of the rows.
-BRACKET_ACCURACY = 100_000
+# A sketch's size, its rank error as a share of the rows (three times it on either side makes a bracket), and the groups
+# of tasks that keep one each.
+SKETCH_SIZE, BRACKET_SHARE, SKETCH_GROUPS = 16_384, 0.0003, 64
 
 
 def histogram(df: DataFrame, column: str, bins: int = DEFAULT_BINS) -> DataFrame:
@@ -79,9 +82,13 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     )
 
 
-def pairs(df: DataFrame, x: str, y: str, fraction: float | None = None) -> DataFrame:
-    """Two columns for a scatter plot; ``fraction`` draws a sample where the caller wants one."""
+def pairs(df: DataFrame, x: str, y: str, fraction: float | None = None, rows: int | None = None) -> DataFrame:
+    """Two columns for a scatter plot. Where the caller wants a sample, ``fraction`` draws a share of the rows, and
+    ``rows`` that number of them: those of the least hash, the same in every run. Each task keeps no more than it."""
     points = df.select(F.col(x).alias("x"), F.col(y).alias("y"))
+    if rows is not None:
+        digest = F.md5(F.concat_ws("|", F.coalesce(F.col("x").cast("string"), F.lit("-")), F.coalesce(F.col("y").cast("string"), F.lit("-"))))
+        points = points.orderBy(digest, "x", "y").limit(rows)
     return points.sample(fraction) if fraction is not None else points
 
 
@@ -91,18 +98,28 @@ def _number(df: DataFrame, column: str) -> Column:
 
 
 def _summary(values: DataFrame, names: Sequence[str]) -> DataFrame:
-    """One row per column, from one aggregate over all of them."""
-    margin = 3.0 / BRACKET_ACCURACY
+    """One row per column: its moments from one aggregate over all columns, and brackets from its sketch.
+
+    A sketch is kept by each of ``SKETCH_GROUPS`` groups of tasks, and these few are merged, so that no task merges the
+    sketches of all tasks."""
+    margin = 3.0 * BRACKET_SHARE
     points = [p for q in QUARTILES for p in (max(q - margin, 0.0), min(q + margin, 1.0))]
-    each = []
-    for c in names:
+    moments, sketches = [], []
+    for i, c in enumerate(names):
         v = F.col(c)
-        each.append(F.struct(
+        moments.append(F.struct(
             F.lit(c).alias("column_nm"), F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
             F.min(v).alias("low"), F.max(v).alias("high"),
-            F.percentile_approx(v, points, BRACKET_ACCURACY).alias("marks"),
         ))
-    return values.agg(F.array(*each).alias("all")).select(F.inline("all"))
+        sketches.append(F.kll_sketch_agg_double(v, F.lit(SKETCH_SIZE)).alias(f"s{i}"))
+    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group")
+    by_group = values.select(*names, group).groupBy("_group").agg(*sketches)
+    merged = by_group.agg(*[F.kll_merge_agg_double(f"s{i}").alias(f"s{i}") for i in range(len(names))])
+    rows = F.array(*[F.struct(F.lit(c).alias("column_nm"), F.col(f"s{i}").alias("sketch")) for i, c in enumerate(names)])
+    marks = merged.select(F.inline(rows)).select(
+        "column_nm", F.when(F.kll_sketch_get_n_double("sketch") > 0, F.kll_sketch_get_quantile_double("sketch", F.array(*map(F.lit, points)))).alias("marks")
+    )
+    return values.agg(F.array(*moments).alias("all")).select(F.inline("all")).join(F.broadcast(marks), "column_nm")
 
 
 def _quartile_names() -> list[str]:
@@ -126,8 +143,13 @@ def _quartiles(values: DataFrame, names: Sequence[str], summary: DataFrame) -> D
         .groupBy("column_nm", "n", F.when(~inside, gap).alias("gap"), F.when(inside, value).alias("single"))
         .agg(F.count(F.lit(1)).alias("times"), F.min("value").alias("value"))
     )
-    upto = F.sum("times").over(Window.partitionBy("column_nm").orderBy("value"))
-    ranked = counted.withColumn("upto", upto)
+    # Ranks by prefix sums: values lie in ranges of one order, each range in its own task, and what comes before a range
+    # is known from the ranges' totals, a row for each range and column.
+    ranged = cut_lineage(counted.repartitionByRange("column_nm", "value").withColumn("range", F.spark_partition_id()))
+    totals = ranged.groupBy("column_nm", "range").agg(F.sum("times").alias("total"))
+    before = F.sum("total").over(Window.partitionBy("column_nm").orderBy("range")) - F.col("total")
+    upto = F.sum("times").over(Window.partitionBy("column_nm", "range").orderBy("value"))
+    ranked = ranged.join(totals.select("column_nm", "range", before.alias("before")), ["column_nm", "range"]).withColumn("upto", F.col("before") + upto)
     picks = []
     for p, name in zip(QUARTILES, _quartile_names(), strict=True):
         rank = (F.col("n") - 1) * p

@@ -8,7 +8,7 @@ from datetime import datetime
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from vaultline.functions.clock import timestamp
@@ -58,7 +58,7 @@ def latest_batch(batches: DataFrame) -> DataFrame:
 
 def failing(df: DataFrame, screens: Sequence[ScreenSpec], spec: TableSpec) -> DataFrame:
     """One row per failing row and screen. All predicate screens share one scan, and rows that pass
-    every screen are dropped in that scan; query screens bring their own rows."""
+    every screen are dropped in that scan; query screens bring their own rows, with their addresses if they have them."""
     parts = []
     address = F.col(ROW_ADDRESS) if ROW_ADDRESS in df.columns else F.lit(None).cast("string")
     predicates = [s for s in screens if s.predicate is not None]
@@ -72,8 +72,9 @@ def failing(df: DataFrame, screens: Sequence[ScreenSpec], spec: TableSpec) -> Da
         )
     for s in screens:
         if s.query is not None:
-            named = s.query().select(_tag(s).alias("hit"), "row_id", F.lit(None).cast("string").alias(ROW_ADDRESS))
-            parts.append(named.select("hit.*", "row_id", ROW_ADDRESS))
+            found = s.query()
+            where = F.col(ROW_ADDRESS) if ROW_ADDRESS in found.columns else F.lit(None).cast("string").alias(ROW_ADDRESS)
+            parts.append(found.select(_tag(s).alias("hit"), "row_id", where).select("hit.*", "row_id", ROW_ADDRESS))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -116,6 +117,25 @@ def validate(
     return Validation(kept.drop("screen_order"), _first(counts))
 
 
+def all_events(
+    df: DataFrame, screens: Iterable[ScreenSpec], spec: TableSpec, batches: DataFrame, log_time: datetime | str
+) -> tuple[DataFrame, Observation]:
+    """The events of all screens of one file, with ``screen_order``, and the failures of its STOP screens, counted in
+    the pass that stores the events; ``stop_of`` reads them, and events of a later order are not part of the log."""
+    mine = in_order(screens, spec.file_id)
+    if not mine:
+        raise ValueError(f"{spec.table}: no screens")
+    counts, events = Observation(), _events(failing(df, mine, spec), spec, batches, log_time)
+    stops = [F.count_if(F.col("screen_id") == s.screen_id).alias(f"stop_{s.screen_id}") for s in mine if s.action == STOP]
+    return events.observe(counts, F.count(F.lit(1)).alias("events"), *stops), counts
+
+
+def stop_of(counts: Observation, screens: Iterable[ScreenSpec], spec: TableSpec) -> tuple[ScreenSpec, int] | None:
+    """The first STOP screen with failures and their number, once the events are stored."""
+    seen = counts.get
+    return next(((s, seen[f"stop_{s.screen_id}"]) for s in in_order(screens, spec.file_id) if s.action == STOP and seen[f"stop_{s.screen_id}"]), None)
+
+
 def validate_group(
     files: Iterable[tuple[TableSpec, DataFrame]], screens: Iterable[ScreenSpec], group_id: int,
     batches: DataFrame, log_time: datetime | str,

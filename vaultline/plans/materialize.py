@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultline.operators.screens import ROW_ADDRESS
@@ -33,6 +34,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def with_addresses(df: DataFrame) -> DataFrame:
+    """``df`` with the address of each row. Rows read straight from Parquet files have theirs from the scan: the file and
+    the place in it, which no later reading changes. Any other frame is stored first."""
+    try:
+        found = df.select("*", _address().alias(ROW_ADDRESS))
+        found.schema  # noqa: B018 - resolves the columns
+    except AnalysisException:
+        return store_addressed(df)
+    return found
+
+
+def _address() -> Column:
+    return F.concat_ws("#", F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+
+
 def store_addressed(df: DataFrame, path: str | None = None) -> DataFrame:
     """``df`` written once (to a new folder of those that the cluster shares, if none is given) and read back, each row
     with its address: the file and its place there. No two rows share one, whatever they hold."""
@@ -41,5 +57,4 @@ def store_addressed(df: DataFrame, path: str | None = None) -> DataFrame:
         ensure_checkpoint_dir(spark)
         path = f"{spark.sparkContext.getCheckpointDir()}/rows-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    address = F.concat_ws("#", F.col("_metadata.file_path"), F.col("_metadata.row_index"))
-    return spark.read.schema(df.schema).parquet(path).select("*", address.alias(ROW_ADDRESS))
+    return spark.read.schema(df.schema).parquet(path).select("*", _address().alias(ROW_ADDRESS))

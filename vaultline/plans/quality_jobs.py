@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vaultline.operators import checks, screens
-from vaultline.plans.materialize import store_addressed
+from vaultline.plans.materialize import with_addresses
 from vaultline.specs import REJECT, CheckSpec, ScreenSpec, TableSpec
 
 
@@ -18,22 +20,28 @@ def validate_file(
 ) -> DataFrame:
     """Logs the events of a file and returns the rows to go on with, unless a STOP screen failed.
 
-    ``run_id`` names the file's part of the log: running it again replaces that part. Where a query screen rejects,
-    the rows are stored once with their addresses, and what is refused is read from the stored log.
+    ``run_id`` names the file's part of the log: running it again replaces that part. The file is read once for its
+    events: they are stored by order of their screens, STOP failures counted on the way, and then logged up to the screen
+    that stopped. Where a query screen rejects, rows are known by their address, and what is refused is read from the log.
     """
     file_screens = list(file_screens)
     rejects = [s for s in screens.in_order(file_screens, spec.file_id) if s.action == REJECT]
     by_events = any(s.predicate is None for s in rejects)
-    columns = df.columns
-    if by_events:
-        df = store_addressed(df)
-    result = screens.validate(df, file_screens, spec, batches, log_time)
-    path = f"{events_path}/run_id={run_id}/file_id={spec.file_id}"
-    result.events.write.mode("overwrite").parquet(path)
-    result.raise_on_stop()
+    columns, spark = df.columns, df.sparkSession
+    if by_events and screens.ROW_ADDRESS not in columns:
+        df = with_addresses(df)
+    events, counts = screens.all_events(df, file_screens, spec, batches, log_time)
+    draft, path = f"{events_path}/_drafts/{uuid.uuid4().hex}", f"{events_path}/run_id={run_id}/file_id={spec.file_id}"
+    events.write.parquet(draft)
+    stop = screens.stop_of(counts, file_screens, spec)
+    kept = spark.read.schema(events.schema).parquet(draft)
+    kept = kept.where(F.col("screen_order") <= stop[0].order) if stop else kept
+    kept.drop("screen_order").write.mode("overwrite").parquet(path)
+    if stop:
+        raise screens.DQStop(spec.file_id, stop[0].screen_id, stop[1])
     if not by_events:
         return screens.accepted(df, rejects, spec)
-    stored = df.sparkSession.read.schema(result.events.schema).parquet(path)
+    stored = spark.read.schema(events.drop("screen_order").schema).parquet(path)
     return screens.without_rejected(df, stored, spec).select(*columns)
 
 
