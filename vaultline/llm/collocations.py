@@ -26,7 +26,8 @@ read whole; ids and further columns are not looked at; an empty table gives an e
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -54,7 +55,7 @@ PASS = 6_000_000
 LEAST_SHARDS = 16
 FILTER_BITS = 27
 BLOCK = 1 << 20
-HELD = 200_000
+HELD = 1_500_000
 
 
 class Words:
@@ -69,9 +70,9 @@ class Words:
         self.joined = np.zeros(len(self.starts), bool)
         self.joined[:-1] = (piece[1:] == piece[:-1]) & (self.doc[1:] == self.doc[:-1])
 
-    def phrase(self, at: int, n: int) -> str:
+    def phrase(self, at: int, n: int) -> bytes:
         data = self.chunk.data
-        return b" ".join(data[a:b].tobytes() for a, b in zip(self.starts[at: at + n].tolist(), self.ends[at: at + n].tolist())).decode()
+        return b" ".join(data[a:b].tobytes() for a, b in zip(self.starts[at: at + n].tolist(), self.ends[at: at + n].tolist()))
 
 
 def longer(alive: np.ndarray, joined: np.ndarray) -> np.ndarray:
@@ -201,23 +202,54 @@ def candidates(docs: DataFrame, support: int, longest: int) -> DataFrame:
     return local.where("h is not null").groupBy("h", "salt").agg(F.sum("over").alias("over")).join(left_out, "salt").where(F.col("over") + F.col("left_out") >= support).select("h")
 
 
+class Tally:
+    """Counts of phrases by hash, each with its text and language, in a few plain arrays."""
+
+    def __init__(self):
+        self.hashes, self.slots, self.counts = np.zeros(0, T.U64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.texts, self.ends, self.words, self.langs = bytearray(), array("q"), array("b"), []
+
+    def __len__(self) -> int:
+        return len(self.ends)
+
+    def add(self, kinds: np.ndarray, times: np.ndarray, describe: Callable[[int], tuple[bytes, int, str]]) -> None:
+        """``kinds`` ascend and do not repeat; ``describe`` gives text, words and language of the k-th, if it is new."""
+        at = np.minimum(np.searchsorted(self.hashes, kinds), max(0, len(self.hashes) - 1))
+        known = self.hashes[at] == kinds if len(self.hashes) else np.zeros(len(kinds), bool)
+        self.counts[self.slots[at[known]]] += times[known]
+        fresh = np.flatnonzero(~known)
+        for k in fresh.tolist():
+            text, words, lang = describe(k)
+            self.texts += text
+            self.ends.append(len(self.texts))
+            self.words.append(words)
+            self.langs.append(lang)
+        slots = np.arange(len(self.counts), len(self.counts) + len(fresh))
+        self.counts = np.concatenate([self.counts, times[fresh]])
+        merged = np.concatenate([self.hashes, kinds[fresh]])
+        order = np.argsort(merged, kind="stable")
+        self.hashes, self.slots = merged[order], np.concatenate([self.slots, slots])[order]
+
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        data, ends = bytes(self.texts), [0, *self.ends]
+        for a in range(0, len(self), 50_000):
+            b = min(len(self), a + 50_000)
+            phrases = pa.array([data[x:y].decode() for x, y in zip(ends[a:b], ends[a + 1: b + 1])], pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(self.langs[a:b], pa.string()), phrases, pa.array(self.words[a:b], pa.int32()), pa.array(self.counts[a:b])],
+                ["lang", "phrase", "words", "a"],
+            )
+
+
 def occurrences(docs: DataFrame, filter_: np.ndarray, longest: int) -> DataFrame:
     """``lang, phrase, words, a``: counts, by task, of the phrases that the filter lets through."""
     shared = docs.sparkSession.sparkContext.broadcast(filter_)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["lang", "phrase", "words", "a"]
-        bits, index, rows, counts = shared.value, {}, [], np.zeros(0, np.int64)
-
-        def flush() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()),
-                 pa.array([r[2] for r in rows], pa.int32()), pa.array(counts[: len(rows)])], names
-            )
-
+        bits, tally = shared.value, Tally()
         for part in parts:
             code, salt = salts(part)
-            langs = part.column("lang")
+            langs = part.column("lang").to_pylist()
             for chunk in T.chunks(part.column("text")):
                 found = Words(chunk)
                 doc, alive = chunk.first + found.doc, np.ones(len(found.starts), bool)
@@ -230,20 +262,12 @@ def occurrences(docs: DataFrame, filter_: np.ndarray, longest: int) -> DataFrame
                     alive[at[~passed]] = False
                     at = at[passed]
                     kinds, first, times = np.unique(hashes_at(found.hashes, at, n, word_salt[at]), return_index=True, return_counts=True)
-                    first, place = at[first], np.empty(len(kinds), np.int64)
-                    for k, (h, p) in enumerate(zip(kinds.tolist(), first.tolist())):
-                        slot = index.get(h)
-                        if slot is None:
-                            slot = index[h] = len(rows)
-                            rows.append((langs[int(doc[p])].as_py(), found.phrase(p, n), n))
-                        place[k] = slot
-                    if len(counts) < len(rows):
-                        counts = np.concatenate([counts, np.zeros(max(len(rows) - len(counts), len(counts)), np.int64)])
-                    counts[place] += times
-                if len(rows) > HELD:
-                    yield flush()
-                    index, rows, counts = {}, [], np.zeros(0, np.int64)
-        yield flush()
+                    where = at[first]
+                    tally.add(kinds, times, lambda k: (found.phrase(int(where[k]), n), n, langs[int(doc[where[k]])]))  # noqa: B023
+                if len(tally) > HELD:
+                    yield from tally.batches()
+                    tally = Tally()
+        yield from tally.batches()
 
     return map_arrow(docs, run, "lang string, phrase string, words int, a long")
 
