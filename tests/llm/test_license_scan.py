@@ -2,7 +2,7 @@ import re
 
 import pytest
 
-from vaultline.llm.license_scan import BASE, evaluate, license_scan, parse
+from vaultline.llm.license_scan import BASE, automaton, evaluate, license_scan, parse, scan
 from vaultline.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -50,3 +50,12 @@ def test_expressions():
     assert evaluate(parse("(a or b) and c"))[1] == "((a or b) and c)"
     assert evaluate(parse("a and b and c"))[1] == "((a and b) and c)"
     assert [parse(x) for x in ("", "and", "a and", "(a", "a)", "()")] == [None] * 6
+
+
+def test_many_phrases_in_one_long_text():
+    """A hundred thousand phrases take time in proportion to the text."""
+    import time
+
+    machine, start = automaton(), time.time()
+    found = scan(b"mit license and more. " * 100_000, machine)
+    assert found[:5] == (400_000, 100_000, 0, 4 * 99_999, "mit") and time.time() - start < 20

@@ -16,6 +16,7 @@ import re
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -132,7 +133,7 @@ def scan(raw: bytes, machine: ahocorasick.Automaton) -> tuple:
     base, labels, expressions, score = [], set(), [], 0.0
     for end, (phrase, length) in machine.iter(normal.decode("latin-1")):
         if phrase in BASE:
-            base.append((normal.count(b" ", 0, end + 2 - length) - 1, BASE[phrase]))
+            base.append((end + 1 - length, BASE[phrase]))
             labels.add(BASE[phrase])
             score = max(score, 0.9)
         if phrase in NOTICES:
@@ -148,9 +149,11 @@ def scan(raw: bytes, machine: ahocorasick.Automaton) -> tuple:
                 labels |= named
                 expressions.append(text)
                 score = 1.0
-    places = [p for p, _ in base]
+    places = [p for p, _ in base]  # of the blanks before the phrases
+    blanks = np.cumsum([0, *map(len, words)]) + np.arange(len(words) + 1) if places else np.zeros(0, np.int64)
+    first, last = (int(np.searchsorted(blanks, p)) for p in (min(places), max(places))) if places else (None, None)
     return (
-        len(words), len(base), min(places, default=None), max(places, default=None),
+        len(words), len(base), first, last,
         ",".join(sorted({x for _, x in base})), ",".join(sorted(labels)), score, "; ".join(expressions),
     )
 
