@@ -51,7 +51,7 @@ WORDS[[0x20, 0x09]] = False
 
 #: Words of a shard as they are dealt, and the most that a task holds before it begins another.
 SHARD_WORDS, MOST_WORDS = 24_000_000, 36_000_000
-PASS = 6_000_000
+PASS = 2_000_000
 LEAST_SHARDS = 16
 FILTER_BITS = 27
 BLOCK = 1 << 20
@@ -96,6 +96,17 @@ def codes(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> T.U64(32)).astype(np.uint32)
 
 
+def joined_up(parts: list[np.ndarray]) -> np.ndarray:
+    """The parts in one array. Each is let go as it is copied, so that no shard is held twice."""
+    out = np.empty(sum(map(len, parts)), parts[0].dtype)
+    end = len(out)
+    while parts:
+        part = parts.pop()
+        out[end - len(part): end] = part
+        end -= len(part)
+    return out
+
+
 def mine(words: np.ndarray, joined: np.ndarray, support: int, salt: int, longest: int = LONGEST) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and counts of all runs of up to ``longest`` words of a shard that occur ``support`` times. Runs are
     counted in passes over ranges of their hashes, ``PASS`` or so at a time."""
@@ -113,7 +124,7 @@ def mine(words: np.ndarray, joined: np.ndarray, support: int, salt: int, longest
                 mine_ = found % passes == T.U64(number)
                 at.append(some[mine_])
                 hashes.append(found[mine_])
-            at, hashes = (np.concatenate(x) if x else np.zeros(0, t) for x, t in ((at, np.int32), (hashes, T.U64)))
+            at, hashes = (joined_up(x) if x else np.zeros(0, t) for x, t in ((at, np.int32), (hashes, T.U64)))
             ordered = np.sort(hashes)
             frequent = np.unique(ordered[support - 1:][ordered[support - 1:] == ordered[: len(ordered) - support + 1]]) if len(ordered) >= support else ordered[:0]
             kinds.append(frequent)
@@ -165,7 +176,7 @@ def local_candidates(docs: DataFrame, support: int, longest: int) -> DataFrame:
         def flush() -> Iterator[pa.RecordBatch]:
             while held:
                 salt, (total, words, joined) = held.popitem()
-                words, joined = np.concatenate(words), np.concatenate(joined)
+                words, joined = joined_up(words), joined_up(joined)
                 lowered = max(1, -(-support * len(words) // total))
                 h, times = mine(words, joined, lowered, salt, longest)
                 h, over = pa.array(h.view(np.int64)), pa.array(times - (lowered - 1))
