@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +49,15 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     ).cast("binary")))
 
 
+def give_back() -> None:
+    """Memory that a worker has freed goes back to the system. Workers are reused, and would keep the most that any
+    task needed beside what the next one holds."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library, where it has one
+    if trim is not None:
+        trim(0)
+
+
 def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     """``mapInArrow``, for functions of this package: its modules are sent along to the executors, once a session."""
     context = df.sparkSession.sparkContext
@@ -57,4 +69,10 @@ def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
                 out.write(path, str(path.relative_to(package.parent)))
         context.addPyFile(str(archive))
         context._vaultline_sent = str(archive)
-    return df.mapInArrow(run, schema)
+
+    @functools.wraps(run)  # the plan keeps its name
+    def task(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(parts)
+        give_back()
+
+    return df.mapInArrow(task, schema)
