@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -6,6 +7,7 @@ import pandas as pd
 from vaultline.llm import classifier
 from vaultline.llm import text as T
 from vaultline.llm.queries import QUERIES
+from vaultline.llm.text import Chunk
 
 SF = "/root/testdata/sf0.01"
 
@@ -61,3 +63,18 @@ def test_edges(spark, edges, nothing):
     assert {r.score for r in classifier.score(edges, plain).collect()} == {0.5}
     assert classifier.score(nothing, plain).count() == 0
     assert classifier.keep_good(edges, plain).count() == edges.count() and classifier.keep_good(edges, plain).columns == edges.columns
+
+
+def test_memory_of_a_long_document():
+    """Tokens get their vectors some at a time, however long the document is; the features are those of all of them."""
+    text = b"alpha beta gamma delta " * 400_000
+    vectors = np.random.default_rng(1).random((classifier.BUCKETS, classifier.DIMENSIONS + 1)).astype(np.float32)
+    tracemalloc.start()
+    some = classifier.features(Chunk.of([b"one two", text, b"three"]), vectors)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * len(text)
+    alone = np.concatenate([classifier.features(Chunk.of([t]), vectors) for t in (b"one two", text, b"three")])
+    assert np.allclose(some, alone, rtol=1e-4)
+    short = classifier.features(Chunk.of([text[:23_000]]), vectors)
+    assert np.allclose(some[1, : classifier.DIMENSIONS], short[0, : classifier.DIMENSIONS], rtol=1e-3)

@@ -37,6 +37,8 @@ COMMON = 1e-3
 MAX_LABELLED = 20_000
 HIDDEN = 32
 SEED = 11
+#: Bytes of text, and tokens of a longer document, that get their vectors at a time: ``DIMENSIONS + 1`` floats each.
+SCORED_BYTES = 1 << 18
 WIDTH = 2 * DIMENSIONS + 4 + REACH
 
 _KIND = np.full(256, 2, np.uint8)
@@ -110,16 +112,16 @@ def features(chunk: T.Chunk, vectors: np.ndarray) -> np.ndarray:
     """A row for each document."""
     bucket, first = tokens(chunk)
     counts = np.diff(first)
-    full = np.flatnonzero(counts)
     pooled, own = np.zeros((chunk.n, DIMENSIONS + 1)), np.zeros((chunk.n, DIMENSIONS))
-    if len(full):
-        pooled[full] = np.add.reduceat(vectors[bucket], first[full], axis=0)
-        place, sign = _index_vectors()
-        doc = T.doc_of(first)
+    doc = T.doc_of(first)
+    place, sign = _index_vectors()
+    for at in range(0, len(bucket), SCORED_BYTES):  # once, unless a document is longer
+        some, owner = bucket[at: at + SCORED_BYTES], doc[at: at + SCORED_BYTES]
+        cut = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+        pooled[owner[cut]] += np.add.reduceat(vectors[some], cut, axis=0)
         for k in range(NONZERO):
-            own += np.bincount(doc * DIMENSIONS + place[bucket, k], sign[bucket, k], chunk.n * DIMENSIONS).reshape(chunk.n, DIMENSIONS)
+            own += np.bincount(owner * DIMENSIONS + place[some, k], sign[some, k], chunk.n * DIMENSIONS).reshape(chunk.n, DIMENSIONS)
     agree = np.zeros((chunk.n, REACH))
-    doc = T.doc_of(first)
     for reach in range(1, REACH + 1):
         same = (bucket[:-reach] == bucket[reach:]) & (doc[:-reach] == doc[reach:])
         agree[:, reach - 1] = np.bincount(doc[reach:][same], minlength=chunk.n)
@@ -196,7 +198,7 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Mode
     
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            for chunk in T.chunks(part.column("text")):
+            for chunk in T.chunks(part.column("text"), SCORED_BYTES):
                 rows = features(chunk, shared.value)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id").slice(chunk.first, chunk.n), part.column("quality").slice(chunk.first, chunk.n),
@@ -219,7 +221,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            for chunk in T.chunks(part.column("text")):
+            for chunk in T.chunks(part.column("text"), SCORED_BYTES):
                 scores = shared.value.scores(features(chunk, shared.value.vectors))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c).slice(chunk.first, chunk.n) for c in ("doc_id", "held_out")]
@@ -235,7 +237,7 @@ def keep_good(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            kept = [shared.value.scores(features(c, shared.value.vectors)) >= 0.5 for c in T.chunks(part.column("text"))]
+            kept = [shared.value.scores(features(c, shared.value.vectors)) >= 0.5 for c in T.chunks(part.column("text"), SCORED_BYTES)]
             yield part.filter(pa.array(np.concatenate(kept))) if kept else part
 
     return map_arrow(docs, run, docs.schema)
