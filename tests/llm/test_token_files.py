@@ -58,3 +58,14 @@ def test_forgetting_changes_nothing():
 
 def test_width():
     assert [token_files.width(v) for v in (1, 2, 3, 49408, 65536, 65537)] == [1, 1, 2, 16, 16, 17]
+
+
+def test_what_is_remembered_is_small():
+    """Pieces are found in sorted arrays, without an object for each."""
+    texts = [" ".join(f"{a}{b}{c}{d}" for c in "abcdefghij" for d in "abcdefghijklmno").encode() for a in "klmnopqrst" for b in "uvwxyzabcd"]
+    encoder = token_files.WordEncoder(PATH)
+    for at in range(0, len(texts), 10):
+        encoder.encode(Chunk.of(texts[at: at + 10]), 2)
+    held = sum(a.nbytes for a in vars(encoder).values() if isinstance(a, np.ndarray)) - encoder.ids.nbytes
+    assert not any(isinstance(a, dict) and a for a in vars(encoder).values())
+    assert len(encoder.sizes) == 15_000 and held <= 32 * 15_000

@@ -97,33 +97,42 @@ class WordEncoder:
         self.forget()
 
     def forget(self) -> None:
-        self.place: dict[int, int] = {}
-        self.starts, self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.known, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.starts, self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.uint32)
 
-    def learn(self, hashes: list[int], pieces: list[bytes]) -> None:
+    def learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
+        """Adds pieces by their hashes, in ascending order."""
         got = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode("utf-8") for p in pieces], add_special_tokens=False)]
-        self.place.update(zip(hashes, range(len(self.place), len(self.place) + len(hashes))))
-        sizes = np.fromiter(map(len, got), np.int64, len(got))
-        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+        at = np.searchsorted(self.known, hashes)
+        self.known = np.insert(self.known, at, hashes)
+        self.place = np.insert(self.place, at, np.arange(len(self.sizes), len(self.sizes) + len(hashes), dtype=np.int32))
+        sizes = np.fromiter(map(len, got), np.int32, len(got))
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes, dtype=np.int64) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.ids = np.concatenate([self.ids, np.array(list(chain.from_iterable(got)), np.uint32)])
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(got), np.uint32, int(sizes.sum()))])
 
     def encode(self, chunk: T.Chunk, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents of a chunk with the end id after each, and the documents' lengths. The vocabulary
         lower-cases; only names of special ids, which begin with ``<|``, depend on case."""
         starts, ends, first = pieces_of(chunk)
-        if b"<|" not in chunk.data.tobytes():
-            chunk = chunk.lower()
+        data = chunk.data.tobytes()
+        if b"<|" not in data:
+            data = data.lower()
+            chunk = T.Chunk(np.frombuffer(data, np.uint8), chunk.offsets, chunk.first)
         hashes, sample, back = np.unique(chunk.hashes(starts, ends), return_index=True, return_inverse=True)
-        known = hashes.tolist()
-        new = [i for i, h in enumerate(known) if h not in self.place]
-        if len(self.place) + len(new) > self.remembered:
+        # Both are sorted: what is remembered is found by a search that moves on, without an object for each piece.
+        at = np.searchsorted(self.known, hashes)
+        inside = at < len(self.known)
+        inside[inside] = self.known[at[inside]] == hashes[inside]
+        new = np.flatnonzero(~inside)
+        if len(self.known) + len(new) > self.remembered:
             self.forget()
-            new = range(len(known))
-        if new:
-            data, a, b = chunk.data.tobytes(), starts[sample].tolist(), ends[sample].tolist()
-            self.learn([known[i] for i in new], [data[a[i]: b[i]] for i in new])
-        place = np.fromiter(map(self.place.__getitem__, known), np.int64, len(known))[back]
+            new = np.arange(len(hashes))
+        if len(new):
+            a, b = starts[sample[new]].tolist(), ends[sample[new]].tolist()
+            self.learn(hashes[new], [data[x:y] for x, y in zip(a, b)])
+            at = np.searchsorted(self.known, hashes)
+        place = self.place[at][back]
         sizes = self.sizes[place]
         piece_end = np.zeros(len(place) + 1, np.int64)
         np.cumsum(sizes, out=piece_end[1:])
