@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,3 +138,27 @@ def test_sources_are_found_by_what_the_spec_says(spark):
             vault.source_frame(two, *wrong)
     with pytest.raises(ValueError, match="choose a schema"):
         vault.load_hubs([HubSpec("HubT", (HubSource("T", {"id": "id"}, "A", s),), f"RV_{s}") for s in ("A", "B")], two, {}, "2024-01-01")
+
+
+def test_foreign_keys_are_dealt_once_by_child_table(spark, plan):
+    tables, _, pk, fk, ref = frames(spark)
+    text = plan(model.links(fk, tables, ref, model.hubs(tables, pk, ref)))
+    assert "collect_list(struct(FKConstraintName" not in text
+    assert "hashpartitioning(ChildTable" in text and "hashpartitioning(ChildTable#0, ParentTable" not in re.sub(r"#\d+", "#0", text)
+
+
+def test_names_where_a_constraint_has_no_name(spark, rows):
+    """The least name is the main one, and a pair's own key comes once however many roles it has."""
+    tables, _, pk, fk, ref = frames(spark)
+    fk = fk.withColumn("FKConstraintName", F.when(F.col("FKConstraintName") != "FK1", F.col("FKConstraintName")))
+    twice = tables.unionByName(tables.where("table_name = 'CMS_BROKER'").withColumn("table_schema", F.lit("STG_B")))
+    found = model.links(fk, twice, ref, model.hubs(tables, pk, ref)).where("LinkName = 'LinkContractBroker'")
+    assert rows(found.groupBy("LinkSchema", "SrcBusinessKey", "LinkHubHashKeyName").count()) == sorted(
+        (schema, *key, 1) for schema in ("RV_B", "RV_CMS")
+        for key in (("CC_ID", "ContractHashKey"), ("CC_BROKER", "CcBrokerHashKey"), ("SALES_BROKER_ID", "BrokerHashKey")))
+
+
+def test_dictionary_pairs_come_from_joins_of_rows(spark, plan):
+    constraints = spark.createDataFrame([], "owner string, constraint_name string, constraint_type string, r_owner string, r_constraint_name string")
+    columns = spark.createDataFrame([], "owner string, constraint_name string, table_name string, column_name string, position int")
+    assert "collect_list" not in plan(model.fk_dictionary(constraints, columns, {"A": None}))
