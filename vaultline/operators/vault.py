@@ -54,7 +54,10 @@ def load_hub(
         keys = [_key(frame, column).alias(name) for name, column in source.keys.items()]
         parts.append(frame.select(*keys).dropna().withColumn("_source", F.lit(position)))
     staged = reduce(DataFrame.unionByName, parts)
-    staged = staged.groupBy(*spec.keys).agg(F.min("_source").alias("_source"))
+    if len(parts) > 1:
+        staged = staged.groupBy(*spec.keys).agg(F.min("_source").alias("_source"))
+    else:  # the keys alone, as nothing has to be held beside them
+        staged = staged.select(*spec.keys).distinct().withColumn("_source", F.lit(0))
     if hub is not None:
         known = hub.select(*[_key(hub, k).alias(k) for k in spec.keys])
         staged = staged.join(known, spec.keys, "left_anti")
