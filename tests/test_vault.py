@@ -1,4 +1,5 @@
 import hashlib
+import re
 from functools import partial
 
 import pytest
@@ -220,3 +221,15 @@ def test_load_plans(spark, plan):
         F.col("event_type").alias("k"), F.col("ts").alias("LoadDateTime"), F.col("ts").alias("AppliedDateTime"),
         F.col("props").alias("HashDiff")), "k"))
     assert "row_number(), 1, Partial" in window
+
+
+def test_rows_of_two_sources_are_dealt_once_by_hash(spark, plan):
+    rows = spark.range(10).selectExpr("id as a", "id as b")
+    spec = LinkSpec("LinkAB", tuple(LinkSource(n, {"AHashKey": ["a"], "BHashKey": ["b"]}, n) for n in ("one", "two")))
+    text = plan(vault.load_link({"one": rows, "two": rows.where("a > 4")}, None, spec, T1))
+    assert len(re.findall(r"Exchange hashpartitioning\(ABHashKey", text)) == 1
+
+
+def test_a_hub_of_one_source_holds_keys_alone(spark, plan):
+    rows = spark.range(10).selectExpr("id as a")
+    assert "min(" not in plan(vault.load_hub({"one": rows}, None, HubSpec("HubA", (HubSource("one", {"a": "a"}, "ONE"),), "RV"), T1))

@@ -87,9 +87,11 @@ def load_link(
         ))
     staged = reduce(DataFrame.unionByName, parts)
     if len(parts) > 1:
+        # Each source's rows are distinct already: dealt by hash as they are, they meet once, for both of these.
         by_link = Window.partitionBy(spec.hash_key)
         staged = (
-            staged.groupBy(spec.hash_key, *spec.hub_keys).agg(F.min("_source").alias("_source"))
+            staged.repartition(spec.hash_key)
+            .groupBy(spec.hash_key, *spec.hub_keys).agg(F.min("_source").alias("_source"))
             .withColumn("_first", F.min("_source").over(by_link))
             .where(F.col("_source") == F.col("_first"))
         )
