@@ -82,3 +82,30 @@ def test_null_and_equal_ids_are_ordered(spark):
     rows = sorted(map(tuple, S.substring_dedup(frame).collect()), key=str)
     assert [r[2] for r in rows if r[0] is None] == [0]
     assert [r[2] for r in rows if r[0] == 5] == [len(text)] * 3
+
+
+@pytest.mark.parametrize("split", [(64, 4096), (1, 4096)])
+def test_a_stretch_is_brought_to_the_arrays_once(spark, monkeypatch, split):
+    """The rows of the operator's tasks, but for those that read every document's anchors, do not grow with copies."""
+    made, map_arrow = [], S.map_arrow
+
+    def counted(df, run, schema):
+        out = map_arrow(df, run, schema)
+        made.append((run.__qualname__.split(".")[0], out))
+        return out
+
+    monkeypatch.setattr(S, "SPLIT", split)
+    monkeypatch.setattr(S, "map_arrow", counted)
+    rng = random.Random(1)
+    noise = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    passage = noise(150)
+    texts = [noise(200) + passage + noise(200) for _ in range(12)]
+    rows = {}
+    for times in (1, 6):
+        made.clear()
+        docs = [(k * len(texts) + i, t) for k in range(times) for i, t in enumerate(texts)]
+        frame = spark.createDataFrame(docs, "doc_id long, text string").repartitionByRange(times, "doc_id")
+        got = {r[0]: tuple(r)[1:] for r in S.substring_dedup(frame).collect()}
+        assert got == brute([(i, t.encode()) for i, t in docs])
+        rows[times] = {k: df.count() for k, df in made if k not in ("repeated_anchors", "occurrences", "array_ranges", "remove")}
+    assert rows[1]["stretch_bytes"] > 0 and rows[1] == rows[6]

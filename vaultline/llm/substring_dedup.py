@@ -7,15 +7,18 @@ occurrence in a document lie together in one stretch of some 135 bytes.
 1. Anchors are counted; what occurs once can't repeat. (A filter of a fixed number of bits decides what is passed on;
    too many anchors for it only let more through.)
 2. Equal stretches are one: all but the first of them are removed whole.
-3. Where an anchor has stretches that differ, their bytes are brought together, and a suffix array of each anchor's
-   stretches, built by linear grouping, puts equal strings side by side; in each run of equal strings all but the
-   earliest are removed. An anchor with many stretches is split first: strings that begin at nearly the same distance
-   before it lie in one piece, and only pieces that agree in what all their strings hold can have equal ones. Pieces
-   that agree with no other are left out. For an anchor with very many stretches, each string is a piece.
+3. Where an anchor has stretches that differ, the bytes of the first of each are brought together, and a suffix array
+   of each anchor's stretches, built by linear grouping, puts equal strings side by side; in each run of equal strings
+   all but the earliest are removed. An anchor with many stretches is split first: strings that begin at nearly the same
+   distance before it lie in one piece, and only pieces that agree in what all their strings hold can have equal ones.
+   For an anchor with very many stretches, each string is a piece. (A filter of a fixed number of bits tells where the
+   first ones lie; too many for it only let more through.)
 4. The removed ranges are united by document.
 
 Equal stretches and strings are reduced to the first by task before they are shuffled, so a passage that most documents
-share costs one row for each few megabytes of input, and no group is larger than ``SPLIT[1]`` stretches.
+share costs one row for each few megabytes of input, and no group is larger than ``SPLIT[1]`` stretches. A different
+stretch is brought to the arrays once, however many copies it has: as one row, in pieces as one for each ``PIECE``
+distances, and beyond ``SPLIT[1]`` as one for each string.
 
 Defined results: a null or empty text has no bytes; null ids come before others, documents of equal ids are ordered by
 a hash of their text, and rows alike in id and text are one document whose result each gets; an empty table gives an
@@ -43,6 +46,7 @@ LENGTH = 100
 GRAM = 32
 ANCHOR_BITS = 27
 DIFFER_BITS = 24
+PLACE_BITS = 27
 #: Different stretches of an anchor beyond which it is split, and beyond which each string is a piece.
 SPLIT = (64, 4096)
 #: Distances in a piece.
@@ -172,49 +176,48 @@ def pieces(chunk: T.Chunk, s: Stretches, which: np.ndarray, step: int, length: i
     return key.view(np.int64), own.view(np.int64), start, size
 
 
-Marks = tuple[np.ndarray, np.ndarray, np.ndarray]
+Marks = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def first_places(classes: DataFrame, differ: np.ndarray) -> DataFrame:
+    """``h``, which tells ``_split`` where the first of equal stretches lies, for anchors whose stretches differ."""
+    shared = classes.sparkSession.sparkContext.broadcast(differ)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            yield part.filter(pa.array(has_bit(shared.value, part.column("anchor").to_numpy().view(np.uint64)))).select(["h"])
+
+    h = F.col("own").bitwiseXOR(F.col("first.r")).bitwiseXOR(F.col("first.start")).alias("h")
+    return map_arrow(classes.select("anchor", h), run, "h long")
 
 
 def _split(chunk: T.Chunk, part: pa.RecordBatch, marks: Marks, length: int) -> tuple[Stretches, np.ndarray, tuple[np.ndarray, ...]]:
     """A chunk's stretches, the numbers of those to be compared whole, and the pieces of the others."""
-    differ, many, very = marks
+    differ, many, very, places = marks
     s = Stretches(chunk, length)
     order = _in_order(chunk, part, s)
+    order = order[has_bit(differ, s.anchor[order].view(np.uint64))]
+    doc = s.doc[order]
+    r = part.column("r").slice(chunk.first, chunk.n).to_numpy()[doc]
+    order = order[has_bit(places, (s.own[order] ^ r ^ (s.start[order] - chunk.offsets[doc])).view(np.uint64))]
     anchors = s.anchor[order].view(np.uint64)
-    order, anchors = order[has_bit(differ, anchors)], anchors[has_bit(differ, anchors)]
     parted, single = has_bit(many, anchors), has_bit(very, anchors)
     found = [pieces(chunk, s, order[m], step, length) for m, step in ((parted & ~single, PIECE), (single, 1))]
     return s, order[~parted & ~single], tuple(np.concatenate(c) for c in zip(*found))
 
 
-def repeated_pieces(docs: DataFrame, marks: Marks, length: int) -> np.ndarray:
-    """A filter of the pieces' keys that occur more than once."""
+def stretch_bytes(docs: DataFrame, marks: Marks, length: int) -> DataFrame:
+    """``key, own, d, r, start, size, bytes``: the first of equal stretches, of anchors that have different ones, whole
+    with the anchor as key, or in pieces. Pieces that an equal one of the same chunk precedes have null for bytes."""
     shared = docs.sparkSession.sparkContext.broadcast(marks)
-
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            for chunk in T.chunks(part.column("text")):
-                keys, times = np.unique(_split(chunk, part, shared.value, length)[2][0], return_counts=True)
-                yield _batch(["h", "n"], keys, times)
-
-    counted = map_arrow(docs.select("text", *KEYS), run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    return bits_of(counted.where("n > 1").select("h"), ANCHOR_BITS)
-
-
-def stretch_bytes(docs: DataFrame, marks: Marks, repeated: np.ndarray, length: int) -> DataFrame:
-    """``key, own, d, r, start, size, bytes``: the stretches of anchors that have different ones, whole with the
-    anchor as key, or in pieces. Pieces that an equal one of the same chunk precedes have null for bytes."""
-    shared = docs.sparkSession.sparkContext.broadcast((marks, repeated))
     names = ["key", "own", "d", "r", "start", "size", "bytes"]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks, repeated = shared.value
         for part in parts:
             for chunk in T.chunks(part.column("text")):
-                s, whole, found = _split(chunk, part, marks, length)
-                use = has_bit(repeated, found[0].view(np.uint64))
+                s, whole, found = _split(chunk, part, shared.value, length)
                 stretches = (s.anchor[whole], s.own[whole], s.start[whole], s.count[whole] + length - 1)
-                key, own, start, size = (np.concatenate([a, b[use]]) for a, b in zip(stretches, found))
+                key, own, start, size = (np.concatenate(x) for x in zip(stretches, found))
                 if not len(key):
                     continue
                 first = _first_of(key, own)
@@ -323,19 +326,17 @@ def removed_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     compared = found.where("not later")
     # the first of each stretch, by task before its shuffle; all others of the stretch are later
     place = F.struct("d", "r", "start")
-    first = compared.groupBy("anchor", "own").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    first = stored(first.select("anchor", "own", "first"), "first-stretches")
+    classes = stored(compared.groupBy("anchor", "own").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")), "first-stretches")
+    first = classes.where("n > 1").select("anchor", "own", "first")
     again = compared.join(first, ["anchor", "own"]).where(place != F.col("first")).select("d", "r", "start", "count")
     copies = again.unionByName(found.where("later").select("d", "r", "start", "count"))
     copies = copies.select("d", "r", F.col("start").alias("first"), (F.col("start") + F.col("count") + (length - 1)).alias("end"))
-    kinds = stored(
-        compared.groupBy("anchor").agg(F.min("own").alias("a"), F.max("own").alias("b"), F.approx_count_distinct("own").alias("n"))
-        .where("a <> b").select(F.col("anchor").alias("h"), "n"), "anchors"
-    )
+    kinds = classes.groupBy(F.col("anchor").alias("h")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    kinds = stored(kinds, "anchors")
     differ = bits_of(kinds.select("h"), DIFFER_BITS)
     many, very = (bits_of(kinds.where(F.col("n") > least).select("h"), DIFFER_BITS) for least in SPLIT)
-    marks = (differ, many, very)
-    return copies.unionByName(array_ranges(stretch_bytes(docs, marks, repeated_pieces(docs, marks, length), length), length))
+    marks = (differ, many, very, bits_of(first_places(classes, differ), PLACE_BITS))
+    return copies.unionByName(array_ranges(stretch_bytes(docs, marks, length), length))
 
 
 def remove(docs: DataFrame, ranges: DataFrame) -> DataFrame:
