@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vaultline.functions.clock import as_datetime
-from vaultline.operators import scd2
+from vaultline.operators import cdc, scd2
 from vaultline.plans import history_jobs
 from vaultline.plans.commit_log import Commit, CommitConflict, CommitLog
 from vaultline.specs import ColumnSpec, TableSpec
@@ -153,3 +153,30 @@ def test_as_of_opens_only_what_can_hold_the_moment(spark, tmp_path):
         later = {c.batch for c in history_jobs.chain(spark, root, 4) if c.closed and as_datetime(c.file_date) > as_datetime(moment)}
         current_side = {c.batch for c in history_jobs.chain(spark, root, 4) if not c.whole and c.closed}
         assert {int(b) for b in opened} <= later | current_side and len(later) == attempts
+
+
+@pytest.mark.parametrize("one_pass", [True, False])
+def test_hot_keys_are_sought_only_where_a_key_repeats(spark, tmp_path, monkeypatch, one_pass):
+    sought, known_hot_keys = [], cdc.known_hot_keys
+    monkeypatch.setattr(cdc, "known_hot_keys", lambda *args: sought.append(args) or known_hot_keys(*args))
+    root = str(tmp_path)
+    load(spark, root, 1, None, "2024-01-01", (1, 1), (2, 2), one_pass=one_pass)
+    load(spark, root, 2, 1, "2024-01-02", (1, 5), (1, "bad"), (3, 3), one_pass=one_pass, on_bad="quarantine")
+    assert not sought
+    with pytest.raises(ValueError, match="not unique"):
+        load(spark, root, 3, 2, "2024-01-03", (1, 5), (3, 3), (3, 4), one_pass=one_pass)
+    assert sought
+
+
+@pytest.mark.parametrize("most", [0, 1_000_000])
+def test_one_change_is_read_without_grouping_its_versions(spark, tmp_path, plan, monkeypatch, most):
+    monkeypatch.setattr(history_jobs, "BROADCAST_ROWS", most, raising=False)
+    root = str(tmp_path)
+    load(spark, root, 1, None, "2024-01-01", (1, 1), (2, 2), (3, 3))
+    after = load(spark, root, 2, 1, "2024-01-02", (1, 5), (3, 3), (4, 4))
+    assert shown(after) == [(1, 1, "2024-01-01", "N"), (1, 5, "2024-01-02", "Y"), (2, 2, "2024-01-01", "N"), (3, 3, "2024-01-01", "Y"), (4, 4, "2024-01-02", "Y")]
+    assert "max_by" not in plan(after) and ("SortMergeJoin" in plan(after)) == (most == 0)
+    again = load(spark, root, 3, 2, "2024-01-03", (1, 5), (2, 2), (4, 6))
+    assert shown(again) == sorted([
+        (1, 1, "2024-01-01", "N"), (1, 5, "2024-01-02", "Y"), (2, 2, "2024-01-01", "N"), (2, 2, "2024-01-03", "Y"),
+        (3, 3, "2024-01-01", "N"), (4, 4, "2024-01-02", "N"), (4, 6, "2024-01-03", "Y")])

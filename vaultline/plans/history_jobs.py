@@ -39,6 +39,8 @@ from vaultline.specs import CURRENT, MODIFY, OPERATION, REMOVE, ColumnSpec, Tabl
 #: Changed rows, as a share of the whole ones, and attempts after which all current rows are written again.
 WHOLE_SHARE = 0.25
 WHOLE_AFTER = 16
+#: Closed rows whose keys are not broadcast, as a file's size tells little about them.
+BROADCAST_ROWS = 1_000_000
 HELD_BACK = "another row of this key is refused"
 _CHANGED = "_changed"
 
@@ -105,7 +107,7 @@ def advance_file(
     spark = stg.sparkSession
     log = _log(spark, root).read()
     line = _chain(log, root, previous_batch)
-    usable, held, kept, seen, quarantine, options = _usable(stg, _before(spark, spec, root, line), spec, root, on_bad, options)
+    usable, held, kept, repeated, seen, quarantine, options = _usable(stg, _before(spark, spec, root, line), spec, root, on_bad, options)
     after = scd2.advance(usable, held, spec, file_date, **options)
     after = after.withColumn(_CHANGED, F.col(OPERATION).isNotNull() | (F.col(CURRENT) == "N"))
     if kept is not None:
@@ -114,7 +116,7 @@ def advance_file(
 
     def check() -> None:
         _refuse_bad(seen, spec)
-        _refuse_repeated(usable, spec)
+        _refuse_repeated(repeated, spec)
 
     return _publish(after, spec, root, batch_id, line, len(log), file_date, whole, quarantine, check)
 
@@ -126,11 +128,11 @@ def write_delta(
     it again replaces it; a refused one replaces nothing."""
     spark = stg.sparkSession
     line = chain(spark, root, previous_batch)
-    usable, held, _, seen, quarantine, options = _usable(stg, _before(spark, spec, root, line), spec, root, on_bad, options)
+    usable, held, _, repeated, seen, quarantine, options = _usable(stg, _before(spark, spec, root, line), spec, root, on_bad, options)
     draft, path = f"{root}/draft/{uuid.uuid4().hex}", f"{root}/delta/batch={batch_id}"
     cdc.delta(usable, held, spec, **options).write.parquet(draft)
     _refuse_bad(seen, spec)
-    _refuse_repeated(usable, spec)
+    _refuse_repeated(repeated, spec)
     spark.read.parquet(draft).write.mode("overwrite").parquet(path)
     pin = {"previous": line[0].attempt if line else None, "quarantine": quarantine}
     spark.createDataFrame([(json.dumps(pin),)], "value string").coalesce(1).write.mode("overwrite").text(f"{root}/delta_pins/batch={batch_id}")
@@ -214,9 +216,10 @@ def _is_whole(line: list[Commit]) -> bool:
 
 def _usable(
     stg: DataFrame, before: DataFrame, spec: TableSpec, root: str, on_bad: str, options: dict
-) -> tuple[DataFrame, DataFrame, DataFrame | None, Observation | None, str | None, dict]:
-    """The staged rows to load; the stored rows to compare, and those to carry on as they are; the count of bad rows or
-    the name of the quarantine; the options of the comparison.
+) -> tuple[DataFrame, DataFrame, DataFrame | None, bool, Observation | None, str | None, dict]:
+    """The staged rows to load; the stored rows to compare, and those to carry on as they are; whether a staged key
+    repeats; the count of bad rows or the name of the quarantine; the options of the comparison, which looks for hot
+    keys only where one repeats.
 
     By default bad rows are counted in the pass that loads the others, and ``_refuse_bad`` ends the load. What was
     quarantined is not what was removed: stored rows of such a key are carried on; and if a quarantined row's key itself
@@ -230,7 +233,8 @@ def _usable(
     if on_bad == "error":
         seen = Observation()
         counted = marked.observe(seen, F.count_if(~good).alias("bad"), F.min(F.when(~good, F.col(conform.REASONS)[0])).alias("example"))
-        return counted.where(good).drop(conform.REASONS), before, None, seen, None, options
+        repeated, options = _compared_once(marked.where(good), spec, options)
+        return counted.where(good).drop(conform.REASONS), before, None, repeated, seen, None, options
     name = uuid.uuid4().hex
     path = f"{root}/quarantine/{name}"
     raw = stg.select("*", conform.with_reasons_column(stg, columns))
@@ -238,14 +242,26 @@ def _usable(
     refused = conform.conform(stg.sparkSession.read.schema(raw.schema).parquet(f"{path}/part=refused"), columns).select(*spec.keys)
     if not refused.where(any_null(spec.keys)).isEmpty():
         options["snapshot_type"] = "DELTA"
-    keys = refused.dropna().distinct()
+    keys = _stored(refused.dropna().distinct(), f"{root}/draft/{uuid.uuid4().hex}")
     by_key = [conform.cast(stg, c).alias(f"_key_{c.name}") for c in columns if c.is_key]
     held_back = raw.where(good).select("*", *by_key).join(keys.toDF(*[f"_key_{k}" for k in spec.keys]), [f"_key_{k}" for k in spec.keys], "left_semi")
     held_back = held_back.select(*[stg[c] for c in stg.columns], F.array(F.lit(HELD_BACK)).alias(conform.REASONS))
     held_back.write.parquet(f"{path}/part=held")
     usable = marked.where(good).drop(conform.REASONS).join(keys, spec.keys, "left_anti")
     kept = before.join(keys, spec.keys, "left_semi").select(*before.columns)
-    return usable, before.join(keys, spec.keys, "left_anti"), kept, None, name, options
+    repeated, options = _compared_once(usable, spec, options)
+    return usable, before.join(keys, spec.keys, "left_anti"), kept, repeated, None, name, options
+
+
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _compared_once(usable: DataFrame, spec: TableSpec, options: dict) -> tuple[bool, dict]:
+    """Whether a key repeats, which refuses the load after its write; keys that do not are none that many rows share."""
+    repeated = _repeats(usable, spec)
+    return repeated, options if repeated else {"hot_share": None, **options}
 
 
 def _refuse_bad(seen: Observation | None, spec: TableSpec) -> None:
@@ -253,10 +269,14 @@ def _refuse_bad(seen: Observation | None, spec: TableSpec) -> None:
         raise ValueError(f"{spec.table}: {seen.get['bad']} staged rows cannot be loaded, such as {seen.get['example']}")
 
 
-def _refuse_repeated(usable: DataFrame, spec: TableSpec) -> None:
+def _repeats(usable: DataFrame, spec: TableSpec) -> bool:
     """Counted by key alone, with each task's counts combined first. The keys of the stored rows are unique, as nothing
     else was ever committed, so the current rows after the load have unique keys as well."""
-    if not usable.select(*spec.keys).dropna().groupBy(*spec.keys).count().where("count > 1").isEmpty():
+    return not usable.select(*spec.keys).dropna().groupBy(*spec.keys).count().where("count > 1").isEmpty()
+
+
+def _refuse_repeated(repeated: bool, spec: TableSpec) -> None:
+    if repeated:
         raise ValueError(f"{spec.table}: a natural key is not unique")
 
 
@@ -306,6 +326,12 @@ def _current(spark: SparkSession, spec: TableSpec, root: str, line: list[Commit]
     whole = _rows(spark, spec, root, line[len(changes):][:1], "Y").select(*names)
     if not changes:
         return whole
+    if len(changes) == 1:  # which opened each key once, and closed each whole row that is current no more
+        ended, opened = (_rows(spark, spec, root, changes, flag) for flag in "NY")
+        ended = ended.select(*spec.keys)
+        if changes[0].closed > BROADCAST_ROWS:
+            ended = ended.hint("merge")
+        return whole.join(ended, spec.keys, "left_anti").select(*names).unionByName(opened.select(*names))
     order: list[Column] = [x for i, c in enumerate(reversed(changes)) for x in (F.lit(c.attempt), F.lit(i))]
     changed = _rows(spark, spec, root, changes, "YN").withColumn("_at", F.create_map(*order)[F.col("attempt")])
     last = F.max_by(F.struct(*names), F.struct("_at", F.col(CURRENT) == "Y")).alias("row")
