@@ -261,7 +261,7 @@ def _stored(df: DataFrame, path: str) -> DataFrame:
 def _compared_once(usable: DataFrame, spec: TableSpec, options: dict) -> tuple[bool, dict]:
     """Whether a key repeats, which refuses the load after its write; keys that do not are none that many rows share."""
     repeated = _repeats(usable, spec)
-    return repeated, options if repeated else {"hot_share": None, **options}
+    return repeated, options if repeated or options.get("stored_hot_share") else {"hot_share": None, **options}
 
 
 def _refuse_bad(seen: Observation | None, spec: TableSpec) -> None:
