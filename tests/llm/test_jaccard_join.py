@@ -1,11 +1,14 @@
 import random
 import re
+import time
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 from vaultline.llm import jaccard_join as J
+from vaultline.llm.common import SHUFFLE_CLEANUP, shuffles_freed
 from vaultline.llm.components import components
 from vaultline.llm.queries import QUERIES
 
@@ -132,3 +135,93 @@ def test_comparable_orders_sizes_not_members(spark, plan, monkeypatch):
     plans.append(plan(found))
     windows = [text for text in plans if "Window" in text]
     assert windows and all("count(1)" in text[text.rindex("Window"):] for text in windows)
+
+
+def near_sets(rng, size, other, shared):
+    """Two sets of random tokens, with their sizes and what they share."""
+    tokens = np.unique(rng.integers(0, 2**63, 2 * (size + other), dtype=np.uint64))
+    rng.shuffle(tokens)
+    return np.sort(tokens[:size]), np.sort(np.concatenate([tokens[:shared], tokens[size: size + other - shared]]))
+
+
+@pytest.mark.parametrize("sizes", [(9000, 9000), (40000, 36000), (4100, 4090), (300, 290)])
+def test_large_sets_are_told_apart_by_their_bins(sizes):
+    """Sets of some thousand tokens with nothing in common are ruled out, those at the limit never are."""
+    rng = np.random.default_rng(sum(sizes))
+    for shared, want in ((0, False), (min(sizes), True)):
+        a, b = near_sets(rng, *sizes, shared)
+        rows = [(name, name, len(s), J.bins_of_set(s)) for name, s in ((b"a", a), (b"b", b))]
+        for one, two in (rows, rows[::-1]):
+            q, m = J.within_bounds([one], [two, (b"c", one[1], one[2], one[3])], 80)
+            assert q.tolist() == [want] and m.tolist() == [want, False]
+
+
+def test_bins_never_bound_too_low():
+    """Whatever the widths: a set against one of another number of bins, one bin full, groups of mixed sizes."""
+    rng, percent = np.random.default_rng(4), 80
+    pairs = [near_sets(rng, size, size - size // 10, size - size // 10) for size in (8, 200, 2048, 2200, 4096, 4300, 9000, 17000)]
+    pairs.append((np.arange(1, 300, dtype=np.uint64), np.arange(1, 290, dtype=np.uint64)))
+    bins = [[J.bins_of_set(s) for s in pair] for pair in pairs]
+    assert len({len(x) for pair in bins for x in pair}) > 4 and any(len(a) != len(b) for a, b in bins)
+    at_most = J.common_at_most([a for a, _ in bins], [b for _, b in bins])
+    assert all(n >= len(np.intersect1d(*pair)) for n, pair in zip(at_most.tolist(), pairs))
+    full = bytes([J.FULL_BIN]) + bytes(J.BINS - 1)
+    assert J.common_at_most([full], [full])[0] >= 2**31
+    queries = [(b"q%d" % i, b"q%d" % i, len(a), bins[i][0]) for i, (a, _) in enumerate(pairs)]
+    members = [(b"m%d" % i, b"m%d" % i, len(b), bins[i][1]) for i, (_, b) in enumerate(pairs)]
+    q, m = J.within_bounds(queries, members, percent)
+    assert q.all() and m.all()
+
+
+def test_a_class_is_once_in_a_unit(spark, monkeypatch):
+    """Members that are queries as well bring their tokens to a unit once."""
+    monkeypatch.setattr(J, "UNIT", 4)
+    rng, seen = random.Random(8), []
+    texts = []
+    for _ in range(3):
+        base = [f"w{rng.randint(0, 10**6)}" for _ in range(40)]
+        for _ in range(12):
+            texts.append(" ".join(base))
+            base = list(base)
+            base[rng.randrange(40)] = f"w{rng.randint(0, 10**6)}"
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+
+    def kept(df, name, f=J.stored):
+        out = f(df, name)
+        if name == "near-members":
+            seen.extend((r.a, r.block, r.query_block, r.b) for r in out.collect())
+        return out
+
+    monkeypatch.setattr(J, "stored", kept)
+    got = {r.doc_id: r.component_id for r in J.jaccard_join(frame, 3, 80, None).collect()}
+    assert got == {i: c for i, (_, c) in enumerate(brute(texts, 3, 80))}
+    assert seen and len(seen) == len(set(seen))
+
+
+def test_disk_is_given_back(spark, sample):
+    """Marks and sets have gone when the rows are read, and the session's setting is as before."""
+    frame = spark.createDataFrame([(int(i), t) for i, t in zip(sample.doc_id[:60], sample.text[:60])], "doc_id long, text string").repartition(3)
+    folder = Path(spark.sparkContext.getConf().get("spark.checkpoint.dir"))
+    names = lambda: {p.name for p in folder.rglob("*-*") if p.is_dir() and any(p.glob("*.parquet"))}
+    before = names()
+    setting = spark.conf.get(SHUFFLE_CLEANUP, None)
+    found = J.jaccard_join(frame, 3, 80, None)
+    left = {n.rsplit("-", 1)[0] for n in names() - before}
+    assert "placed" in left and not left & {"marks", "mark-members", "shared-marks", "sets", "classes"}
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == setting
+    assert sorted(found.collect()) == sorted(found.collect()) and found.count() == 60
+
+
+def test_shuffles_are_freed(spark, tmp_path):
+    jvm = spark.sparkContext._jvm
+    local = [Path(d.getPath()) for d in jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    count = lambda: {f.name for d in local for f in d.rglob("shuffle_*")}
+    before = count()
+    with shuffles_freed(spark):
+        spark.range(1000).repartition(3, "id").groupBy("id").count().write.parquet(str(tmp_path / "x"))
+    for _ in range(100):  # they go in the background
+        if not (left := count() - before):
+            break
+        time.sleep(0.1)
+    assert not left
+    assert spark.read.parquet(str(tmp_path / "x")).count() == 1000

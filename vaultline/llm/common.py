@@ -8,6 +8,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 import vaultline
 from vaultline.plans.materialize import CHECKPOINT_DIR, ensure_checkpoint_dir
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -33,7 +36,35 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: later branches survive lost executors."""
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
+def drop(*frames: DataFrame) -> None:
+    """Gives back the disk of frames from ``stored`` that nothing will read any more."""
+    for df in frames:
+        delete(df.sparkSession, df._stored_at)
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a query that is planned inside go when it ends; else they stay until the driver happens to
+    collect garbage. For queries that run once: frames given to others are made outside."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
 
 
 def documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -14,7 +14,8 @@ bring the classes together that can be linked:
   compared, never what is found.
 
 The classes that share marks with the same smallest class form its group. Every class has the counts of its tokens by
-bins, a few hundred bytes that bound what two sets can have in common; only what these do not rule out gets its tokens.
+bins, a byte for each few tokens that bound what two sets can have in common; only what these do not rule out gets its
+tokens. Large sets have more bins, as with a fixed number any two sets of some thousand tokens would look alike.
 Each member is first compared with the group's smallest class. Members that aren't in one component with it are queries: the group is cut into groups of similar members, for
 each of which the union of tokens is kept, as rows of a matrix of tokens by members. A query's overlap with the union
 bounds its overlap with any member, and only groups that reach what the query needs are opened; members already in the
@@ -45,7 +46,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaultline.llm import text as T
-from vaultline.llm.common import documents, map_arrow, row_key, shared_folder, stored
+from vaultline.llm.common import delete, documents, drop, map_arrow, row_key, shared_folder, shuffles_freed, stored
 from vaultline.llm.components import bits_of, components, has_bit
 
 #: Words in a shingle, and similarity in percent.
@@ -53,13 +54,13 @@ SHINGLE = 3
 PERCENT = 90
 
 BAND = 1.5
-MARK_BITS = 26
+MARK_BITS, MOST_MARK_BITS = 26, 28
 PARTS_FROM = 60
 COMMON = 3
 CLASS_BITS = 27
 GROUP = 32
 UNIT = 1024
-BINS, FULL_BIN = 256, 65535
+BINS, PER_BIN, FULL_BIN = 256, 8, 255
 
 
 def shingle_sets(chunk: T.Chunk, n: int = SHINGLE) -> list[np.ndarray]:
@@ -183,7 +184,7 @@ def candidate_stars(
     docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, parts_from: int | None = PARTS_FROM
 ) -> tuple[DataFrame, DataFrame]:
     """``a, b, na, nb``: each class with the smallest class of every mark that it shares with another, and set sizes;
-    and ``class, bins`` of all classes, repeated where documents are copies."""
+    and what is stored of all classes, with ``class, bins``, repeated where documents are copies."""
     texts, context = documents(docs).select("text"), docs.sparkSession.sparkContext
     common = context.broadcast(common_tokens(texts, n, percent, parts_from))
 
@@ -201,8 +202,9 @@ def candidate_stars(
                 yield pa.RecordBatch.from_arrays([_binary(names), pa.array(sizes, pa.int32()), marks, _binary(bins)], ["class", "n", "marks", "bins"])
 
     marked = stored(map_arrow(texts, mark, "class binary, n int, marks array<long>, bins binary"), "marks")
-    shared = marked.select(F.explode("marks").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    repeated = context.broadcast(bits_of(shared.select("h"), MARK_BITS))
+    shared = stored(marked.select(F.explode("marks").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "shared-marks")
+    repeated = context.broadcast(bits_of(shared, min(MOST_MARK_BITS, max(MARK_BITS, (16 * shared.count()).bit_length()))))
+    drop(shared)
 
     def members(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -216,7 +218,9 @@ def candidate_stars(
     leaders = held.groupBy("h").agg(F.min(F.struct("class", "n")).alias("least"), F.max("class").alias("z")).where("least.class <> z")
     leaders = leaders.select("h", F.col("least.class").alias("a"), F.col("least.n").alias("na"))
     stars = held.join(leaders, "h").where("class <> a").select("a", F.col("class").alias("b"), "na", F.col("n").alias("nb")).distinct()
-    return stored(stars, "stars"), marked.select("class", "bins")
+    found = stored(stars, "stars")
+    drop(held)
+    return found, marked
 
 
 def comparable(stars: DataFrame, percent: int) -> DataFrame:
@@ -233,7 +237,8 @@ def comparable(stars: DataFrame, percent: int) -> DataFrame:
 
 @contextmanager
 def bucketed(sets: DataFrame) -> Iterator[DataFrame]:
-    """The sets stored by class, so that no join on it moves them again. Their catalog entry goes when the block ends."""
+    """The sets stored by class, so that no join on it moves them again. They go, with their catalog entry, when the block
+    ends."""
     spark = sets.sparkSession
     name, path = f"vaultline_sets_{uuid.uuid4().hex}", shared_folder(spark, "sets")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -243,6 +248,7 @@ def bucketed(sets: DataFrame) -> Iterator[DataFrame]:
         yield spark.table(name)
     finally:
         spark.sql(f"drop table if exists {name}")
+        delete(spark, path)
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, n: int = SHINGLE) -> DataFrame:
@@ -269,20 +275,48 @@ def sets_of(docs: DataFrame, wanted: DataFrame, n: int = SHINGLE) -> DataFrame:
     return map_arrow(documents(docs).select("text"), run, "class binary, tokens array<long>")
 
 
+def number_of_bins(size: int) -> int:
+    """For a set of some size: a power of two, so that the bins of a larger set can be added up to those of a smaller."""
+    return max(BINS, 1 << (-(-size // PER_BIN) - 1).bit_length())
+
+
 def bins_of_set(tokens: np.ndarray) -> bytes:
-    """How many tokens of a set fall into each of ``BINS`` bins."""
-    counts = np.bincount((T.mix(tokens) >> T.U64(32)).astype(np.int64) % BINS, minlength=BINS)
-    return np.minimum(counts, FULL_BIN).astype("<u2").tobytes()
+    """How many tokens of a set fall into each of its bins, a byte each."""
+    n = number_of_bins(len(tokens))
+    counts = np.bincount((T.mix(tokens) >> T.U64(32)).astype(np.int64) % n, minlength=n)
+    return np.minimum(counts, FULL_BIN).astype(np.uint8).tobytes()
 
 
 def linked(common: F.Column, left: F.Column, right: F.Column, percent: int) -> F.Column:
     return 100 * common >= percent * (left + right - common)
 
 
-def counts_of(bins: list[bytes]) -> np.ndarray:
-    counts = np.frombuffer(b"".join(bins), "<u2").reshape(len(bins), BINS).astype(np.int32)
-    counts[counts == FULL_BIN] = np.iinfo(np.int32).max // BINS  # a full bin bounds nothing
-    return counts
+def counts_of(bins: list[bytes], n: int) -> np.ndarray:
+    """A row of ``n`` bins for each set, of which none has less."""
+    counts = np.frombuffer(b"".join(bins), np.uint8)
+    full = counts == FULL_BIN
+    counts = np.where(full, np.int64(1 << 40), counts) if full.any() else counts.astype(np.int32)  # a full bin bounds nothing
+    if len(counts) == n * len(bins):
+        return counts.reshape(-1, n)
+    ends = np.cumsum([len(x) for x in bins]).tolist()
+    return np.array([counts[a:b].reshape(-1, n).sum(0) for a, b in zip([0, *ends], ends)])
+
+
+def at_a_time(n: int) -> int:
+    """Sets of which the counts by ``n`` bins are held at once."""
+    return max(1, UNIT * BINS // n)
+
+
+def common_at_most(left: list[bytes], right: list[bytes]) -> np.ndarray:
+    """For sets side by side, the sum of their bins' smaller counts."""
+    out = np.zeros(len(left), np.int64)
+    widths = np.array([min(len(a), len(b)) for a, b in zip(left, right)])
+    for n in np.unique(widths).tolist():
+        rows = np.flatnonzero(widths == n)
+        for at in range(0, len(rows), at_a_time(n)):
+            some = rows[at: at + at_a_time(n)]
+            out[some] = np.minimum(counts_of([left[i] for i in some], n), counts_of([right[i] for i in some], n)).sum(1)
+    return out
 
 
 def possible_stars(stars: DataFrame, bins: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -293,7 +327,7 @@ def possible_stars(stars: DataFrame, bins: DataFrame, percent: int = PERCENT) ->
         for part in parts:
             for at in range(0, len(part), UNIT):
                 some = part.slice(at, UNIT)
-                common = np.minimum(counts_of(some.column("bins_a").to_pylist()), counts_of(some.column("bins_b").to_pylist())).sum(1)
+                common = common_at_most(some.column("bins_a").to_pylist(), some.column("bins_b").to_pylist())
                 sizes = some.column("na").to_numpy().astype(np.int64) + some.column("nb").to_numpy()
                 yield some.select(["a", "b", "na", "nb"]).filter(pa.array((100 + percent) * common >= percent * sizes))
 
@@ -362,31 +396,39 @@ def within_bounds(queries: list[tuple], members: list[tuple], percent: int) -> t
     bins). What a query has in common with any of a group is bounded by the greatest counts of the group's bins; only
     groups that can reach what the query needs are opened."""
 
-    def table(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
-        return counts_of([r[3] for r in rows]), np.array([r[2] for r in rows], np.int64)
-
     order = sorted(range(len(members)), key=lambda i: (members[i][1], members[i][2], members[i][0]))
     members = [members[i] for i in order]
     q_use, m_use = np.zeros(len(queries), bool), np.zeros(len(members), bool)
     if len(queries) and len(members):
         names = {c: i for i, c in enumerate({r[1] for r in queries} | {r[1] for r in members})}
-        (q_counts, q_size), (m_counts, m_size) = table(queries), table(members)
-        q_of, m_of = (np.array([names[r[1]] for r in rows]) for rows in (queries, members))
+        (q_of, q_size), (m_of, m_size) = ((np.array([names[r[1]] for r in rows]), np.array([r[2] for r in rows], np.int64)) for rows in (queries, members))
+        q_width = np.array([len(r[3]) for r in queries])
         for at in range(0, len(members), GROUP):
             some = slice(at, at + GROUP)
-            union, least, most = m_counts[some].max(0), int(m_size[some].min()), int(m_size[some].max())
+            bins = [r[3] for r in members[some]]
+            least, most = int(m_size[some].min()), int(m_size[some].max())
+            narrowest, widest = min(map(len, bins)), max(map(len, bins))
             # the least that a query of some size has to share with any member: what the smallest one asks for
             fits = (100 * q_size >= percent * least) & (100 * most >= percent * q_size)
-            bound = np.minimum(q_counts, union).sum(1)
+            fits &= (q_of[:, None] != m_of[None, some]).any(1)
             needed = percent * (q_size + np.maximum(least, percent * q_size // 100))
-            others = (q_of[:, None] != m_of[None, some]).any(1)
-            for q in np.flatnonzero(fits & others & ((100 + percent) * bound >= needed)).tolist():
-                common = np.minimum(q_counts[q], m_counts[some]).sum(1)
-                near = (m_of[some] != q_of[q]) & ((100 + percent) * common >= percent * (q_size[q] + m_size[some]))
-                near &= (100 * m_size[some] >= percent * q_size[q]) & (100 * q_size[q] >= percent * m_size[some])
-                if near.any():
-                    q_use[q] = True
-                    m_use[some] |= near
+            for n in np.unique(np.minimum(q_width[fits], narrowest)).tolist():
+                counts = counts_of(bins, n)
+                union = counts.max(0)
+                rows = np.flatnonzero(fits & (np.minimum(q_width, narrowest) == n))
+                for first in range(0, len(rows), at_a_time(n)):
+                    part = rows[first: first + at_a_time(n)]
+                    q_counts = counts_of([queries[q][3] for q in part], n)
+                    for i in np.flatnonzero((100 + percent) * np.minimum(q_counts, union).sum(1) >= needed[part]).tolist():
+                        q = part[i]
+                        near = (m_of[some] != q_of[q]) & (100 * m_size[some] >= percent * q_size[q]) & (100 * q_size[q] >= percent * m_size[some])
+                        near &= (100 + percent) * np.minimum(q_counts[i], counts).sum(1) >= percent * (q_size[q] + m_size[some])
+                        if n < min(q_width[q], widest) and near.any():
+                            k = np.flatnonzero(near)
+                            near[k] = (100 + percent) * common_at_most([queries[q][3]] * len(k), [bins[x] for x in k]) >= percent * (q_size[q] + m_size[some][k])
+                        if near.any():
+                            q_use[q] = True
+                            m_use[some] |= near
     out = np.zeros(len(members), bool)
     out[order] = m_use
     return q_use, out
@@ -412,24 +454,33 @@ def compare_groups(
     rows = marked.join(stored(sized, "group-sizes"), "a")
     spread = F.pmod(F.xxhash64("b"), F.col("blocks").cast("long")).cast("int")
     query_spread = F.pmod(F.xxhash64("b"), F.col("query_blocks").cast("long")).cast("int")
-    as_member = rows.select("a", "b", "n", "component", F.lit(False).alias("query"), spread.alias("block"), F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)).alias("query_block"))
-    as_query = rows.where("query").select("a", "b", "n", "component", "query", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), query_spread.alias("query_block"))
-    units = as_member.unionByName(as_query).join(bins.select(F.col("class").alias("b"), "bins"), "b")
+    is_query = F.col("query") & (F.col("query_block") == query_spread)
+    as_member = rows.withColumn("block", spread).withColumn("query_block", F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)))
+    as_member = as_member.withColumn("query", is_query).withColumn("member", F.lit(True))
+    as_query = rows.where("query").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where(F.col("block") != spread)
+    as_query = as_query.withColumn("query_block", query_spread).withColumn("member", F.lit(False))
     unit = ["a", "block", "query_block"]
-    names = [*unit, "b", "component", "query"]
+    names = [*unit, "b", "component", "query", "member"]  # a class is once in a unit, whatever it is there
+    units = as_member.select(*names, "n").unionByName(as_query.select(*names, "n")).join(bins.select(F.col("class").alias("b"), "bins"), "b")
 
     def bound(rows: pa.Table) -> pa.Table:
-        is_query = rows.column("query").to_numpy()
-        at = [np.flatnonzero(is_query), np.flatnonzero(~is_query)]
+        roles = [rows.column(c).to_numpy() for c in ("query", "member")]
+        at = [np.flatnonzero(r) for r in roles]
         sides = [list(zip(*(rows.column(c).take(pa.array(k)).to_pylist() for c in ("b", "component", "n", "bins")))) for k in at]
-        use = np.concatenate([k[u] for k, u in zip(at, within_bounds(*sides, percent))])
-        return rows.select(names).take(pa.array(use))
+        used = [np.zeros(len(rows), bool), np.zeros(len(rows), bool)]
+        for side, k, use in zip(used, at, within_bounds(*sides, percent)):
+            side[k] = use
+        out = rows.select(names[:-2]).append_column("query", pa.array(used[0])).append_column("member", pa.array(used[1]))
+        return out.filter(pa.array(used[0] | used[1]))
 
     def run(rows: pa.Table) -> pa.Table:
-        sides: dict[bool, list] = {True: [], False: []}
-        for name, component, query, tokens in zip(*(rows.column(c).to_pylist() for c in ("b", "component", "query")), rows.column("tokens")):
-            sides[query].append((name, component, tokens.values.to_numpy().view(np.uint64)))
-        found = unit_links(sides[True], sides[False], percent)
+        queries, members = [], []
+        for name, component, query, member, tokens in zip(*(rows.column(c).to_pylist() for c in ("b", "component", "query", "member")), rows.column("tokens")):
+            entry = (name, component, tokens.values.to_numpy().view(np.uint64))
+            for side, use in ((queries, query), (members, member)):
+                if use:
+                    side.append(entry)
+        found = unit_links(queries, members, percent)
         return pa.table([_binary([x for x, _ in found]), _binary([y for _, y in found])], ["a", "b"])
 
     kinds = dict(units.dtypes)
@@ -442,7 +493,8 @@ def link_classes(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, part
     """``v, label``: the component of every class that is linked with another."""
     stars, every = candidate_stars(docs, n, percent, parts_from)
     wanted = comparable(stars, percent).withColumnRenamed("c", "class")
-    bins = stored(every.join(wanted, "class", "left_semi").groupBy("class").agg(F.min("bins").alias("bins")), "bins")
+    bins = stored(every.select("class", "bins").join(wanted, "class", "left_semi").groupBy("class").agg(F.min("bins").alias("bins")), "bins")
+    drop(every)
     pairs = stored(possible_stars(stars, bins, percent), "pairs")
     with bucketed(sets_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct(), n)) as sets:
         near = stored(compare_stars(pairs, sets, percent), "near")
@@ -453,9 +505,11 @@ def link_classes(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, part
 
 def jaccard_join(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, parts_from: int | None = PARTS_FROM) -> DataFrame:
     """One row per document: its set's size, its component's smallest id, and its row key."""
-    held = stored(classes(docs, n), "classes")
-    labels = link_classes(docs, n, percent, parts_from).select(F.col("v").alias("class"), "label")
-    placed = stored(held.join(labels, "class", "left").withColumn("label", F.coalesce("label", "class")), "placed")
+    with shuffles_freed(docs.sparkSession):
+        held = stored(classes(docs, n), "classes")
+        labels = link_classes(docs, n, percent, parts_from).select(F.col("v").alias("class"), "label")
+        placed = stored(held.join(labels, "class", "left").withColumn("label", F.coalesce("label", "class")), "placed")
+        drop(held)
     least = placed.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("component_id"))
     return placed.join(least, "label", "left").select(
         "doc_id", "n_shingles", F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "row", "label"
